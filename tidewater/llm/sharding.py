@@ -39,11 +39,11 @@ def propagate(state: DataFrame, quota: int, shards: int, rounds: int) -> DataFra
         loads = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
         free = [quota - loads.get(s, 0) for s in range(shards)]
         room = _at(free, F.col("shard"), "long") > 0
-        vote = F.max(F.when(room, F.struct(F.col("n"), F.xxhash64(*group, "shard"), F.col("shard").alias("to"))))
+        vote = F.max(F.when(room, F.struct(F.col("n"), F.xxhash64(*group, "shard", F.lit(turn)), F.col("shard").alias("to"))))
         votes = state.groupBy(*group).agg(vote.alias("vote"), F.count("*").alias("parts")).where("parts > 1 and vote is not null")
         asks = state.join(votes.select(*group, F.col("vote.to").alias("to"), F.col("vote.n").alias("most")), group)
-        # Towards the larger part only (ties: towards the lower shard), so that cut links never grow.
-        asks = asks.where((F.col("shard") != F.col("to")) & ((F.col("n") < F.col("most")) | (F.col("n") == F.col("most")) & (F.col("to") < F.col("shard")) | (_at(free, F.col("shard"), "long") <= 0) & (F.col("n") <= F.col("most"))))
+        # Towards the largest part that has room, never from a larger one: cut links never grow.
+        asks = asks.where((F.col("shard") != F.col("to")) & (F.col("n") <= F.col("most")))
         asks = asks.withColumn("bucket", F.pmod(F.xxhash64(*group, F.lit(turn)), F.lit(BUCKETS)).cast("int"))
         asks = written(asks.select(*group, "shard", "to", "n", "bucket"), "shard-asks")
         totals = asks.groupBy("to", "bucket").agg(F.sum("n").alias("t"))
