@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import divergence, mixing, sharding
+from tidewater.llm import divergence, mixing, setsketch, sharding
 from tidewater.llm.common import table
 
 
@@ -20,5 +20,9 @@ def op3_golden_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_divergence, op2_label_propagation, op3_golden_mix)}
+def op6_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
+QUERIES = {f.__name__: f for f in (op1_divergence, op2_label_propagation, op3_golden_mix, op6_setsketch)}
 ORACLE_SQL: dict[str, str] = {}
