@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import divergence, mixing, setsketch, sharding
+from tidewater.llm import deleted_interpolation, divergence, mixing, setsketch, sharding
 from tidewater.llm.common import table
 
 
@@ -24,5 +24,9 @@ def op6_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
 
 
-QUERIES = {f.__name__: f for f in (op1_divergence, op2_label_propagation, op3_golden_mix, op6_setsketch)}
+def op4_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deleted_interpolation.scored(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_divergence, op2_label_propagation, op3_golden_mix, op6_setsketch, op4_deleted_interpolation)}
 ORACLE_SQL: dict[str, str] = {}
