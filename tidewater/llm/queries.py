@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import deleted_interpolation, divergence, mixing, setsketch, sharding
+from tidewater.llm import crf, deleted_interpolation, divergence, mixing, qgrams, setsketch, sharding
 from tidewater.llm.common import table
 
 
@@ -28,5 +28,13 @@ def op4_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deleted_interpolation.scored(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_divergence, op2_label_propagation, op3_golden_mix, op6_setsketch, op4_deleted_interpolation)}
+def op5_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crf.tagged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_qgrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qgrams.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_divergence, op2_label_propagation, op3_golden_mix, op6_setsketch, op4_deleted_interpolation, op5_crf, op10_qgrams)}
 ORACLE_SQL: dict[str, str] = {}
