@@ -174,4 +174,7 @@ def judged(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that pass, with their own columns."""
     df, v = judge(docs)
-    return df.where(F.col(v)["kept"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # A plain filter would be pushed down through all projections and compute every count anew; past a row number it is not.
+    at = fresh(df, "_dd_row")
+    df = df.select("*", F.monotonically_increasing_id().alias(at))
+    return df.where(F.col(v)["kept"] & (F.col(at) >= 0)).select(*[F.col(f"`{c}`") for c in docs.columns])
