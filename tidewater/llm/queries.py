@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import crf, deleted_interpolation, divergence, linechunks, mixing, qgrams, setsketch, sharding
+from tidewater.llm import crf, deleted_interpolation, divergence, linechunks, mixing, qgrams, setsketch, sharding, urlrules
 from tidewater.llm.common import table
 
 
@@ -40,5 +40,9 @@ def op7_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linechunks.cleaned(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_divergence, op2_label_propagation, op3_golden_mix, op6_setsketch, op4_deleted_interpolation, op5_crf, op10_qgrams, op7_line_chunks)}
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlrules.judged(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_divergence, op2_label_propagation, op3_golden_mix, op6_setsketch, op4_deleted_interpolation, op5_crf, op10_qgrams, op7_line_chunks, op8_url_rules)}
 ORACLE_SQL: dict[str, str] = {}
