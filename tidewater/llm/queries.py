@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import crf, deleted_interpolation, divergence, linechunks, mixing, qgrams, setsketch, sharding, urlrules
+from tidewater.llm import crf, deleted_interpolation, divergence, domtrees, linechunks, mixing, qgrams, setsketch, sharding, urlrules
 from tidewater.llm.common import table
 
 
@@ -44,5 +44,9 @@ def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judged(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_divergence, op2_label_propagation, op3_golden_mix, op6_setsketch, op4_deleted_interpolation, op5_crf, op10_qgrams, op7_line_chunks, op8_url_rules)}
+def op9_dom_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return domtrees.extracted(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_divergence, op2_label_propagation, op3_golden_mix, op6_setsketch, op4_deleted_interpolation, op5_crf, op10_qgrams, op7_line_chunks, op8_url_rules, op9_dom_trees)}
 ORACLE_SQL: dict[str, str] = {}
