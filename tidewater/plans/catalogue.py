@@ -1,10 +1,475 @@
-"""Every query of the library by name, with its SQL."""
+"""Every query of the library by name, with its SQL.
+
+The library's tables are media playback; here they are made from the given ones: events play the playback events (``view`` starts, ``purchase``
+completes, the JSON property is the content), orders play the version histories of users (even order keys) and of their plans
+(odd ones), parts play the content. Both sides use the same substitutes.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewater.functions import iso_text, stable_hash
+from tidewater.operators import checks, history, marts, profile, silver
+from tidewater.operators.dedup import latest, latest_by_max
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# Playback events, sessions, versions: in Spark and in SQL.
+
+
+def playback(spark: SparkSession, d: str) -> DataFrame:
+    e = read(spark, d, "events")
+    kind = F.when(F.col("event_type") == "view", "playback_started").when(F.col("event_type") == "purchase", "playback_completed").otherwise("playback_progressed")
+    e = e.select("event_id", "user_id", F.get_json_object("props", "$.k").cast("long").alias("content_id"), F.col("ts").alias("event_timestamp"), kind.alias("event_type"), F.floor(F.col("value") * 10).cast("long").alias("watch_seconds"))
+    return e.withColumn("session_id", F.concat_ws("-", "user_id", "content_id", F.date_format("event_timestamp", "yyyyMMdd")))
+
+
+PLAYBACK = """playback AS (
+  SELECT event_id, user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS content_id, ts AS event_timestamp,
+    CASE event_type WHEN 'view' THEN 'playback_started' WHEN 'purchase' THEN 'playback_completed' ELSE 'playback_progressed' END AS event_type,
+    CAST(floor(value * 10) AS BIGINT) AS watch_seconds,
+    concat_ws('-', user_id, json_extract_string(props, '$.k'), strftime(ts, '%Y%m%d')) AS session_id
+  FROM events)"""
+
+
+def runtimes(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "part").select(F.col("p_partkey").alias("content_id"), (F.col("p_size").cast("long") * 60).alias("content_runtime_seconds"))
+
+
+def sessions(spark: SparkSession, d: str) -> DataFrame:
+    return silver.sessions(playback(spark, d), runtimes(spark, d), F.col("session_ended_timestamp"), "run")
+
+
+SESSIONS = (
+    PLAYBACK
+    + """, rolled AS (
+  SELECT session_id, user_id, content_id, min(event_timestamp) AS session_started_timestamp, max(event_timestamp) AS session_ended_timestamp,
+    max(watch_seconds) AS watch_seconds, bool_or(event_type = 'playback_completed') AS done, count(*) AS event_count
+  FROM playback GROUP BY ALL),
+sessions AS (
+  SELECT session_id, user_id, r.content_id, session_started_timestamp, session_ended_timestamp, watch_seconds, CAST(p_size AS BIGINT) * 60 AS content_runtime_seconds,
+    CASE WHEN p_size > 0 THEN least(1.0, CAST(watch_seconds AS DOUBLE) / CAST(p_size * 60 AS DOUBLE)) ELSE 0.0 END AS completion_rate,
+    done OR (CASE WHEN p_size > 0 THEN least(1.0, CAST(watch_seconds AS DOUBLE) / CAST(p_size * 60 AS DOUBLE)) ELSE 0.0 END) >= 0.9 AS is_completed,
+    event_count, session_ended_timestamp AS created_timestamp
+  FROM rolled r LEFT JOIN part ON p_partkey = r.content_id)"""
+)
+
+
+def profiles(spark: SparkSession, d: str) -> DataFrame:
+    """Versions of users: the latest order of each customer and day."""
+    o = read(spark, d, "orders").where("o_orderkey % 2 = 0")
+    o = latest(o, ["o_custkey", "o_orderdate"], ["o_orderkey"])
+    return o.select(
+        F.col("o_custkey").alias("user_id"), F.col("o_orderstatus").alias("country_code"), silver.title_case("o_orderpriority").alias("city"), F.lit(1970).alias("birth_year"),
+        F.lower("o_orderstatus").alias("preferred_language"), (F.col("o_totalprice") > 250000).alias("is_marketing_opt_in"), F.col("o_orderdate").alias("source_updated_timestamp"), F.col("o_orderdate").alias("ingested_timestamp"))
+
+
+def plans(spark: SparkSession, d: str) -> DataFrame:
+    o = latest(read(spark, d, "orders").where("o_orderkey % 2 = 1"), ["o_custkey", "o_orderdate"], ["o_orderkey"])
+    return o.select(F.col("o_custkey").alias("user_id"), F.col("o_orderpriority").alias("subscription_tier"), F.col("o_orderstatus").alias("subscription_status"), F.col("o_orderdate").alias("source_updated_timestamp"), F.col("o_orderdate").alias("ingested_timestamp"))
+
+
+def timeline(spark: SparkSession, d: str) -> DataFrame:
+    return history.user_timeline(profiles(spark, d), plans(spark, d))
+
+
+def sql_hash(*columns: str) -> str:
+    return "upper(sha256(concat_ws('||', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '__null__')" for c in columns) + ")))"
+
+
+_ATTRIBUTES = ("country_code", "city", "birth_year", "preferred_language", "is_marketing_opt_in", "subscription_tier", "subscription_status")
+# The join by inequality and rank, as an independent form of the as-of stream.
+TIMELINE = f"""profiles AS (
+  SELECT o_custkey AS user_id, o_orderstatus AS country_code,
+    list_aggregate(list_transform(string_split(lower(trim(o_orderpriority)), ' '), lambda w: upper(w[1]) || w[2:]), 'string_agg', ' ') AS city,
+    1970 AS birth_year, lower(o_orderstatus) AS preferred_language, o_totalprice > 250000 AS is_marketing_opt_in, o_orderdate AS ts
+  FROM orders WHERE o_orderkey % 2 = 0 QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) = 1),
+plans AS (
+  SELECT o_custkey AS user_id, o_orderpriority AS subscription_tier, o_orderstatus AS subscription_status, o_orderdate AS ts
+  FROM orders WHERE o_orderkey % 2 = 1 QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) = 1),
+times AS (SELECT user_id, ts AS valid_from_ts FROM profiles UNION SELECT user_id, ts FROM plans),
+timeline AS (
+  SELECT t.user_id, country_code, city, birth_year, preferred_language, is_marketing_opt_in, subscription_tier, subscription_status, t.valid_from_ts,
+    greatest(u.ts, coalesce(s.ts, u.ts)) AS created_timestamp, {sql_hash(*_ATTRIBUTES)} AS record_hash
+  FROM times t JOIN profiles u ON t.user_id = u.user_id AND u.ts <= t.valid_from_ts LEFT JOIN plans s ON t.user_id = s.user_id AND s.ts <= t.valid_from_ts
+  QUALIFY row_number() OVER (PARTITION BY t.user_id, t.valid_from_ts ORDER BY u.ts DESC, s.ts DESC NULLS LAST) = 1),
+changed AS (
+  SELECT * FROM (SELECT *, lag(record_hash) OVER (PARTITION BY user_id ORDER BY valid_from_ts) AS before FROM timeline) WHERE before IS NULL OR before <> record_hash)"""
+DIM = (
+    TIMELINE
+    + f""", first_use AS (SELECT user_id, min(session_started_timestamp) AS first_ts FROM sessions GROUP BY 1),
+begun AS (
+  SELECT c.* EXCLUDE (valid_from_ts, before), CASE WHEN row_number() OVER (PARTITION BY c.user_id ORDER BY valid_from_ts) = 1 AND first_ts < valid_from_ts THEN first_ts ELSE valid_from_ts END AS valid_from_ts
+  FROM changed c LEFT JOIN first_use USING (user_id)),
+closed AS (SELECT *, lead(valid_from_ts) OVER (PARTITION BY user_id ORDER BY valid_from_ts) AS next_ts FROM begun),
+dim_user AS (
+  SELECT {sql_hash("user_id", "strftime(valid_from_ts, '%Y-%m-%dT%H:%M:%S.%f')")} AS user_sk, * EXCLUDE (next_ts), coalesce(next_ts, TIMESTAMP '9999-12-31 23:59:59.999999') AS valid_to_ts, next_ts IS NULL AS is_current FROM closed)"""
+)
+# Users without any version are of no dimension: their sessions keep a null key.
+FACT = (
+    f"WITH {SESSIONS}, {DIM}"
+    + """, dim_content AS (SELECT upper(sha256(CAST(p_partkey AS VARCHAR))) AS content_sk, p_partkey AS content_id FROM part),
+fact AS (
+  SELECT session_id, user_sk, content_sk, session_started_timestamp, session_ended_timestamp, CAST(session_started_timestamp AS DATE) AS activity_date, watch_seconds, content_runtime_seconds, completion_rate, is_completed, event_count, s.created_timestamp
+  FROM sessions s LEFT JOIN dim_user u ON s.user_id = u.user_id AND session_started_timestamp >= valid_from_ts AND session_started_timestamp < valid_to_ts LEFT JOIN dim_content c ON s.content_id = c.content_id),
+rows AS (SELECT f.*, u.user_id, c.content_id FROM fact f JOIN dim_user u USING (user_sk) JOIN dim_content c USING (content_sk)),
+daily AS (
+  SELECT user_id, content_id, activity_date, count(*) AS playback_count, CAST(count_if(is_completed) AS BIGINT) AS completed_session_count, CAST(sum(watch_seconds) AS BIGINT) AS total_watch_seconds,
+    avg(completion_rate) AS average_completion_rate, max(created_timestamp) AS created_timestamp
+  FROM rows GROUP BY 1, 2, 3),
+hourly AS (
+  SELECT date_trunc('hour', session_started_timestamp) AS window_start, date_trunc('hour', session_started_timestamp) + INTERVAL 1 HOUR AS window_end, content_id, count(*) AS playback_count, count(DISTINCT user_id) AS unique_viewer_count,
+    CAST(count_if(is_completed) AS BIGINT) AS completed_session_count, CAST(sum(watch_seconds) AS BIGINT) AS total_watch_seconds, max(created_timestamp) AS created_timestamp
+  FROM rows GROUP BY 1, 2, 3),
+scored AS (SELECT *, playback_count + 2 * completed_session_count + CAST(total_watch_seconds AS DOUBLE) / 3600.0 AS popularity_score FROM hourly)"""
+)
+
+
+def dim_user(spark: SparkSession, d: str) -> DataFrame:
+    return history.scd2(history.changes_only(timeline(spark, d), "user_id"), "user_id", "user_sk", history.first_use(sessions(spark, d), "user_id"))
+
+
+def dim_content(spark: SparkSession, d: str) -> DataFrame:
+    """One version for all time of each part."""
+    p = read(spark, d, "part")
+    return p.select(F.upper(F.sha2(F.col("p_partkey").cast("string"), 256)).alias("content_sk"), F.col("p_partkey").alias("content_id"), F.lit("0001-01-01 00:00:00").cast("timestamp_ntz").alias("valid_from_ts"), F.lit("9999-12-31 00:00:00").cast("timestamp_ntz").alias("valid_to_ts"))
+
+
+def facts(spark: SparkSession, d: str) -> DataFrame:
+    return marts.fact(sessions(spark, d), dim_user(spark, d), dim_content(spark, d))
+
+
+def fact_rows(spark: SparkSession, d: str) -> DataFrame:
+    return marts.named(facts(spark, d), dim_user(spark, d), dim_content(spark, d))
+
+
+def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
+    return df.withColumns({c: F.round(c, digits) for c in columns})
+
+
+# Silver
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC, l_discount DESC, l_tax DESC) = 1""")
+def dedup_latest(spark, d):
+    df = latest(read(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+    return df.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+
+
+@query("""SELECT c_custkey, upper(trim(c_mktsegment)) AS country_code, upper(trim(c_mktsegment))[1] || lower(trim(c_mktsegment))[2:] AS city, lower(trim(c_name)) AS preferred_language, CAST(c_nationkey AS INTEGER) AS birth_year, c_acctbal > 0 AS is_marketing_opt_in FROM customer""")
+def normalize_users(spark, d):
+    raw = read(spark, d, "customer").select("c_custkey", F.col("c_mktsegment").alias("country_code"), F.col("c_mktsegment").alias("city"), F.col("c_nationkey").alias("birth_year"), F.col("c_name").alias("preferred_language"), (F.col("c_acctbal") > 0).alias("marketing_opt_in"))
+    return raw.select("c_custkey", *[e.alias(k) for k, e in silver.normal_users().items()])
+
+
+@query("""SELECT o_orderkey, 'basic' AS subscription_tier, CASE o_orderstatus WHEN 'F' THEN 'active' WHEN 'O' THEN 'paused' END AS subscription_status FROM orders WHERE o_orderpriority = '5-LOW' AND o_orderstatus IN ('F', 'O')""")
+def enum_filter(spark, d):
+    o = read(spark, d, "orders")
+    raw = o.select("o_orderkey", F.when(F.col("o_orderpriority") == "5-LOW", "basic").otherwise("Basic ").alias("subscription_tier"), F.when(F.col("o_orderstatus") == "F", "active").when(F.col("o_orderstatus") == "O", "paused").otherwise("ACTIVE").alias("subscription_status"))
+    return silver.accepted_subscriptions(raw)
+
+
+@query("""SELECT p_partkey, CAST(p_size AS BIGINT) AS runtime_minutes, p_type AS title FROM part WHERE p_size > 10""")
+def content_filter(spark, d):
+    p = read(spark, d, "part").select("p_partkey", (F.col("p_size").cast("long")).alias("runtime_minutes"), F.col("p_type").alias("title"), F.when(F.col("p_size") > 10, "movie").otherwise("Movie").alias("content_type"), F.lit("available").alias("availability_status"))
+    return silver.accepted_content(p).select("p_partkey", "runtime_minutes", "title")
+
+
+@query(f"WITH {PLAYBACK} SELECT event_id, user_id, content_id, session_id, event_type, watch_seconds FROM playback WHERE watch_seconds >= 0 AND event_timestamp < TIMESTAMP '2024-01-20 00:00:00'")
+def contract_filter(spark, d):
+    e = playback(spark, d).withColumn("position_seconds", F.lit(0))
+    return e.where(silver.contract("2024-01-20 00:00:00")).select("event_id", "user_id", "content_id", "session_id", "event_type", "watch_seconds")
+
+
+@query(f"WITH {PLAYBACK} SELECT CAST(count_if(event_timestamp >= TIMESTAMP '2024-01-20 00:00:00') AS BIGINT) AS late_rows, count(*) AS row_count FROM playback")
+def cutover_check(spark, d):
+    return playback(spark, d).agg(F.count_if(F.col("event_timestamp") >= F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")).alias("late_rows"), F.count("*").alias("row_count"))
+
+
+@query(f"WITH {SESSIONS} SELECT session_id, user_id, content_id, session_started_timestamp, session_ended_timestamp, watch_seconds, content_runtime_seconds, round(completion_rate, 6) AS completion_rate, is_completed, event_count FROM sessions")
+def session_rollup(spark, d):
+    return rounded(sessions(spark, d), "completion_rate").drop("created_timestamp", "pipeline_run_id")
+
+
+@query("SELECT o_custkey, o_orderkey, o_orderstatus, o_orderpriority FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1")
+def current_version(spark, d):
+    return latest_by_max(read(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderpriority", "o_orderdate"), ["o_custkey"], ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
+
+
+_CURRENT = "cur AS (SELECT o_custkey AS user_id, o_orderpriority AS city FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)"
+
+
+def enriched(spark, d):
+    users = current_version(spark, d).select(F.col("o_custkey").alias("user_id"), F.col("o_orderpriority").alias("city"))
+    content = read(spark, d, "part").select(F.col("p_partkey").alias("content_id"), F.col("p_type").alias("genre"))
+    return playback(spark, d).select("event_id", "user_id", "content_id").join(users, "user_id", "left").join(content, "content_id", "left")
+
+
+@query(f"WITH {PLAYBACK}, {_CURRENT} SELECT event_id, user_id, content_id, city, p_type AS genre FROM playback LEFT JOIN cur USING (user_id) LEFT JOIN part ON p_partkey = content_id")
+def current_enrichment(spark, d):
+    return enriched(spark, d)
+
+
+_SHARES = f"WITH {PLAYBACK}, {_CURRENT}, counts AS (SELECT city, count(*) AS count FROM playback LEFT JOIN cur USING (user_id) GROUP BY 1) SELECT city, count, round(CAST(count AS DOUBLE) / (SELECT sum(count) FROM counts), 6) AS share FROM counts"
+
+
+@query(_SHARES)
+def skew_direct(spark, d):
+    return profile.distribution(enriched(spark, d), "city")
+
+
+@query(_SHARES)
+def skew_salted(spark, d):
+    return profile.salted_distribution(enriched(spark, d), "city", "event_id")
+
+
+# Histories
+
+
+@query(f"WITH {TIMELINE} SELECT user_id, valid_from_ts FROM times")
+def change_timeline(spark, d):
+    return history.timeline(profiles(spark, d), plans(spark, d), "user_id", "source_updated_timestamp")
+
+
+@query(f"WITH {TIMELINE} SELECT * FROM timeline")
+def asof_timeline(spark, d):
+    return timeline(spark, d)
+
+
+@query(f"WITH {TIMELINE} SELECT * EXCLUDE (before) FROM changed")
+def change_only_history(spark, d):
+    return history.changes_only(timeline(spark, d), "user_id")
+
+
+@query(f"WITH {SESSIONS}, {DIM} SELECT * REPLACE (strftime(valid_to_ts, '%Y-%m-%dT%H:%M:%S.%f') AS valid_to_ts) FROM dim_user")
+def scd2_dim(spark, d):
+    # As text: the open end lies beyond what some clients can hold as a timestamp.
+    return dim_user(spark, d).withColumn("valid_to_ts", iso_text("valid_to_ts"))
+
+
+@query(f"{FACT} SELECT * EXCLUDE (completion_rate), round(completion_rate, 6) AS completion_rate FROM fact")
+def interval_fact(spark, d):
+    return rounded(facts(spark, d), "completion_rate").drop("pipeline_run_id")
+
+
+@query("""SELECT e.event_id, o.o_orderkey FROM events e ASOF LEFT JOIN (SELECT o_custkey, o_orderdate, max(o_orderkey) AS o_orderkey FROM orders GROUP BY 1, 2) o ON e.user_id = o.o_custkey AND e.ts >= o.o_orderdate + INTERVAL 8795 DAY""")
+def asof_join(spark, d):
+    e = read(spark, d, "events").select("event_id", "user_id", "ts")
+    o = read(spark, d, "orders").select(F.col("o_custkey").alias("user_id"), (F.col("o_orderdate") + F.expr("interval 8795 days")).alias("at"), "o_orderkey")
+    return history.asof(e, o, "user_id", "ts", "at", ["o_orderkey"], ["o_orderkey"]).select("event_id", "o_orderkey")
+
+
+# Marts
+
+
+@query(f"{FACT} SELECT * EXCLUDE (average_completion_rate), round(average_completion_rate, 6) AS average_completion_rate, CAST(coalesce(date_diff('day', lag(activity_date) OVER (PARTITION BY user_id, content_id ORDER BY activity_date), activity_date), 0) AS INTEGER) AS days_since_last_playback FROM daily")
+def daily_obt(spark, d):
+    return rounded(marts.daily(fact_rows(spark, d)), "average_completion_rate")
+
+
+_RANKED = "SELECT * EXCLUDE (popularity_score), round(popularity_score, 6) AS popularity_score, CAST(dense_rank() OVER (PARTITION BY window_start ORDER BY popularity_score DESC, content_id) AS INTEGER) AS popularity_rank FROM scored"
+
+
+@query(f"{FACT} {_RANKED}")
+def hourly_mart(spark, d):
+    return rounded(marts.hourly(fact_rows(spark, d)), "popularity_score")
+
+
+@query(f"{FACT} SELECT window_start, content_id, round(popularity_score, 6) AS popularity_score FROM scored ORDER BY scored.popularity_score DESC, window_start DESC, content_id LIMIT 100")
+def top100(spark, d):
+    return rounded(marts.top(marts.hourly(fact_rows(spark, d))).select("window_start", "content_id", "popularity_score"), "popularity_score")
+
+
+@query(f"""{FACT}, anchors AS (SELECT DISTINCT user_id, activity_date FROM daily)
+SELECT a.user_id, round(CAST(sum(CASE WHEN e.activity_date = a.activity_date THEN total_watch_seconds ELSE 0 END) AS DOUBLE) / 60.0, 6) AS watch_minutes_24h,
+  round(CAST(sum(CASE WHEN e.activity_date >= a.activity_date - 6 THEN total_watch_seconds ELSE 0 END) AS DOUBLE) / 60.0, 6) AS watch_minutes_7d,
+  CAST(sum(CASE WHEN e.activity_date >= a.activity_date - 6 THEN playback_count ELSE 0 END) AS BIGINT) AS playback_sessions_7d, CAST(sum(completed_session_count) AS BIGINT) AS completed_sessions_30d,
+  round(sum(average_completion_rate * playback_count) / sum(playback_count), 6) AS average_completion_rate_30d, count(DISTINCT content_id) AS distinct_content_count_30d, CAST(0 AS INTEGER) AS days_since_last_playback,
+  CAST(a.activity_date + 1 AS TIMESTAMP) AS event_timestamp, max(created_timestamp) AS created
+FROM anchors a JOIN daily e ON a.user_id = e.user_id AND e.activity_date BETWEEN a.activity_date - 29 AND a.activity_date GROUP BY a.user_id, a.activity_date""")
+def rolling_user_features(spark, d):
+    df = marts.user_features(marts.daily(fact_rows(spark, d)))
+    return df.withColumns({"average_completion_rate_30d": F.col("average_completion_rate_30d").cast("double"), "event_timestamp": F.col("event_timestamp").cast("timestamp_ntz")})
+
+
+@query(f"""{FACT}, rolling AS (
+  SELECT a.content_id, a.window_start, a.window_end, CAST(sum(CASE WHEN t.window_start = a.window_start THEN t.playback_count ELSE 0 END) AS BIGINT) AS playback_count_1h,
+    CAST(sum(CASE WHEN t.window_start >= a.window_start - INTERVAL 23 HOUR THEN t.playback_count ELSE 0 END) AS BIGINT) AS playback_count_24h,
+    round(CAST(sum(t.completed_session_count) AS DOUBLE) / sum(t.playback_count), 6) AS completion_rate_7d,
+    round(sum(CASE WHEN t.window_start >= a.window_start - INTERVAL 23 HOUR THEN t.popularity_score ELSE 0.0 END), 4) AS popularity_score_24h, max(t.created_timestamp) AS m
+  FROM scored a JOIN scored t ON a.content_id = t.content_id AND t.window_start BETWEEN a.window_start - INTERVAL 167 HOUR AND a.window_start GROUP BY ALL),
+viewers AS (
+  SELECT a.content_id, a.window_start, count(DISTINCT r.user_id) AS unique_viewer_count_24h, max(r.created_timestamp) AS s
+  FROM scored a JOIN rows r ON a.content_id = r.content_id AND r.session_started_timestamp >= a.window_end - INTERVAL 24 HOUR AND r.session_started_timestamp < a.window_end GROUP BY 1, 2)
+SELECT content_id, playback_count_1h, playback_count_24h, unique_viewer_count_24h, completion_rate_7d, popularity_score_24h, window_end AS event_timestamp, greatest(m, s) AS created FROM rolling JOIN viewers USING (content_id, window_start)""")
+def rolling_entity_features(spark, d):
+    rows = fact_rows(spark, d)
+    return rounded(marts.content_features(marts.hourly(rows), rows), "popularity_score_24h", digits=4)
+
+
+# Streaming forms, replayed over a table
+
+
+def _windowed(key: str, others: dict[str, str]):
+    from tidewater.streaming.windows import totals
+
+    return lambda spark, d: totals(playback(spark, d), key, others)
+
+
+def _window_sql(key: str, others: dict[str, str]) -> str:
+    counts = ", ".join(f"count(DISTINCT {c}) AS {n}" for n, c in others.items())
+    return f"""WITH {PLAYBACK} SELECT time_bucket(INTERVAL 5 MINUTE, event_timestamp) AS window_start, time_bucket(INTERVAL 5 MINUTE, event_timestamp) + INTERVAL 5 MINUTE AS window_end, {key}, count(*) AS event_count, {counts},
+CAST(count_if(event_type = 'playback_started') AS BIGINT) AS playback_started_count, CAST(count_if(event_type = 'playback_completed') AS BIGINT) AS playback_completed_count,
+CAST(sum(CASE WHEN event_type = 'playback_completed' THEN watch_seconds ELSE 0 END) AS BIGINT) AS completed_watch_seconds FROM playback GROUP BY 1, 2, 3"""
+
+
+_USER = "user_id", {"unique_session_count": "session_id", "unique_content_count": "content_id"}
+_CONTENT = "content_id", {"unique_user_count": "user_id", "unique_session_count": "session_id"}
+QUERIES["window_5m_user"], ORACLE_SQL["window_5m_user"] = _windowed(*_USER), _window_sql(*_USER)
+QUERIES["window_5m_entity"], ORACLE_SQL["window_5m_entity"] = _windowed(*_CONTENT), _window_sql(*_CONTENT)
+
+
+@query(f"""WITH {PLAYBACK}, marked AS (SELECT *, coalesce(max(event_timestamp) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), TIMESTAMP '1970-01-01') - INTERVAL 30 SECOND AS watermark FROM playback)
+SELECT CAST(event_timestamp AS DATE) AS day, count(*) AS row_count, CAST(count_if(event_timestamp <= watermark) AS BIGINT) AS late_rows FROM marked GROUP BY 1""")
+def late_policy_batch(spark, d):
+    from tidewater.streaming.policy import replay_watermark
+
+    df = replay_watermark(playback(spark, d), "event_id", "event_timestamp", 30)
+    return df.groupBy(F.to_date("event_timestamp").alias("day")).agg(F.count("*").alias("row_count"), F.count_if("is_late").alias("late_rows"))
+
+
+_DLQ = "CASE WHEN event_type = 'error' THEN 'contract_validation_failed' WHEN value < 1 THEN 'avro_decode_failed' END"
+
+
+@query(f"SELECT event_id, {_DLQ} AS error_type, sha256(concat_ws(':', 'playback', CAST(user_id % 6 AS VARCHAR), CAST(event_id AS VARCHAR))) AS dlq_id FROM events WHERE {_DLQ} IS NOT NULL")
+def dlq_split(spark, d):
+    from tidewater.streaming.contract import dlq_id
+
+    error = F.when(F.col("event_type") == "error", "contract_validation_failed").when(F.col("value") < 1, "avro_decode_failed")
+    e = read(spark, d, "events").withColumn("error_type", error).where("error_type is not null")
+    return e.select("event_id", "error_type", dlq_id(F.lit("playback"), F.col("user_id") % 6, F.col("event_id")).alias("dlq_id"))
+
+
+# Profiles and checks
+
+
+@query("SELECT o_orderstatus, count(*) AS row_count, CAST(count_if(o_totalprice > 400000) AS BIGINT) AS null_count FROM orders GROUP BY 1")
+def schema_evolution(spark, d):
+    o = read(spark, d, "orders").withColumn("score", F.when(F.col("o_totalprice") <= 400000, F.col("o_totalprice")))
+    return profile.schema_evolution(o, "o_orderstatus", "score")
+
+
+@query("SELECT count(*) AS row_count, count(DISTINCT event_id) AS distinct_keys, min(ts) AS first_ts, max(ts) AS last_ts FROM events")
+def fingerprint(spark, d):
+    return profile.fingerprint(read(spark, d, "events"), "event_id", "ts")
+
+
+@query("SELECT count(*) AS row_count, CAST(count_if(c_name IS NULL) AS BIGINT) AS c_name_nulls, CAST(count_if(c_acctbal IS NULL) AS BIGINT) AS c_acctbal_nulls FROM customer")
+def null_profile(spark, d):
+    return profile.null_profile(read(spark, d, "customer"), ["c_name", "c_acctbal"])
+
+
+@query("SELECT l_returnflag, count(*) AS row_count, count(DISTINCT (l_orderkey, l_linenumber)) AS keys, round(CAST(count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS DOUBLE) / count(*), 6) AS duplicate_rate FROM lineitem GROUP BY 1")
+def duplicate_rate(spark, d):
+    return profile.duplicate_rate(read(spark, d, "lineitem").withColumn("key", F.struct("l_orderkey", "l_linenumber")), "l_returnflag", "key")
+
+
+@query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
+def test_unique_combination(spark, d):
+    return checks.unique_combination(read(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+_ORDERED = "SELECT user_id, valid_from_ts, valid_to_ts, is_current FROM (SELECT *, lead(valid_from_ts) OVER (PARTITION BY user_id ORDER BY valid_from_ts) AS nx FROM dim_user WHERE user_id % 7 <> 0 OR NOT is_current) WHERE coalesce(nx <> valid_to_ts, false) OR is_current <> (nx IS NULL)"
+
+
+@query(f"WITH {SESSIONS}, {DIM} {_ORDERED}")
+def test_scd2_contiguous(spark, d):
+    # A broken dimension: the current version of every seventh user is gone.
+    return checks.contiguous(dim_user(spark, d).where("user_id % 7 <> 0 or not is_current"), "user_id").select("user_id", "valid_from_ts", "valid_to_ts", "is_current")
+
+
+@query(f"WITH {SESSIONS}, {DIM} SELECT user_id, CAST(count_if(is_current) AS BIGINT) AS n FROM dim_user WHERE user_id % 7 <> 0 OR NOT is_current GROUP BY 1 HAVING count_if(is_current) <> 1")
+def test_scd2_one_current(spark, d):
+    return checks.one_current(dim_user(spark, d).where("user_id % 7 <> 0 or not is_current"), "user_id")
+
+
+@query(f"WITH {TIMELINE} SELECT user_id, valid_from_ts, record_hash FROM (SELECT *, lag(record_hash) OVER (PARTITION BY user_id ORDER BY valid_from_ts) AS b FROM timeline) WHERE b = record_hash")
+def test_scd2_changes_only(spark, d):
+    return checks.only_changes(timeline(spark, d), "user_id").select("user_id", "valid_from_ts", "record_hash")
+
+
+@query("SELECT event_id, user_id FROM events WHERE user_id NOT IN (SELECT o_custkey FROM orders)")
+def test_relationships(spark, d):
+    return checks.relationships(read(spark, d, "events"), "user_id", read(spark, d, "orders"), "o_custkey").select("event_id", "user_id")
+
+
+@query("SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0")
+def test_nonnegative(spark, d):
+    return checks.nonnegative(read(spark, d, "customer"), "c_acctbal").select("c_custkey", "c_acctbal")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_discount FROM lineitem WHERE l_discount < 0.01 OR l_discount > 0.09")
+def test_between(spark, d):
+    return checks.between(read(spark, d, "lineitem"), "l_discount", 0.01, 0.09).select("l_orderkey", "l_linenumber", "l_discount")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderstatus NOT IN ('F', 'O')")
+def test_accepted_values(spark, d):
+    return checks.accepted_values(read(spark, d, "orders"), "o_orderstatus", ["F", "O"]).select("o_orderkey")
+
+
+@query(f"""{FACT}, f AS (SELECT count(*) AS n, CAST(count_if(is_completed) AS BIGINT) AS c, CAST(sum(watch_seconds) AS BIGINT) AS w FROM fact WHERE user_sk IS NOT NULL),
+o AS (SELECT 'obt' AS layer, CAST(sum(playback_count) AS BIGINT) AS n2, CAST(sum(completed_session_count) AS BIGINT) AS c2, CAST(sum(total_watch_seconds) AS BIGINT) AS w2 FROM daily WHERE content_id <> 3
+  UNION ALL SELECT 'mart', CAST(sum(playback_count) AS BIGINT), CAST(sum(completed_session_count) AS BIGINT), CAST(sum(total_watch_seconds) AS BIGINT) FROM scored)
+SELECT layer, n, n2, c, c2, w, w2 FROM f, o WHERE n <> n2 OR c <> c2 OR w <> w2""")
+def rollup_conservation(spark, d):
+    rows = fact_rows(spark, d)
+    # One content is missing from the daily table: that layer is reported.
+    return checks.rollup_conservation(facts(spark, d).where("user_sk is not null"), marts.daily(rows).where("content_id <> 3"), marts.hourly(rows))
+
+
+@query("SELECT md5(string_agg(concat_ws('|', o_orderkey, o_custkey), chr(10) ORDER BY o_totalprice DESC, o_orderkey)) AS checksum FROM (SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100)")
+def ordered_checksum(spark, d):
+    best = read(spark, d, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(100)
+    return profile.ordered_checksum(best, [-F.col("o_totalprice"), F.col("o_orderkey")], F.concat_ws("|", "o_orderkey", "o_custkey"))
+
+
+@query("SELECT c_custkey, " + sql_hash("c_name", "c_nationkey", "c_mktsegment") + " AS h FROM customer")
+def stable_hash_text(spark, d):
+    return read(spark, d, "customer").select("c_custkey", stable_hash("c_name", "c_nationkey", "c_mktsegment").alias("h"))
+
+
+@query("SELECT count(*) AS row_count, round(sum(value), 2) AS total FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-12'")
+def range_scan(spark, d):
+    return read(spark, d, "events").where("ts >= timestamp_ntz'2024-01-05' and ts < timestamp_ntz'2024-01-12'").agg(F.count("*").alias("row_count"), F.round(F.sum("value"), 2).alias("total"))
+
+
+@query()
+def hll_profile(spark, d):
+    return profile.distinct_estimate(read(spark, d, "events"), "user_id")
+
+
+@query()
+def file_stats(spark, d):
+    return profile.file_statistics(read(spark, d, "lineitem"))
