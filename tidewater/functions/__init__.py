@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: Text that stands for null in hashes, and end of validity of a current version. Fixed values.
 NULL_TEXT = "__null__"
@@ -55,34 +54,23 @@ def stable_id(prefix: str, number: Column) -> Column:
     return F.format_string(f"{prefix}_%012d", number)
 
 
-def _multiply(a: Column, constant: int) -> Column:
-    """Product modulo 2^64 in signed longs, over 32-bit halves of one factor and 16-bit pieces of the other: nothing overflows."""
-    mask = F.lit(0xFFFFFFFF).cast("long")
-    out = F.lit(0).cast("long")
-    for i in range(4):
-        piece = (constant >> (16 * i)) & 0xFFFF
-        low = a.bitwiseAND(mask) * F.lit(piece).cast("long")
-        high = F.shiftrightunsigned(a, 32) * F.lit(piece).cast("long")
-        term = _add(low, F.shiftleft(high.bitwiseAND(mask), 32))
-        out = _add(out, F.shiftleft(term, 16 * i) if i else term)
-    return out
+def _wrapped(x: Column) -> Column:
+    """A decimal, not below -2^65, modulo 2^64 as a signed long."""
+    size, half = F.lit(str(1 << 64)).cast("decimal(20,0)"), F.lit(str(1 << 63)).cast("decimal(20,0)")
+    return ((x + half + size + size) % size - half).cast("long")
 
 
-def _add(a: Column, b: Column) -> Column:
-    """Sum modulo 2^64: lower 32 bits and upper 32 bits apart."""
-    mask = F.lit(0xFFFFFFFF).cast("long")
-    low = a.bitwiseAND(mask) + b.bitwiseAND(mask)
-    high = F.shiftrightunsigned(a, 32) + F.shiftrightunsigned(b, 32) + F.shiftrightunsigned(low, 32)
-    return F.shiftleft(high.bitwiseAND(mask), 32).bitwiseOR(low.bitwiseAND(mask))
+def _times(a: Column, factor: int) -> Column:
+    """a * factor modulo 2^64, by 32-bit halves in decimals: nothing overflows."""
+    f = F.lit(str(factor)).cast("decimal(20,0)")
+    low = a.bitwiseAND(F.lit(0xFFFFFFFF).cast("long")).cast("decimal(10,0)") * f
+    high = (F.shiftrightunsigned(a, 32).cast("decimal(10,0)") * f) % F.lit(1 << 32).cast("decimal(10,0)")
+    return _wrapped(low + high * F.lit(1 << 32).cast("decimal(10,0)"))
 
 
 def splitmix64(number: Column) -> Column:
     """The public splitmix64 generator's output for a state, in column expressions: as a signed long."""
-    signed = lambda x: x - (1 << 64) if x >= 1 << 63 else x
-    z = _add(number.cast("long"), F.lit(signed(0x9E3779B97F4A7C15)).cast("long"))
-    z = _multiply(z.bitwiseXOR(F.shiftrightunsigned(z, 30)), 0xBF58476D1CE4E5B9)
-    z = _multiply(z.bitwiseXOR(F.shiftrightunsigned(z, 27)), 0x94D049BB133111EB)
+    z = _wrapped(number.cast("decimal(20,0)") + F.lit(str(0x9E3779B97F4A7C15)).cast("decimal(20,0)"))
+    z = _times(z.bitwiseXOR(F.shiftrightunsigned(z, 30)), 0xBF58476D1CE4E5B9)
+    z = _times(z.bitwiseXOR(F.shiftrightunsigned(z, 27)), 0x94D049BB133111EB)
     return z.bitwiseXOR(F.shiftrightunsigned(z, 31))
-
-
-LONG_OR_NULL = T.LongType()
