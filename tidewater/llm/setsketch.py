@@ -7,10 +7,10 @@ LSH keys. Pairs that share a band are estimated from both sketches jointly, by t
 and equal registers given both set sizes; what is far below the threshold goes, the rest is verified on full sets.
 
 Skew: equal sets are one class, represented by its smallest doc_id, before anything is compared. Within a band's bucket all
-members are compared with one hub only (the smallest id). Buckets whose members then lie in several components are compared
-further, between components, in blocks of members, by sketch; what may be similar is verified best first, and pairs that a round
-has put into one component are not verified. So neither a large group of copies nor of near copies gives all its pairs, and
-no link between components is left out.
+members are compared with a few hubs only. Where members then still lie in several components, those outside the largest are
+compared with all others, in blocks, by the triangle inequality over the distances to the hubs and by sketch; what may be similar
+is verified, a few pairs of two components first and, where these are no links, all others. So neither a large group of copies
+nor of near copies gives all its pairs, and no link between components is left out.
 
 Bands: BANDS x ROWS registers; a pair at similarity 0.8 shares no band with a probability below (1 - 0.8^5)^40 = 2e-7.
 
@@ -38,10 +38,12 @@ ROWS, BANDS = 5, 40
 REGISTERS = ROWS * BANDS
 #: Base of the truncation, rate of the exponential values.
 BASE, RATE = 1.02, 20.0
-#: A pair is dropped by its estimate only when that lies this far below the threshold: over 5 standard deviations.
-MARGIN = 0.15
-#: Members of a bucket that one task compares with as many others.
-BLOCK = 64
+#: A pair is dropped by its estimate only when that lies this far below the threshold: over 3.5 standard deviations.
+MARGIN = 0.09
+#: Hubs of a bucket; at least the distance of what the estimate dropped; members that one task compares with how many others, about.
+HUBS = 3
+FAR = 0.25
+BLOCK, PART = 64, 2048
 #: Bits of a shingle's hash in exact sets; 16 more tell the rows of a slice apart while sets are made.
 SET_BITS = 48
 
@@ -164,8 +166,8 @@ def exact_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     return found.groupBy("doc_id").agg(F.first("items").alias("items"))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets have 100 * intersection >= percent * union."""
+def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, far, linked) of the pairs: 1 - similarity of the full sets, and whether 100 * intersection >= percent * union."""
     def unpack(b: bytes) -> np.ndarray:
         out = np.zeros((len(b) // 5, 8), np.uint8)
         out[:, :5] = np.frombuffer(b, np.uint8).reshape(-1, 5)
@@ -173,48 +175,84 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, last, x = [], None, None
-            for i, (s, t) in enumerate(zip(batch.column("ia").to_pylist(), batch.column("ib").to_pylist(), strict=True)):
+            far, linked, last, x = [], [], None, None
+            for s, t in zip(batch.column("ia").to_pylist(), batch.column("ib").to_pylist(), strict=True):
                 if s != last:
                     last, x = s, unpack(s)
                 y = unpack(t)
                 both = np.sort(np.concatenate([x, y]))
                 common = int((both[1:] == both[:-1]).sum())
-                if 100 * common >= percent * (len(x) + len(y) - common):
-                    keep.append(i)
-            yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+                union = len(x) + len(y) - common
+                far.append(1 - common / union)
+                linked.append(100 * common >= percent * union)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(far, pa.float64()), pa.array(linked, pa.bool_())], ["a", "b", "far", "linked"])
 
     left, right = sets.select(F.col("doc_id").alias("a"), F.col("items").alias("ia")), sets.select(F.col("doc_id").alias("b"), F.col("items").alias("ib"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ia", "ib").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ia", "ib").mapInArrow(run, "a long, b long, far double, linked boolean")
 
 
-def _across(members: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b, estimate) of members (bucket, id, component, n, sketch) of a bucket in different components that may reach the threshold.
+def _across(inside: DataFrame, labels: DataFrame, reps: DataFrame, tested: DataFrame, threshold: float, most: int) -> DataFrame:
+    """Untested pairs (a, b) of members of one bucket in different components that may reach the threshold, the likeliest ``most`` of each task and two components.
 
-    Members are dealt to blocks; a task compares two blocks of a bucket, by sketches only.
+    The members of a bucket's largest component need no comparison with each other; the others, in blocks of BLOCK, are compared
+    with all, who are dealt to parts of PART. By sketch, and by the triangle inequality: distances to the bucket's hubs are known.
     """
-    order = Window.partitionBy("bucket").orderBy("id")
-    dealt = members.withColumn("block", F.floor((F.row_number().over(order) - 1) / BLOCK).cast("int"))
-    sizes = dealt.groupBy("bucket").agg((F.max("block") + 1).alias("blocks"))
-    dealt = dealt.join(sizes, "bucket").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    low, high = F.least("block", "other"), F.greatest("block", "other")
-    dealt = dealt.select("bucket", low.alias("low"), high.alias("high"), "block", "id", "component", "n", "sketch")
+    named = inside.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    counts = named.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    main = counts.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts"), F.sum("n").alias("members"), F.max("n").alias("top"))
+    main = main.where("parts > 1").select("bucket", "main", F.ceil((F.col("members") - F.col("top")) / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("members") / PART).cast("int").alias("shares"))
+    open_ = named.join(main, "bucket")
+    for k in range(HUBS):
+        hub = F.col(f"h{k}")
+        known = tested.select(F.col("a").alias("_a"), F.col("b").alias("_b"), F.col("far").alias("_far"))
+        open_ = open_.join(known, (F.least("id", hub) == F.col("_a")) & (F.greatest("id", hub) == F.col("_b")), "left")
+        open_ = open_.withColumn(f"d{k}", F.when(F.col("id") == hub, F.lit(0.0)).otherwise(F.coalesce("_far", F.lit(-1.0)))).drop("_a", "_b", "_far")
+    open_ = open_.join(reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch"), "id")
+    keep = ["bucket", "band", "id", "component", "n", "sketch", *[f"d{k}" for k in range(HUBS)]]
+    # By hash, not by number: blocks and parts are about even, and no window over a bucket is needed.
+    block = F.pmod(F.xxhash64(F.lit(21), "id"), F.col("blocks")).cast("int")
+    share = F.pmod(F.xxhash64(F.lit(22), "id"), F.col("shares")).cast("int")
+    rest = open_.where("component <> main").select(*keep, block.alias("block"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(True).alias("left"))
+    everyone = open_.select(*keep, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), share.alias("share"), F.lit(False).alias("left"))
+    limit = 1 - threshold
 
     def run(t: pa.Table) -> pa.Table:
-        block, ids, comp, n = (t.column(c).to_numpy() for c in ("block", "id", "component", "n"))
-        low, high = t.column("low")[0].as_py(), t.column("high")[0].as_py()
+        side, ids, comp, n = (t.column(c).to_numpy() for c in ("left", "id", "component", "n"))
+        d = np.stack([t.column(f"d{k}").to_numpy() for k in range(HUBS)])
         x = _matrix(t.column("sketch").combine_chunks())
-        left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
-        i, k = (g.ravel() for g in np.meshgrid(left, right, indexing="ij"))
-        ok = comp[i] != comp[k]
-        ok &= (ids[i] < ids[k]) | (low != high)
-        ok &= np.minimum(n[i], n[k]) >= threshold * np.maximum(n[i], n[k])
-        i, k = i[ok], k[ok]
-        e = jaccard(x[i], x[k], n[i], n[k]) if len(i) else np.zeros(0)
-        ok = e >= threshold - MARGIN
-        return pa.table({"a": np.minimum(ids[i], ids[k])[ok], "b": np.maximum(ids[i], ids[k])[ok], "estimate": e[ok]})
-
-    return dealt.groupBy("bucket", "low", "high").applyInArrow(run, "a long, b long, estimate double")
+        band = t.column("band")[0].as_py()
+        earlier = x[:, : ROWS * band].reshape(len(x), band, ROWS)
+        left, right = np.flatnonzero(side), np.flatnonzero(~side)
+        out = []
+        for i in left:
+            ok = comp[right] != comp[i]
+            ok &= np.minimum(n[i], n[right]) >= threshold * np.maximum(n[i], n[right])
+            for k in range(HUBS):
+                a, b = d[k, i], d[k, right]
+                # -1: far from the hub, by estimate; FAR is a lower bound then.
+                low = np.where((a >= 0) & (b >= 0), np.abs(a - b), np.where((a < 0) & (b >= 0), FAR - b, np.where((a >= 0) & (b < 0), FAR - a, 0.0)))
+                ok &= low <= limit + 1e-9
+            r = right[ok]
+            # A pair counts in the first band that it shares only.
+            r = r[~(earlier[r] == earlier[i]).all(2).any(1)] if band and len(r) else r
+            if len(r):
+                e = jaccard(np.repeat(x[i : i + 1], len(r), 0), x[r], np.repeat(n[i : i + 1], len(r)), n[r])
+                near = e >= threshold - MARGIN
+                out.append(np.stack([np.full(near.sum(), i), r[near]]))
+                out[-1] = (out[-1], e[near])
+        if not out:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        (i, k), e = np.concatenate([o[0] for o in out], 1), np.concatenate([o[1] for o in out])
+        low, high = np.minimum(comp[i], comp[k]), np.maximum(comp[i], comp[k])
+        order = np.lexsort((ids[k], ids[i], -e, high, low))
+        i, k, low, high = i[order], k[order], low[order], high[order]
+        new = np.concatenate([[True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])]) if len(i) else np.zeros(0, bool)
+        turn = np.arange(len(i)) - np.maximum.accumulate(np.where(new, np.arange(len(i)), 0)) if len(i) else np.zeros(0, int)
+        i, k = i[turn < most], k[turn < most]
+        return pa.table({"a": np.minimum(ids[i], ids[k]), "b": np.maximum(ids[i], ids[k])})
+
+    found = rest.unionByName(everyone).groupBy("bucket", "block", "share").applyInArrow(run, "a long, b long").distinct()
+    return found.join(tested.select("a", "b"), ["a", "b"], "left_anti")
 
 
 def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -224,39 +262,27 @@ def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFram
     # A digest of 128 bits and the size stand for the set: equal sets are one class.
     classes = thin.where("doc_id is not null and n_shingles > 0").groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"))
     reps = written(classes.select(F.col("rep").alias("doc_id"), "n_shingles", "sketch", "digest"), "near-classes")
-    # A representative whose doc_id occurs with different texts would be two nodes of one name: it still links what it links.
-    bands = reps.select("doc_id", F.posexplode(F.array(*[F.xxhash64(F.lit(i), F.substring("sketch", 2 * ROWS * i + 1, 2 * ROWS)) for i in range(BANDS)])).alias("band", "bucket")).select("doc_id", "bucket")
-    hubs = bands.groupBy("bucket").agg(F.min("doc_id").alias("a"), F.count("*").alias("members")).where("members > 1").select("bucket", "a", "members")
-    inside = written(bands.join(hubs, "bucket").select("bucket", F.col("doc_id").alias("id"), "a", "members"), "near-buckets")
-    pairs = inside.where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    close = written(estimated(pairs, reps, threshold), "near-close")
-    ids = close.select(F.col("a").alias("doc_id")).union(close.select("b")).distinct()
-    edges = written(verified(close, exact_sets(docs, ids, size), percent), "near-edges")
-    labels = components(edges)
-    # Pairs between components within a bucket, beyond those with its hub.
-    more = inside.where("members > 2").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_ = more.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("bucket")
-    more = more.join(open_, "bucket").select("bucket", "id", "component")
-    figures = reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch")
-    waiting = _across(more.join(figures, "id"), threshold).distinct()
-    tested = close.select("a", "b")
-    waiting = written(waiting.join(tested, ["a", "b"], "left_anti"), "near-waiting")
-    # Best first: a few pairs of each two components, then more of those still apart.
-    step = 4
-    while not waiting.isEmpty():
-        ca = labels.select(F.col("id").alias("a"), F.col("component").alias("ca"))
-        cb = labels.select(F.col("id").alias("b"), F.col("component").alias("cb"))
-        named = waiting.join(ca, "a", "left").join(cb, "b", "left").withColumns({"ca": F.coalesce("ca", "a"), "cb": F.coalesce("cb", "b")}).where("ca <> cb")
-        order = Window.partitionBy(F.least("ca", "cb"), F.greatest("ca", "cb")).orderBy(F.desc("estimate"), "a", "b")
-        named = written(named.withColumn("turn", F.row_number().over(order)).select("a", "b", "estimate", "turn"), "near-named")
-        now = named.where(F.col("turn") <= step)
-        ids = now.select(F.col("a").alias("doc_id")).union(now.select("b")).distinct()
-        found = written(verified(now, exact_sets(docs, ids, size), percent), "near-edges")
-        if not found.isEmpty():
-            edges = written(edges.union(found), "near-edges")
-            labels = components(edges)
-        waiting = written(named.where(F.col("turn") > step).select("a", "b", "estimate"), "near-waiting")
-        step *= 16
+    bands = reps.select(F.col("doc_id").alias("id"), F.posexplode(F.array(*[F.xxhash64(F.lit(i), F.substring("sketch", 2 * ROWS * i + 1, 2 * ROWS)) for i in range(BANDS)])).alias("band", "bucket"))
+    # Hubs by hash orders that hold for all bands: the same few documents are hubs of most of a group's buckets.
+    hubs = bands.groupBy("bucket").agg(*[F.min_by("id", F.struct(F.xxhash64(F.lit(30 + k), "id"), "id")).alias(f"h{k}") for k in range(HUBS)], F.count("*").alias("members")).where("members > 1")
+    inside = written(bands.join(hubs, "bucket"), "near-buckets")
+    pairs = inside.select("id", F.explode(F.array(*[f"h{k}" for k in range(HUBS)])).alias("hub")).where("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
+    waiting = written(estimated(pairs, reps, threshold).select("a", "b"), "near-close")
+    tested, labels = None, None
+    for most in (8, None):
+        ids = waiting.select(F.col("a").alias("doc_id")).union(waiting.select("b")).distinct()
+        found = written(compared(waiting, exact_sets(docs, ids, size), percent), "near-compared")
+        tested = found if tested is None else tested.unionByName(found)
+        # The former components stand for their links.
+        edges = found.where("linked").select("a", "b")
+        labels = components(edges if labels is None else edges.union(labels.select(F.col("id").alias("a"), F.col("component").alias("b"))))
+        waiting = written(_across(inside.where("members > 2"), labels, reps, tested, threshold, most or BLOCK * PART * 4), "near-waiting")
+        if waiting.isEmpty():
+            break
+    else:
+        ids = waiting.select(F.col("a").alias("doc_id")).union(waiting.select("b")).distinct()
+        found = compared(waiting, exact_sets(docs, ids, size), percent).where("linked").select("a", "b")
+        labels = components(found.union(labels.select(F.col("id").alias("a"), F.col("component").alias("b"))))
     rep = reps.select("digest", "n_shingles", F.col("doc_id").alias("rep"))
     members = thin.select("doc_id", "n_shingles", "digest").join(rep, ["digest", "n_shingles"], "left").select("doc_id", "n_shingles", "rep")
     return members, labels
