@@ -91,7 +91,7 @@ def schedule(sources: DataFrame, n_slots: int) -> DataFrame:
     return local.join(offsets, ["sid", "chunk"]).select("slot", "sid", (F.col("o") + F.col("r")).alias("rank"))
 
 
-def _plan(docs: DataFrame, text: str, source: str, key: str, carry: list[Column], weights: tuple[float, ...], max_epochs: int) -> tuple[DataFrame, dict[str, str]]:
+def _plan(docs: DataFrame, text: str, source: str, key: str, carry: list[Column], weights: tuple[float, ...], max_epochs: int, first_slot: bool = True) -> tuple[DataFrame, dict[str, str]]:
     """One row per document: what is carried, and under the given names its size, its source's figures, taken and first slot."""
     names = {k: fresh(docs, f"_mix_{k}") for k in ("size", "none", "source", "order", "bucket", "inside", "offset", "start", "taken", "source_size", "target", "first", "block")}
     n = {k: F.col(v) for k, v in names.items()}
@@ -130,7 +130,8 @@ def _plan(docs: DataFrame, text: str, source: str, key: str, carry: list[Column]
     # The block that holds the document's first word, and that block's slot.
     rank = F.floor(start.cast("double") * b["slots"] / F.greatest(b["to_take"], F.lit(1))).cast("long")
     df = df.withColumn(names["start"], F.when(n["taken"] > 0, F.least(rank, b["slots"] - 1)))
-    if count:
+    # Rows that carry whole texts are not shuffled once more for a figure that nothing reads.
+    if count and first_slot:
         at = slots.select(F.col("sid").alias(names["first"] + "s"), F.col("rank").alias(names["first"] + "r"), F.col("slot").alias(names["first"]))
         df = df.join(at, (b["sid"] == F.col(names["first"] + "s")) & (n["start"] == F.col(names["first"] + "r")), "left")
     else:
@@ -147,6 +148,6 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """The mixture itself: each document as often as it is taken (rounded to whole documents), with its own columns."""
     own = [F.col(f"`{c}`") for c in docs.columns]
-    df, n = _plan(docs, "text", "source", "doc_id", own, weights, max_epochs)
+    df, n = _plan(docs, "text", "source", "doc_id", own, weights, max_epochs, first_slot=False)
     copies = F.round(F.col(n["taken"]) / F.greatest(F.col(n["size"]), F.lit(1))).cast("int")
     return df.withColumn(n["block"], F.explode(F.array_repeat(F.lit(1), copies))).select(*own)
