@@ -187,16 +187,22 @@ def train(texts: list[str], toxic: np.ndarray, clean_weight: float) -> dict:
     y_doc = toxic.astype(bool)
     parts = list(slices(pa.array(texts, pa.large_string())))
     # First pass: features by the documents they occur in. The low bits of a feature's hash make room for the row.
-    room, ids, from_toxic = np.uint64(1 << ROW_BITS), [], []
+    room, ids = np.uint64(1 << ROW_BITS), []
     for row, data, offsets in parts:
         f, r, _, _ = tokens(data, offsets)
         for at in range(0, len(offsets) - 1, 1 << ROW_BITS):
             own = (r >= at) & (r < at + (1 << ROW_BITS))
             once = np.unique(f[own] // room * room + (r[own] - at).astype(np.uint64)[:, None])
-            ids.append(once // room)
-            from_toxic.append(y_doc[row + at + (once % room).astype(np.int64)])
-    ids, at = np.unique(np.concatenate(ids), return_inverse=True)
-    positive, seen = np.bincount(at, np.concatenate(from_toxic), len(ids)), np.bincount(at, minlength=len(ids))
+            ids.append(once // room * np.uint64(2) + y_doc[row + at + (once % room).astype(np.int64)].astype(np.uint64))
+    # Sorted in place, with the label as lowest bit: no index arrays as large as this one.
+    once = np.concatenate(ids)
+    ids.clear()
+    once.sort()
+    starts = np.flatnonzero(np.concatenate([[True], once[1:] >> np.uint64(1) != once[:-1] >> np.uint64(1)])) if len(once) else np.zeros(0, np.int64)
+    seen = np.diff(np.append(starts, len(once)))
+    positive = np.add.reduceat(once & np.uint64(1), starts) if len(once) else np.zeros(0, np.uint64)
+    ids = once[starts] >> np.uint64(1)
+    del once
     marks = ids[(positive >= SUPPORT) & (positive >= PURITY * seen) & (ids != 0)]
     # Second pass: windows around toxic tokens, and others by the hash of their first word, so many of each.
     rng = np.random.default_rng(5)
