@@ -8,9 +8,10 @@ and equal registers given both set sizes; what is far below the threshold goes,
 
 Skew: equal sets are one class, represented by its smallest doc_id, before anything is compared. Within a band's bucket all
 members are compared with a few hubs only. Where members then still lie in several components, those outside the largest are
-compared with all others, in blocks, by the triangle inequality over the distances to the hubs and by sketch; what may be similar
-is verified, a few pairs of two components first and, where these are no links, all others. So neither a large group of copies
-nor of near copies gives all its pairs, and no link between components is left out.
+compared with all others, in blocks, by the triangle inequality over the distances to the hubs and by sketch. What may be similar
+is verified block by block: each block gets the sets of its members once, not once per pair, and skips pairs of components that it
+has joined already. So neither a large group of copies nor of near copies gives all its pairs, and no link between components is
+left out.
 
 Bands: BANDS x ROWS registers; a pair at similarity 0.8 shares no band with a probability below (1 - 0.8^5)^40 = 2e-7.
 
@@ -40,10 +41,15 @@ REGISTERS = ROWS * BANDS
 BASE, RATE = 1.02, 20.0
 #: A pair is dropped by its estimate only when that lies this far below the threshold: over 3.5 standard deviations.
 MARGIN = 0.09
-#: Hubs of a bucket; at least the distance of what the estimate dropped; members that one task compares with how many others, about.
+#: Hubs of a bucket; at least the distance of what the estimate dropped; members that one task compares with how many others, about,
+#: and the shingles of these, about.
 HUBS = 3
 FAR = 0.25
 BLOCK, PART = 64, 2048
+BLOCK_SHINGLES, PART_SHINGLES = 1 << 20, 1 << 22
+#: Low bits of a bucket's number that hold its band; rows of the table of bits that stands for a set of ids, 64 bits each.
+BAND_BITS = 6
+BIT_ROWS = 1 << 20
 #: Bits of a shingle's hash in exact sets; 16 more tell the rows of a slice apart while sets are made.
 SET_BITS = 48
 
@@ -151,8 +157,24 @@ def estimated(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFr
     return joined.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long, estimate double")
 
 
+def narrowed(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """The rows of df whose key is among ids (one column), and a few more: a table of bits over hashed ids tells most others apart.
+
+    The table has BIT_ROWS rows at most, whatever the number of ids, so it may be broadcast, and df is not shuffled. With more ids
+    than bits it lets all rows pass: it never decides what is compared, joins with the ids do.
+    """
+    word, bits = fresh(df, "_word"), fresh(df, "_bits")
+    h = lambda c: F.xxhash64(F.lit(51), c.cast("long"))
+    row = lambda c: F.pmod(h(c), F.lit(BIT_ROWS)).cast("int")
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h(c), 58).cast("int"))
+    own = F.col(ids.columns[0])
+    table = ids.select(row(own).alias(word), bit(own).alias(bits)).groupBy(word).agg(F.bit_or(bits).alias(bits))
+    found = df.withColumn(word, row(F.col(key))).join(F.broadcast(table), word)
+    return found.where(F.col(bits).bitwiseAND(bit(F.col(key))) != 0).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def exact_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """(doc_id, items): the set of each listed document as sorted 5-byte numbers."""
+    """(doc_id, items): the set of each listed document, and of a few more, as sorted 5-byte numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, data, offsets in slices(batch.column(1)):
@@ -162,17 +184,23 @@ def exact_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
                 sets = [packed[5 * (e - c) : 5 * e] for e, c in zip(ends.tolist(), count.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(count)), pa.array(sets, pa.binary())], ["doc_id", "items"])
 
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi").mapInArrow(run, "doc_id long, items binary")
+    found = narrowed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id", ids).mapInArrow(run, "doc_id long, items binary")
     return found.groupBy("doc_id").agg(F.first("items").alias("items"))
 
 
+def unpack(b: bytes) -> np.ndarray:
+    out = np.zeros((len(b) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(b, np.uint8).reshape(-1, 5)
+    return out.view(np.uint64).ravel()
+
+
+def shared_items(x: np.ndarray, y: np.ndarray) -> int:
+    both = np.sort(np.concatenate([x, y]))
+    return int((both[1:] == both[:-1]).sum())
+
+
 def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b, far, linked) of the pairs: 1 - similarity of the full sets, and whether 100 * intersection >= percent * union."""
-    def unpack(b: bytes) -> np.ndarray:
-        out = np.zeros((len(b) // 5, 8), np.uint8)
-        out[:, :5] = np.frombuffer(b, np.uint8).reshape(-1, 5)
-        return out.view(np.uint64).ravel()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             far, linked, last, x = [], [], None, None
@@ -180,8 +208,7 @@ def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 if s != last:
                     last, x = s, unpack(s)
                 y = unpack(t)
-                both = np.sort(np.concatenate([x, y]))
-                common = int((both[1:] == both[:-1]).sum())
+                common = shared_items(x, y)
                 union = len(x) + len(y) - common
                 far.append(1 - common / union)
                 linked.append(100 * common >= percent * union)
@@ -191,41 +218,52 @@ def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ia", "ib").mapInArrow(run, "a long, b long, far double, linked boolean")
 
 
-def _across(inside: DataFrame, labels: DataFrame, reps: DataFrame, tested: DataFrame, threshold: float, most: int) -> DataFrame:
-    """Untested pairs (a, b) of members of one bucket in different components that may reach the threshold, the likeliest ``most`` of each task and two components.
+def _across(inside: DataFrame, labels: DataFrame, reps: DataFrame, tested: DataFrame, threshold: float) -> DataFrame:
+    """What is to be verified in each block (bucket, block, share): its members (id, component), and for some the partners, likeliest first.
 
-    The members of a bucket's largest component need no comparison with each other; the others, in blocks of BLOCK, are compared
-    with all, who are dealt to parts of PART. By sketch, and by the triangle inequality: distances to the bucket's hubs are known.
+    A partner is a member of the same bucket in another component that may reach the threshold. The members of a bucket's largest
+    component need no comparison with each other; the others, in blocks of BLOCK, are compared with all, who are dealt to parts of
+    PART (fewer where sets are large). By sketch, and by the triangle inequality: distances to the bucket's hubs are known.
     """
-    named = inside.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    counts = named.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    main = counts.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts"), F.sum("n").alias("members"), F.max("n").alias("top"))
-    main = main.where("parts > 1").select("bucket", "main", F.ceil((F.col("members") - F.col("top")) / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("members") / PART).cast("int").alias("shares"))
-    open_ = named.join(main, "bucket")
+    sized = narrowed(reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch"), "id", inside.select("id"))
+    named = inside.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")).join(sized.select("id", "n"), "id")
+    counts = named.groupBy("bucket", "component").agg(F.count("*").alias("rows"), F.sum("n").alias("n"))
+    main = counts.groupBy("bucket").agg(
+        F.max_by("component", F.struct("rows", "component")).alias("main"), F.max_by("n", F.struct("rows", "component")).alias("top_n"), F.max("rows").alias("top"),
+        F.count("*").alias("parts"), F.sum("rows").alias("members"), F.sum("n").alias("all_n"),
+    ).where("parts > 1")
+    blocks = F.greatest((F.col("members") - F.col("top")) / BLOCK, (F.col("all_n") - F.col("top_n")) / BLOCK_SHINGLES)
+    shares = F.greatest(F.col("members") / PART, F.col("all_n") / PART_SHINGLES)
+    main = main.select("bucket", "main", F.ceil(blocks).cast("int").alias("blocks"), F.ceil(shares).cast("int").alias("shares"))
+    open_ = named.join(main, "bucket").withColumn("outside", F.col("component") != F.col("main"))
     for k in range(HUBS):
         hub = F.col(f"h{k}")
         known = tested.select(F.col("a").alias("_a"), F.col("b").alias("_b"), F.col("far").alias("_far"))
         open_ = open_.join(known, (F.least("id", hub) == F.col("_a")) & (F.greatest("id", hub) == F.col("_b")), "left")
         open_ = open_.withColumn(f"d{k}", F.when(F.col("id") == hub, F.lit(0.0)).otherwise(F.coalesce("_far", F.lit(-1.0)))).drop("_a", "_b", "_far")
-    open_ = open_.join(reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch"), "id")
-    keep = ["bucket", "band", "id", "component", "n", "sketch", *[f"d{k}" for k in range(HUBS)]]
+    open_ = open_.join(sized.select("id", "sketch"), "id")
+    keep = ["bucket", "id", "component", "outside", "n", "sketch", *[f"{c}{k}" for c in "hd" for k in range(HUBS)]]
     # By hash, not by number: blocks and parts are about even, and no window over a bucket is needed.
     block = F.pmod(F.xxhash64(F.lit(21), "id"), F.col("blocks")).cast("int")
     share = F.pmod(F.xxhash64(F.lit(22), "id"), F.col("shares")).cast("int")
-    rest = open_.where("component <> main").select(*keep, block.alias("block"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(True).alias("left"))
+    rest = open_.where("outside").select(*keep, block.alias("block"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(True).alias("left"))
     everyone = open_.select(*keep, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), share.alias("share"), F.lit(False).alias("left"))
     limit = 1 - threshold
 
     def run(t: pa.Table) -> pa.Table:
-        side, ids, comp, n = (t.column(c).to_numpy() for c in ("left", "id", "component", "n"))
+        side, outside, ids, comp, n = (t.column(c).to_numpy() for c in ("left", "outside", "id", "component", "n"))
         d = np.stack([t.column(f"d{k}").to_numpy() for k in range(HUBS)])
+        hubs = np.array([t.column(f"h{k}")[0].as_py() for k in range(HUBS)])
         x = _matrix(t.column("sketch").combine_chunks())
-        band = t.column("band")[0].as_py()
+        place = [t.column(c)[0].as_py() for c in ("bucket", "block", "share")]
+        band = place[0] & ((1 << BAND_BITS) - 1)
         earlier = x[:, : ROWS * band].reshape(len(x), band, ROWS)
-        left, right = np.flatnonzero(side), np.flatnonzero(~side)
-        out = []
+        # Hubs have been compared with all members.
+        left, right = np.flatnonzero(side & ~np.isin(ids, hubs)), np.flatnonzero(~side & ~np.isin(ids, hubs))
+        partners, met = {}, {}
         for i in left:
-            ok = comp[right] != comp[i]
+            # Two outside the largest component meet twice; once is enough.
+            ok = (comp[right] != comp[i]) & (~outside[right] | (ids[right] > ids[i]))
             ok &= np.minimum(n[i], n[right]) >= threshold * np.maximum(n[i], n[right])
             for k in range(HUBS):
                 a, b = d[k, i], d[k, right]
@@ -238,21 +276,50 @@ def _across(inside: DataFrame, labels: DataFrame, reps: DataFrame, tested: DataF
             if len(r):
                 e = jaccard(np.repeat(x[i : i + 1], len(r), 0), x[r], np.repeat(n[i : i + 1], len(r)), n[r])
                 near = e >= threshold - MARGIN
-                out.append(np.stack([np.full(near.sum(), i), r[near]]))
-                out[-1] = (out[-1], e[near])
-        if not out:
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        (i, k), e = np.concatenate([o[0] for o in out], 1), np.concatenate([o[1] for o in out])
-        low, high = np.minimum(comp[i], comp[k]), np.maximum(comp[i], comp[k])
-        order = np.lexsort((ids[k], ids[i], -e, high, low))
-        i, k, low, high = i[order], k[order], low[order], high[order]
-        new = np.concatenate([[True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])]) if len(i) else np.zeros(0, bool)
-        turn = np.arange(len(i)) - np.maximum.accumulate(np.where(new, np.arange(len(i)), 0)) if len(i) else np.zeros(0, int)
-        i, k = i[turn < most], k[turn < most]
-        return pa.table({"a": np.minimum(ids[i], ids[k]), "b": np.maximum(ids[i], ids[k])})
-
-    found = rest.unionByName(everyone).groupBy("bucket", "block", "share").applyInArrow(run, "a long, b long").distinct()
-    return found.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+                r, e = r[near], e[near]
+                if len(r):
+                    partners[int(ids[i])] = ids[r[np.lexsort((ids[r], -e))]].tolist()
+                    met |= {int(ids[i]): int(comp[i])} | dict(zip(ids[r].tolist(), comp[r].tolist(), strict=True))
+        names = list(met)
+        return pa.table([
+            pa.array([place[0]] * len(names), pa.int64()), pa.array([place[1]] * len(names), pa.int32()), pa.array([place[2]] * len(names), pa.int32()),
+            pa.array(names, pa.int64()), pa.array([met[i] for i in names], pa.int64()), pa.array([partners.get(i) for i in names], pa.list_(pa.int64()))], ["bucket", "block", "share", "id", "component", "partners"])
+
+    kinds = "bucket long, block int, share int, id long, component long, partners array<long>"
+    return rest.unionByName(everyone).groupBy("bucket", "block", "share").applyInArrow(run, kinds)
+
+
+def _verified(waiting: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the components of each block of ``_across``, by full sets; of two components that are joined already, none more."""
+    def run(t: pa.Table) -> pa.Table:
+        ids, comp, items = (t.column(c).to_pylist() for c in ("id", "component", "items"))
+        at, parent, opened, out = {i: k for k, i in enumerate(ids)}, {}, {}, []
+
+        def root(c: int) -> int:
+            while parent.get(c, c) != c:
+                parent[c] = c = parent.get(parent[c], parent[c])
+            return c
+
+        def items_of(k: int) -> np.ndarray:
+            if k not in opened:
+                opened[k] = unpack(items[k])
+            return opened[k]
+
+        for i, partners in enumerate(t.column("partners").to_pylist()):
+            for j in partners or ():
+                k = at[j]
+                one, two = root(comp[i]), root(comp[k])
+                if one == two:
+                    continue
+                x, y = items_of(i), items_of(k)
+                common = shared_items(x, y)
+                if 100 * common >= percent * (len(x) + len(y) - common):
+                    parent[one] = two
+                    out.append((min(ids[i], j), max(ids[i], j)))
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+    found = waiting.join(sets.withColumnRenamed("doc_id", "id"), "id")
+    return found.groupBy("bucket", "block", "share").applyInArrow(run, "a long, b long")
 
 
 def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -262,26 +329,24 @@ def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFram
     # A digest of 128 bits and the size stand for the set: equal sets are one class.
     classes = thin.where("doc_id is not null and n_shingles > 0").groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"))
     reps = written(classes.select(F.col("rep").alias("doc_id"), "n_shingles", "sketch", "digest"), "near-classes")
-    bands = reps.select(F.col("doc_id").alias("id"), F.posexplode(F.array(*[F.xxhash64(F.lit(i), F.substring("sketch", 2 * ROWS * i + 1, 2 * ROWS)) for i in range(BANDS)])).alias("band", "bucket"))
+    band = lambda i: F.xxhash64(F.lit(i), F.substring("sketch", 2 * ROWS * i + 1, 2 * ROWS)).bitwiseAND(F.lit(-1 << BAND_BITS)).bitwiseOR(F.lit(i))
+    bands = reps.select(F.col("doc_id").alias("id"), F.explode(F.array(*map(band, range(BANDS)))).alias("bucket"))
+    # Most buckets hold one document: these go by a count, before anything wider is made of them.
+    several = bands.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
+    shared = written(bands.join(several, "bucket"), "near-shared")
     # Hubs by hash orders that hold for all bands: the same few documents are hubs of most of a group's buckets.
-    hubs = bands.groupBy("bucket").agg(*[F.min_by("id", F.struct(F.xxhash64(F.lit(30 + k), "id"), "id")).alias(f"h{k}") for k in range(HUBS)], F.count("*").alias("members")).where("members > 1")
-    inside = written(bands.join(hubs, "bucket"), "near-buckets")
+    hubs = shared.groupBy("bucket").agg(*[F.min_by("id", F.struct(F.xxhash64(F.lit(30 + k), "id"), "id")).alias(f"h{k}") for k in range(HUBS)])
+    inside = written(shared.join(hubs, "bucket"), "near-buckets")
     pairs = inside.select("id", F.explode(F.array(*[f"h{k}" for k in range(HUBS)])).alias("hub")).where("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
-    waiting = written(estimated(pairs, reps, threshold).select("a", "b"), "near-close")
-    tested, labels = None, None
-    for most in (8, None):
-        ids = waiting.select(F.col("a").alias("doc_id")).union(waiting.select("b")).distinct()
-        found = written(compared(waiting, exact_sets(docs, ids, size), percent), "near-compared")
-        tested = found if tested is None else tested.unionByName(found)
+    few = narrowed(reps.select("doc_id", "n_shingles", "sketch"), "doc_id", inside.select("id"))
+    waiting = written(estimated(pairs, few, threshold).select("a", "b"), "near-close")
+    tested = written(compared(waiting, exact_sets(docs, waiting.select("a").union(waiting.select("b")), size), percent), "near-compared")
+    edges = tested.where("linked").select("a", "b")
+    labels = components(edges)
+    waiting = written(_across(inside.where("members > 2"), labels, reps, tested, threshold), "near-waiting")
+    if not waiting.isEmpty():
+        found = written(_verified(waiting, exact_sets(docs, waiting.select("id"), size), percent), "near-across")
         # The former components stand for their links.
-        edges = found.where("linked").select("a", "b")
-        labels = components(edges if labels is None else edges.union(labels.select(F.col("id").alias("a"), F.col("component").alias("b"))))
-        waiting = written(_across(inside.where("members > 2"), labels, reps, tested, threshold, most or BLOCK * PART * 4), "near-waiting")
-        if waiting.isEmpty():
-            break
-    else:
-        ids = waiting.select(F.col("a").alias("doc_id")).union(waiting.select("b")).distinct()
-        found = compared(waiting, exact_sets(docs, ids, size), percent).where("linked").select("a", "b")
         labels = components(found.union(labels.select(F.col("id").alias("a"), F.col("component").alias("b"))))
     rep = reps.select("digest", "n_shingles", F.col("doc_id").alias("rep"))
     members = thin.select("doc_id", "n_shingles", "digest").join(rep, ["digest", "n_shingles"], "left").select("doc_id", "n_shingles", "rep")
