@@ -340,6 +340,14 @@ def test_near_duplicates(spark, texts, k):
     assert all(x.kept == (x.doc_id == x.component_id) for x in got)
 
 
+def test_narrowed_parts(spark):
+    docs = spark.createDataFrame([(i if i % 7 else None, str(i)) for i in range(500)], "doc_id long, text string")
+    ids = spark.createDataFrame([(i,) for i in range(0, 500, 9)], "id long")
+    some, rest = (setsketch.narrowed(docs, "doc_id", ids, rest=r).collect() for r in (False, True))
+    assert sorted(x.text for x in some + rest) == sorted(x.text for x in docs.collect())
+    assert {x.doc_id for x in some} >= {i for i in range(0, 500, 9) if i % 7} and None not in {x.doc_id for x in some}
+
+
 def test_near_duplicates_odd_rows(spark):
     rows = setsketch.near_duplicates(odd(spark), 2).collect()
     assert len(rows) == len(ODD)

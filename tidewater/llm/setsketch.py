@@ -157,8 +157,10 @@ def estimated(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFr
     return joined.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long, estimate double")
 
 
-def narrowed(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
-    """The rows of df whose key is among ids (one column), and a few more: a table of bits over hashed ids tells most others apart.
+def narrowed(df: DataFrame, key: str, ids: DataFrame, rest: bool = False) -> DataFrame:
+    """The rows of df whose key is among ids (one column), and a few more; with ``rest`` all others, those without a key included.
+
+    A table of bits over hashed ids tells most other keys apart.
 
     The table has BIT_ROWS rows at most, whatever the number of ids, so it may be broadcast, and df is not shuffled. With more ids
     than bits it lets all rows pass: it never decides what is compared, joins with the ids do.
@@ -169,8 +171,9 @@ def narrowed(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h(c), 58).cast("int"))
     own = F.col(ids.columns[0])
     table = ids.select(row(own).alias(word), bit(own).alias(bits)).groupBy(word).agg(F.bit_or(bits).alias(bits))
-    found = df.withColumn(word, row(F.col(key))).join(F.broadcast(table), word)
-    return found.where(F.col(bits).bitwiseAND(bit(F.col(key))) != 0).select(*[F.col(f"`{c}`") for c in df.columns])
+    found = df.withColumn(word, F.when(F.col(key).isNotNull(), row(F.col(key)))).join(F.broadcast(table), word, "left" if rest else "inner")
+    there = F.coalesce(F.col(bits), F.lit(0)).bitwiseAND(bit(F.col(key))) != 0
+    return found.where(~there if rest else there).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def exact_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
@@ -365,7 +368,9 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> D
     """One document of each group, with its own columns; documents without doc_id or shingles all stay."""
     found = written(near_duplicates(docs, size, percent), "near-found")
     gone = found.where("not kept").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    # Most rows surely stay: they, and their texts, are not shuffled for the few that are looked up.
+    unsure = narrowed(docs, "doc_id", gone).join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    left = narrowed(docs, "doc_id", gone, rest=True).unionByName(unsure)
     again = found.where("kept and n_shingles > 0 and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if again.isEmpty():
         return left
