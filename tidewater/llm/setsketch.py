@@ -369,7 +369,9 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> D
     found = written(near_duplicates(docs, size, percent), "near-found")
     gone = found.where("not kept").select("doc_id").distinct()
     # Most rows surely stay: they, and their texts, are not shuffled for the few that are looked up.
-    unsure = narrowed(docs, "doc_id", gone).join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    # A left join, as an anti-join would be pushed below the look-up and shuffle all rows.
+    flag = fresh(docs, "_gone")
+    unsure = narrowed(docs, "doc_id", gone).join(gone.withColumn(flag, F.lit(True)), "doc_id", "left").where(F.col(flag).isNull()).select(*[F.col(f"`{c}`") for c in docs.columns])
     left = narrowed(docs, "doc_id", gone, rest=True).unionByName(unsure)
     again = found.where("kept and n_shingles > 0 and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if again.isEmpty():
