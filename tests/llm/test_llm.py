@@ -340,6 +340,17 @@ def test_near_duplicates(spark, texts, k):
     assert all(x.kept == (x.doc_id == x.component_id) for x in got)
 
 
+def test_truncated_copies_link_through_the_template(spark):
+    r = random.Random(13)
+    rows = []
+    for t in range(6):
+        template = [f"t{t}w{r.randrange(10**6)}" for _ in range(100)]  # 96 shingles; 100 with the suffix, 79 without the tail
+        rows += [(1000 * t + i, " ".join(template + [f"own{r.randrange(10**9)}" for _ in range(4)])) for i in range(70)]
+        rows += [(1000 * t + 100, " ".join(template)), (1000 * t + 101, " ".join(template[:83]))]
+    got = setsketch.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == brute_components(rows, 5)
+
+
 def test_narrowed_parts(spark):
     docs = spark.createDataFrame([(i if i % 7 else None, str(i)) for i in range(500)], "doc_id long, text string")
     ids = spark.createDataFrame([(i,) for i in range(0, 500, 9)], "id long")

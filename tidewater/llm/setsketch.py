@@ -41,10 +41,9 @@ REGISTERS = ROWS * BANDS
 BASE, RATE = 1.02, 20.0
 #: A pair is dropped by its estimate only when that lies this far below the threshold: over 3.5 standard deviations.
 MARGIN = 0.09
-#: Hubs of a bucket; at least the distance of what the estimate dropped; members that one task compares with how many others, about,
+#: Hubs of a bucket; members that one task compares with how many others, about,
 #: and the shingles of these, about.
 HUBS = 3
-FAR = 0.25
 BLOCK, PART = 64, 2048
 BLOCK_SHINGLES, PART_SHINGLES = 1 << 20, 1 << 22
 #: Low bits of a bucket's number that hold its band; rows of the table of bits that stands for a set of ids, 64 bits each.
@@ -226,7 +225,7 @@ def _across(inside: DataFrame, labels: DataFrame, reps: DataFrame, tested: DataF
 
     A partner is a member of the same bucket in another component that may reach the threshold. The members of a bucket's largest
     component need no comparison with each other; the others, in blocks of BLOCK, are compared with all, who are dealt to parts of
-    PART (fewer where sets are large). By sketch, and by the triangle inequality: distances to the bucket's hubs are known.
+    PART (fewer where sets are large). By sketch, and by the triangle inequality where distances of both to a hub were measured.
     """
     sized = narrowed(reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch"), "id", inside.select("id"))
     named = inside.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")).join(sized.select("id", "n"), "id")
@@ -270,8 +269,9 @@ def _across(inside: DataFrame, labels: DataFrame, reps: DataFrame, tested: DataF
             ok &= np.minimum(n[i], n[right]) >= threshold * np.maximum(n[i], n[right])
             for k in range(HUBS):
                 a, b = d[k, i], d[k, right]
-                # -1: far from the hub, by estimate; FAR is a lower bound then.
-                low = np.where((a >= 0) & (b >= 0), np.abs(a - b), np.where((a < 0) & (b >= 0), FAR - b, np.where((a >= 0) & (b < 0), FAR - a, 0.0)))
+                # -1: not measured. Such a pair may lie anywhere above its size ratio's distance, which bounds no pair better than that
+                # pair's own size ratio does; so only two measured distances exclude.
+                low = np.where((a >= 0) & (b >= 0), np.abs(a - b), 0.0)
                 ok &= low <= limit + 1e-9
             r = right[ok]
             # A pair counts in the first band that it shares only.
