@@ -383,6 +383,27 @@ def test_estimate_is_near_the_truth():
     assert max(e) < 0.1
 
 
+def test_estimate_drops_no_link():
+    # Every outcome of the registers of two sets of equal size at similarity 0.8: what the cut loses in all.
+    m, at = setsketch.REGISTERS, 0.8
+    p = -math.log1p(-(1 - at) / 2 * (setsketch.BASE - 1) / setsketch.BASE) / math.log(setsketch.BASE)
+    lost, size = 0.0, np.full(m + 1, 1000)
+    for larger in range(m + 1):
+        smaller = np.arange(m + 1 - larger)
+        a, b = np.zeros((len(smaller), m), np.uint16), np.zeros((len(smaller), m), np.uint16)
+        a[:, :larger] = 1
+        b[:, larger:] = np.arange(m - larger) < smaller[:, None]
+        e = setsketch.jaccard(a, b, size[: len(a)], size[: len(a)])
+        for k in smaller[e < at - setsketch.MARGIN - setsketch.SLACK].tolist():
+            rest = m - larger - k
+            ways = math.lgamma(m + 1) - math.lgamma(larger + 1) - math.lgamma(k + 1) - math.lgamma(rest + 1)
+            lost += math.exp(ways + (larger + k) * math.log(p) + rest * math.log(1 - 2 * p))
+    assert lost < (1 - at**setsketch.ROWS) ** setsketch.BANDS
+    for percent in range(50, 100):  # the grid value at the cut itself passes
+        cut = np.linspace(0.0, 1.0, 101)[percent - 16]
+        assert cut >= percent / 100 - setsketch.MARGIN - setsketch.SLACK
+
+
 def test_components(spark):
     r = random.Random(4)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 460)]

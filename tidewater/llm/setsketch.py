@@ -13,7 +13,7 @@ is verified block by block: each block gets the sets of its members once, not on
 has joined already. So neither a large group of copies nor of near copies gives all its pairs, and no link between components is
 left out.
 
-Bands: BANDS x ROWS registers; a pair at similarity 0.8 shares no band with a probability below (1 - 0.8^5)^40 = 2e-7.
+Bands: BANDS x ROWS registers; a pair at similarity 0.8 shares no band with a probability below (1 - 0.8^5)^40 = 1.3e-7.
 
 Defined cases: null and empty texts, and texts of white space, have no shingles, are their own component and are kept; with fewer
 words than a shingle has, the whole sequence is the one shingle; rows without doc_id are never removed and link nothing; rows
@@ -39,8 +39,9 @@ ROWS, BANDS = 5, 40
 REGISTERS = ROWS * BANDS
 #: Base of the truncation, rate of the exponential values.
 BASE, RATE = 1.02, 20.0
-#: A pair is dropped by its estimate only when that lies this far below the threshold: over 3.5 standard deviations.
-MARGIN = 0.09
+#: A pair is dropped by its estimate only when that lies further below the threshold: at similarity 0.80 with a probability of 3.2e-8
+#: at most (equal sizes; 5.7 standard deviations), less than the bands lose. SLACK: for rounding, as estimates lie on a grid.
+MARGIN, SLACK = 0.16, 1e-9
 #: Hubs of a bucket; members that one task compares with how many others, about,
 #: and the shingles of these, about.
 HUBS = 3
@@ -147,7 +148,7 @@ def estimated(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFr
             for at in range(0, len(batch), 2048):
                 part = batch.slice(at, 2048)
                 e = jaccard(_matrix(part.column("sa")), _matrix(part.column("sb")), part.column("na").to_numpy(), part.column("nb").to_numpy())
-                ok = np.flatnonzero(e >= threshold - MARGIN)
+                ok = np.flatnonzero(e >= threshold - MARGIN - SLACK)
                 yield pa.RecordBatch.from_arrays([part.column("a").take(ok), part.column("b").take(ok), pa.array(e[ok])], ["a", "b", "estimate"])
 
     left = sketches.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("sa"))
@@ -278,7 +279,7 @@ def _across(inside: DataFrame, labels: DataFrame, reps: DataFrame, tested: DataF
             r = r[~(earlier[r] == earlier[i]).all(2).any(1)] if band and len(r) else r
             if len(r):
                 e = jaccard(np.repeat(x[i : i + 1], len(r), 0), x[r], np.repeat(n[i : i + 1], len(r)), n[r])
-                near = e >= threshold - MARGIN
+                near = e >= threshold - MARGIN - SLACK
                 r, e = r[near], e[near]
                 if len(r):
                     partners[int(ids[i])] = ids[r[np.lexsort((ids[r], -e))]].tolist()
