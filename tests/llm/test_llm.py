@@ -438,6 +438,26 @@ def test_repeated_passages_go(spark):
     assert all(x == passage or x in block for v in lost.values() for x in v)
 
 
+def test_repeated_runs_of_short_lines_go_whole(spark):
+    r = random.Random(15)
+    line = lambda n: " ".join(f"v{r.randrange(10**6)}" for _ in range(n))
+    rows, runs = [], {}
+    for k, n in enumerate([5, 6, 7, 8, 9, 10] * 4):
+        runs[k] = [line(r.randint(11, 14)) for _ in range(n)]
+        if k % 2:
+            runs[k].insert(2, "")
+        rows += [(10 * k + j, "\n".join([line(r.randint(1, 12)) for _ in range(r.randint(1, 4))] + runs[k] + [line(r.randint(1, 12)) for _ in range(r.randint(0, 4))])) for j in range(3)]
+    same = "\n".join(["one line of five words"] * 30)  # overlaps its own first run: that stays
+    rows += [(1000, same), (1001, same + "\n" + line(3))]
+    got = {x.doc_id: x for x in linechunks.cleaned(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in rows[:-2]:
+        own, left = runs[i // 10], got[i].text.split("\n")
+        want = t.split("\n") if i % 10 == 0 else [x for x in t.split("\n") if x not in own]
+        assert [x for x in left if x] == [x for x in want if x]
+        assert got[i].removed_words == len(words(t)) - len(words(got[i].text))
+    assert got[1000].text.startswith("\n".join(["one line of five words"] * 11)) and len(words(got[1001].text)) == 3
+
+
 def test_chunks_equal_a_brute_scan():
     import pyarrow as pa
 
