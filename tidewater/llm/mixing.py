@@ -4,7 +4,8 @@ Targets: sources in code-point order (null last) weigh 5, 2, 1, 5, 2, 1, ... and
 over ``max_epochs`` times its source, what is cut off goes to the others by weight. The schedule: slot i of the mixture belongs
 to the source in whose share of [0, 1) the i-th golden-ratio point falls, and a slot's rank among its source's slots names the
 block it takes. Blocks: each source's documents stand in a shuffled (hashed) order, end to end and round again; every
-slot of a source takes an equal number of its words. A document's ``taken`` is what the blocks of its source take of it.
+slot of a source takes an equal number of its words. A document's ``taken`` is what the target of its source takes of that order,
+whatever the slots; the schedule only names the slot of the block with a document's first word (``first_slot`` of ``mixed``).
 
 Everything is DataFrame code. Running sums are made in two steps (within a bucket of a source, then over the buckets' totals),
 so that a source with a third of all rows is spread over all tasks.
@@ -140,7 +141,7 @@ def _plan(docs: DataFrame, text: str, source: str, key: str, carry: list[Column]
 
 
 def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken, and first_slot, where the mixture first shows it (null: never)."""
+    """One row per document: doc_id, size, source_size, target, taken, and first_slot, where the mixture first shows it (null: never, or its source won no slot)."""
     df, n = _plan(docs, "text", "source", "doc_id", [F.col("doc_id")], weights, max_epochs)
     return df.select("doc_id", F.col(n["size"]).alias("size"), F.col(n["source_size"]).alias("source_size"), F.col(n["target"]).alias("target"), F.col(n["taken"]).alias("taken"), F.col(n["first"]).alias("first_slot"))
 
