@@ -153,6 +153,15 @@ def test_shards_keep_equal_texts_together(spark):
     assert sum(n == 1 for n in groups) > 0.85 * len(groups)
 
 
+def test_rounds_end_only_when_no_group_can_move(spark):
+    # 16 rows without equals leave room for few moves a round: 200 pairs or so take more than ten rounds.
+    rows = [(i, f"pair {i // 2}") for i in range(800)] + [(1000 + i, f"alone {i}") for i in range(16)]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"), shards=2).collect()
+    place = {r.doc_id: r.shard for r in got}
+    assert Counter(place.values()) == Counter({0: 408, 1: 408})
+    assert sum(place[i] != place[i + 1] for i in range(0, 800, 2)) == 0
+
+
 # 3
 
 

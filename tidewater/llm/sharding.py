@@ -16,13 +16,14 @@ gives no rows; with fewer rows than shards some shards stay empty; extra columns
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import written
 
 SHARDS = 16
-ROUNDS = 10
 #: Salts of a group of equal texts; buckets of a shard in ranks; buckets of a target in the admission of moves.
 SALTS = 64
 BUCKETS = 512
@@ -32,10 +33,13 @@ def _at(values: list, index: Column, kind: str) -> Column:
     return F.element_at(F.array(*[F.lit(v).cast(kind) for v in values]), (index + 1).cast("int"))
 
 
-def propagate(state: DataFrame, quota: int, shards: int, rounds: int) -> DataFrame:
-    """Label propagation over (g1, g2, shard, n): moves members of a group towards the shard with most of them, within the quota."""
+def propagate(state: DataFrame, quota: int, shards: int) -> DataFrame:
+    """Label propagation over (g1, g2, shard, n): moves members of a group towards the shard with most of them, within the quota.
+
+    Ends when no move is admitted: each move raises its group's sum of squared parts, so this comes.
+    """
     group = ["g1", "g2"]
-    for turn in range(rounds):
+    for turn in count():
         loads = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
         free = [quota - loads.get(s, 0) for s in range(shards)]
         room = _at(free, F.col("shard"), "long") > 0
@@ -62,7 +66,7 @@ def propagate(state: DataFrame, quota: int, shards: int, rounds: int) -> DataFra
     return state
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """One row per document: doc_id, size, text_crc32, law, shard, slot, grown_shard (null), group_rows (documents of equal text)."""
     group = ["g1", "g2"]
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
@@ -82,7 +86,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFr
     parts = written(parts.join(totals, group), "shard-parts")
     rows = thin.count()
     start = parts.groupBy(*group, F.col("shard0").alias("shard")).agg(F.sum("n").alias("n"))
-    state = propagate(start, rows // shards, shards, rounds)
+    state = propagate(start, rows // shards, shards)
     # Members of a group by rank: each shard has an interval of ranks.
     upto = F.sum("n").over(Window.partitionBy(*group).orderBy("shard").rowsBetween(Window.unboundedPreceding, 0))
     spans = state.withColumn("upto", upto).groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("upto", "shard"))).alias("spans"))
