@@ -4,14 +4,18 @@ A page is parsed into its element tree. Every element that holds text gets featu
 ancestors, depth, text and link density of its subtree and of its own text, place among its siblings. Gradient-boosted
 trees (logistic loss, histogram splits), trained here on generated pages whose elements are labelled, give each element the
 log-odds of being main text. Decoding is hierarchical: for every subtree the better of ``all``, ``none`` and ``by child`` is chosen
-from the leaves up, so that no element is kept within a dropped one nor dropped within a kept one; ``by child`` costs a little.
+from the leaves up, so that no element is kept within a dropped one nor dropped within a kept one; ``by child`` has a cost, so that a
+few weak odds don't tear a kept article apart.
 
 Blocks are block-level elements' own runs of text. Character references are decoded, white space within a block becomes one
 space, blocks come in page order, one line each.
 
+Pages are read in time linear in their length, however they are nested or broken, and scored in slices of so many elements.
+
 Defined cases: null and empty pages and pages without main text give an empty text; unclosed and stray tags are repaired as browsers
-do for paragraphs, list items and table cells, others end with their parent; text outside any element belongs to the body; repeated
-rows are extracted one by one; columns besides page_id, url and html are not read.
+do for paragraphs, list items and table cells, others end with their parent; what begins like a tag but never ends is text; text
+outside any element belongs to the body; what browsers show only in place of scripts or media (``UNSEEN``) is no text; repeated rows
+are extracted one by one; columns besides page_id, url and html are not read.
 """
 
 from __future__ import annotations
@@ -19,6 +23,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +33,7 @@ from pyspark.sql import functions as F
 
 # HTML element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("script style noscript template svg iframe object head title select option textarea button canvas audio video math".split())
+UNSEEN = frozenset("script style noscript template svg iframe object head title select option textarea button canvas audio video".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code data dfn em font i ins del kbd label mark q s samp small span strike strong sub sup time tt u var wbr br img".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table body article section div nav aside header footer main form blockquote".split())
@@ -39,134 +44,181 @@ HINTS = (
     "nav menu header footer foot side sidebar bar aside ad ads advert banner sponsor promo notice cookie consent alert popup modal overlay newsletter subscribe signup login form search "
     "comment comments discussion reply replies respond thread disqus user related more recommend popular trending share social tags breadcrumb crumbs pager pagination widget meta author byline date copyright legal skip toolbar top links list toc"
 ).split()
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+QUOTE = re.compile("[\"'>]")
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.S)
 RAW = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style", "textarea", "title", "noscript", "template", "svg", "iframe")}
 SPACE = re.compile(r"[\s ]+")
-HINT = {h: i for i, h in enumerate(HINTS)}
+HINT = {h: 1 << i for i, h in enumerate(HINTS)}
 
 
 class Page:
-    """Elements of a page in document order, and runs of text with the element they are in."""
+    """Elements of a page in document order, and runs of text with the element they are in. Linear in the source, however it is nested."""
 
     def __init__(self, source: str):
-        self.tag, self.parent, self.hints, self.truth = ["body"], [-1], [()], [None]
+        self.tag, self.parent, self.hints, self.truth = ["body"], [-1], [0], [None]
         self.runs: list[tuple[int, str]] = []
-        open_, at, skip = [0], 0, 0
+        self.open, self.at, self.scopes, self.unseen = [0], {}, [0], 0
         for m in iter_tokens(source):
             if m[0] == "text":
-                if not skip:
-                    self.runs.append((open_[-1], m[1]))
-                continue
-            closing, tag, attributes = m[1:]
-            if closing:
-                for k in range(len(open_) - 1, 0, -1):
-                    if self.tag[open_[k]] == tag:
-                        del open_[k:]
-                        break
-                    # A closing inline or paragraph tag never closes a container.
-                    if self.tag[open_[k]] in SCOPES and (tag in INLINE or tag == "p"):
-                        break
-                skip = sum(self.tag[i] in UNSEEN for i in open_)
-                continue
-            if tag in ("html", "body"):
-                continue
-            if tag not in INLINE:
-                # A block ends an open paragraph, and list items and cells end their like.
-                for k in range(len(open_) - 1, 0, -1):
-                    t = self.tag[open_[k]]
-                    if t == "p" or t in CLOSES.get(tag, ()):
-                        del open_[k:]
-                        if t == "p" and tag not in CLOSES:
-                            break
-                        continue
-                    if t in SCOPES:
-                        break
-            node = len(self.tag)
-            self.tag.append(tag)
-            self.parent.append(open_[-1])
-            found, truth = (), None
-            if attributes and not attributes.isspace():
-                values = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes)}
-                words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", " ".join(v for k, v in values.items() if k in ("class", "id", "role", "itemprop", "aria-label"))).lower())
-                found = tuple({HINT[w] for w in words if w in HINT})
-                truth = values.get("data-truth")
-            self.hints.append(found)
-            self.truth.append(truth)
-            if tag == "br":
-                self.runs.append((open_[-1], " "))
-            if tag not in VOID and not attributes.rstrip().endswith("/"):
-                open_.append(node)
-                skip += tag in UNSEEN
+                if not self.unseen:
+                    self.runs.append((self.open[-1], m[1]))
+            elif m[1]:
+                self._end(m[2])
+            elif m[2] not in ("html", "body"):
+                self._begin(m[2], m[3])
+        del self.open, self.at, self.scopes
+
+    def _close(self, k: int) -> None:
+        """Closes the open elements from the k-th on."""
+        for node in reversed(self.open[k:]):
+            tag = self.tag[node]
+            self.at[tag].pop()
+            self.unseen -= tag in UNSEEN
+        del self.open[k:]
+        while self.scopes[-1] >= k:
+            self.scopes.pop()
+
+    def _end(self, tag: str) -> None:
+        places = self.at.get(tag)
+        # A closing inline or paragraph tag never closes a container.
+        if places and not (places[-1] < self.scopes[-1] and (tag in INLINE or tag == "p")):
+            self._close(places[-1])
+
+    def _begin(self, tag: str, attributes: str) -> None:
+        if tag not in INLINE:
+            # A block ends an open paragraph, and list items and cells end their like, up to the nearest container.
+            ended = []
+            for t in ("p", *CLOSES.get(tag, ())):
+                places = self.at.get(t, ())
+                k = bisect_right(places, self.scopes[-1])
+                ended += places[k : k + 1]
+            if ended:
+                self._close(min(ended))
+        node = len(self.tag)
+        self.tag.append(tag)
+        self.parent.append(self.open[-1])
+        hints, truth = 0, None
+        if attributes and not attributes.isspace():
+            values = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes)}
+            for w in re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", " ".join(v for k, v in values.items() if k in ("class", "id", "role", "itemprop", "aria-label"))).lower()):
+                hints |= HINT.get(w, 0)
+            truth = values.get("data-truth")
+        self.hints.append(hints)
+        self.truth.append(truth)
+        if tag == "br":
+            self.runs.append((self.open[-1], " "))
+        if tag not in VOID and not attributes.rstrip().endswith("/"):
+            if tag in SCOPES:
+                self.scopes.append(len(self.open))
+            self.at.setdefault(tag, []).append(len(self.open))
+            self.open.append(node)
+            self.unseen += tag in UNSEEN
+
+
+def _tag_end(source: str, at: int, gone: set[str]) -> int:
+    """Place of the > that ends a tag, quoted ones left out; -1: none. A quote that nothing closes is a plain character: gone holds these."""
+    place = at
+    while m := QUOTE.search(source, place):
+        if m[0] == ">":
+            return m.start()
+        close = -1 if m[0] in gone else source.find(m[0], m.end())
+        if close < 0:
+            gone.add(m[0])
+        place = m.end() if close < 0 else close + 1
+    return source.find(">", at)
 
 
 def iter_tokens(source: str) -> Iterator[tuple]:
-    at = 0
-    while at < len(source):
-        m = TOKEN.search(source, at)
-        if not m:
-            yield "text", html.unescape(source[at:])
-            return
-        if m.start() > at:
-            yield "text", html.unescape(source[at : m.start()])
-        at = m.end()
-        if m[2]:
-            tag = m[2].lower()
-            yield "tag", bool(m[1]), tag, m[3] or ""
-            if not m[1] and tag in RAW and not (m[3] or "").rstrip().endswith("/"):
-                end = RAW[tag].search(source, at)
-                at = end.start() if end else len(source)
-
-
-def features(page: Page) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Matrix of features by element, elements' block (nearest block-level ancestor or self), own text lengths."""
-    n = len(page.tag)
-    parent = page.parent
-    depth, own, linked = np.zeros(n), np.zeros(n), np.zeros(n)
-    in_link, block = np.zeros(n, bool), np.arange(n)
-    index = {t: i for i, t in enumerate(TAGS)}
-    kind = np.array([index.get(t, len(TAGS)) for t in page.tag], float)
-    nth, kids, like = np.zeros(n), np.zeros(n), np.zeros(n)
-    seen: dict[tuple[int, str], int] = {}
-    hint, above = np.zeros((n, len(HINTS)), np.int8), np.zeros((n, len(HINTS)), np.int8)
-    tags_above = np.zeros((n, len(TAGS) + 1), np.int8)
-    for i in range(1, n):
-        p = parent[i]
-        depth[i] = depth[p] + 1
-        in_link[i] = in_link[p] or page.tag[i] == "a"
-        if page.tag[i] in INLINE:
-            block[i] = block[p]
-        nth[i] = kids[p]
-        kids[p] += 1
-        key = p, page.tag[i]
-        like[i] = seen[key] = seen.get(key, 0) + 1
-        tags_above[i] = tags_above[p]
-        tags_above[i, int(kind[p])] = 1
-        if page.hints[p] or p and above[p].any():
-            above[i] = above[p] | hint[p]
-        if page.hints[i]:
-            hint[i, list(page.hints[i])] = 1
-    words, stops = np.zeros(n), np.zeros(n)
-    for i, text in page.runs:
-        size = len(text.strip())
-        if size:
-            own[i] += size
-            words[i] += text.count(" ") + 1
-            stops[i] += text.count(".") + text.count(",")
-            if in_link[i]:
-                linked[i] += size
-    total, links, elements, marks = own.copy(), linked.copy(), np.ones(n), stops.copy()
-    for i in range(n - 1, 0, -1):
-        p = parent[i]
-        total[p] += total[i]
-        links[p] += links[i]
-        elements[p] += elements[i]
-        marks[p] += marks[i]
-    up = np.array(parent)
-    up[0] = 0
-    page_text = max(total[0], 1)
-    columns = [kind, kind[up], depth, nth, like, kids, kids[up], np.log1p(own), np.log1p(total), total / page_text, links / np.maximum(total, 1), np.log1p(total / elements), marks / np.maximum(total, 1) * 100, np.log1p(total[up]), links[up] / np.maximum(total[up], 1), np.log1p(total[up] / elements[up]), np.arange(n) / n]
-    return np.concatenate([np.stack(columns, 1), tags_above, hint, above], 1), block, total
+    """Texts and tags in page order. What begins like a tag but has no end is text, as is all after it."""
+    at = place = 0  # at: where the text that is not given out yet begins
+    gone: set[str] = set()
+    while (place := source.find("<", place)) >= 0:
+        begin, kind, tag = place, source[place + 1 : place + 2], None
+        if source.startswith("<!--", place):
+            end = source.find("-->", place + 4)
+            end = end + 3 if end >= 0 else len(source)
+        elif source.startswith("<![CDATA[", place):
+            end = source.find("]]>", place + 9)
+            end = end + 3 if end >= 0 else len(source)
+        elif kind in ("!", "?"):
+            end = source.find(">", place) + 1
+        elif name := NAME.match(source, place + 1 + (kind == "/")):
+            end, tag = _tag_end(source, name.end(), gone) + 1, name[0].lower()
+        else:
+            place += 1
+            continue
+        if not end:
+            break
+        if begin > at:
+            yield "text", html.unescape(source[at:begin])
+        at = place = end
+        if tag:
+            attributes = source[name.end() : end - 1]
+            yield "tag", kind == "/", tag, attributes
+            if kind != "/" and tag in RAW and not attributes.rstrip().endswith("/"):
+                found = RAW[tag].search(source, at)
+                at = place = found.start() if found else len(source)
+    if at < len(source):
+        yield "text", html.unescape(source[at:])
+
+
+def _bits(masks: list[int], width: int) -> np.ndarray:
+    """Rows of 0 and 1 from numbers of so many bits."""
+    size = -(-width // 8)
+    raw = np.frombuffer(b"".join([m.to_bytes(size, "little") for m in masks]), np.uint8).reshape(-1, size)
+    return np.unpackbits(raw, axis=1, count=width, bitorder="little")
+
+
+class Described:
+    """Features of a page's elements: numbers as columns, sets as bit masks; ``matrix`` lays out a range of rows."""
+
+    def __init__(self, page: Page):
+        n, parent = len(page.tag), page.parent
+        index = {t: i for i, t in enumerate(TAGS)}
+        kind = [index.get(t, len(TAGS)) for t in page.tag]
+        depth, in_link, block, nth, kids, like = [0] * n, [False] * n, list(range(n)), [0] * n, [0] * n, [0] * n
+        self.hint, self.above, self.tags_above = page.hints, [0] * n, [0] * n
+        seen: dict[tuple[int, str], int] = {}
+        for i in range(1, n):
+            p, tag = parent[i], page.tag[i]
+            depth[i] = depth[p] + 1
+            in_link[i] = in_link[p] or tag == "a"
+            if tag in INLINE:
+                block[i] = block[p]
+            nth[i] = kids[p]
+            kids[p] += 1
+            like[i] = seen[p, tag] = seen.get((p, tag), 0) + 1
+            self.tags_above[i] = self.tags_above[p] | 1 << kind[p]
+            self.above[i] = self.above[p] | self.hint[p]
+        own, linked, stops = [0] * n, [0] * n, [0] * n
+        for i, text in page.runs:
+            size = len(text.strip())
+            if size:
+                own[i] += size
+                stops[i] += text.count(".") + text.count(",")
+                if in_link[i]:
+                    linked[i] += size
+        total, links, elements, marks = own.copy(), linked, [1] * n, stops
+        for i in range(n - 1, 0, -1):
+            p = parent[i]
+            total[p] += total[i]
+            links[p] += links[i]
+            elements[p] += elements[i]
+            marks[p] += marks[i]
+        up = np.array(parent)
+        up[0] = 0
+        kind, depth, nth, like, kids, own, total, links, elements, marks = (np.array(x, float) for x in (kind, depth, nth, like, kids, own, total, links, elements, marks))
+        page_text, some = max(total[0], 1), np.maximum(total, 1)
+        self.columns = np.stack([kind, kind[up], depth, nth, like, kids, kids[up], np.log1p(own), np.log1p(total), total / page_text, links / some, np.log1p(total / elements), marks / some * 100, np.log1p(total[up]), links[up] / some[up], np.log1p(total[up] / elements[up]), np.arange(n) / n], 1).astype(np.float32)
+        self.block, self.total, self.own = block, total, own
+
+    def __len__(self) -> int:
+        return len(self.own)
+
+    def matrix(self, a: int = 0, b: int | None = None) -> np.ndarray:
+        sets = [_bits(m[a:b], w) for m, w in ((self.tags_above, len(TAGS) + 1), (self.hint, len(HINTS)), (self.above, len(HINTS)))]
+        return np.concatenate([self.columns[a:b], *sets], 1, dtype=np.float32)
 
 
 class Trees:
@@ -212,7 +264,9 @@ class Trees:
         return np.stack([np.searchsorted(e, c, "left") for e, c in zip(self.edges, x.T, strict=True)], 1)
 
     def scores(self, x: np.ndarray) -> np.ndarray:
-        b, rows = self.binned(x), np.arange(len(x))
+        b, rows = np.zeros(x.shape, np.uint8), np.arange(len(x))
+        for k in np.unique(np.concatenate(self.feature)):
+            b[:, k] = np.searchsorted(self.edges[k], x[:, k], "left")
         out = np.full(len(x), self.base)
         for feature, cut, value in zip(self.feature, self.cut, self.value, strict=True):
             node = np.zeros(len(x), np.int64)
@@ -267,9 +321,10 @@ def generated(n: int, seed: int = 3) -> Iterator[str]:
 
     def main() -> str:
         shape = r.choice(('article', 'article', 'main', 'div class="content"', 'div id="content"', 'div class="post-body entry"', 'section class="story text"', 'div class="article"', 'div'))
-        parts = [f"<h1>{words(r.randint(2, 8))}</h1>"] if r.random() < 0.8 else []
-        for _ in range(r.choice((1, 2, 4, 8, 16))):
-            parts.append(r.choice((f"<p>{paragraph()}</p>",) * 8 + (f"<p>{paragraph()}<br>{sentence()}</p>", f"<p><b>{paragraph()}<br>", f"<h2>{words(3)}</h2>", f"<blockquote>{paragraph()}</blockquote>", "<ul>" + "".join(f"<li>{sentence()}</li>" for _ in range(4)) + "</ul>", f'<p>{sentence()} <a href="/y">{words(2)}</a> {sentence()}</p>', f"<pre>{words(9)}</pre>", f"<div>{paragraph()}</div>")))
+        parts = [f"<h1>{words(r.randint(1, 8))}</h1>"] if r.random() < 0.8 else []
+        for _ in range(r.choice((1, 1, 2, 4, 8, 16))):
+            few = words(r.randint(1, 4)).capitalize() + "."
+            parts.append(r.choice((f"<p>{paragraph()}</p>",) * 7 + (f"<p>{few}</p>", f"<p><b>{few}<br>", f"<p>{paragraph()}<br>{sentence()}</p>", f"<p><b>{paragraph()}<br>", f"<h2>{words(3)}</h2>", f"<blockquote>{paragraph()}</blockquote>", "<ul>" + "".join(f"<li>{sentence()}</li>" for _ in range(4)) + "</ul>", f'<p>{sentence()} <a href="/y">{words(2)}</a> {sentence()}</p>', f"<pre>{words(9)}</pre>", f"<div>{paragraph()}</div>")))
         if r.random() < 0.25:
             parts.insert(r.randrange(len(parts) + 1), boiler())
         return f'<{shape} data-truth="1">{"".join(parts)}</{shape.split()[0]}>'
@@ -282,17 +337,19 @@ def generated(n: int, seed: int = 3) -> Iterator[str]:
         yield f"<html><head><title>{words(3)}</title><style>p{{}}</style></head><body>{body}<script>x('</p>')</script></body></html>"
 
 
+#: Elements that are scored at once.
+SCORED = 1 << 14
 #: Generated pages that the trees are trained on.
-TRAINING_PAGES = 400
+TRAINING_PAGES = 600
 #: What a choice by child costs against one for the whole subtree.
-SPLIT_COST = 0.5
+SPLIT_COST = 4.0
 
 
 def train(pages: int = TRAINING_PAGES) -> Trees:
     xs, ys = [], []
     for source in generated(pages):
         page = Page(source)
-        x, _, total = features(page)
+        d = Described(page)
         truth = list(page.truth)
         mixed = [False] * len(truth)
         for i in range(1, len(truth)):
@@ -300,35 +357,32 @@ def train(pages: int = TRAINING_PAGES) -> Trees:
         for i in range(len(truth) - 1, 0, -1):
             p = page.parent[i]
             mixed[p] = mixed[p] or mixed[i] or truth[i] != truth[p]
-        ok = [i for i in range(1, len(truth)) if truth[i] is not None and total[i] > 0 and not mixed[i]]
-        xs.append(x[ok].astype(np.float32))
+        ok = [i for i in range(1, len(truth)) if truth[i] is not None and d.total[i] > 0 and not mixed[i]]
+        xs.append(d.matrix()[ok])
         ys.append(np.array([truth[i] == "1" for i in ok], float))
     return Trees().fit(np.concatenate(xs), np.concatenate(ys))
 
 
 def decoded(page: Page, odds: np.ndarray, total: np.ndarray, own: np.ndarray) -> np.ndarray:
     """Which elements' own text is kept: the best choice of all, none or by child, for every subtree at once."""
-    n = len(page.tag)
-    weight = np.log1p(total)
+    n, parent = len(page.tag), page.parent
     everything = np.where(total > 0, odds * np.log1p(own), 0.0)
-    whole = np.where(total > 0, odds, 0.0) + everything
-    split = np.where(own > 0, np.abs(everything), 0.0) - SPLIT_COST
-    best = np.zeros(n)
-    for i in range(n - 1, -1, -1):
-        best[i] = max(whole[i], -whole[i], split[i]) if total[i] > 0 else 0.0
-        if i:
-            p = page.parent[i]
-            whole[p] += whole[i]
-            split[p] += best[i]
+    whole = (np.where(total > 0, odds, 0.0) + everything).tolist()
+    split = (np.where(own > 0, np.abs(everything), 0.0) - SPLIT_COST).tolist()
+    filled, own_odds = (total > 0).tolist(), odds.tolist()
+    for i in range(n - 1, 0, -1):
+        if filled[i]:
+            whole[parent[i]] += whole[i]
+            split[parent[i]] += max(abs(whole[i]), split[i])
     keep = np.zeros(n, bool)
-    state = np.zeros(n, np.int8)  # 0 by child, 1 all, 2 none: settled above
+    state = [0] * n  # 0 by child, 1 all, 2 none: settled above
     for i in range(n):
-        s = state[page.parent[i]] if i else 0
-        if not s and total[i] > 0:
+        s = state[parent[i]] if i else 0
+        if not s and filled[i]:
             s = 0 if split[i] > abs(whole[i]) else (1 if whole[i] > 0 else 2)
         state[i] = s
-        keep[i] = s == 1 or s == 0 and odds[i] > 0
-    return keep & (weight >= 0)
+        keep[i] = s == 1 or s == 0 and own_odds[i] > 0
+    return keep
 
 
 def text_of(page: Page, keep: np.ndarray, block: np.ndarray) -> str:
@@ -345,25 +399,41 @@ def text_of(page: Page, keep: np.ndarray, block: np.ndarray) -> str:
     return "\n".join(s for s in (SPACE.sub(" ", x).strip() for x in lines) if s)
 
 
+def _texts(sources: list[str], trees: Trees) -> Iterator[str]:
+    """Main texts. So many pages at once as have SCORED elements, and of a longer one so many rows."""
+    def flush(waiting: list[tuple[Page, Described]]) -> Iterator[str]:
+        d = [x for _, x in waiting]
+        if len(d) == 1:
+            odds = np.concatenate([trees.scores(d[0].matrix(a, a + SCORED)) for a in range(0, len(d[0]), SCORED)])
+        else:
+            odds = trees.scores(np.concatenate([x.matrix() for x in d]))
+        start = 0
+        for page, x in waiting:
+            keep = decoded(page, odds[start : start + len(x)], x.total, x.own)
+            start += len(x)
+            yield text_of(page, keep, x.block)
+
+    waiting, size = [], 0
+    for source in sources:
+        page = Page(source)
+        if waiting and size + len(page.tag) > SCORED:
+            yield from flush(waiting)
+            waiting, size = [], 0
+        waiting.append((page, Described(page)))
+        size += len(page.tag)
+    if waiting:
+        yield from flush(waiting)
+
+
 def extracted(pages: DataFrame, trees: Trees | None = None) -> DataFrame:
     """One row per page: page_id, url, text, n_chars, n_blocks."""
     trees = trees or train()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, len(batch), 64):
-                part = batch.slice(at, 64)
-                parsed = [Page(s or "") for s in part.column("html").to_pylist()]
-                made = [features(p) for p in parsed]
-                odds = trees.scores(np.concatenate([m[0] for m in made]).astype(np.float32))
-                texts, start = [], 0
-                for page, (x, block, total) in zip(parsed, made, strict=True):
-                    own = np.zeros(len(x))
-                    for i, t in page.runs:
-                        own[i] += len(t.strip())
-                    keep = decoded(page, odds[start : start + len(x)], total, own)
-                    start += len(x)
-                    texts.append(text_of(page, keep, block))
+            for at in range(0, len(batch), 256):
+                part = batch.slice(at, 256)
+                texts = list(_texts([s or "" for s in part.column("html").to_pylist()], trees))
                 yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array([t.count("\n") + 1 if t else 0 for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars", "n_blocks"])
 
     slim = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html")
