@@ -2,13 +2,14 @@
 
 Targets: sources in code-point order (null last) weigh 5, 2, 1, 5, 2, 1, ... and share the words of all documents; no target goes
 over ``max_epochs`` times its source, what is cut off goes to the others by weight. The schedule: slot i of the mixture belongs
-to the source in whose share of [0, 1) the i-th golden-ratio point falls, and a slot's rank among its source's slots names the
-block it takes. Blocks: each source's documents stand in a shuffled (hashed) order, end to end and round again; every
-slot of a source takes an equal number of its words. A document's ``taken`` is what the target of its source takes of that order,
-whatever the slots; the schedule only names the slot of the block with a document's first word (``first_slot`` of ``mixed``).
+to the source in whose share of [0, 1) the i-th golden-ratio point falls; a slot's rank among its source's slots names the block it
+takes, and all blocks have equally many words. A source whose blocks are used up passes its later slots; blocks that the golden
+points left over (a few of each source, by their discrepancy) come after them. Blocks: each source's documents stand in a shuffled
+(hashed) order, end to end and round again. What the mixture takes of a document is its overlap with the blocks that its source's
+slots name, and its place is the slot of the block where it begins.
 
 Everything is DataFrame code. Running sums are made in two steps (within a bucket of a source, then over the buckets' totals),
-so that a source with a third of all rows is spread over all tasks.
+and buckets hold about equally many rows, so that a source with a third of all rows is spread over all tasks.
 
 Defined cases: a null or empty text has size 0 and nothing is taken of it; a null source is a source of its own, after
 all others; without any word all targets are 0; repeated rows are documents of their own; ties in the shuffled order are between
@@ -26,11 +27,10 @@ from tidewater.llm.common import fresh, words, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3
-#: Words of a slot, about; a slot fewer per source at least than SLOTS_PER_SOURCE never occurs for small inputs.
-SLOT_WORDS = 2048
-SLOTS_PER_SOURCE = 64
-#: Buckets of a source in running sums; chunks of the schedule in ranks; cells of [0, 1) in the lookup of points.
-BUCKETS = 256
+#: Words of a block, at most; blocks, at least (fewer only of so few words that each block is one word).
+SLOT_WORDS, LEAST_SLOTS = 2048, 1 << 16
+#: Rows of a bucket in running sums, about, and buckets of a source, at least; slots of a chunk in ranks.
+BUCKET_ROWS, LEAST_BUCKETS, CHUNK = 1 << 16, 64, 1 << 14
 SEED = 20
 
 
@@ -76,79 +76,89 @@ def golden(i: Column) -> Column:
 
 
 def schedule(sources: DataFrame, n_slots: int) -> DataFrame:
-    """One row per slot: slot, sid, rank (0, 1, ... within the source)."""
+    """One row per slot: slot, sid, rank (0, 1, ... within the source). sources: sid, low, high, blocks (how many the source needs)."""
     cells = max(1, min(4096, n_slots // 64))
     cell = lambda x: F.least(F.floor(x * cells), F.lit(cells - 1)).cast("long")
-    spans = sources.where("target > 0").select("sid", "low", "high", F.explode(F.sequence(cell(F.col("low")), cell(F.col("high")))).alias("cell"))
+    spans = sources.where("blocks > 0").select("sid", "low", "high", "blocks", F.explode(F.sequence(cell(F.col("low")), cell(F.col("high")))).alias("cell"))
     slots = sources.sparkSession.range(n_slots).select(F.col("id").alias("slot"), golden(F.col("id") + 1).alias("u"))
     slots = slots.withColumn("cell", cell(F.col("u")))
     found = slots.join(spans, "cell").where("low <= u and u < high")
-    chunk = max(1, n_slots // BUCKETS)
-    found = found.select("slot", "sid", F.floor(F.col("slot") / chunk).alias("chunk"))
+    found = found.select("slot", "sid", "blocks", F.floor(F.col("slot") / CHUNK).alias("chunk"))
     local = found.withColumn("r", F.row_number().over(Window.partitionBy("sid", "chunk").orderBy("slot")) - 1)
     counts = found.groupBy("sid", "chunk").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("sid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select("sid", "chunk", F.coalesce(before, F.lit(0)).alias("o"))
-    return local.join(offsets, ["sid", "chunk"]).select("slot", "sid", (F.col("o") + F.col("r")).alias("rank"))
-
-
-def _plan(docs: DataFrame, text: str, source: str, key: str, carry: list[Column], weights: tuple[float, ...], max_epochs: int, first_slot: bool = True) -> tuple[DataFrame, dict[str, str]]:
-    """One row per document: what is carried, and under the given names its size, its source's figures, taken and first slot."""
-    names = {k: fresh(docs, f"_mix_{k}") for k in ("size", "none", "source", "order", "bucket", "inside", "offset", "start", "taken", "source_size", "target", "first", "block")}
+    drawn = local.join(offsets, ["sid", "chunk"]).withColumn("rank", F.col("o") + F.col("r")).where("rank < blocks").select("slot", "sid", "rank")
+    # What the points left over: so few of each source that they are listed from its counts.
+    have = sources.join(counts.groupBy("sid").agg(F.sum("n").alias("have")), "sid", "left").select("sid", "blocks", F.coalesce("have", F.lit(0)).alias("have"))
+    missing = have.withColumn("n", F.greatest(F.col("blocks") - F.col("have"), F.lit(0)))
+    missing = missing.withColumn("first", F.lit(n_slots) + F.coalesce(F.sum("n").over(Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    rest = missing.where("n > 0").select("sid", "have", "first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("k"))
+    return drawn.unionByName(rest.select((F.col("first") + F.col("k")).alias("slot"), "sid", (F.col("have") + F.col("k")).alias("rank")))
+
+
+def _plan(docs: DataFrame, text: str, source: str, key: str, carry: list[Column], weights: tuple[float, ...], max_epochs: int) -> tuple[DataFrame, dict[str, str], DataFrame]:
+    """One row per document: what is carried, and under the given names its size, its source's figures, where it begins and what is taken; and the slots."""
+    names = {k: fresh(docs, f"_mix_{k}") for k in ("size", "none", "source", "order", "bucket", "inside", "offset", "start", "taken", "source_size", "target", "first", "block", "sid", "round")}
     n = {k: F.col(v) for k, v in names.items()}
-    # Hashed with the text too: repeated doc_ids don't stand together.
-    df = docs.select(
-        *carry,
-        F.size(words(F.col(text))).cast("long").alias(names["size"]),
-        F.col(source).isNull().alias(names["none"]),
-        F.coalesce(F.col(source), F.lit("")).alias(names["source"]),
-        F.xxhash64(F.lit(SEED), F.col(key), F.octet_length(text)).alias(names["order"]),
-    )
-    df = df.withColumn(names["bucket"], F.pmod(n["order"], F.lit(BUCKETS)).cast("int"))
+    n_buckets = max(LEAST_BUCKETS, -(-docs.count() // BUCKET_ROWS))
+    # Hashed with the text's length too: repeated doc_ids don't stand together.
+    order = F.xxhash64(F.lit(SEED), F.col(key), F.octet_length(text))
+    own = {names["size"]: F.size(words(F.col(text))).cast("long"), names["none"]: F.col(source).isNull(), names["source"]: F.coalesce(F.col(source), F.lit("")), names["order"]: order}
+    bucket = F.pmod(n["order"], F.lit(n_buckets)).cast("int")
     group = [names["none"], names["source"], names["bucket"]]
-    thin = docs.select(F.size(words(F.col(text))).cast("long").alias("size"), *[c.alias(x) for c, x in (
-        (F.col(source).isNull(), names["none"]), (F.coalesce(F.col(source), F.lit("")), names["source"]),
-        (F.pmod(F.xxhash64(F.lit(SEED), F.col(key), F.octet_length(text)), F.lit(BUCKETS)).cast("int"), names["bucket"]))])
-    buckets = written(thin.groupBy(*group).agg(F.sum("size").alias("n")), "mix-buckets")
+    thin = docs.select(*[c.alias(k) for k, c in own.items()]).withColumn(names["bucket"], bucket)
+    buckets = written(thin.groupBy(*group).agg(F.sum(n["size"]).alias("n")), "mix-buckets")
     sizes = buckets.groupBy(F.col(names["none"]).alias("no_source"), F.col(names["source"]).alias("source")).agg(F.sum("n").cast("long").alias("source_size"))
     sources = written(targets(sizes, weights, max_epochs), "mix-sources")
-    all_words, count = sources.agg(F.sum("to_take"), F.count("*")).first()
-    n_slots = max(-(-int(all_words or 0) // SLOT_WORDS), SLOTS_PER_SOURCE * count)
-    slots = written(schedule(sources, n_slots), "mix-slots") if count else None
-    per_source = slots.groupBy("sid").agg(F.count("*").alias("slots")) if count else None
-    figures = sources.join(per_source, "sid", "left").withColumn("slots", F.greatest(F.coalesce("slots", F.lit(0)), F.lit(1))) if count else sources.withColumn("slots", F.lit(1).cast("long"))
+    all_words = int(sources.agg(F.sum("to_take")).first()[0] or 0)
+    block_words = max(1, min(SLOT_WORDS, all_words // LEAST_SLOTS))
+    sources = sources.withColumn("blocks", F.ceil(F.col("to_take") / block_words).cast("long"))
+    slots = written(schedule(sources, max(1, -(-all_words // block_words))), "mix-slots")
+    # The blocks that a source's slots name follow each other from the first one on.
+    given = slots.groupBy("sid").agg(F.count("*").alias("slots"))
+    figures = sources.join(given, "sid", "left").select(
+        F.col("no_source").alias(names["none"]), F.col("source").alias(names["source"]), F.col("source_size").alias(names["source_size"]), F.col("target").alias(names["target"]),
+        F.struct("sid", F.least("to_take", F.coalesce("slots", F.lit(0)) * block_words).alias("words"), F.lit(block_words).cast("long").alias("each")).alias(names["block"]))
     before = F.sum("n").over(Window.partitionBy(names["none"], names["source"]).orderBy(names["bucket"]).rowsBetween(Window.unboundedPreceding, -1))
-    offsets = buckets.withColumn(names["offset"], F.coalesce(before, F.lit(0)).cast("long"))
-    figures = figures.select(F.col("no_source").alias(names["none"]), F.col("source").alias(names["source"]), "sid", "slots", "to_take", F.col("source_size").alias(names["source_size"]), F.col("target").alias(names["target"]), "low")
-    offsets = offsets.join(figures, [names["none"], names["source"]]).select(*group, names["offset"], names["source_size"], names["target"], F.struct("sid", "slots", "to_take", "low").alias(names["block"]))
+    offsets = buckets.withColumn(names["offset"], F.coalesce(before, F.lit(0)).cast("long")).join(figures, group[:2]).drop("n")
+    df = docs.select(*carry, *[c.alias(k) for k, c in own.items()]).withColumn(names["bucket"], bucket)
     inside = F.sum(n["size"]).over(Window.partitionBy(*group).orderBy(names["order"], key, names["size"]).rowsBetween(Window.unboundedPreceding, -1))
-    df = df.withColumn(names["inside"], F.coalesce(inside, F.lit(0)).cast("long")).join(offsets, group)
-    start, b = n["offset"] + n["inside"], n["block"]
-    whole = F.floor(b["to_take"] / F.greatest(n["source_size"], F.lit(1))).cast("long")
-    part = b["to_take"] - whole * n["source_size"]
+    df = df.withColumn(names["inside"], F.coalesce(inside, F.lit(0)).cast("long")).join(offsets, group).withColumn(names["start"], n["offset"] + n["inside"])
+    start, b = n["start"], n["block"]
+    whole = F.floor(b["words"] / F.greatest(n["source_size"], F.lit(1))).cast("long")
+    part = b["words"] - whole * n["source_size"]
     taken = n["size"] * whole + F.greatest(F.least(start + n["size"], part) - start, F.lit(0))
-    df = df.withColumn(names["taken"], taken.cast("long"))
-    # The block that holds the document's first word, and that block's slot.
-    rank = F.floor(start.cast("double") * b["slots"] / F.greatest(b["to_take"], F.lit(1))).cast("long")
-    df = df.withColumn(names["start"], F.when(n["taken"] > 0, F.least(rank, b["slots"] - 1)))
-    # Rows that carry whole texts are not shuffled once more for a figure that nothing reads.
-    if count and first_slot:
-        at = slots.select(F.col("sid").alias(names["first"] + "s"), F.col("rank").alias(names["first"] + "r"), F.col("slot").alias(names["first"]))
-        df = df.join(at, (b["sid"] == F.col(names["first"] + "s")) & (n["start"] == F.col(names["first"] + "r")), "left")
-    else:
-        df = df.withColumn(names["first"], F.lit(None).cast("long"))
-    return df, names
+    return df.withColumn(names["taken"], taken.cast("long")), names, slots
+
+
+def _with_slot(df: DataFrame, slots: DataFrame, place: Column, n: dict[str, str]) -> DataFrame:
+    """df with the slot of the block that holds a word of its source's order; null if no slot names that block."""
+    b = F.col(n["block"])
+    at = slots.select(F.col("sid").alias(n["sid"]), F.col("rank").alias(n["round"]), F.col("slot").alias(n["first"]))
+    rank = F.when(place < b["words"], F.floor(place / b["each"]).cast("long"))
+    return df.join(at, (b["sid"] == F.col(n["sid"])) & (rank == F.col(n["round"])), "left")
 
 
 def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken, and first_slot, where the mixture first shows it (null: never, or its source won no slot)."""
-    df, n = _plan(docs, "text", "source", "doc_id", [F.col("doc_id")], weights, max_epochs)
+    """One row per document: doc_id, size, source_size, target, taken, and first_slot, the slot where the mixture first shows it (null: never)."""
+    df, n, slots = _plan(docs, "text", "source", "doc_id", [F.col("doc_id")], weights, max_epochs)
+    df = _with_slot(df, slots, F.when(F.col(n["taken"]) > 0, F.col(n["start"])), n)
     return df.select("doc_id", F.col(n["size"]).alias("size"), F.col(n["source_size"]).alias("source_size"), F.col(n["target"]).alias("target"), F.col(n["taken"]).alias("taken"), F.col(n["first"]).alias("first_slot"))
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """The mixture itself: each document as often as it is taken (rounded to whole documents), with its own columns."""
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, slot: str | None = None) -> DataFrame:
+    """The mixture itself: each document as often as its source's slots take it (rounded to whole documents), with its own columns.
+
+    slot: name of one more column, the slot where a copy begins; sorted by it, the rows are the mixture in the schedule's order. A last copy that
+    begins after its source's last block has the slot null.
+    """
     own = [F.col(f"`{c}`") for c in docs.columns]
-    df, n = _plan(docs, "text", "source", "doc_id", own, weights, max_epochs, first_slot=False)
+    df, n, slots = _plan(docs, "text", "source", "doc_id", own, weights, max_epochs)
     copies = F.round(F.col(n["taken"]) / F.greatest(F.col(n["size"]), F.lit(1))).cast("int")
-    return df.withColumn(n["block"], F.explode(F.array_repeat(F.lit(1), copies))).select(*own)
+    df = df.withColumn(n["inside"], F.explode(F.filter(F.sequence(F.lit(0), F.lit(max_epochs)), lambda k: k < copies)))
+    if slot is None:
+        # Rows that carry whole texts are not shuffled once more for a figure that nothing reads.
+        return df.select(*own)
+    df = _with_slot(df, slots, F.col(n["start"]) + F.col(n["inside"]) * F.col(n["source_size"]), n)
+    return df.select(*own, F.col(n["first"]).alias(slot))
