@@ -205,16 +205,91 @@ def test_mixture(spark, docs):
     assert mixing.mix(odd(spark)).columns == odd(spark).columns
 
 
+SOURCES = "sid long, low double, high double, blocks long"
+
+
 def test_schedule_is_even(spark):
-    sources = spark.createDataFrame([(0, 0.0, 0.5, 5.0), (1, 0.5, 0.9, 4.0), (2, 0.9, 2.0, 1.0)], "sid long, low double, high double, target double")
+    sources = spark.createDataFrame([(0, 0.0, 0.5, 9000), (1, 0.5, 0.9, 9000), (2, 0.9, 2.0, 9000)], SOURCES)
     got = sorted(mixing.schedule(sources, 5000).collect())
-    assert [r.slot for r in got] == list(range(5000))
+    assert [r.slot for r in got] == list(range(27_000))
     share, ranks, seen = (0.5, 0.4, 0.1), Counter(), Counter()
     for i, r in enumerate(got):
         assert r["rank"] == ranks[r.sid]
         ranks[r.sid] += 1
         seen[r.sid] += 1
-        assert all(abs(seen[s] - (i + 1) * share[s]) < 8 for s in range(3))
+        assert i >= 5000 or all(abs(seen[s] - (i + 1) * share[s]) < 8 for s in range(3))
+
+
+def test_schedule_passes_slots_of_used_up_sources(spark):
+    sources = spark.createDataFrame([(0, 0.0, 0.5, 40), (1, 0.5, 0.5, 3), (2, 0.5, 2.0, 60), (3, 2.0, 2.0, 0)], SOURCES)
+    got = sorted(mixing.schedule(sources, 100).collect())
+    phi = (math.sqrt(5) - 1) / 2
+    points = [(i + 1) * phi % 1 for i in range(100)]
+    want, n = [], Counter()
+    for i, u in enumerate(points):
+        sid = 0 if u < 0.5 else 2
+        if n[sid] < {0: 40, 2: 60}[sid]:
+            want.append((i, sid, n[sid]))
+            n[sid] += 1
+    late = [(sid, k) for sid, blocks in ((0, 40), (1, 3), (2, 60)) for k in range(n[sid], blocks)]
+    want += [(100 + i, sid, k) for i, (sid, k) in enumerate(late)]
+    assert [(r.slot, r.sid, r["rank"]) for r in got] == want
+
+
+def mixture_rows(n=400):
+    return [(i % 390, " ".join(["w"] * (i * 7 % 50)), None, None if i % 11 == 0 else f"s{min(i % 7, 4)}" if i < n - 3 else "tiny", 0, "", 0) for i in range(n)]
+
+
+def test_taken_is_what_the_slots_name(spark, monkeypatch):
+    frame = spark.createDataFrame(mixture_rows(), DOCS)
+    made = []
+    real = mixing.schedule
+    monkeypatch.setattr(mixing, "schedule", lambda *a: made.append(real(*a)) or made[-1])
+    monkeypatch.setattr(mixing, "LEAST_SLOTS", 300)
+    got = mixing.mixed(frame).collect()
+    slots = made[0].collect()
+    rows = frame.select("doc_id", "source", F.size(common.words(F.col("text"))).alias("n"), F.xxhash64(F.lit(mixing.SEED), "doc_id", F.octet_length("text")).alias("o")).collect()
+    sizes = Counter()
+    for r in rows:
+        sizes[r.source] += r.n
+    want = brute_targets(dict(sizes))
+    each = max(1, sum(min(round(want[s]), 3 * sizes[s]) for s in want) // 300)
+    expected = Counter()
+    for sid, s in enumerate(sorted(sizes, key=lambda s: (s is None, s or ""))):
+        blocks = {r["rank"]: r.slot for r in slots if r.sid == sid}
+        assert sorted(blocks) == list(range(len(blocks)))
+        at = 0
+        for r in sorted((r for r in rows if r.source == s), key=lambda r: (r.o % mixing.LEAST_BUCKETS, r.o, r.doc_id, r.n)):
+            taken = 0
+            for k in range(3):
+                for w in range(at + k * sizes[s], at + k * sizes[s] + r.n):
+                    taken += w // each in blocks and w < round(want[s])
+            expected[r.doc_id, r.n, taken, blocks[at // each] if taken else None] += 1
+            at += r.n
+    assert Counter((r.doc_id, r["size"], r.taken, r.first_slot) for r in got) == expected
+
+
+def test_a_broken_schedule_changes_the_mixture(spark, monkeypatch):
+    frame = spark.createDataFrame(mixture_rows(), DOCS)
+    right = Counter((r.doc_id, r.taken) for r in mixing.mixed(frame).collect())
+    copies = mixing.mix(frame).count()
+    real = mixing.schedule
+    monkeypatch.setattr(mixing, "schedule", lambda *a: real(*a).where("sid = 0"))
+    broken = mixing.mixed(frame).collect()
+    assert Counter((r.doc_id, r.taken) for r in broken) != right and sum(r.taken > 0 for r in broken) < 100
+    assert mixing.mix(frame).count() < copies
+
+
+def test_mixture_in_the_order_of_the_schedule(spark):
+    frame = spark.createDataFrame(mixture_rows(), DOCS)
+    got = mixing.mix(frame, slot="at").collect()
+    assert Counter(r.doc_id for r in got) == Counter(r.doc_id for r in mixing.mix(frame).collect())
+    first = {}
+    for r in mixing.mixed(frame).where("first_slot is not null").collect():
+        first.setdefault((r.doc_id, r["size"]), []).append(r.first_slot)
+    for r in got:
+        key = r.doc_id, len(words(r.text))
+        assert r["at"] is None or r["at"] >= min(first[key])
 
 
 # 4
@@ -430,6 +505,18 @@ def test_components(spark):
     assert got == {x: find(x) for e in edges if e[0] != e[1] for x in e}
 
 
+def test_components_of_chains_take_few_rounds(spark, monkeypatch):
+    from tidewater.llm import graph
+
+    made = []
+    monkeypatch.setattr(graph, "written", lambda df, name: made.append(name) or common.written(df, name))
+    edges = [(i, i + 1) for i in range(1000)] + [(5000, i) for i in range(5001, 5050)]
+    got = {x.id: x.component for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(1001)} | {i: 5000 for i in range(5000, 5050)}
+    assert made.count("cc-step") < 15
+    assert components(spark.createDataFrame([(1, 1)], "a long, b long")).count() == 0
+
+
 # 7
 
 
@@ -530,13 +617,14 @@ def test_mined_rules_are_sure_and_supported(spark):
 
 @pytest.fixture(scope="module")
 def trees():
-    return domtrees.train(250)
+    return domtrees.train()
 
 
-def test_pages(spark, trees):
+@pytest.mark.parametrize("sf", ["0.001", "0.01", "0.1"])
+def test_pages(spark, trees, sf):
     import html as h
 
-    pages = common.table(spark, SF, "pages")
+    pages = common.table(spark, f"/root/testdata/sf{sf}", "pages")
     source = {r.page_id: r.html for r in pages.collect()}
     for r in domtrees.extracted(pages, trees).collect():
         inner = re.search(r"<article>(.*?)</article>", source[r.page_id], re.S)[1]
@@ -549,20 +637,46 @@ def test_generated_pages_held_out(trees):
     wrong = total = 0
     for source in domtrees.generated(80, seed=99):
         page = domtrees.Page(source)
-        x, _, size = domtrees.features(page)
-        own = np.zeros(len(x))
-        for i, t in page.runs:
-            own[i] += len(t.strip())
-        keep = domtrees.decoded(page, trees.scores(x.astype(np.float32)), size, own)
+        d = domtrees.Described(page)
+        keep = domtrees.decoded(page, trees.scores(d.matrix()), d.total, d.own)
         truth = list(page.truth)
         for i in range(1, len(truth)):
             truth[i] = truth[i] if truth[i] is not None else truth[page.parent[i]]
-            if own[i] > 0 and truth[i] is not None:
+            if d.own[i] > 0 and truth[i] is not None:
                 total += 1
                 wrong += keep[i] != (truth[i] == "1")
     assert wrong / total < 0.03
 
 
+def test_scores_do_not_depend_on_slices(trees, monkeypatch):
+    sources = list(domtrees.generated(12, seed=5))
+    whole = list(domtrees._texts(sources, trees))
+    monkeypatch.setattr(domtrees, "SCORED", 7)
+    assert list(domtrees._texts(sources, trees)) == whole
+
+
+def test_tokens_of_broken_pages():
+    def of(source):
+        return list(domtrees.iter_tokens(source))
+
+    assert of("a < b <3 </ c") == [("text", "a < b <3 </ c")]
+    assert of('x<a href="p>q">y</A >') == [("text", "x"), ("tag", False, "a", ' href="p>q"'), ("text", "y"), ("tag", True, "a", " ")]
+    assert of("<b title='x>y") == [("tag", False, "b", " title='x"), ("text", "y")]
+    assert of("<!-- <p> -->t<!doctype html><![CDATA[<p>]]>&lt;<p") == [("text", "t"), ("text", "<<p")]
+    assert of("<script>a<b></script>c") == [("tag", False, "script", ""), ("tag", True, "script", ""), ("text", "c")]
+    page = domtrees.Page("<ul><li>a<ul><li>b</ul><li>c</ul><p>d<div>e</p>f</div><table><tr><td>g<tr><td>h")
+    assert [(page.tag[i], t) for i, t in page.runs] == [("li", "a"), ("li", "b"), ("li", "c"), ("p", "d"), ("div", "e"), ("div", "f"), ("td", "g"), ("td", "h")]
+
+
+@pytest.mark.parametrize("source", ["<a " * 350_000, "<div>" * 100_000 + "</p>" * 100_000, "<x>" * 100_000 + "</y>" * 100_000, "<ul>" + "<x>" * 50_000 + "<li>" * 50_000, '<a "' * 100_001 + ">", "<" * 1_000_000])
+def test_pages_are_read_in_linear_time(source):
+    import time
+
+    began = time.process_time()
+    domtrees.Page(source)
+    assert time.process_time() - began < 8  # quadratic scans take minutes
+
+
 def test_odd_pages(spark, trees):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<"), (4, "u", "<div><p>a<p>b</span></div></div><!-- x"), (5, "u", "<script>" + "x" * 1000), (6, "u", "<div>" * 400 + "t"), (6, "u", "&amp;&nbsp;&#x41;")]
     got = domtrees.extracted(spark.createDataFrame(rows, "page_id long, url string, html string"), trees).collect()
