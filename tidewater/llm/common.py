@@ -13,9 +13,11 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: ``spark.checkpoint.dir``; only where that is unset, a new one of our own."""
+    """Folder that driver and executors share: ``spark.checkpoint.dir``; where that is unset and all runs on this machine, a new one of our own."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.conf.get("spark.master", "local").startswith("local") or spark.conf.get("spark.master", "local").startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='tidewater-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

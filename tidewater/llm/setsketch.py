@@ -344,7 +344,9 @@ def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFram
     pairs = inside.select("id", F.explode(F.array(*[f"h{k}" for k in range(HUBS)])).alias("hub")).where("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
     few = narrowed(reps.select("doc_id", "n_shingles", "sketch"), "doc_id", inside.select("id"))
     waiting = written(estimated(pairs, few, threshold).select("a", "b"), "near-close")
-    tested = written(compared(waiting, exact_sets(docs, waiting.select("a").union(waiting.select("b")), size), percent), "near-compared")
+    # Written, not only shuffled: the joins then read plain rows on both sides, and Spark splits the partitions of hot hubs.
+    sets = written(exact_sets(docs, waiting.select("a").union(waiting.select("b")), size), "near-sets")
+    tested = written(compared(waiting, sets, percent), "near-compared")
     edges = tested.where("linked").select("a", "b")
     labels = components(edges)
     waiting = written(_across(inside.where("members > 2"), labels, reps, tested, threshold), "near-waiting")

@@ -24,7 +24,8 @@ def mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
 def _powers(n: int, base: int, kept: dict = {}) -> np.ndarray:  # noqa: B006
     """base^0 ... base^n modulo 2^64; kept between calls."""
     if base not in kept or len(kept[base]) <= n:
-        steps = np.full(max(n + 1, SLICE_BYTES + 1), base, np.uint64)
+        # Short texts, such as those at the driver, need no table for a whole slice.
+        steps = np.full(1 << 16 if n < 1 << 16 else max(n, SLICE_BYTES) + 1, base, np.uint64)
         steps[0] = 1
         kept[base] = np.cumprod(steps)
     return kept[base]
