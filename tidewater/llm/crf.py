@@ -6,30 +6,32 @@ its emission features are the word, prefixes, suffixes and both neighbours, its
 likelihood (forward-backward gradients, Adam). Forward-backward marginals of a text's tokens give toxic spans; the sum and the
 maximum of the marginals give the document's score by logistic regression.
 
-The training sample is bounded by SAMPLE documents of each label; scoring maps over all documents and whole texts. Chains are
+The training sample is bounded by SAMPLE documents and SAMPLE_BYTES of text of each label; one task trains on it, so neither texts nor
+features come to the driver. Scoring maps over all documents and whole texts. Chains are
 cut into windows of WINDOW tokens with OVERLAP more tokens on each side, whose marginals are not used: the field forgets its start
 geometrically, so this changes marginals by less than a float's rounding.
 
 Defined cases: null and empty texts have no token and get the score of zero marginals; without labels of both kinds the score is the
-share of toxic ones (0 without any); labels of unknown documents are not used; a document labelled twice counts twice; repeated
-rows are scored one by one; columns besides doc_id and text are never read.
+share of toxic ones (0 without any); labels of unknown documents are not used; of a document that stands or is labelled several times
+the sample has one row for each label; a longer text than SAMPLE_BYTES ends its label's sample; repeated rows are scored one by one; columns besides doc_id and text are never read.
 """
 
 from __future__ import annotations
 
-import math
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.llm.common import written
 from tidewater.llm.tokens import _BASE, _INVERSE, _powers, mixed, slices
 
-#: At most so many training documents with label 0 and 1.
-SAMPLE = (4000, 2000)
-#: Chains with and without toxic tokens in training, about.
+#: At most so many training documents with label 0 and 1, and bytes of text of each.
+SAMPLE, SAMPLE_BYTES = (4000, 2000), 48 << 20
+#: Chains (windows of 24 tokens and 4 more on each side) with and without toxic tokens that the weights are learned from, about.
 CHAINS = 4000
 ROW_BITS = 13
 PREFIXES, SUFFIXES = (4, 5, 6, 7, 8), (4, 5, 6)
@@ -179,13 +181,13 @@ def _summary(m: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return np.stack([np.ones(n), np.log1p(total), top, np.log1p(1000 * total / np.maximum(count, 100))], 1)
 
 
-def train(texts: list[str], toxic: np.ndarray, clean_weight: float) -> dict:
+def train(texts: list[str] | pa.ChunkedArray, toxic: np.ndarray, clean_weight: float) -> dict:
     """Weights, moves and the logistic regression of the document score; clean_weight: clean documents that one of the sample stands for, against toxic ones."""
     prior = float(toxic.mean()) if len(toxic) else 0.0
     if prior in (0.0, 1.0):
         return {"weights": Weights(np.zeros(0, np.uint64), np.zeros(0)), "move": np.zeros((2, 2)), "bias": -30.0, "score": None, "prior": prior}
     y_doc = toxic.astype(bool)
-    parts = list(slices(pa.array(texts, pa.large_string())))
+    parts = list(slices(texts if isinstance(texts, pa.ChunkedArray) else pa.array(texts, pa.large_string())))
     # First pass: features by the documents they occur in. The low bits of a feature's hash make room for the row.
     room, ids = np.uint64(1 << ROW_BITS), []
     for row, data, offsets in parts:
@@ -266,17 +268,47 @@ def _modulo(key: Column, n: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % n
 
 
-def tagged(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted, n_spans, spans (code-point start, end and marginal of each)."""
-    rows = labels.where((_modulo(F.col("doc_id"), 4) != 2) & F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    # Bounded by the sample sizes; ties in the order are between equal rows.
-    some = [rows.where(F.col("toxic") == y).orderBy(F.xxhash64(F.lit(9), "doc_id"), "doc_id").limit(sample[y]) for y in (0, 1)]
-    texts = docs.select("doc_id", "text").join(F.broadcast(some[0].union(some[1])), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic")
-    got = texts.orderBy("doc_id", "text", "toxic").collect()
-    toxic = np.array([r["toxic"] for r in got], int)
+def _sampled(docs: DataFrame, labels: DataFrame, sample: tuple[int, int], sample_bytes: int) -> tuple[DataFrame, list[int]]:
+    """(text, toxic) of the training documents, and how many labels there are of 0 and 1.
+
+    By the hash of their ids: of each label the first ``sample`` documents, as far as their texts have ``sample_bytes`` in all.
+    Repeated rows of one id and label are one document.
+    """
+    rows = labels.where((_modulo(F.col("doc_id"), 4) != 2) & F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     there = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    part = [there.get(y, 0) / max(int((toxic == y).sum()), 1) for y in (0, 1)]
-    model = train([r["text"] for r in got], toxic, part[0] / max(part[1], 1e-9))
+    # Bounded by the sample sizes; ties in the order are between equal rows.
+    some = [rows.where(F.col("toxic") == y).distinct().orderBy(F.xxhash64(F.lit(9), "doc_id"), "doc_id").limit(sample[y]) for y in (0, 1)]
+    thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    found = thin.join(F.broadcast(some[0].union(some[1])), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    found = written(found, "crf-sample")
+    # At most so many rows as the samples hold.
+    upto = F.sum(F.octet_length("text")).over(Window.partitionBy("toxic").orderBy(F.xxhash64(F.lit(9), "doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    lengths = found.select("doc_id", "toxic", upto.alias("upto")).where(F.col("upto") <= sample_bytes)
+    return found.join(lengths, ["doc_id", "toxic"]).select("doc_id", "text", "toxic"), [there.get(y, 0) for y in (0, 1)]
+
+
+def learned(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> dict:
+    """The model of ``train`` over the sample. One task trains it, on an executor; the driver gets the model only."""
+    rows, there = _sampled(docs, labels, sample, sample_bytes)
+
+    def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by([("doc_id", "ascending"), ("toxic", "ascending")])
+        toxic = t.column("toxic").to_numpy().astype(int)
+        part = [there[y] / max(int((toxic == y).sum()), 1) for y in (0, 1)]
+        model = train(t.column("text"), toxic, part[0] / max(part[1], 1e-9))
+        plain = model | {"weights": (model["weights"].keys, model["weights"].values)}
+        return pa.table({"model": pa.array([pickle.dumps(plain)], pa.binary())})
+
+    got = rows.groupBy().applyInArrow(run, "model binary").first()
+    if not got:
+        return train([], np.zeros(0, int), 1.0)
+    plain = pickle.loads(got["model"])
+    return plain | {"weights": Weights(*plain["weights"])}
+
+
+def tagged(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """One row per document: doc_id, held_out, score, predicted, n_spans, spans (code-point start, end and marginal of each)."""
+    model = learned(docs, labels, sample, sample_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
