@@ -16,8 +16,8 @@ that single row in a join, which Spark broadcasts if small by measured size, and
 a table of bits over the repeated hashes lets pass are shuffled with bytes or digests.
 
 Defined cases: null texts count as empty and have no chunk; empty lines belong to the chunk or run around them; a text whose chunks
-are all removed becomes empty; rows without doc_id are left as they are; rows that share a doc_id are treated alike, piece by
-position and hash; an empty table gives no rows. ``removed_chunks`` counts the chunks with words none of which is left.
+are all removed becomes empty; rows without doc_id are left as they are; of rows that share a doc_id each loses the pieces that it has
+itself, by position, length and hash, and equal pieces at the same place of theirs are one occurrence; an empty table gives no rows. ``removed_chunks`` counts the chunks with words none of which is left.
 """
 
 from __future__ import annotations
@@ -188,5 +188,9 @@ def cleaned(docs: DataFrame) -> DataFrame:
                     removed.append(int(((lost == had) & (had > 0)).sum())), cut_words.append(int(words.sum()))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, n), pa.array(np.diff(upto), pa.int64()), pa.array(removed, pa.int64()), pa.array(cut_words, pa.int64()), pa.array(texts, pa.string())], ["doc_id", "n_chunks", "removed_chunks", "removed_words", "text"])
 
-    joined = slim.join(gone, "doc_id", "left").select("doc_id", "text", "line", "span", "hash")
-    return joined.mapInArrow(run, "doc_id long, n_chunks long, removed_chunks long, removed_words long, text string")
+    # Texts that surely lose nothing are not shuffled for the look-up.
+    gone = written(gone, "chunks-gone")
+    none = [F.lit(None).cast(gone.schema[c].dataType).alias(c) for c in ("line", "span", "hash")]
+    sure = narrowed(slim, "doc_id", gone.select("doc_id"), rest=True).select("doc_id", "text", *none)
+    unsure = narrowed(slim, "doc_id", gone.select("doc_id")).join(gone, "doc_id", "left").select("doc_id", "text", "line", "span", "hash")
+    return sure.unionByName(unsure).mapInArrow(run, "doc_id long, n_chunks long, removed_chunks long, removed_words long, text string")
