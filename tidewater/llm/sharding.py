@@ -7,8 +7,8 @@ a prefix sum of the requests admits them up to the quota of linked documents. Ro
 equals have no neighbours; they fill the shards up, so that row counts differ by one at most (law ``rows``).
 
 A group may hold a third of all rows: its members are salted by hash, ranks are made within the salt and shifted by the salts'
-totals. Slots are ranked within buckets of a shard. No task gets a whole group or shard. What comes to the driver is one row per
-shard.
+totals. Slots are ranked within buckets of a shard. Salts and buckets grow with the rows, so no task gets more of a group or
+shard than BUCKET_ROWS, about. What comes to the driver is one row per shard.
 
 Defined cases: a null text counts as an empty one (size 1, checksum 0); repeated rows are documents of their own; an empty table
 gives no rows; with fewer rows than shards some shards stay empty; extra columns are not returned.
@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import written
 
 SHARDS = 16
-#: Salts of a group of equal texts; buckets of a shard in ranks; buckets of a target in the admission of moves.
-SALTS = 64
-BUCKETS = 512
+#: Rows of a group's salt or a shard's bucket, about; salts and buckets, at least.
+BUCKET_ROWS = 1 << 16
+SALTS, BUCKETS = 64, 512
 
 
 def _at(values: list, index: Column, kind: str) -> Column:
@@ -77,14 +77,13 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         F.crc32(text).alias("crc"),
         F.xxhash64(text).alias("g1"),
     ).withColumn("g2", F.xxhash64("size", "crc"))
-    # Equal doc_ids are spread by size and checksum where these differ.
-    thin = thin.withColumn("salt", F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(SALTS)).cast("int"))
-    thin = thin.withColumn("shard0", F.pmod(F.xxhash64(F.lit(2), "doc_id"), F.lit(shards)).cast("int"))
-    thin = written(thin, "shard-docs")
+    thin = written(thin.withColumn("shard0", F.pmod(F.xxhash64(F.lit(2), "doc_id"), F.lit(shards)).cast("int")), "shard-docs")
+    rows = thin.count()
+    n_salts, n_buckets = max(SALTS, rows // BUCKET_ROWS), max(BUCKETS, rows // BUCKET_ROWS // shards)
+    thin = thin.withColumn("salt", F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(n_salts)).cast("int"))
     parts = thin.groupBy(*group, "salt", "shard0").agg(F.count("*").alias("n"))
     totals = parts.groupBy(*group).agg(F.sum("n").alias("total")).where("total > 1")
     parts = written(parts.join(totals, group), "shard-parts")
-    rows = thin.count()
     start = parts.groupBy(*group, F.col("shard0").alias("shard")).agg(F.sum("n").alias("n"))
     state = propagate(start, rows // shards, shards)
     # Members of a group by rank: each shard has an interval of ranks.
@@ -99,7 +98,7 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     placed = F.element_at(F.filter("spans", lambda x: x["upto"] > rank), 1)["shard"]
     ranked = ranked.withColumn("shard", F.when(F.col("total").isNull(), F.col("shard0")).otherwise(placed))
     # Linked documents first, then those that may be moved to even out the counts.
-    bucket = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(BUCKETS)).cast("int") + F.when(F.col("total").isNull(), F.lit(BUCKETS)).otherwise(F.lit(0))
+    bucket = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(n_buckets)).cast("int") + F.when(F.col("total").isNull(), F.lit(n_buckets)).otherwise(F.lit(0))
     ranked = written(ranked.select("doc_id", "size", "crc", "shard", F.coalesce("total", F.lit(1)).cast("long").alias("group_rows"), bucket.alias("bucket")), "shard-placed")
     counts = ranked.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     have = {r["shard"]: r["n"] for r in counts.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
