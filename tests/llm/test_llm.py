@@ -554,6 +554,59 @@ def test_repeated_runs_of_short_lines_go_whole(spark):
     assert got[1000].text.startswith("\n".join(["one line of five words"] * 11)) and len(words(got[1001].text)) == 3
 
 
+def brute_cleaned(rows):
+    """What is left of each row: pieces listed text by text, first occurrences by (doc_id, line), all equal later ones gone."""
+    import pyarrow as pa
+
+    pieces, lines = [], []
+    for n, (i, t) in enumerate(rows):
+        lines.append((t or "").split("\n"))
+        for _, data, offsets in tokens.slices(pa.array([t or ""])):
+            p = linechunks._pieces(linechunks.chunks(data, offsets))
+            raw = data.tobytes()
+            for at, span, size, start, k in zip(p["line"].tolist(), p["span"].tolist(), p["size"].tolist(), p["start"].tolist(), range(10**9)):
+                pieces.append((n, i, at, span, raw[start : start + size], k < p["chunks"]))
+    first = {}
+    for n, i, at, span, x, chunk in pieces:
+        if i is not None:
+            first[x, chunk] = min(first.get((x, chunk), (1 << 60, 0)), (i, at))
+    gone = {}
+    for n, i, at, span, x, chunk in pieces:
+        f = first.get((x, chunk))
+        if i is not None and (f[0] != i or at >= f[1] + span):
+            gone.setdefault((i, x), []).append((n, at, span))
+    out = []
+    for n, (i, t) in enumerate(rows):
+        cut = {k for (j, _), v in gone.items() if j == i for m, at, span in v if m == n for k in range(at, at + span)}
+        out.append((i, [x for k, x in enumerate(lines[n]) if k not in cut and x]))
+    return out
+
+
+def test_removal_equals_brute_force(spark):
+    r = random.Random(23)
+    line = lambda n: " ".join(f"u{r.randrange(10**6)}" for _ in range(n))
+    shared = [[line(r.choice((3, 8, 13, 25))) for _ in range(r.randint(2, 12))] for _ in range(6)]
+    rows = []
+    for i in range(40):
+        text = [line(r.randint(1, 30)) for _ in range(r.randint(0, 5))]
+        for s in r.sample(shared, r.randint(0, 3)):
+            text += s + [line(r.randint(1, 9)) for _ in range(r.randint(0, 2))]
+        rows.append((i // 2 if i < 12 else i, "\n".join(text)))  # some rows share a doc_id
+    rows += [(None, rows[0][1]), (900, ""), (901, None), (903, rows[20][1]), (902, rows[20][1] + "\n")]
+    got = linechunks.cleaned(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    key = lambda x: (x[0] is None, x[0] or 0, x[1])
+    assert sorted(((x.doc_id, [y for y in x.text.split("\n") if y]) for x in got), key=key) == sorted(brute_cleaned(rows), key=key)
+
+
+def test_rows_of_one_id_lose_only_their_own_pieces(spark):
+    r = random.Random(29)
+    line = lambda n: " ".join(f"u{r.randrange(10**6)}" for _ in range(n))
+    common_line, own = line(30), line(30)
+    rows = [(1, common_line + "\n" + line(4)), (5, line(25) + "\n" + common_line), (5, line(25) + "\n" + own)]
+    got = Counter((x.doc_id, own in x.text, common_line in x.text) for x in linechunks.cleaned(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == Counter([(1, False, True), (5, False, False), (5, True, False)])
+
+
 def test_chunks_equal_a_brute_scan():
     import pyarrow as pa
 
