@@ -60,6 +60,25 @@ def surrogate_recomputed(df: DataFrame, key: str, surrogate: str) -> DataFrame:
     return df.where(F.col(surrogate) != stable_hash(key, iso_text("valid_from_ts")))
 
 
+def columns_of(frames: dict[str, DataFrame]) -> DataFrame:
+    """The columns of several tables as a table: table_name, ordinal, column_name, data_type."""
+    rows = [(name, i + 1, f.name, f.dataType.simpleString()) for name, df in frames.items() for i, f in enumerate(df.schema)]
+    return next(iter(frames.values())).sparkSession.createDataFrame(rows, "table_name string, ordinal int, column_name string, data_type string")
+
+
+def wrong_feature_timestamps(columns: DataFrame) -> DataFrame:
+    """From ``columns_of``: timestamp columns other than event_timestamp and created, and tables that lack one of these."""
+    stamps = columns.where("data_type like 'timestamp%'").select("table_name", F.lower("column_name").alias("column_name"))
+    wanted = columns.select("table_name").distinct().select("table_name", F.explode(F.array(F.lit("event_timestamp"), F.lit("created"))).alias("column_name"))
+    extra = stamps.join(wanted, ["table_name", "column_name"], "left_anti").withColumn("fault", F.lit("unexpected"))
+    return extra.unionByName(wanted.join(stamps, ["table_name", "column_name"], "left_anti").withColumn("fault", F.lit("missing")))
+
+
+def forbidden_created(columns: DataFrame) -> DataFrame:
+    """From ``columns_of``: tables other than feature tables that have a column created."""
+    return columns.where("lower(column_name) = 'created'").select("table_name", "column_name")
+
+
 def feature_timestamps(df: DataFrame) -> list[str]:
     """Faults of a feature table's columns: event_timestamp and created are its only timestamps."""
     stamps = {f.name.lower() for f in df.schema if isinstance(f.dataType, T.TimestampType | T.TimestampNTZType)}

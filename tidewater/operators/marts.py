@@ -46,10 +46,25 @@ def top(mart: DataFrame, n: int = 100) -> DataFrame:
     return mart.orderBy(F.desc("popularity_score"), F.desc("window_start"), "content_id").limit(n)
 
 
+def distinct_in_window(df: DataFrame, group: str, item: str, at: str, width: int) -> DataFrame:
+    """(group, at, n): exact numbers of distinct items among the rows of the last ``width`` steps, at every step that has rows.
+
+    An item counts from one of its steps until the window has passed or its next step comes: these stretches never overlap, so the
+    number is a running sum of their ends. No pairs of steps, no sets.
+    """
+    seen = df.select(group, item, at).distinct()
+    following = F.lead(at).over(Window.partitionBy(group, item).orderBy(at))
+    ends = seen.select(group, F.col(at), F.least(F.col(at) + width, following).alias("_end"))
+    changes = ends.select(group, at, F.lit(1).alias("_d"), F.lit(1).alias("_own")).union(ends.select(group, F.col("_end").alias(at), F.lit(-1), F.lit(0)))
+    steps = changes.groupBy(group, at).agg(F.sum("_d").alias("_d"), F.max("_own").alias("_own"))
+    running = F.sum("_d").over(Window.partitionBy(group).orderBy(at))
+    return steps.withColumn("n", running).where("_own = 1").select(group, at, "n")
+
+
 def user_features(obt: DataFrame, compat: str = "double") -> DataFrame:
     """Rolling engagement at each active day of a user: that day, 7 and 30 days up to it. Known from the next midnight on.
 
-    Sums come from range frames over per-day totals. Only the exact distinct count needs a join by range, over (user, day, content).
+    Sums come from range frames over per-day totals, the exact distinct count from a running sum.
     """
     day = F.datediff("activity_date", F.lit("1970-01-01"))
     per_day = obt.groupBy("user_id", "activity_date").agg(
@@ -58,31 +73,27 @@ def user_features(obt: DataFrame, compat: str = "double") -> DataFrame:
     frame = lambda days: Window.partitionBy("user_id").orderBy("_day").rangeBetween(1 - days, 0)
     minutes = lambda x: ratio(x, F.lit(60), compat)
     rolled = per_day.select(
-        "user_id", "activity_date", minutes(F.col("w")).alias("watch_minutes_24h"), minutes(F.sum("w").over(frame(7))).alias("watch_minutes_7d"),
+        "user_id", "_day", "activity_date", minutes(F.col("w")).alias("watch_minutes_24h"), minutes(F.sum("w").over(frame(7))).alias("watch_minutes_7d"),
         F.sum("n").over(frame(7)).alias("playback_sessions_7d"), F.sum("c").over(frame(30)).alias("completed_sessions_30d"),
         (F.sum("r").over(frame(30)) / F.nullif(F.sum("n").over(frame(30)), F.lit(0))).cast("decimal(18,6)").alias("average_completion_rate_30d"),
         # The window holds the anchor day itself, so this is 0 always.
         F.datediff("activity_date", F.max("activity_date").over(frame(30))).alias("days_since_last_playback"),
         F.max("created").over(frame(30)).alias("created"))
-    seen = obt.select("user_id", F.col("activity_date").alias("_on"), "content_id").distinct()
-    near = per_day.select("user_id", "activity_date").join(seen, "user_id").where("_on between date_sub(activity_date, 29) and activity_date")
-    distinct = near.groupBy("user_id", "activity_date").agg(F.countDistinct("content_id").alias("distinct_content_count_30d"))
-    df = rolled.join(distinct, ["user_id", "activity_date"])
+    distinct = distinct_in_window(obt.withColumn("_day", day), "user_id", "content_id", "_day", 30).withColumnRenamed("n", "distinct_content_count_30d")
+    df = rolled.join(distinct, ["user_id", "_day"]).drop("_day")
     return df.withColumn("event_timestamp", F.date_add("activity_date", 1).cast("timestamp")).drop("activity_date")
 
 
 def content_features(mart: DataFrame, rows: DataFrame) -> DataFrame:
     """Rolling popularity at each active hour of a content: 1, 24 and 168 hours up to it, exact viewers of the last 24 hours."""
-    kind = mart.schema["window_start"].dataType
     hour = F.floor(F.unix_timestamp(F.col("window_start").cast("timestamp")) / 3600)
     frame = lambda hours: Window.partitionBy("content_id").orderBy("_hour").rangeBetween(1 - hours, 0)
     rolled = mart.withColumn("_hour", hour).select(
-        "content_id", "window_start", "window_end", F.col("playback_count").alias("playback_count_1h"), F.sum("playback_count").over(frame(24)).alias("playback_count_24h"),
+        "content_id", "_hour", "window_end", F.col("playback_count").alias("playback_count_1h"), F.sum("playback_count").over(frame(24)).alias("playback_count_24h"),
         ratio(F.sum("completed_session_count").over(frame(168)), F.sum("playback_count").over(frame(168))).alias("completion_rate_7d"),
         F.round(F.sum("popularity_score").over(frame(24)), 6).alias("popularity_score_24h"), F.max("created_timestamp").over(frame(168)).alias("mart_created"))
-    # A session counts for the anchors of its own hour and the 23 after it: at most 24 rows each, then an equi-join.
-    start = F.date_trunc("hour", "session_started_timestamp").cast(kind)
-    spread = rows.select("content_id", "user_id", "created_timestamp", F.explode(F.sequence(start, start + F.expr("interval 23 hours"), F.expr("interval 1 hour"))).alias("window_start"))
-    viewers = spread.join(mart.select("content_id", "window_start"), ["content_id", "window_start"], "left_semi").groupBy("content_id", "window_start").agg(F.countDistinct("user_id").alias("unique_viewer_count_24h"), F.max("created_timestamp").alias("session_created"))
-    df = rolled.join(viewers, ["content_id", "window_start"])
+    own = rows.select("content_id", "user_id", "created_timestamp", F.floor(F.unix_timestamp(F.date_trunc("hour", "session_started_timestamp").cast("timestamp")) / 3600).alias("_hour"))
+    viewers = distinct_in_window(own, "content_id", "user_id", "_hour", 24).withColumnRenamed("n", "unique_viewer_count_24h")
+    made = own.groupBy("content_id", "_hour").agg(F.max("created_timestamp").alias("c")).select("content_id", "_hour", F.max("c").over(frame(24)).alias("session_created"))
+    df = rolled.join(viewers, ["content_id", "_hour"]).join(made, ["content_id", "_hour"])
     return df.select("content_id", "playback_count_1h", "playback_count_24h", "unique_viewer_count_24h", "completion_rate_7d", "popularity_score_24h", F.col("window_end").alias("event_timestamp"), strict_greatest("mart_created", "session_created").alias("created"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions import salt_of
@@ -25,6 +25,30 @@ def salted_distribution(df: DataFrame, value: str, key: str, buckets: int = 16)
     return _shares(parts.groupBy(value).agg(F.sum("n").alias("count")), value)
 
 
+def ranked(distribution: DataFrame, value: str) -> DataFrame:
+    """A distribution in the order of reports, by count downwards and value, with its rank; one row per value."""
+    order = Window.orderBy(F.desc("count"), F.asc_nulls_first(value))
+    return distribution.withColumn("rank", F.row_number().over(order)).orderBy("rank")
+
+
+def retained_versions(df: DataFrame, key: str) -> DataFrame:
+    """Rows, natural keys, and the versions kept beyond one per key."""
+    out = df.agg(F.count("*").alias("row_count"), F.countDistinct(key).alias("natural_keys"))
+    return out.withColumn("retained_extra_versions", F.col("row_count") - F.col("natural_keys"))
+
+
+def latest_snapshot(snapshots: DataFrame, number: str, committed_at: str, by: list[str] = ()) -> DataFrame:
+    """Number and time of the newest snapshot, of each table."""
+    return snapshots.groupBy(*by).agg(F.max_by(number, F.struct(committed_at, number)).alias("latest"), F.max(committed_at).alias("committed_at"))
+
+
+def category_rates(df: DataFrame, category: str, configured: dict[str, float], tolerance: float) -> DataFrame:
+    """Observed against configured shares of a category's values, and whether they agree."""
+    counts = distribution(df, category)
+    want = F.element_at(F.create_map(*[F.lit(x) for kv in configured.items() for x in kv]), F.col(category))
+    return counts.withColumn("configured", want).withColumn("agrees", F.abs(F.col("share") - F.col("configured")) <= tolerance)
+
+
 def schema_evolution(df: DataFrame, version: str, column: str) -> DataFrame:
     """Rows and nulls of a column by schema version."""
     return df.groupBy(version).agg(F.count("*").alias("row_count"), F.count_if(F.col(column).isNull()).alias("null_count"))

@@ -1,6 +1,7 @@
 """Versioned Parquet tables with snapshots, where no table format is at hand.
 
-A table is a folder of immutable data folders and numbered manifests; a manifest lists the data folders of a snapshot. A new snapshot is
+A table is a folder of immutable data folders and numbered manifests; a manifest lists the data folders of a snapshot, of partitioned
+tables their folders of each value of the first partition column. A new snapshot is
 one small file that must not exist before, written through Hadoop's file system: it works on any store Spark can write, readers
 never see half a write, and of two writers of the same number one fails.
 """
@@ -14,6 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 class Store:
@@ -70,11 +72,24 @@ class Store:
         self._write_text(f"{self.root}/{table}/_snapshots/{number:012d}.json", json.dumps(snapshot))
         return snapshot
 
-    def _write(self, table: str, df: DataFrame, partition_by: list[str]) -> str:
+    def _write(self, table: str, df: DataFrame, partition_by: list[str]) -> list[str]:
         part = f"data-{uuid.uuid4().hex}"
         writer = df.write.partitionBy(*partition_by) if partition_by else df.write
         writer.parquet(f"{self.root}/{table}/{part}")
-        return part
+        if not partition_by:
+            return [part]
+        return sorted(f"{part}/{f.getPath().getName()}" for f in self._list(f"{self.root}/{table}/{part}") if f.isDirectory())
+
+    def _frame(self, table: str, parts: list[str], schema) -> DataFrame:
+        """Rows of some parts; columns that older parts lack are null."""
+        folders: dict[str, list[str]] = {}
+        for p in parts:
+            folders.setdefault(p.split("/")[0], []).append(f"{self.root}/{table}/{p}")
+        out = None
+        for folder, paths in folders.items():
+            f = self.spark.read.schema(schema).option("basePath", f"{self.root}/{table}/{folder}").parquet(*paths)
+            out = f if out is None else out.unionByName(f)
+        return self.spark.createDataFrame([], schema) if out is None else out.select(*[f.name for f in schema])
 
     def read(self, table: str, number: int | None = None) -> DataFrame:
         """A snapshot, the newest by default. Columns of older parts that lack them are null."""
@@ -82,16 +97,7 @@ class Store:
         if not found:
             raise LookupError(f"no table {table}" if number is None else f"no snapshot {number} of {table}")
         s = found[-1]
-        from pyspark.sql.types import StructType
-
-        schema = StructType.fromJson(json.loads(s["schema"]))
-        if not s["parts"]:
-            return self.spark.createDataFrame([], schema)
-        frames = [self.spark.read.schema(schema).option("basePath", f"{self.root}/{table}/{p}").parquet(f"{self.root}/{table}/{p}") for p in s["parts"]]
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f)
-        return out.select(*[f.name for f in schema])
+        return self._frame(table, s["parts"], StructType.fromJson(json.loads(s["schema"])))
 
     # Writes
 
@@ -99,11 +105,11 @@ class Store:
         """Adds rows; creates the table if there is none."""
         now = self.latest(table) if self.exists(table) else {"parts": [], "partition_by": list(partition_by)}
         keys = now["partition_by"]
-        return self._commit(table, [*now["parts"], self._write(table, df, keys)], "append", df.schema.json(), keys)
+        return self._commit(table, [*now["parts"], *self._write(table, df, keys)], "append", df.schema.json(), keys)
 
     def replace(self, table: str, df: DataFrame, partition_by: list[str] = ()) -> dict:
         """Puts df in the place of all rows; df may read the table itself."""
-        return self._commit(table, [self._write(table, df, list(partition_by))], "replace", df.schema.json(), list(partition_by))
+        return self._commit(table, self._write(table, df, list(partition_by)), "replace", df.schema.json(), list(partition_by))
 
     def append_by_day(self, table: str, df: DataFrame, ts: str) -> dict:
         """append() with a folder for each day of ts; filters on the day column prune folders."""
@@ -129,12 +135,44 @@ class Store:
             self.append(name, df)
         return dict.fromkeys(frames, "appended")
 
-    def upsert(self, table: str, df: DataFrame, keys: list[str], mirror: bool = False) -> dict:
-        """Rows of df replace those of the same keys. mirror: keys that df lacks go, too."""
+    def upsert(self, table: str, df: DataFrame, keys: list[str], mirror: bool = False, partition_by: list[str] = ()) -> dict:
+        """Rows of df replace those of the same keys. mirror: keys that df lacks go, too.
+
+        Where the table is partitioned by a column of the keys, only the partitions that df has rows of are read and written again.
+        """
         if mirror or not self.exists(table):
-            return self.replace(table, df)
-        old = self.read(table).join(df.select(*keys), keys, "left_anti")
-        return self.replace(table, old.unionByName(df, allowMissingColumns=True))
+            return self.replace(table, df, partition_by)
+        now = self.latest(table)
+        schema, by = StructType.fromJson(json.loads(now["schema"])), now["partition_by"]
+        if not by or by[0] not in keys:
+            old = self.read(table).join(df.select(*keys), keys, "left_anti")
+            return self.replace(table, old.unionByName(df, allowMissingColumns=True), by)
+        fresh = self._write(table, df, by)
+        if not fresh:
+            return now
+        rows = self._frame(table, fresh, df.schema)
+        touched = {p.split("/", 1)[1] for p in fresh}
+        olds = [p for p in now["parts"] if p.split("/", 1)[-1] in touched]
+        rest = [p for p in now["parts"] if p.split("/", 1)[-1] not in touched]
+        if olds:
+            merged = self._frame(table, olds, schema).join(rows.select(*keys), keys, "left_anti").unionByName(rows, allowMissingColumns=True)
+            spent, fresh = fresh[0].split("/")[0], self._write(table, merged, by)
+            self._fs(self.root).delete(self._path(f"{self.root}/{table}/{spent}"), True)
+            schema = merged.schema
+        else:
+            schema = StructType([*schema, *[f for f in df.schema if f.name not in schema.names]])
+        return self._commit(table, [*rest, *fresh], "upsert", schema.json(), by)
+
+    def write_smoke(self, table: str = "smoke.write_check") -> int:
+        """Whether tables can be written here: drops, creates, reads and drops one; the rows read."""
+        self.drop(table)
+        self.replace(table, self.spark.range(1).select(F.col("id").alias("smoke_id"), F.current_timestamp().alias("written_at")))
+        n = self.read(table).count()
+        self.drop(table)
+        return n
+
+    def drop(self, table: str) -> None:
+        self._fs(self.root).delete(self._path(f"{self.root}/{table}"), True)
 
     # Maintenance
 
@@ -151,6 +189,20 @@ class Store:
                     out.append({"part": part, "path": f.getPath().toString(), "bytes": f.getLen()})
         return out
 
+    def files_table(self, table: str) -> DataFrame:
+        """``files`` as a table: part, path, bytes, partition (text of the folders, such as day=2026-01-01; empty without)."""
+        rows = [(f["part"], f["path"], f["bytes"], "/".join(x for x in f["path"].split("/") if "=" in x)) for f in self.files(table)]
+        return self.spark.createDataFrame(rows, "part string, path string, bytes long, partition string")
+
+    def files_in_range(self, table: str, low: str, high: str) -> DataFrame:
+        """Number, bytes and average size of the files whose partition value lies in [low, high), without reading them."""
+        value = F.element_at(F.split("partition", "="), -1)
+        return self.files_table(table).where((value >= low) & (value < high)).agg(F.count("*").alias("file_count"), F.sum("bytes").alias("total_bytes"), F.avg("bytes").alias("average_bytes"))
+
+    def snapshots_table(self, table: str) -> DataFrame:
+        rows = [(s["number"], s["committed_at"], s["operation"], len(s["parts"])) for s in self.snapshots(table)]
+        return self.spark.createDataFrame(rows, "number long, committed_at double, operation string, parts int")
+
     def compact(self, table: str, target_bytes: int = 128 << 20, min_files: int = 2, check: Callable[[DataFrame], DataFrame] | None = None, require_fewer: bool = True) -> dict:
         """Rewrites a table of many small files into files of about target_bytes; rows, and check's result, must stay the same."""
         before, files = self.read(table), self.files(table)
@@ -161,11 +213,11 @@ class Store:
         same = check or (lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("*").cast("decimal(38,0)"))))
         was = same(before).collect()
         packed = before.repartition(n, *s["partition_by"]) if s["partition_by"] else before.coalesce(n)
-        part = self._write(table, packed, s["partition_by"])
-        after = self.spark.read.schema(before.schema).parquet(f"{self.root}/{table}/{part}").select(*before.columns)
+        parts = self._write(table, packed, s["partition_by"])
+        after = self._frame(table, parts, before.schema)
         if same(after).collect() != was:
             raise RuntimeError(f"{table} would change by compaction")
-        self._commit(table, [part], "compact", s["schema"], s["partition_by"])
+        self._commit(table, parts, "compact", s["schema"], s["partition_by"])
         now = len(self.files(table))
         if require_fewer and now >= len(files):
             raise RuntimeError(f"{table} has {now} files after compaction, {len(files)} before")

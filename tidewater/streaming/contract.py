@@ -44,21 +44,16 @@ def _number(data: bytes, at: int) -> tuple[int, int]:
             return (value >> 1) ^ -(value & 1), at
 
 
-def decode(payload: bytes | None, schema_id: int) -> dict:
-    """The record's values; raises Bad."""
-    if payload is None or len(payload) < 5 or payload[0] != 0:
-        raise Bad(FRAME, "no magic byte and schema id")
-    found = struct.unpack(">I", payload[1:5])[0]
-    if found != schema_id:
-        raise Bad(SCHEMA_ID, f"schema id {found}, expected {schema_id}")
-    values, at = {}, 5
+def body(data: bytes) -> dict:
+    """The values of one Avro record; raises Bad."""
+    values, at = {}, 0
     try:
         for name, kind in FIELDS:
-            number, at = _number(payload, at)
+            number, at = _number(data, at)
             if kind == "string":
-                if number < 0 or at + number > len(payload):
+                if number < 0 or at + number > len(data):
                     raise ValueError(f"{name} is cut off")
-                values[name], at = payload[at : at + number].decode(), at + number
+                values[name], at = data[at : at + number].decode(), at + number
             else:
                 low, high = LIMITS[kind]
                 if not low <= number <= high:
@@ -66,8 +61,8 @@ def decode(payload: bytes | None, schema_id: int) -> dict:
                 values[name] = number
     except ValueError as e:
         raise Bad(DECODE, str(e)) from e
-    if at != len(payload):
-        raise Bad(TRAILING, f"{len(payload) - at} bytes after the record")
+    if at != len(data):
+        raise Bad(TRAILING, f"{len(data) - at} bytes after the record")
     return values
 
 
@@ -95,32 +90,46 @@ def fault() -> Column:
     return out
 
 
-def decoded(records: DataFrame, schema_id: int) -> DataFrame:
-    """records (key, value, topic, partition, offset, timestamp) with the fields, error_type and error_message; in Arrow batches."""
+def framed(value: Column, schema_id: int) -> Column:
+    """Code of what is wrong with a payload's frame; null if nothing is. Column expressions only."""
+    bare = value.isNull() | (F.octet_length(value) < 5) | (F.hex(F.substring(value, 1, 1)) != "00")
+    return F.when(bare, F.lit(FRAME)).when(F.conv(F.hex(F.substring(value, 2, 4)), 16, 10).cast("long") != schema_id, F.lit(SCHEMA_ID))
+
+
+def _bodies(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    """Values or error of each record's bytes; null bytes have neither."""
     names = [n for n, _ in FIELDS]
-    schema = records.schema.simpleString()[7:-1]
-    base = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in records.schema)
-    assert schema
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out: dict[str, list] = {n: [] for n in [*names, "error_type", "error_message"]}
-            for payload in batch["value"]:
-                values, code, message = {}, None, None
+    for part in parts:
+        out: dict[str, list] = {n: [] for n in [*names, "code", "message"]}
+        for payload in part:
+            values, code, message = {}, None, None
+            if payload is not None:
                 try:
-                    values = decode(None if payload is None else bytes(payload), schema_id)
+                    values = body(bytes(payload))
                 except Bad as e:
                     code, message = e.code, str(e)
-                for n in names:
-                    out[n].append(values.get(n))
-                out["error_type"].append(code)
-                out["error_message"].append(message)
-            for n, kind in FIELDS:
-                out[n] = pd.array(out[n], dtype="Int32" if kind == "int" else "Int64") if kind != "string" else out[n]
-            yield batch.assign(**out)
+                except Exception as e:  # noqa: BLE001 - one record must never end the stream
+                    values, code, message = {}, UNEXPECTED, repr(e)[:MESSAGE_LENGTH]
+            for n in names:
+                out[n].append(values.get(n))
+            out["code"].append(code)
+            out["message"].append(message)
+        for n, kind in FIELDS:
+            if kind != "string":
+                out[n] = pd.array(out[n], dtype="Int32" if kind == "int" else "Int64")
+        yield pd.DataFrame(out)
+
+
+def decoded(records: DataFrame, schema_id: int) -> DataFrame:
+    """records (key, value, topic, partition, offset, timestamp) with the fields, error_type and error_message.
 
+    Frames are checked by expressions; only the bytes of well-framed records go to the decoder, in Arrow batches.
+    """
     fields = ", ".join(f"{n} {kind if kind != 'long' else 'bigint'}" for n, kind in FIELDS)
-    df = records.mapInPandas(run, f"{base}, {fields}, error_type string, error_message string")
+    decode_bodies = F.pandas_udf(_bodies, f"{fields}, code string, message string")
+    df = records.withColumn("_frame", framed(F.col("value"), schema_id))
+    df = df.withColumn("_body", decode_bodies(F.when(F.col("_frame").isNull(), F.expr("substring(value, 6, octet_length(value))"))))
+    df = df.select(*records.columns, *[F.col(f"_body.{n}").alias(n) for n, _ in FIELDS], F.coalesce("_frame", F.col("_body.code")).alias("error_type"), F.when(F.col("_frame") == FRAME, "no magic byte and schema id").when(F.col("_frame") == SCHEMA_ID, f"schema id is not {schema_id}").otherwise(F.col("_body.message")).alias("error_message"))
     wrong = F.col("error_type").isNull() & fault().isNotNull()
     return df.withColumns({"error_message": F.when(wrong, fault()).otherwise(F.col("error_message")), "error_type": F.when(wrong, F.lit(CONTRACT)).otherwise(F.col("error_type"))})
 

@@ -46,11 +46,17 @@ def on_time_once(events: DataFrame, delay: str = "30 seconds", ttl_minutes: int
     return watched.groupBy("event_id").transformWithStateInPandas(FirstOnTime(ttl_minutes, drop_late), events.schema, "Append", "ProcessingTime")
 
 
-def replay_watermark(events: DataFrame, order: str, ts: str, delay_seconds: int, buckets: int = 64) -> DataFrame:
+#: Rows of a range of the order, about, if they are even.
+RANGE_ROWS = 1 << 18
+
+
+def replay_watermark(events: DataFrame, order: str, ts: str, delay_seconds: int, buckets: int | None = None) -> DataFrame:
     """events in arrival order with is_late: whether ts is at or before the greatest earlier time less the delay.
 
-    The running maximum is made in two steps, within ranges of the order and over the ranges' maxima, so that no task gets all rows.
+    The running maximum is made in two steps, within ranges of the order and over the ranges' maxima, so that no task gets all rows; the
+    ranges grow in number with the rows.
     """
+    buckets = buckets or max(64, events.count() // RANGE_ROWS)
     bounds = events.agg(F.min(order).alias("_low"), F.max(order).alias("_high"))
     width = F.greatest((F.col("_high") - F.col("_low") + 1) / F.lit(buckets), F.lit(1.0))
     df = events.crossJoin(F.broadcast(bounds)).withColumn("_bucket", F.floor((F.col(order) - F.col("_low")) / width)).drop("_low", "_high")

@@ -38,13 +38,15 @@ def write_windows(events: DataFrame, store: Store, prefix: str, checkpoint: str,
         try:
             if batch.isEmpty():
                 return
-            store.upsert(kept, batch, ["event_id"])
+            # Tables by day: a batch reads and writes the days it touches only.
+            day = ["window_day"]
+            store.upsert(kept, batch, ["event_id", *day], partition_by=day)
             touched = batch.select(F.window("event_timestamp", windows.WINDOW)["start"].alias("_w")).distinct()
-            days = [r[0] for r in batch.select("window_day").distinct().limit(366).collect()]
-            rows = store.read(kept).where(F.col("window_day").isin(days)).withColumn("_w", F.window("event_timestamp", windows.WINDOW)["start"]).join(touched, "_w", "left_semi")
+            first, last = batch.agg(F.min("window_day"), F.max("window_day")).first()
+            rows = store.read(kept).where(F.col("window_day").between(first, last)).withColumn("_w", F.window("event_timestamp", windows.WINDOW)["start"]).join(touched, "_w", "left_semi")
             for name, (key, distinct) in (("playback_metrics_5m", windows.BY_USER), ("content_popularity_5m", windows.BY_CONTENT)):
-                out = windows.totals(rows, key, distinct).withColumn("created_timestamp", F.current_timestamp())
-                store.upsert(f"{prefix}_{name}", out, ["window_start", key])
+                out = windows.totals(rows, key, distinct).withColumn("created_timestamp", F.current_timestamp()).withColumn("window_day", F.to_date("window_start"))
+                store.upsert(f"{prefix}_{name}", out, ["window_start", key, *day], partition_by=day)
         finally:
             batch.unpersist()
 
@@ -52,6 +54,21 @@ def write_windows(events: DataFrame, store: Store, prefix: str, checkpoint: str,
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def drained(df: DataFrame, path: str, mode: str = "append") -> DataFrame:
+    """Runs a stream over all that is there now into Parquet files, one folder per batch, and reads them; of complete outputs the last."""
+    last: list[int] = []
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/out/batch={number}")
+        last[:] = [number]
+
+    df.writeStream.outputMode(mode).foreachBatch(put).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    reader = df.sparkSession.read.schema(df.schema)
+    if not last:
+        return df.sparkSession.createDataFrame([], df.schema)
+    return reader.parquet(f"{path}/out/batch={last[0]}") if mode == "complete" else reader.parquet(f"{path}/out").select(*df.columns)
+
+
 def accepted(records: DataFrame, schema_id: int, delay: str = "30 seconds", ttl_minutes: int = policy.TTL_MINUTES) -> DataFrame:
     """Valid, on-time, first copies of a stream of records."""
     return policy.on_time_once(contract.valid(contract.decoded(records, schema_id)), delay, ttl_minutes)
