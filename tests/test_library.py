@@ -140,6 +140,19 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert read("silver.stg_playback_events").count() == 3000 < read("bronze.raw_playback_events").count()
     assert read("gold.fact_playback_session").where("user_sk is null or content_sk is null").isEmpty()
     assert read("serving.mart_content_trending").count() == read("gold.mart_content_trending").count() == read("feature.feat_content_popularity").count()
+    assert summary["metrics"]["bronze_rows"]["users"] == 400 and summary["metrics"]["silver"]["stg_users"]["duplicates"] == 0
+    assert summary["metrics"]["silver"]["stg_users"]["natural_keys"] == 200
+    assert read(jobs.LINEAGE).where("output = 'gold.mart_content_trending'").count() == 1
+    assert "Scan parquet" in jobs.explained(read("gold.dim_user"))
+    from tidewater.plans import contracts
+
+    assert {r.status for r in contracts.verify(run.store).collect()} == {"missing"}
+    contracts.publish(run.store)
+    found = contracts.verify(run.store)
+    assert {r.status for r in found.collect()} == {"pass"} and contracts.roll_up(found).count() == 5
+    tables = read("serving.mart_content_trending").count()
+    assert jobs.validate(run)["metrics"]["silver"]["stg_playback_events"]["rows"] == 3000 and read("serving.mart_content_trending").count() == tables
+    assert marts.serving_order(read("gold.mart_content_trending"), 2).count() == tables
     again = jobs.run_all(run, {"ingest"})
     assert set(again["metrics"]["ingest"].values()) == {"skipped"}
 
@@ -192,6 +205,150 @@ def test_stream(spark, tmp_path):
     assert got == {(r.window_start, r.event_count) for r in want.collect()}
 
 
+def stream_of(spark, path, batches):
+    """A file stream with one file per batch of (event_id, event second, production second)."""
+    import time
+
+    schema = "event_id string, event_timestamp timestamp, source_timestamp timestamp"
+    for batch in batches:
+        df = spark.createDataFrame([(i, e, p) for i, e, p in batch], "event_id string, e long, p long")
+        df.select("event_id", F.timestamp_seconds("e").alias("event_timestamp"), F.timestamp_seconds("p").alias("source_timestamp")).coalesce(1).write.mode("append").parquet(f"{path}/in")
+        time.sleep(1.1)  # files are taken by their time
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+
+
+def test_late_and_duplicate_events_of_a_stream(spark, tmp_path):
+    # Watermarks follow production time less 30 s: 970 holds while the third file is read.
+    batches = [
+        [("first", 1000, 1000), ("twice", 990, 1000), ("twice", 991, 1000)],
+        [("first", 1001, 1000), ("next", 975, 1000)],
+        [("tie", 970, 1000), ("late", 960, 1000), ("on_time", 971, 1000), ("twice", 999, 1000)],
+        [("late", 980, 1000), ("tie", 981, 1000), ("on_time", 990, 1000)],
+    ]
+    out = sinks.drained(policy.on_time_once(stream_of(spark, tmp_path, batches)), str(tmp_path))
+    got = {r.event_id: int(r.event_timestamp.timestamp()) for r in out.collect()}
+    # A late first copy is dropped without marking its key; the tie with the watermark is late.
+    assert got.pop("twice") in (990, 991)
+    assert got == {"first": 1000, "next": 975, "on_time": 971, "late": 980, "tie": 981} and out.count() == 6
+
+
+def test_seen_keys_are_forgotten_after_their_time(spark):
+    class State:
+        def __init__(self):
+            self.value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def update(self, value):
+            self.value = value
+
+    class Handle:
+        def getValueState(self, name, schema, ttlDurationMs):
+            self.ttl, self.state = ttlDurationMs, State()
+            return self.state
+
+    class Timer:
+        def getCurrentWatermarkInMs(self):
+            return 5000
+
+    import pandas as pd
+
+    handle, processor = Handle(), policy.FirstOnTime(ttl_minutes=90)
+    processor.init(handle)
+    rows = lambda *seconds: iter([pd.DataFrame({"event_timestamp": pd.to_datetime(list(seconds), unit="s")})])
+    count = lambda *seconds: sum(len(x) for x in processor.handleInputRows(("k",), rows(*seconds), Timer()))
+    assert handle.ttl == 90 * 60_000
+    assert [count(5), handle.state.exists(), count(6, 7), count(8), count(5)] == [0, False, 1, 0, 0]
+    handle.state.value = None  # the store drops it when its time has passed
+    assert count(9) == 1
+
+
+def test_settings_are_strict(tmp_path):
+    from tidewater import config
+
+    path = tmp_path / "stage.yaml"
+    path.write_text("job_name: stage\ncutover: '2026-01-01'\nskew_strategy: salted\nspark: {shuffle_partitions: 16}\ncompletion_threshold: 1\n")
+    got = config.load(config.Stage, path)
+    assert (got.skew_strategy, got.spark.shuffle_partitions, got.completion_threshold) == ("salted", 16, 1.0)
+    assert got.spark.settings()["spark.sql.shuffle.partitions"] == "16"
+    good = {"job_name": "x", "cutover": "y"}
+    for bad, where in (({"nope": 1}, "nope: unknown"), ({"skew_strategy": "other"}, "skew_strategy"), ({"skew_salt_buckets": 1}, "out of range"), ({"session_shuffle_partitions": "2"}, "no int"), ({"session_shuffle_partitions": True}, "no int"), ({"spark": {"adaptive": 1}}, "spark.adaptive")):
+        with pytest.raises(config.Wrong, match=where):
+            config.built(config.Stage, good | bad)
+    with pytest.raises(config.Wrong, match="cutover: missing"):
+        config.built(config.Stage, {"job_name": "x"})
+    with pytest.raises(config.Wrong, match="does not match"):
+        config.built(config.Compaction, {"job_name": "x", "namespace": "Bad-Name", "table": "t"})
+
+
+def test_registry(tmp_path):
+    import io
+    import json
+
+    from tidewater.streaming import registry
+
+    schema = {"type": "record", "name": "r", "fields": [{"name": "a", "type": "string"}, {"name": "t", "type": {"type": "long", "logicalType": "timestamp-millis"}}]}
+    (tmp_path / "s.avsc").write_text(json.dumps(schema))
+    asked = []
+
+    def opener(request, timeout):
+        asked.append((request.method, request.full_url, json.loads(request.data)))
+        return io.BytesIO(b'{"id": 7}')
+
+    assert registry.Registry("http://r/", opener).register("a b-value", registry.read_schema(tmp_path / "s.avsc")) == 7
+    assert [(m, u) for m, u, _ in asked] == [("POST", "http://r/subjects/a%20b-value/versions"), ("PUT", "http://r/config/a%20b-value")]
+    assert json.loads(asked[0][2]["schema"]) == schema and asked[1][2] == {"compatibility": "BACKWARD"}
+    assert registry.fields_of(schema) == (("a", "string"), ("t", "long"))
+    with pytest.raises(RuntimeError, match="no id"):
+        registry.Registry("http://r", lambda r, timeout: io.BytesIO(b"{}")).register("s", schema)
+
+
+def test_messages(spark):
+    from tidewater.streaming import messages
+
+    assert messages.source_options("b", "t", max_per_trigger=5)["kafka.isolation.level"] == "read_committed"
+    assert messages.sink_options("b", "t")["kafka.enable.idempotence"] == "true"
+    events = generate.stream_problems(generate.playback(spark, 600, 20, 5, 3), 5, invalid=0.05).withColumn("watch_seconds", F.col("watch_seconds").cast("int")).withColumn("position_seconds", F.col("position_seconds").cast("int")).withColumn("payload_schema_version", F.lit(1))
+    out = messages.published(events, "t", "run", 7)
+    back = contract.decoded(out.select("key", "value", "topic", F.lit(0).alias("partition"), F.monotonically_increasing_id().alias("offset"), "timestamp"), 7)
+    assert {r.error_type: r["count"] for r in back.groupBy("error_type").count().collect()} == {None: events.where("not is_invalid").count(), contract.FRAME: events.where("is_invalid").count()}
+    waits, n = [], out.count()
+    assert messages.paced(out, n / 4, lambda df: df.count(), n, clock=lambda: 0, wait=waits.append) == n and waits == [1, 2, 3]
+    with pytest.raises(RuntimeError, match="acknowledged"):
+        messages.paced(out, n, lambda df: 0, n)
+
+
+def test_supervisor_restarts_a_query():
+    from tidewater.streaming import messages
+
+    class Query:
+        def __init__(self, fails):
+            self.fails = fails
+
+        def awaitTermination(self):
+            if self.fails:
+                raise RuntimeError("lost")
+
+    ends, waits = iter([True, True, False]), []
+    assert messages.supervised(lambda: Query(next(ends)), 3, 10, waits.append) == 2 and waits == [10, 10]
+    with pytest.raises(RuntimeError, match="lost"):
+        messages.supervised(lambda: Query(True), 1, 0, waits.append)
+
+
+def test_upsert_touches_its_partitions_only(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}")
+    df = spark.range(100).select("id", (F.col("id") % 4).alias("day"), F.lit("old").alias("v"))
+    store.replace("t", df, ["day"])
+    before = store.latest("t")["parts"]
+    store.upsert("t", spark.createDataFrame([(5, 1, "new"), (201, 1, "new"), (300, 9, "new")], "id long, day long, v string"), ["id", "day"])
+    after = store.latest("t")["parts"]
+    assert {p for p in before if not p.endswith("day=1")} < set(after) and len(after) == 5
+    assert sorted(r.id for r in store.read("t").where("v = 'new'").collect()) == [5, 201, 300] and store.read("t").count() == 102
+    assert store.compact("t", require_fewer=False)["rewritten"] and store.read("t").count() == 102
+    assert store.write_smoke() == 1 and not store.exists("smoke.write_check")
+
+
 def test_generator_rates(spark):
     events = generate.playback(spark, 20000, 100, 20, 3)
     df = generate.with_duplicates(events, 0.02, 3, "event_id")

@@ -118,3 +118,9 @@ def sessions(events: DataFrame, runtimes: DataFrame, created: Column, run_id: st
     return rolled.join(runtimes, "content_id", "left").select(
         "session_id", "user_id", "content_id", "session_started_timestamp", "session_ended_timestamp", "watch_seconds", "content_runtime_seconds",
         rate.alias("completion_rate"), done.alias("is_completed"), "event_count", created.alias("created_timestamp"), F.lit(run_id).alias("pipeline_run_id"))
+
+
+def first_genre(genres: Column | str) -> Column:
+    """The genre that stands for a content in distributions; null without any."""
+    genres = F.col(genres) if isinstance(genres, str) else genres
+    return F.when(F.size(genres) > 0, F.element_at(genres, 1))

@@ -160,7 +160,8 @@ def facts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def fact_rows(spark: SparkSession, d: str) -> DataFrame:
-    return marts.named(facts(spark, d), dim_user(spark, d), dim_content(spark, d))
+    return marts.named_facts(sessions(spark, d), dim_user(spark, d), dim_content(spark, d)).select(
+        "session_id", "user_sk", "content_sk", "user_id", "content_id", "session_started_timestamp", "session_ended_timestamp", "activity_date", "watch_seconds", "completion_rate", "is_completed", "created_timestamp")
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -359,21 +360,264 @@ def late_policy_batch(spark, d):
     return df.groupBy(F.to_date("event_timestamp").alias("day")).agg(F.count("*").alias("row_count"), F.count_if("is_late").alias("late_rows"))
 
 
-_DLQ = "CASE WHEN event_type = 'error' THEN 'contract_validation_failed' WHEN value < 1 THEN 'avro_decode_failed' END"
+# Records of events: some with a wrong frame, id, length or contract, by their number.
+_KNOWN = "('playback_started', 'playback_progressed', 'playback_completed')"
+_CODE = """CASE WHEN event_id % 11 = 0 THEN 'invalid_confluent_wire_format' WHEN event_id % 13 = 0 THEN 'unexpected_schema_id' WHEN event_id % 19 = 0 THEN 'avro_decode_failed' WHEN event_id % 23 = 0 THEN 'trailing_payload_bytes'
+  WHEN event_id % 17 = 0 OR watch_seconds < 0 THEN 'contract_validation_failed' END"""
 
 
-@query(f"SELECT event_id, {_DLQ} AS error_type, sha256(concat_ws(':', 'playback', CAST(user_id % 6 AS VARCHAR), CAST(event_id AS VARCHAR))) AS dlq_id FROM events WHERE {_DLQ} IS NOT NULL")
+def records(spark: SparkSession, d: str) -> DataFrame:
+    from tidewater.streaming.messages import encoded
+
+    e = playback(spark, d).select(
+        F.col("event_id").alias("offset"), F.concat(F.lit("e"), "event_id").alias("event_id"), F.col("user_id").cast("string").alias("user_id"), F.col("content_id").cast("string").alias("content_id"), "session_id", "event_type",
+        F.lit(0).alias("position_seconds"), F.col("watch_seconds").cast("int").alias("watch_seconds"), "event_timestamp", F.col("event_timestamp").alias("produced_timestamp"), (1 + (F.col("event_id") % 17 == 0).cast("int")).alias("payload_schema_version"))
+    n = F.col("offset")
+    good = e.select("offset", F.when(n % 13 == 0, encoded(8)).otherwise(encoded(7)).alias("v"), F.col("produced_timestamp").cast("timestamp").alias("timestamp"))
+    cut = F.expr("substring(v, 1, octet_length(v) - 1)")
+    value = F.when(n % 11 == 0, F.concat(F.unhex(F.lit("01")), "v")).when((n % 13 != 0) & (n % 19 == 0), cut).when((n % 13 != 0) & (n % 23 == 0), F.concat("v", F.unhex(F.lit("00")))).otherwise(F.col("v"))
+    return good.select(F.lit(None).cast("binary").alias("key"), value.alias("value"), F.lit("playback").alias("topic"), (n % 6).cast("int").alias("partition"), n.cast("long").alias("offset"), "timestamp")
+
+
+@query(f"WITH {PLAYBACK}, coded AS (SELECT *, {_CODE} AS code FROM playback) SELECT event_id AS offset, code AS error_type, CASE WHEN code IS NULL THEN watch_seconds END AS watch_seconds, CASE WHEN code IS NULL THEN session_id END AS session_id, CASE WHEN code IS NULL THEN epoch_us(event_timestamp) // 1000 END AS millis FROM coded")
+def decoded_records(spark, d):
+    from tidewater.streaming.contract import decoded
+
+    out = decoded(records(spark, d), 7)
+    ok = F.col("error_type").isNull()
+    return out.select("offset", "error_type", F.when(ok, F.col("watch_seconds")).cast("long").alias("watch_seconds"), F.when(ok, F.col("session_id")).alias("session_id"), F.when(ok, F.col("event_timestamp")).alias("millis"))
+
+
+@query(f"WITH {PLAYBACK} SELECT 'e' || event_id AS event_id, date_trunc('milliseconds', event_timestamp) AS event_timestamp, event_type, CAST(watch_seconds AS INTEGER) AS watch_seconds FROM playback WHERE {_CODE} IS NULL")
+def valid_events(spark, d):
+    from tidewater.streaming.contract import decoded, valid
+
+    return valid(decoded(records(spark, d), 7)).select("event_id", F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"), "event_type", "watch_seconds")
+
+
+@query(f"WITH {PLAYBACK} SELECT sha256(concat_ws(':', 'playback', CAST(event_id % 6 AS VARCHAR), CAST(event_id AS VARCHAR))) AS dlq_id, {_CODE} AS error_type, event_id AS source_offset, CAST(event_id % 6 AS INTEGER) AS source_partition, CAST(0 AS INTEGER) AS replay_count FROM playback WHERE {_CODE} IS NOT NULL")
 def dlq_split(spark, d):
-    from tidewater.streaming.contract import dlq_id
+    from tidewater.streaming.contract import dead_letters, decoded
+
+    return dead_letters(decoded(records(spark, d), 7)).select("dlq_id", "error_type", "source_offset", "source_partition", "replay_count")
+
+
+@query(f"WITH {PLAYBACK} SELECT sha256(concat_ws(':', 'playback', CAST(event_id % 6 AS VARCHAR), CAST(event_id AS VARCHAR))) AS key, {_CODE} AS error_type FROM playback WHERE {_CODE} IS NOT NULL")
+def dlq_messages(spark, d):
+    from tidewater.streaming.contract import dead_letters, decoded
+    from tidewater.streaming.messages import dead_letter_messages
+
+    out = dead_letter_messages(dead_letters(decoded(records(spark, d), 7)), "dead")
+    return out.select(F.col("key").cast("string").alias("key"), F.get_json_object(F.col("value").cast("string"), "$.error_type").alias("error_type"))
+
+
+@query(f"WITH {PLAYBACK} SELECT session_id AS key, event_timestamp AS produced, CAST(event_id % 7 = 0 AS VARCHAR) AS is_late, event_id % 29 = 0 AS cut_off, 6 AS headers FROM playback")
+def published_messages(spark, d):
+    from tidewater.streaming.messages import published
+
+    e = playback(spark, d).select(
+        F.col("event_id").cast("string").alias("event_id"), F.col("user_id").cast("string").alias("user_id"), F.col("content_id").cast("string").alias("content_id"), "session_id", "event_type", F.lit(0).alias("position_seconds"), F.col("watch_seconds").cast("int").alias("watch_seconds"),
+        "event_timestamp", F.col("event_timestamp").alias("produced_timestamp"), F.lit(1).alias("payload_schema_version"), (F.col("event_id") % 7 == 0).alias("is_late"), (F.col("event_id") % 29 == 0).alias("is_invalid"))
+    out = published(e, "playback", "run", 7)
+    return out.select(F.col("key").cast("string").alias("key"), F.col("timestamp").cast("timestamp_ntz").alias("produced"), F.col("headers")[2]["value"].cast("string").alias("is_late"), F.col("value").cast("string").startswith('{"event_id":').alias("cut_off"), F.size("headers").alias("headers"))
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the one that driver and executors share; a local one only where all runs on this machine."""
+    import tempfile
+    import uuid
+
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{(shared or 'file://' + tempfile.mkdtemp(prefix='tidewater-')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _streamed(spark: SparkSession, d: str) -> DataFrame:
+    """The events as a file stream that sends each of them twice."""
+    schema = read(spark, d, "events").schema
+    e = spark.readStream.schema(schema).parquet(f"{d}/events.parquet*")
+    kind = F.when(F.col("event_type") == "view", "playback_started").when(F.col("event_type") == "purchase", "playback_completed").otherwise("playback_progressed")
+    e = e.select("event_id", "user_id", F.get_json_object("props", "$.k").cast("long").alias("content_id"), F.col("ts").cast("timestamp").alias("event_timestamp"), kind.alias("event_type"), F.floor(F.col("value") * 10).cast("long").alias("watch_seconds"))
+    return e.withColumn("session_id", F.concat_ws("-", "user_id", "content_id", F.date_format("event_timestamp", "yyyyMMdd")))
+
+
+@query(_window_sql(*_USER))
+def stream_window_user(spark, d):
+    from tidewater.streaming.sinks import drained
+    from tidewater.streaming.windows import totals
+
+    out = drained(totals(_streamed(spark, d), *_USER, streaming=True), _scratch(spark, "stream-windows"), "complete")
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+@query(f"WITH {PLAYBACK} SELECT event_id, user_id, event_type, watch_seconds FROM playback")
+def stream_first_copies(spark, d):
+    from tidewater.session import SETTINGS
+    from tidewater.streaming.policy import on_time_once
+    from tidewater.streaming.sinks import drained
+
+    name = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(name, SETTINGS[name])
+    twice = _streamed(spark, d).withColumn("source_timestamp", F.col("event_timestamp")).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    return drained(on_time_once(twice), _scratch(spark, "stream-first")).select("event_id", "user_id", "event_type", "watch_seconds")
+
+
+# Tables
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, CAST(date_trunc('year', o_orderdate) AS DATE) AS year FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 5 = 0""")
+def store_upsert(spark, d):
+    # Even keys, then every fifth with a new status: those of both are replaced, the others added, by year.
+    from tidewater.sources.tables import Store
+
+    store, o = Store(spark, _scratch(spark, "store")), read(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.to_date(F.trunc("o_orderdate", "year")).alias("year"))
+    store.replace("t", o.where("o_orderkey % 2 = 0"), ["year"])
+    store.upsert("t", o.where("o_orderkey % 5 = 0").withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 10 == 0, "X").otherwise(F.col("o_orderstatus"))), ["o_orderkey", "year"])
+    return store.read("t")
+
+
+@query("SELECT 4 AS snapshots, 4 AS latest, 'compact' AS operation, (SELECT count(*) FROM customer) AS row_count, (SELECT count(*) FROM customer WHERE c_custkey % 2 = 0) AS first_rows, true AS same_again")
+def store_snapshots(spark, d):
+    # Create, append, append a run that is there already (nothing), append by buckets, compact.
+    from tidewater.sources.tables import Store
+
+    store, c = Store(spark, _scratch(spark, "store")), read(spark, d, "customer").withColumn("run", (F.col("c_custkey") % 3).cast("string"))
+    store.append("t", c.where("c_custkey % 2 = 0"))
+    store.append_buckets("t", c.where("c_custkey % 2 = 1"), "c_custkey", 2)
+    again = store.append_once({"t": c.where("run = '1'")}, "1", "run") == {"t": "skipped"}
+    store.compact("t", require_fewer=False)
+    s = store.snapshots_table("t")
+    newest = profile.latest_snapshot(s, "number", "committed_at").select("latest")
+    last = s.join(newest, s["number"] == newest["latest"]).select(F.lit(s.count()).alias("snapshots"), F.col("latest").cast("int").alias("latest"), "operation")
+    return last.withColumns({"row_count": F.lit(store.read("t").count()), "first_rows": F.lit(store.read("t", 1).count()), "same_again": F.lit(again)})
+
+
+@query("SELECT count(DISTINCT o_orderdate) AS days, true AS have_bytes FROM orders WHERE o_orderdate >= DATE '1995-01-01' AND o_orderdate < DATE '1995-04-01'")
+def store_files_in_range(spark, d):
+    from tidewater.sources.tables import Store
+
+    store = Store(spark, _scratch(spark, "store"))
+    o = read(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day")).where("day >= date'1994-12-01' and day < date'1995-05-01'")
+    store.replace("t", o.repartition("day"), ["day"])
+    return store.files_in_range("t", "1995-01-01", "1995-04-01").select(F.col("file_count").alias("days"), (F.col("total_bytes") > 0).alias("have_bytes"))
 
-    error = F.when(F.col("event_type") == "error", "contract_validation_failed").when(F.col("value") < 1, "avro_decode_failed")
-    e = read(spark, d, "events").withColumn("error_type", error).where("error_type is not null")
-    return e.select("event_id", "error_type", dlq_id(F.lit("playback"), F.col("user_id") % 6, F.col("event_id")).alias("dlq_id"))
+
+@query("""SELECT c_custkey, 'landing' AS _source_system, 'customer' AS _source_object, 'run-1' AS _pipeline_run_id, CAST(NULL AS INTEGER) AS _schema_version, true AS from_file, true AS ingestion_id_is_hash,
+sha256(to_json({'c_custkey': c_custkey, 'c_mktsegment': c_mktsegment, 'c_name': c_name, 'c_nationkey': c_nationkey})) AS _record_hash FROM customer""")
+def bronze_metadata(spark, d):
+    from datetime import datetime
+
+    from tidewater.sources.landing import with_metadata
+
+    c = read(spark, d, "customer").select("c_name", "c_custkey", "c_nationkey", "c_mktsegment")
+    m = with_metadata(c, "customer", "run-1", datetime(2026, 1, 1))
+    return m.select("c_custkey", "_source_system", "_source_object", "_pipeline_run_id", "_schema_version", F.col("_source_file").contains("/customer.parquet").alias("from_file"), (F.col("_ingestion_id") == F.sha2(F.concat_ws("||", F.lit("run-1"), "_source_file"), 256)).alias("ingestion_id_is_hash"), "_record_hash")
 
 
 # Profiles and checks
 
 
+@query(f"{_SHARES.split('SELECT city, count, round')[0]} SELECT city, count, round(CAST(count AS DOUBLE) / (SELECT sum(count) FROM counts), 6) AS share, CAST(row_number() OVER (ORDER BY count DESC, city NULLS FIRST) AS INTEGER) AS rank FROM counts")
+def skew_ranked(spark, d):
+    return profile.ranked(profile.distribution(enriched(spark, d), "city"), "city")
+
+
+@query("SELECT count(*) AS row_count, count(DISTINCT o_custkey) AS natural_keys, count(*) - count(DISTINCT o_custkey) AS retained_extra_versions FROM orders")
+def retained_versions(spark, d):
+    return profile.retained_versions(read(spark, d, "orders"), "o_custkey")
+
+
+@query("SELECT o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS latest, max(o_orderdate) AS committed_at FROM orders GROUP BY 1")
+def latest_by_time(spark, d):
+    return profile.latest_snapshot(read(spark, d, "orders"), "o_orderkey", "o_orderdate", ["o_custkey"])
+
+
+@query("""WITH s AS (SELECT o_orderstatus, count(*) AS count, round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM orders), 6) AS share FROM orders GROUP BY 1)
+SELECT *, CASE o_orderstatus WHEN 'F' THEN 0.3 WHEN 'O' THEN 0.5 WHEN 'P' THEN 0.9 END AS configured, abs(share - CASE o_orderstatus WHEN 'F' THEN 0.3 WHEN 'O' THEN 0.5 WHEN 'P' THEN 0.9 END) <= 0.3 AS agrees FROM s""")
+def category_rates(spark, d):
+    return profile.category_rates(read(spark, d, "orders"), "o_orderstatus", {"F": 0.3, "O": 0.5, "P": 0.9}, 0.3)
+
+
+@query("SELECT p_partkey, string_split(lower(trim(p_type)), ' ')[1] AS first_genre, to_json(string_split(lower(trim(p_type)), ' ')) AS as_json FROM part")
+def genre_texts(spark, d):
+    genres = F.transform(F.split("p_type", " "), lambda g: F.lower(F.trim(g)))
+    return read(spark, d, "part").select("p_partkey", silver.first_genre(genres).alias("first_genre"), F.to_json(genres).alias("as_json"))
+
+
+_M = "18446744073709551616::UHUGEINT"
+
+
+@query(f"""WITH a AS (SELECT o_orderkey, ((o_orderkey::UHUGEINT + 11400714819323198485::UHUGEINT) % {_M})::UBIGINT AS z FROM orders),
+b AS (SELECT o_orderkey, ((xor(z, z >> 30)::UHUGEINT * 13787848793156543929::UHUGEINT) % {_M})::UBIGINT AS z FROM a), c AS (SELECT o_orderkey, ((xor(z, z >> 27)::UHUGEINT * 10723151780598845931::UHUGEINT) % {_M})::UBIGINT AS z FROM b),
+e AS (SELECT o_orderkey, xor(z, z >> 31) AS z FROM c) SELECT o_orderkey, CASE WHEN z >= 9223372036854775808 THEN (z::HUGEINT - 18446744073709551616::HUGEINT)::BIGINT ELSE z::BIGINT END AS h FROM e""")
+def splitmix_numbers(spark, d):
+    from tidewater.functions import splitmix64
+
+    return read(spark, d, "orders").select("o_orderkey", splitmix64(F.col("o_orderkey")).alias("h"))
+
+
+@query("SELECT table_name, CAST(ordinal_position AS INTEGER) AS ordinal, column_name FROM information_schema.columns WHERE table_name IN ('orders', 'events', 'part')")
+def information_schema(spark, d):
+    return checks.columns_of({n: read(spark, d, n) for n in ("orders", "events", "part")}).drop("data_type")
+
+
+@query("SELECT 'orders' AS table_name, 'o_orderdate' AS column_name, 'unexpected' AS fault UNION ALL SELECT t, c, 'missing' FROM (SELECT unnest(['orders', 'part']) AS t), (SELECT unnest(['event_timestamp', 'created']) AS c) UNION ALL SELECT 'good', 'created', 'missing'")
+def test_feature_timestamps(spark, d):
+    o = read(spark, d, "orders")
+    return checks.wrong_feature_timestamps(checks.columns_of({"orders": o, "part": read(spark, d, "part"), "good": o.select("o_orderkey", F.col("o_orderdate").alias("event_timestamp"))}))
+
+
+@query("SELECT 'events' AS table_name, 'Created' AS column_name")
+def test_gold_forbids_created(spark, d):
+    return checks.forbidden_created(checks.columns_of({"events": read(spark, d, "events").withColumn("Created", F.col("ts")), "part": read(spark, d, "part")}))
+
+
+@query("SELECT 'missing: ' || c AS fault FROM (SELECT unnest(['content_id', 'event_id', 'session_id']) AS c) WHERE c NOT IN (SELECT column_name FROM information_schema.columns WHERE table_name = 'events')")
+def test_required_columns(spark, d):
+    return spark.createDataFrame([(f,) for f in checks.required_columns(read(spark, d, "events"), ["content_id", "event_id", "session_id"])], "fault string")
+
+
+@query("SELECT event_id FROM events WHERE event_id % 3 = 0")
+def test_created_not_before_event(spark, d):
+    e = read(spark, d, "events").select("event_id", F.col("ts").alias("event_timestamp"), (F.col("ts") + F.when(F.col("event_id") % 3 == 0, F.expr("interval -1 hour")).otherwise(F.expr("interval 0 hour"))).alias("created"))
+    return checks.created_after_event(e).select("event_id")
+
+
+@query(f"WITH {SESSIONS}, {DIM} SELECT user_id, user_sk FROM dim_user WHERE user_id % 11 = 0")
+def test_valid_ranges(spark, d):
+    broken = dim_user(spark, d).withColumn("valid_to_ts", F.when(F.col("user_id") % 11 == 0, F.col("valid_from_ts")).otherwise(F.col("valid_to_ts")))
+    return checks.valid_ranges(broken).select("user_id", "user_sk")
+
+
+@query(f"WITH {SESSIONS}, {DIM} SELECT user_id, valid_from_ts FROM dim_user WHERE user_id % 13 = 0")
+def test_surrogate_key(spark, d):
+    broken = dim_user(spark, d).withColumn("user_sk", F.when(F.col("user_id") % 13 == 0, F.lower("user_sk")).otherwise(F.col("user_sk")))
+    return checks.surrogate_recomputed(broken, "user_id", "user_sk").select("user_id", "valid_from_ts")
+
+
+@query("SELECT o_orderpriority AS model, count(*) AS tests, CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS passed, CAST(count_if(o_orderstatus <> 'F') AS BIGINT) AS failed FROM orders GROUP BY 1")
+def test_summary(spark, d):
+    return checks.summary(read(spark, d, "orders").select(F.col("o_orderpriority").alias("model"), F.when(F.col("o_orderstatus") == "F", "pass").otherwise("fail").alias("status")))
+
+
+@query("SELECT 'c_name' AS column_name, CAST(count_if(c_name IS NULL) AS BIGINT) = 0 AS ok FROM customer UNION ALL SELECT 'c_nationkey', count_if(c_nationkey NOT IN (0, 1, 2, 3)) = 0 FROM customer UNION ALL SELECT 'rows', count(*) >= 1 FROM customer")
+def test_expectations(spark, d):
+    r = checks.expectations(read(spark, d, "customer"), ["c_custkey"], ["c_name"], {"c_nationkey": [0, 1, 2, 3]})
+    return spark.createDataFrame([("c_name", r["null_c_name"]), ("c_nationkey", r["set_c_nationkey"]), ("rows", r["row_count"])], "column_name string, ok boolean")
+
+
+@query("SELECT 'dim-user' AS contract, CAST(3 AS BIGINT) AS tests, CAST(2 AS BIGINT) AS passed, CAST(1 AS BIGINT) AS failed")
+def contract_roll_up(spark, d):
+    from tidewater.plans import contracts
+
+    c = next(x for x in contracts.CONTRACTS if x.name == "dim-user")
+    # One version stands twice: the assertion on its key fails.
+    dim = dim_user(spark, d).unionByName(dim_user(spark, d).where("user_id % 10 = 0"))
+    rows = [(c.name, k, "pass" if n == 0 else "fail") for k, n in c.failures(dim).items()]
+    return contracts.roll_up(spark.createDataFrame(rows, "contract string, assertion string, status string")).withColumnRenamed("model", "contract")
+
+
 @query("SELECT o_orderstatus, count(*) AS row_count, CAST(count_if(o_totalprice > 400000) AS BIGINT) AS null_count FROM orders GROUP BY 1")
 def schema_evolution(spark, d):
     o = read(spark, d, "orders").withColumn("score", F.when(F.col("o_totalprice") <= 400000, F.col("o_totalprice")))
@@ -419,9 +663,10 @@ def test_scd2_changes_only(spark, d):
     return checks.only_changes(timeline(spark, d), "user_id").select("user_id", "valid_from_ts", "record_hash")
 
 
-@query("SELECT event_id, user_id FROM events WHERE user_id NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT event_id, user_id FROM events WHERE user_id NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 40 = 0)")
 def test_relationships(spark, d):
-    return checks.relationships(read(spark, d, "events"), "user_id", read(spark, d, "orders"), "o_custkey").select("event_id", "user_id")
+    # The parent lacks some keys: their events are reported.
+    return checks.relationships(read(spark, d, "events"), "user_id", read(spark, d, "orders").where("o_orderkey % 40 = 0"), "o_custkey").select("event_id", "user_id")
 
 
 @query("SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0")
@@ -465,11 +710,14 @@ def range_scan(spark, d):
     return read(spark, d, "events").where("ts >= timestamp_ntz'2024-01-05' and ts < timestamp_ntz'2024-01-12'").agg(F.count("*").alias("row_count"), F.round(F.sum("value"), 2).alias("total"))
 
 
-@query()
+@query("SELECT count(DISTINCT user_id) AS distinct_users, true AS within_bound FROM events")
 def hll_profile(spark, d):
-    return profile.distinct_estimate(read(spark, d, "events"), "user_id")
+    # The estimate itself depends on the sketch; its error must lie within four standard deviations, 1.04 / sqrt(2^14) each.
+    e = read(spark, d, "events")
+    both = profile.distinct_estimate(e, "user_id").crossJoin(e.agg(F.countDistinct("user_id").alias("distinct_users")))
+    return both.select("distinct_users", (F.abs(F.col("distinct_estimate") - F.col("distinct_users")) <= 4 * 1.04 / 128 * F.col("distinct_users") + 1).alias("within_bound"))
 
 
-@query()
+@query("SELECT 1 AS file_count, count(*) AS least_rows, count(*) AS most_rows, true AS have_bytes FROM lineitem")
 def file_stats(spark, d):
-    return profile.file_statistics(read(spark, d, "lineitem"))
+    return profile.file_statistics(read(spark, d, "lineitem")).select(F.col("file_count").cast("int").alias("file_count"), "least_rows", "most_rows", (F.col("total_bytes") > 0).alias("have_bytes"))

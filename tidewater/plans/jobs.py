@@ -11,11 +11,17 @@ from graphlib import TopologicalSorter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.operators import checks, history, marts, silver
+from tidewater.operators import checks, history, marts, profile, silver
 from tidewater.sources import landing
 from tidewater.sources.tables import Store
 
 LOG = logging.getLogger(__name__)
+LINEAGE = "governance.lineage"
+#: Key of the versions and natural key of each Silver table.
+SILVER_KEYS = {
+    "stg_users": (["user_id", "source_updated_timestamp"], "user_id"), "stg_subscriptions": (["user_id", "source_updated_timestamp"], "user_id"),
+    "stg_content": (["content_id", "source_updated_timestamp"], "content_id"), "stg_playback_events": (["event_id"], None),
+}
 
 
 @dataclass(frozen=True)
@@ -41,6 +47,12 @@ class Run:
     lineage: list[tuple[str, list[str], list[str]]] = field(default_factory=list)
     metrics: dict = field(default_factory=dict)
 
+    def record(self, source: str, inputs: list[str], outputs: list[str]) -> None:
+        """Notes what was made of what, here and in the lineage table."""
+        self.lineage.append((source, inputs, outputs))
+        rows = [(self.run_id, self.started, source, i, o) for i in inputs for o in outputs]
+        self.store.append(LINEAGE, self.spark.createDataFrame(rows, "run_id string, started timestamp_ntz, source string, input string, output string"))
+
     def group(self, name: str) -> None:
         self.spark.sparkContext.setJobGroup(self.run_id, name)
 
@@ -58,6 +70,46 @@ def _none(df: DataFrame, what: str) -> None:
         raise Invalid(what)
 
 
+def committed(run: Run, inputs: dict[str, int]) -> dict[str, int]:
+    """Rows of this run in each Bronze table; they must be as many as were read."""
+    out = {}
+    for name, want in inputs.items():
+        have = out[name] = run.store.read(f"bronze.raw_{name}").where(F.col("_pipeline_run_id") == run.run_id).count()
+        if have != want:
+            raise Invalid(f"bronze.raw_{name} has {have} rows of run {run.run_id}, {want} were read")
+    return out
+
+
+def staged(run: Run) -> dict[str, dict]:
+    """Rows, keys, duplicates and retained versions of the Silver tables; duplicates and completion rates out of range are errors."""
+    out = {}
+    for name, (keys, natural) in SILVER_KEYS.items():
+        df = run.store.read(f"silver.{name}")
+        r = df.agg(F.count("*").alias("rows"), F.countDistinct(F.struct(*keys)).alias("keys")).first()
+        out[name] = {"rows": r["rows"], "unique_business_keys": r["keys"], "duplicates": r["rows"] - r["keys"]}
+        if natural:
+            v = profile.retained_versions(df, natural).first()
+            out[name] |= {"natural_keys": v["natural_keys"], "retained_extra_versions": v["retained_extra_versions"]}
+        if out[name]["duplicates"]:
+            raise Invalid(f"silver.{name} has a key twice")
+    written = run.store.read("silver.int_playback_sessions")
+    _none(checks.unique_combination(written, ["session_id"]), "a session id stands twice")
+    _none(checks.between(written, "completion_rate", 0, 1), "a completion rate is out of range")
+    return out
+
+
+def validate(run: Run) -> dict:
+    """Checks landing files and written tables without writing any."""
+    run.group("validate")
+    frames = landing.read_all(run.spark, run.landing_root, run.options.scenario, run.options.merge_content)
+    for name, df in frames.items():
+        if df.isEmpty():
+            raise Invalid(f"{name} is empty")
+    run.metrics["bronze_rows"] = committed(run, {k: df.count() for k, df in frames.items()})
+    run.metrics["silver"] = staged(run)
+    return run.summary()
+
+
 def ingest(run: Run) -> None:
     """Landing to Bronze: checks columns, emptiness and the cutover, then appends once per run id. Duplicates stay."""
     run.group("ingest")
@@ -70,7 +122,8 @@ def ingest(run: Run) -> None:
     _none(frames["playback_events"].where(F.col("event_timestamp") >= F.lit(run.options.cutover).cast("timestamp")), "playback events at or after the cutover")
     rows = {f"bronze.raw_{k}": landing.with_metadata(df, k, run.run_id, run.started) for k, df in frames.items()}
     run.metrics["ingest"] = run.store.append_once(rows, run.run_id)
-    run.lineage.append((run.landing_root, list(frames), list(rows)))
+    run.metrics["bronze_rows"] = committed(run, {k: df.count() for k, df in frames.items()})
+    run.record(run.landing_root, list(frames), list(rows))
 
 
 def stage(run: Run) -> None:
@@ -85,12 +138,8 @@ def stage(run: Run) -> None:
     runtimes = silver.current_content(run.store.read("silver.stg_content"))
     sessions = silver.sessions(run.store.read("silver.stg_playback_events"), runtimes, F.lit(run.started), run.run_id, run.options.session_partitions, run.options.completion_threshold)
     run.store.replace("silver.int_playback_sessions", sessions)
-    written = run.store.read("silver.int_playback_sessions")
-    _none(checks.unique_combination(written, ["session_id"]), "a session id stands twice")
-    _none(checks.between(written, "completion_rate", 0, 1), "a completion rate is out of range")
-    for name, keys in (("stg_users", ["user_id", "source_updated_timestamp"]), ("stg_content", ["content_id", "source_updated_timestamp"]), ("stg_playback_events", ["event_id"])):
-        _none(checks.unique_combination(run.store.read(f"silver.{name}"), keys), f"{name} has a key twice")
-    run.lineage.append(("bronze", [f"bronze.raw_{k}" for k in raw], ["silver.int_playback_sessions"]))
+    run.metrics["silver"] = staged(run)
+    run.record("bronze", [f"bronze.raw_{k}" for k in raw], ["silver.int_playback_sessions"])
 
 
 def model(run: Run) -> None:
@@ -112,7 +161,7 @@ def model(run: Run) -> None:
             _none(bad, f"dim_{name}: {what}")
     obt, mart = store.read("gold.obt_user_content_engagement"), store.read("gold.mart_content_trending")
     _none(checks.rollup_conservation(store.read("gold.fact_playback_session"), obt, mart), "totals differ between layers")
-    run.lineage.append(("silver", ["silver.int_playback_sessions"], ["gold.mart_content_trending", "gold.obt_user_content_engagement"]))
+    run.record("silver", ["silver.int_playback_sessions"], ["gold.mart_content_trending", "gold.obt_user_content_engagement"])
 
 
 def features(run: Run) -> None:
@@ -124,7 +173,12 @@ def features(run: Run) -> None:
         if faults := checks.feature_timestamps(df):
             raise Invalid(f"{name}: {faults}")
         store.replace(f"feature.{name}", df)
-    run.lineage.append(("gold", ["gold.mart_content_trending"], [f"feature.{k}" for k in made]))
+    run.record("gold", ["gold.mart_content_trending"], [f"feature.{k}" for k in made])
+
+
+def explained(df: DataFrame, mode: str = "formatted") -> str:
+    """The physical plan's text, as a benchmark keeps it beside its times."""
+    return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
 
 
 def publish(run: Run, mirror: bool = False) -> None:

@@ -55,14 +55,23 @@ def write_windows(events: DataFrame, store: Store, prefix: str, checkpoint: str,
 
 
 def drained(df: DataFrame, path: str, mode: str = "append") -> DataFrame:
-    """Runs a stream over all that is there now into Parquet files, one folder per batch, and reads them; of complete outputs the last."""
+    """Runs a stream over all that is there now into Parquet files, one folder per batch, and reads them; of complete outputs the last.
+
+    Without batches that have no data: state with a processing-time limit asks for ever more of these, and the run would not end.
+    """
     last: list[int] = []
+    empty, conf = "spark.sql.streaming.noDataMicroBatches.enabled", df.sparkSession.conf
+    was = conf.get(empty)
 
     def put(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/out/batch={number}")
         last[:] = [number]
 
-    df.writeStream.outputMode(mode).foreachBatch(put).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    conf.set(empty, "false")
+    try:
+        df.writeStream.outputMode(mode).foreachBatch(put).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        conf.set(empty, was)
     reader = df.sparkSession.read.schema(df.schema)
     if not last:
         return df.sparkSession.createDataFrame([], df.schema)
