@@ -204,6 +204,8 @@ def scored(docs: DataFrame) -> DataFrame:
     found = sorted((r["bin"], r["times"]) for r in histogram.collect())
     kept = n - sum(t for _, t in found)
     learned = weights(found, kept, n_docs - n_deleted, v)
+    if not n:
+        learned[:] = 0, 0, 1
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

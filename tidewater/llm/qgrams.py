@@ -6,8 +6,8 @@ WIDTH diagonals and goes on for e more, so each such alignment lies in one band
 banded alignment of the whole item against the text around the band. Characters are the UTF-8 bytes of letters and digits, A-Z as
 a-z: spacing, line breaks and punctuation don't count.
 
-The items are the query set: they come to the driver in blocks of at most BLOCK_BYTES, each block's index goes to all tasks, and
-every document is read whole.
+The items are the query set: the driver indexes them in blocks of at most BLOCK_BYTES of text, and the plan carries the indexes of all blocks
+to the tasks; so memory grows with the benchmark, never with the documents. Every document is read whole.
 
 Defined cases: null and empty texts and items match nothing; items of fewer than q characters match nothing; repeated items and rows
 match each for itself; without items nothing is contaminated; extra columns pass through ``drop_contaminated``; a document is
@@ -150,7 +150,7 @@ class Items:
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[Items]:
-    """The items in blocks of bounded size; one block is at the driver at a time."""
+    """Indexes of the items, in blocks of bounded size."""
     ids, texts, size = [], [], 0
     for r in benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").orderBy("item_id", "text").toLocalIterator():
         ids.append(r["item_id"])
