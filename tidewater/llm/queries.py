@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.llm import crf, deleted_interpolation, divergence, domtrees, linechunks, mixing, qgrams, setsketch, sharding, urlrules
 from tidewater.llm.common import table
+from tidewater.llm.oracles import ORACLE_SQL as ORACLE_SQL
 
 
 def op1_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,4 +50,3 @@ def op9_dom_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_divergence, op2_label_propagation, op3_golden_mix, op6_setsketch, op4_deleted_interpolation, op5_crf, op10_qgrams, op7_line_chunks, op8_url_rules, op9_dom_trees)}
-ORACLE_SQL: dict[str, str] = {}
