@@ -69,13 +69,13 @@ def playback(spark: SparkSession, n: int, n_users: int, n_content: int, seed: in
         at.alias("event_timestamp"), at.alias("produced_timestamp"), F.lit(1).cast("long").alias("payload_schema_version"))
 
 
-def land(spark: SparkSession, root: str, scenario: str = "smoke", n_users: int = 200, n_content: int = 50, n_events: int = 3000, seed: int = 1, duplicates: float = 0.02) -> None:
+def land(spark: SparkSession, root: str, scenario: str = "smoke", n_users: int = 200, n_content: int = 50, n_events: int = 3000, seed: int = 1, duplicates: float = 0.02, days: int = 7, start: str = START) -> None:
     """Writes a scenario's landing files: two deliveries of master data and the playback history by day."""
     makers = {"users": lambda k: users(spark, n_users, seed, k), "subscriptions": lambda k: subscriptions(spark, n_users, seed, k), "content": lambda k: content(spark, n_content, seed, k)}
     for name, make in makers.items():
         for k, day in enumerate(("2026-01-01", "2026-01-02")):
             make(k).write.parquet(f"{root}/recurring/{name}/scenario={scenario}/delivery_date={day}/schema_version={k + 1 if name == 'content' else 1}")
-    events = with_duplicates(playback(spark, n_events, n_users, n_content, seed), duplicates, seed, "event_id")
+    events = with_duplicates(playback(spark, n_events, n_users, n_content, seed, days, start), duplicates, seed, "event_id")
     events.withColumn("event_date", F.to_date("event_timestamp")).write.partitionBy("event_date").parquet(f"{root}/bootstrap/playback_events/scenario={scenario}")
 
 
