@@ -318,6 +318,61 @@ def test_language_model(spark, docs, texts, monkeypatch):
     assert deleted_interpolation.scored(empty(spark)).count() == 0
 
 
+def octave_steps(c):
+    return round(4 * math.log2(c + 1))
+
+
+@pytest.mark.parametrize("fan", [2, 3, 512])
+def test_scores_equal_brute_force(spark, monkeypatch, fan):
+    """Every score from dictionaries of all counts, through one level of the exchange and through several."""
+    r = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(r.choice(vocabulary[: 3 + i % 57]) for _ in range(r.choice([0, 1, 7, 40, 90])))) for i in range(150)]
+    rows += [(7, "w1 w2 w1"), (7, "w1 w2 w1"), (8, None), (None, "W1 w2 \x0b w3")]
+    monkeypatch.setattr(deleted_interpolation, "BATCH_BYTES", 1_000)
+    monkeypatch.setattr(deleted_interpolation, "FAN", fan)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    size = sum(len(t or "") for _, t in rows)
+    assert deleted_interpolation.levels(-(-size // 1_000))[0] == {2: 4, 3: 3, 512: 1}[fan]
+    drawn = {x[0] for x in df.where(F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(deleted_interpolation.DELETED)) == 0).select("doc_id").collect()}
+    items = [(i, [*words(lower(t)), None]) for i, t in rows]
+    held = [zlib.crc32(str("" if i is None else i).encode()) % 5 == 1 for i, _ in items]
+    full, rest = (Counter(), Counter()), (Counter(), Counter())
+    starts, kept_starts = 0, 0
+    for (i, tok), out in zip(items, held, strict=True):
+        if not out:
+            starts += 1
+            full[0].update(tok), full[1].update(zip(["<"] + tok, tok, strict=False))
+            if i not in drawn:
+                kept_starts += 1
+                rest[0].update(tok), rest[1].update(zip(["<"] + tok, tok, strict=False))
+    n, v, kept = sum(full[0].values()), len(full[0]), sum(rest[0].values())
+    bins = Counter()
+    for (i, tok), out in zip(items, held, strict=True):
+        if not out and i in drawn:
+            for h, w in zip(["<"] + tok, tok, strict=False):
+                step = 1023 if h == "<" else octave_steps(rest[0][h])
+                bins[step << 20 | octave_steps(rest[1][h, w]) << 10 | octave_steps(rest[0][w])] += 1
+    assert bins
+    learned = deleted_interpolation.weights(sorted(bins.items()), kept, kept_starts, v)
+    want = Counter()
+    for (i, tok), out in zip(items, held, strict=True):
+        score = 0
+        for h, w in zip(["<"] + tok, tok, strict=False):
+            context = starts if h == "<" else full[0][h]
+            l2, l1, l0 = learned[int(math.log2(context)) + 1 if context else 0]
+            score += math.log10(l2 * full[1][h, w] / max(context, 1) + l1 * full[0][w] / n + l0 / (v + 1))
+        want[i, out, len(tok), sum(full[0][w] > 0 for w in tok), n, round(score, 6)] += 1
+    got = Counter((x.doc_id, x.held_out, x.n_tokens, x.n_known, x.train_tokens, round(x.score, 6)) for x in deleted_interpolation.scored(df).collect())
+    assert got == want
+
+
+def test_levels_of_the_exchange_grow_with_the_logarithm():
+    for batches, depth in ((1, 1), (512, 1), (513, 2), (512**2, 2), (12_500_000, 3)):
+        found, fan = deleted_interpolation.levels(batches)
+        assert found == depth and fan <= 512 and fan**depth >= batches
+
+
 def test_weights_are_those_of_a_brute_em():
     r = np.random.default_rng(3)
     bins = [(int(h) << 20 | int(min(h, x)) << 10 | int(w), int(t)) for h, x, w, t in zip(r.integers(4, 60, 50), r.integers(0, 30, 50), r.integers(1, 60, 50), r.integers(1, 9, 50), strict=True)]

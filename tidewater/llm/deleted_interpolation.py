@@ -5,10 +5,13 @@ octaves. The weights of each bucket are learned by expectation-maximisation on h
 documents is deleted from the counts and predicted from the rest. The final estimates use the counts of all training documents.
 
 Nothing of the corpus's size is broadcast or collected. Documents are dealt to batches of about BATCH_BYTES. Each batch asks once
-for every n-gram it holds, giving its own counts with the question; questions are dealt by ranges of the n-grams' hashes, so that a
-frequent word costs one entry per batch; the parts sum the counts and answer each batch; the batch then has all counts of its
-tokens. Questions and answers are delta-coded and compressed. To the driver comes a histogram of the held-out tokens' counts
-over quarter octaves, whose size the logarithms of the counts bound.
+for every n-gram it holds, giving its own counts with the question; the counts are summed and sent back; the batch then has all
+counts of its tokens. Questions go up a butterfly of nodes: a node of level k holds one of f^k ranges of the n-grams' hashes for
+f^k batches, merges the questions of at most f nodes below it and splits them into f ranges for the level above; the last level
+holds all batches, answers, and answers go down the same way. So a frequent word costs one entry per batch, each node holds about
+as much as a batch, and n batches exchange f n log n rows, not n^2. f is at most FAN. Questions and answers are delta-coded and
+compressed. To the driver comes a histogram of the held-out tokens' counts over quarter octaves, whose size the logarithms of the
+counts bound.
 
 Defined cases: a null text is an empty one, whose one token is the end; a null doc_id counts as the empty string in the split; an
 empty table gives no rows; without any training token probabilities are uniform; repeated rows count and are scored one by one.
@@ -31,6 +34,8 @@ BATCH_BYTES = 8 << 20
 DELETED = 10
 STEPS_PER_OCTAVE = 4
 EM_ROUNDS = 60
+#: Most ranges that a node splits its questions into.
+FAN = 512
 
 START, END = (int(x) for x in mixed(np.arange(2, dtype=np.uint64), 101))
 
@@ -69,13 +74,67 @@ def _keys(tokens: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return tokens & ~one, grams(pair, 2)[::2] | one
 
 
-def _parts(keys: np.ndarray, parts: int) -> np.ndarray:
-    return ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+ASKED = pa.schema([("span", pa.int64()), ("crowd", pa.int64()), ("child", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+ANSWERED = pa.schema([("span", pa.int64()), ("crowd", pa.int64()), ("part", pa.int64()), ("known", pa.int64()), ("counts", pa.binary())])
+COUNTED = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n", pa.int64()), ("counts", pa.binary())])
+
+
+def _ddl(schema: pa.Schema) -> str:
+    kinds = {pa.int64(): "long", pa.int32(): "int", pa.binary(): "binary", pa.bool_(): "boolean"}
+    return ", ".join(f"{f.name} {kinds[f.type]}" for f in schema)
+
+
+def levels(batches: int) -> tuple[int, int]:
+    """Levels of the butterfly over so many batches, and the fan of each: the least fan of at most FAN over the fewest levels."""
+    depth = 1
+    while FAN**depth < batches:
+        depth += 1
+    fan = 1
+    while fan**depth < batches:
+        fan += 1
+    return depth, fan
+
+
+def _split(keys: np.ndarray, totals: np.ndarray, span: int, crowd: int, child: int, level: int, fan: int) -> pa.Table:
+    """Questions for the nodes of a level: sorted keys of the range ``span`` of the level below and their counts, by the range of this level."""
+    # 2^32 values of the keys' upper halves are dealt to fan^level ranges.
+    part = ((keys >> np.uint64(32)) * np.uint64(fan**level)) >> np.uint64(32)
+    ranges, starts = np.unique(part, return_index=True)
+    ends = np.append(starts[1:], len(keys))
+    cut = list(zip(starts.tolist(), ends.tolist(), strict=True))
+    n = len(cut)
+    columns = [ranges.astype(np.int64), np.full(n, crowd, np.int64), np.full(n, child, np.int64)]
+    packed = [_pack(np.diff(keys[a:b], prepend=np.uint64(0))) for a, b in cut], [_pack(totals[:, a:b].ravel()) for a, b in cut]
+    return pa.table([*columns, *(pa.array(x, pa.binary()) for x in packed)], ASKED)
+
+
+def _merge(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int], list[int]]:
+    """Distinct keys of a node's questions, their summed counts, the place of each asked key among them, the children and where each one's questions end."""
+    asked = [np.cumsum(_unpack(b), dtype=np.uint64) for b in t.column("keys").to_pylist()]
+    given = np.concatenate([_unpack(b).reshape(2, -1) for b in t.column("counts").to_pylist()], axis=1)
+    keys, at = np.unique(np.concatenate(asked), return_inverse=True)
+    totals = np.stack([np.bincount(at, g, len(keys)) for g in given]).astype(np.uint64)
+    return keys, totals, at, t.column("child").to_pylist(), np.cumsum([len(a) for a in asked]).tolist()
+
+
+def _replies(t: pa.Table, totals: np.ndarray, at: np.ndarray, children: list[int], ends: list[int], known: int, fan: int) -> pa.Table:
+    """The counts that each child of a node asked for; the number of known words goes with the first one."""
+    span = t.column("span")[0].as_py()
+    n = len(children)
+    counts = [_pack(totals[:, at[a:b]].ravel()) for a, b in zip([0, *ends], ends, strict=False)]
+    return pa.table([[span // fan] * n, children, [span] * n, [known] + [0] * (n - 1), pa.array(counts, pa.binary())], ANSWERED)
+
+
+def _answers(t: pa.Table) -> tuple[np.ndarray, int]:
+    """Counts of a node's distinct keys in their order, from the answers of its ranges, and the sum of the known words that came with them."""
+    got = sorted(zip(t.column("part").to_pylist(), t.column("counts").to_pylist(), strict=True), key=lambda x: x[0])
+    return np.concatenate([_unpack(b).reshape(2, -1) for _, b in got], axis=1), sum(t.column("known").to_pylist())
 
 
 def counted(docs: DataFrame, batches: int) -> DataFrame:
-    """docs: (doc_id, text, held_out, deleted). Rows of kind 0: a document and its tokens' counts c(w), c(h, w); 1: a batch's histogram of deleted tokens; 2: a part's number of words."""
-    docs = docs.withColumn("batch", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(batches)).cast("int"))
+    """docs: (doc_id, text, held_out, deleted). Rows of kind 0: a document and its tokens' counts c(w), c(h, w); 1: a batch's histogram of deleted tokens; 2: a batch's share of the number of words."""
+    depth, fan = levels(batches)
+    docs = docs.withColumn("crowd", F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches))).withColumn("span", F.lit(0).cast("long"))
 
     def ask(t: pa.Table) -> pa.Table:
         tokens, counts = _tokens(t.column("text"))
@@ -83,69 +142,64 @@ def counted(docs: DataFrame, batches: int) -> DataFrame:
         train = np.repeat(~t.column("held_out").to_numpy(), counts)
         deleted = np.repeat(t.column("deleted").to_numpy(), counts)
         keys, at = np.unique(np.concatenate([uni, bi]), return_inverse=True)
-        sums = [np.bincount(at, np.concatenate([x, x]), len(keys)).astype(np.uint64) for x in (train, deleted)]
-        part = _parts(keys, batches)
-        ends = np.searchsorted(part, np.arange(batches + 1, dtype=np.uint64))
-        out = {"part": [], "batch": [], "keys": [], "counts": []}
-        for p in range(batches):
-            a, b = ends[p], ends[p + 1]
-            if a < b:
-                out["part"].append(p)
-                out["batch"].append(t.column("batch")[0].as_py())
-                out["keys"].append(_pack(np.diff(keys[a:b], prepend=np.uint64(0))))
-                out["counts"].append(_pack(np.concatenate([sums[0][a:b], sums[1][a:b]])))
-        return pa.table(out, pa.schema([("part", pa.int32()), ("batch", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]))
+        totals = np.stack([np.bincount(at, np.concatenate([x, x]), len(keys)) for x in (train, deleted)]).astype(np.uint64)
+        batch = t.column("crowd")[0].as_py()
+        return _split(keys, totals, 0, batch // fan, batch, 1, fan)
+
+    def forward(level: int):
+        def run(t: pa.Table) -> pa.Table:
+            keys, totals, _, _, _ = _merge(t)
+            span, crowd = t.column("span")[0].as_py(), t.column("crowd")[0].as_py()
+            return _split(keys, totals, span, crowd // fan, crowd, level + 1, fan)
+
+        return run
 
     def answer(t: pa.Table) -> pa.Table:
-        asked = [np.cumsum(_unpack(b)) for b in t.column("keys").to_pylist()]
-        given = [_unpack(b).reshape(2, -1) for b in t.column("counts").to_pylist()]
-        keys, at = np.unique(np.concatenate(asked), return_inverse=True)
-        totals = np.stack([np.bincount(at, np.concatenate([g[k] for g in given]), len(keys)) for k in (0, 1)]).astype(np.uint64)
-        ends = np.cumsum([len(a) for a in asked])
-        part = t.column("part")[0].as_py()
-        out = {"part": [part] * len(asked), "batch": t.column("batch").to_pylist(), "counts": [_pack(totals[:, at[e - len(a) : e]].ravel()) for a, e in zip(asked, ends.tolist(), strict=True)]}
+        keys, totals, at, children, ends = _merge(t)
         known = int(((keys & np.uint64(1) == 0) & (totals[0] > 0)).sum())
-        out["part"].append(-1)
-        out["batch"].append(part)
-        out["counts"].append(known.to_bytes(8, "little"))
-        return pa.table(out, pa.schema([("part", pa.int32()), ("batch", pa.int32()), ("counts", pa.binary())]))
+        return _replies(t, totals, at, children, ends, known, fan)
+
+    def back(t: pa.Table, answers: pa.Table) -> pa.Table:
+        _, _, at, children, ends = _merge(t)
+        totals, known = _answers(answers)
+        return _replies(t, totals, at, children, ends, known, fan)
 
     def gather(t: pa.Table, answers: pa.Table) -> pa.Table:
-        kinds, ids, held, number, blobs = [], [], [], [], []
-        got = sorted(zip(answers.column("part").to_pylist(), answers.column("counts").to_pylist(), strict=True), key=lambda x: x[0])
-        for p, b in got:
-            if p < 0:
-                kinds.append(2), ids.append(None), held.append(None), number.append(int.from_bytes(b, "little")), blobs.append(None)
-        if len(t):
-            tokens, counts = _tokens(t.column("text"))
-            uni, bi = _keys(tokens, counts)
-            at = np.unique(np.concatenate([uni, bi]), return_inverse=True)[1]
-            totals = np.concatenate([_unpack(b).reshape(2, -1) for p, b in got if p >= 0], axis=1)
-            n = len(tokens)
-            w, hw = totals[0][at[:n]], totals[0][at[n:]]
-            ends = np.cumsum(counts)
-            for i, (e, c) in enumerate(zip(ends.tolist(), counts.tolist(), strict=True)):
-                kinds.append(0), number.append(c), blobs.append(_pack(np.concatenate([w[e - c : e], hw[e - c : e]])))
-            ids += t.column("doc_id").to_pylist()
-            held += t.column("held_out").to_pylist()
-            deleted = np.repeat(t.column("deleted").to_numpy(), counts)
-            if deleted.any():
-                rest = totals[0] - totals[1]
-                w, hw = rest[at[:n]], rest[at[n:]]
-                h = np.empty_like(w)
-                h[1:] = w[:-1]
-                first = np.zeros(n, bool)
-                first[ends - counts] = True
-                step = lambda c: np.round(STEPS_PER_OCTAVE * np.log2(c.astype(float) + 1)).astype(np.int64)
-                bins = np.where(first, 1023, step(h)) << 20 | step(hw) << 10 | step(w)
-                bins, times = np.unique(bins[deleted], return_counts=True)
-                kinds.append(1), ids.append(None), held.append(None), number.append(0)
-                blobs.append(_pack(np.concatenate([bins.astype(np.uint64), times.astype(np.uint64)])))
-        return pa.table({"kind": kinds, "doc_id": ids, "held_out": held, "n": number, "counts": blobs}, pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n", pa.int64()), ("counts", pa.binary())]))
-
-    asked = docs.groupBy("batch").applyInArrow(ask, "part int, batch int, keys binary, counts binary")
-    answers = asked.groupBy("part").applyInArrow(answer, "part int, batch int, counts binary")
-    return docs.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(gather, "kind int, doc_id long, held_out boolean, n long, counts binary")
+        tokens, counts = _tokens(t.column("text"))
+        uni, bi = _keys(tokens, counts)
+        at = np.unique(np.concatenate([uni, bi]), return_inverse=True)[1]
+        totals, known = _answers(answers)
+        n = len(tokens)
+        w, hw = totals[0][at[:n]], totals[0][at[n:]]
+        ends = np.cumsum(counts)
+        kinds, ids, held, number, blobs = [2], [None], [None], [known], [None]
+        for e, c in zip(ends.tolist(), counts.tolist(), strict=True):
+            kinds.append(0), number.append(c), blobs.append(_pack(np.concatenate([w[e - c : e], hw[e - c : e]])))
+        ids += t.column("doc_id").to_pylist()
+        held += t.column("held_out").to_pylist()
+        deleted = np.repeat(t.column("deleted").to_numpy(), counts)
+        if deleted.any():
+            rest = totals[0] - totals[1]
+            w, hw = rest[at[:n]], rest[at[n:]]
+            h = np.empty_like(w)
+            h[1:] = w[:-1]
+            first = np.zeros(n, bool)
+            first[ends - counts] = True
+            step = lambda c: np.round(STEPS_PER_OCTAVE * np.log2(c.astype(float) + 1)).astype(np.int64)
+            bins = np.where(first, 1023, step(h)) << 20 | step(hw) << 10 | step(w)
+            bins, times = np.unique(bins[deleted], return_counts=True)
+            kinds.append(1), ids.append(None), held.append(None), number.append(0)
+            blobs.append(_pack(np.concatenate([bins.astype(np.uint64), times.astype(np.uint64)])))
+        return pa.table({"kind": kinds, "doc_id": ids, "held_out": held, "n": number, "counts": blobs}, COUNTED)
+
+    node = ["span", "crowd"]
+    up = [docs.groupBy(*node).applyInArrow(ask, _ddl(ASKED))]
+    for level in range(1, depth):
+        up.append(up[-1].groupBy(*node).applyInArrow(forward(level), _ddl(ASKED)))
+    down = up[-1].groupBy(*node).applyInArrow(answer, _ddl(ANSWERED))
+    for level in range(depth - 1, 0, -1):
+        down = up[level - 1].groupBy(*node).cogroup(down.groupBy(*node)).applyInArrow(back, _ddl(ANSWERED))
+    return docs.groupBy(*node).cogroup(down.groupBy(*node)).applyInArrow(gather, _ddl(COUNTED))
 
 
 def _bucket(h: np.ndarray) -> np.ndarray:
