@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewater.llm import crf, deleted_interpolation, divergence, domtrees, linechunks, mixing, qgrams, setsketch, sharding, urlrules
+from tidewater.llm import bpe, crf, deleted_interpolation, divergence, domtrees, linechunks, mixing, qgrams, setsketch, sharding, urlrules, whitening
 from tidewater.llm.common import table
 from tidewater.llm.oracles import ORACLE_SQL as ORACLE_SQL
 
@@ -49,4 +50,16 @@ def op9_dom_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return domtrees.extracted(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_divergence, op2_label_propagation, op3_golden_mix, op6_setsketch, op4_deleted_interpolation, op5_crf, op10_qgrams, op7_line_chunks, op8_url_rules, op9_dom_trees)}
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = bpe.vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    found = bpe.decoded(bpe.encoded(table(spark, sf_dir, "documents"), ranks), ranks)
+    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_svd_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_divergence, op2_label_propagation, op3_golden_mix, op6_setsketch, op4_deleted_interpolation, op5_crf, op10_qgrams, op7_line_chunks, op8_url_rules, op9_dom_trees, op11_bpe, op13_svd_whitening)}
