@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, crf, deleted_interpolation, divergence, domtrees, linechunks, mixing, qgrams, setsketch, sharding, urlrules, whitening
+from tidewater.llm import bpe, conversations, crf, deleted_interpolation, divergence, domtrees, linechunks, mixing, qgrams, setsketch, sharding, urlrules, whitening
 from tidewater.llm.common import table
 from tidewater.llm.oracles import ORACLE_SQL as ORACLE_SQL
 
@@ -58,8 +58,13 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = table(spark, sf_dir, "conversations")
+    return conversations.audited(conversations.edited(conversations.damaged(talks)), talks)
+
+
 def op13_svd_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_divergence, op2_label_propagation, op3_golden_mix, op6_setsketch, op4_deleted_interpolation, op5_crf, op10_qgrams, op7_line_chunks, op8_url_rules, op9_dom_trees, op11_bpe, op13_svd_whitening)}
+QUERIES = {f.__name__: f for f in (op1_divergence, op2_label_propagation, op3_golden_mix, op6_setsketch, op4_deleted_interpolation, op5_crf, op10_qgrams, op7_line_chunks, op8_url_rules, op9_dom_trees, op11_bpe, op12_conversation_repair, op13_svd_whitening)}
