@@ -105,7 +105,7 @@ def test_each_distinct_word_is_encoded_once(spark, monkeypatch):
     parts: dict[bytes, set[int]] = {}
     for at in range(0, 20, 5):
         for part, blob in bpe.Block(texts.slice(at, 5), KINDS, 7).asked():
-            sizes, data = bpe.unpacked(blob, np.uint8)
+            sizes, data = bpe.unpacked(blob)
             ends = np.cumsum(sizes)
             words = [data[e - n : e].tobytes() for n, e in zip(sizes, ends, strict=True)]
             assert len(words) == len(set(words))

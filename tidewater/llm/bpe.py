@@ -38,7 +38,7 @@ from tidewater.llm.tokens import mixed, slices
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 #: Bytes of a block's texts, about (one longer text is a block of its own); of all texts per bucket and part of the vocabulary.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 BUCKET_BYTES, PART_BYTES = 64 << 20, 256 << 20
 #: Spark's own limit on buckets.
 MOST_BUCKETS = 100_000
@@ -168,7 +168,7 @@ class Block:
             two.append(h2[found])
             size = (ends - begins)[found]
             self.words.append((size, data[ragged(begins[found], size)]))
-            self.slices.append((row, len(offsets) - 1, np.bincount(rows, minlength=len(offsets) - 1), number + at))
+            self.slices.append((row, len(offsets) - 1, np.bincount(rows, minlength=len(offsets) - 1), (number + at).astype(np.int32)))
             at += len(found)
         one, two = np.concatenate([np.zeros(0, np.uint64), *one]), np.concatenate([np.zeros(0, np.uint64), *two])
         found, number = distinct(one, two)
@@ -192,16 +192,16 @@ class Block:
 
 
 def packed(sizes: np.ndarray, data: np.ndarray) -> bytes:
-    """Runs of bytes or ids: their number, whether all lengths fit a byte, lengths, content."""
-    short = not len(sizes) or int(sizes.max()) < 256
-    return np.array([len(sizes), short], np.uint32).tobytes() + sizes.astype(np.uint8 if short else np.uint32).tobytes() + data.tobytes()
+    """Runs of bytes or ids: their number, the width of lengths and of items, lengths, items; all in as few bytes as the largest needs."""
+    least = lambda x: x.astype(np.min_scalar_type(int(x.max())) if len(x) else np.uint8)
+    sizes, data = least(sizes), least(data)
+    return np.array([len(sizes), sizes.itemsize, data.itemsize], np.uint32).tobytes() + sizes.tobytes() + data.tobytes()
 
 
-def unpacked(blob: bytes, kind: type) -> tuple[np.ndarray, np.ndarray]:
-    """(lengths, content) of what ``packed`` gave."""
-    n, short = np.frombuffer(blob, np.uint32, 2).tolist()
-    sizes = np.frombuffer(blob, np.uint8 if short else np.uint32, n, 8)
-    return sizes.astype(np.int64), np.frombuffer(blob[8 + sizes.nbytes :], kind)
+def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(lengths, items) of what ``packed`` gave."""
+    n, wide, item = np.frombuffer(blob, np.uint32, 3).tolist()
+    return np.frombuffer(blob[12 : 12 + n * wide], f"u{wide}").astype(np.int64), np.frombuffer(blob[12 + n * wide :], f"u{item}")
 
 
 def _dealt(docs: DataFrame, key: str, text: str, buckets: int) -> DataFrame:
@@ -252,7 +252,7 @@ def encoded(docs: DataFrame, ranks: dict[bytes, int], key: str = "doc_id", text:
         known: dict[bytes, np.ndarray] = {}
         for batch in batches:
             for i in range(len(batch)):
-                sizes, data = unpacked(batch.column("words")[i].as_py(), np.uint8)
+                sizes, data = unpacked(batch.column("words")[i].as_py())
                 data, ids, at = data.tobytes(), [], 0
                 for n in sizes.tolist():
                     word = data[at : at + n]
@@ -265,9 +265,9 @@ def encoded(docs: DataFrame, ranks: dict[bytes, int], key: str = "doc_id", text:
 
     def reassemble(t: pa.Table, answers: pa.Table) -> pa.Table:
         block = Block(t.column("text").combine_chunks(), np.frombuffer(zlib.decompress(kinds), np.uint8), parts)
-        given = [unpacked(blob, np.uint32) for _, blob in sorted(zip(answers.column("part").to_pylist(), answers.column("ids").to_pylist(), strict=True))]
+        given = [unpacked(blob) for _, blob in sorted(zip(answers.column("part").to_pylist(), answers.column("ids").to_pylist(), strict=True))]
         lengths = np.concatenate([np.zeros(0, np.int64), *[n for n, _ in given]])
-        flat = np.concatenate([np.zeros(0, np.uint32), *[i for _, i in given]])
+        flat = np.concatenate([np.zeros(0, np.uint32), *[i.astype(np.uint32) for _, i in given]])
         if len(lengths) != len(block.found):
             raise RuntimeError("a block's words and their ids do not match")
         starts = np.cumsum(lengths) - lengths
