@@ -6,7 +6,8 @@ maxima of both sides' registers, so sketches merge; equal registers are likely f
 LSH keys. Pairs that share a band are estimated from both sketches jointly, by the likelihood of the counts of larger, smaller
 and equal registers given both set sizes; what is far below the threshold goes, the rest is verified on full sets.
 
-Skew: equal sets are one class, represented by its smallest doc_id, before anything is compared. Within a band's bucket all
+Skew: equal sets are one class, with a number of its own, before anything is compared. Links and components are between classes, and
+a row belongs to the class of its own text: rows that share a doc_id need not share anything else. Within a band's bucket all
 members are compared with a few hubs only. Where members then still lie in several components, those outside the largest are
 compared with all others, in blocks, by the triangle inequality over the distances to the hubs and by sketch. What may be similar
 is verified block by block: each block gets the sets of its members once, not once per pair, and skips pairs of components that it
@@ -16,9 +17,10 @@ left out.
 Bands: BANDS x ROWS registers; a pair at similarity 0.8 shares no band with a probability below (1 - 0.8^5)^40 = 1.3e-7.
 
 Defined cases: null and empty texts, and texts of white space, have no shingles, are their own component and are kept; with fewer
-words than a shingle has, the whole sequence is the one shingle; rows without doc_id are never removed and link nothing; rows
-that share a doc_id and text share its component; among near-duplicates the smallest doc_id stays; an empty table gives no rows;
-extra columns pass through ``drop_near_duplicates``.
+words than a shingle has, the whole sequence is the one shingle; rows without doc_id are never removed and link nothing; rows that
+share a doc_id but not the text are documents of their own, each with its own links (a component is named by its smallest doc_id, so
+two may have one name); among near-duplicates the smallest doc_id stays, of its rows the longest text (then the greatest digest), of
+rows that share both one; an empty table gives no rows; extra columns pass through ``drop_near_duplicates``.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import fresh, written
@@ -50,14 +52,12 @@ BLOCK_SHINGLES, PART_SHINGLES = 1 << 20, 1 << 22
 #: Low bits of a bucket's number that hold its band; rows of the table of bits that stands for a set of ids, 64 bits each.
 BAND_BITS = 6
 BIT_ROWS = 1 << 20
-#: Bits of a shingle's hash in exact sets; 16 more tell the rows of a slice apart while sets are made.
-SET_BITS = 48
 
-SKETCH = "doc_id long, n_shingles long, digest binary, sketch binary"
+SKETCH = "doc_id long, text_key binary, n_chars long, n_shingles long, digest binary, sketch binary"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles of each row, as sorted (row << SET_BITS | hash), and the number of each row's."""
+    """Distinct shingles of each row, as 64-bit hashes, the rows' one after the other and each sorted; and the number of each row's."""
     h, rows, _, _ = words(data, offsets)
     n = len(offsets) - 1
     count = np.bincount(rows, minlength=n)
@@ -70,11 +70,21 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.n
             first = np.concatenate([[0], np.cumsum(count)[:-1]])[short]
             out.append(grams(h, k)[first] if k > 1 else mixed(h[first], 1))
             at.append(short)
-    g, at = np.concatenate(out), np.concatenate(at).astype(np.uint64)
-    keys = np.sort((at << np.uint64(SET_BITS)) | (g >> np.uint64(64 - SET_BITS)))
-    if len(keys):
-        keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
-    return keys, np.bincount((keys >> np.uint64(SET_BITS)).astype(np.int64), minlength=n)
+    g, at = np.concatenate(out), np.concatenate(at)
+    order = np.argsort(g)
+    # A slice has 65,536 rows at most, and numpy sorts short numbers stably in linear time.
+    order = order[np.argsort(at[order].astype(np.uint16), kind="stable")]
+    g, at = g[order], at[order]
+    if len(g):
+        new = np.concatenate([[True], (g[1:] != g[:-1]) | (at[1:] != at[:-1])])
+        g, at = g[new], at[new]
+    return g, np.bincount(at, minlength=n)
+
+
+def digests(elements: np.ndarray, starts: np.ndarray) -> list[bytes]:
+    """128 bits for each run of elements that begins at starts, whatever its order."""
+    both = np.stack([np.add.reduceat(mixed(elements, s), starts) for s in (17, 19)], 1).tobytes()
+    return [both[16 * k : 16 * k + 16] for k in range(len(starts))]
 
 
 def registers(elements: np.ndarray, starts: np.ndarray, m: int = REGISTERS) -> np.ndarray:
@@ -93,25 +103,28 @@ def registers(elements: np.ndarray, starts: np.ndarray, m: int = REGISTERS) -> n
 
 
 def sketched(docs: DataFrame, size: int) -> DataFrame:
-    """One row per document: doc_id, n_shingles, digest and registers of its set (null without shingles)."""
+    """One row per document: doc_id, a digest of its text and its length, n_shingles, digest and registers of its set (null without shingles)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0)
-            for row, data, offsets in slices(batch.column(1)):
-                keys, count = shingle_sets(data, offsets, size)
+            for row, data, offsets in slices(batch.column("text")):
+                elements, count = shingle_sets(data, offsets, size)
                 n, full = len(count), np.flatnonzero(count)
                 starts = (np.cumsum(count) - count)[full]
-                digests, sketches = [None] * n, [None] * n
+                found, sketches = [None] * n, [None] * n
                 if len(full):
-                    elements = keys & np.uint64((1 << SET_BITS) - 1)
-                    sums = [np.add.reduceat(mixed(elements, s), starts) for s in (17, 19)]
-                    both = np.stack(sums, 1).tobytes()
-                    found = registers(elements, starts)
+                    own, some = digests(elements, starts), registers(elements, starts)
                     for k, i in enumerate(full.tolist()):
-                        digests[i], sketches[i] = both[16 * k : 16 * k + 16], found[k].tobytes()
-                yield pa.RecordBatch.from_arrays([ids.slice(row, n), pa.array(count, pa.int64()), pa.array(digests, pa.binary()), pa.array(sketches, pa.binary())], ["doc_id", "n_shingles", "digest", "sketch"])
+                        found[i], sketches[i] = own[k], some[k].tobytes()
+                part = batch.slice(row, n)
+                yield pa.RecordBatch.from_arrays([
+                    *(part.column(c) for c in ("doc_id", "text_key", "n_chars")), pa.array(count, pa.int64()), pa.array(found, pa.binary()), pa.array(sketches, pa.binary())], [c.split()[0] for c in SKETCH.split(", ")])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(docs).alias("text_key"), F.length("text").cast("long").alias("n_chars"), "text").mapInArrow(run, SKETCH)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SKETCH)
+
+def text_key(docs: DataFrame) -> Column:
+    """A digest of the text: with the doc_id it names a row among all that differ from it."""
+    return F.unhex(F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary")))
 
 
 def jaccard(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
@@ -151,8 +164,8 @@ def estimated(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFr
                 ok = np.flatnonzero(e >= threshold - MARGIN - SLACK)
                 yield pa.RecordBatch.from_arrays([part.column("a").take(ok), part.column("b").take(ok), pa.array(e[ok])], ["a", "b", "estimate"])
 
-    left = sketches.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("sa"))
-    right = sketches.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("sb"))
+    left = sketches.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("sa"))
+    right = sketches.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("sb"))
     joined = pairs.join(left, "a").join(right, "b").where(F.least("na", "nb") >= threshold * F.greatest("na", "nb"))
     return joined.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long, estimate double")
 
@@ -176,25 +189,29 @@ def narrowed(df: DataFrame, key: str, ids: DataFrame, rest: bool = False) -> Dat
     return found.where(~there if rest else there).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def exact_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """(doc_id, items): the set of each listed document, and of a few more, as sorted 5-byte numbers."""
+def exact_sets(docs: DataFrame, nodes: DataFrame, reps: DataFrame, size: int) -> DataFrame:
+    """(node, items): the set of each listed class (one column), as sorted 64-bit numbers, from texts of its smallest doc_id.
+
+    Rows of that id with another text have another digest; those with the same digest have the same set.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, data, offsets in slices(batch.column(1)):
-                keys, count = shingle_sets(data, offsets, size)
-                packed = np.ascontiguousarray((keys >> np.uint64(8)).view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
-                ends = np.cumsum(count)
-                sets = [packed[5 * (e - c) : 5 * e] for e, c in zip(ends.tolist(), count.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(count)), pa.array(sets, pa.binary())], ["doc_id", "items"])
+                elements, count = shingle_sets(data, offsets, size)
+                full, ends, packed = np.flatnonzero(count), np.cumsum(count), elements.tobytes()
+                own = digests(elements, (ends - count)[full]) if len(full) else []
+                sets = [packed[8 * (e - c) : 8 * e] for e, c in zip(ends[full].tolist(), count[full].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(count)).take(pa.array(full)), pa.array(count[full], pa.int64()), pa.array(own, pa.binary()), pa.array(sets, pa.binary())], ["doc_id", "n_shingles", "digest", "items"])
 
-    found = narrowed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id", ids).mapInArrow(run, "doc_id long, items binary")
-    return found.groupBy("doc_id").agg(F.first("items").alias("items"))
+    key = ["doc_id", "n_shingles", "digest"]
+    wanted = reps.join(nodes.distinct().toDF("node"), "node").select("node", *key)
+    found = narrowed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id", wanted.select("doc_id"))
+    sets = found.mapInArrow(run, "doc_id long, n_shingles long, digest binary, items binary").groupBy(*key).agg(F.min("items").alias("items"))
+    return sets.join(wanted, key).select("node", "items")
 
 
 def unpack(b: bytes) -> np.ndarray:
-    out = np.zeros((len(b) // 5, 8), np.uint8)
-    out[:, :5] = np.frombuffer(b, np.uint8).reshape(-1, 5)
-    return out.view(np.uint64).ravel()
+    return np.frombuffer(b, np.uint64)
 
 
 def shared_items(x: np.ndarray, y: np.ndarray) -> int:
@@ -217,7 +234,7 @@ def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 linked.append(100 * common >= percent * union)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(far, pa.float64()), pa.array(linked, pa.bool_())], ["a", "b", "far", "linked"])
 
-    left, right = sets.select(F.col("doc_id").alias("a"), F.col("items").alias("ia")), sets.select(F.col("doc_id").alias("b"), F.col("items").alias("ib"))
+    left, right = sets.select(F.col("node").alias("a"), F.col("items").alias("ia")), sets.select(F.col("node").alias("b"), F.col("items").alias("ib"))
     return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ia", "ib").mapInArrow(run, "a long, b long, far double, linked boolean")
 
 
@@ -228,7 +245,7 @@ def _across(inside: DataFrame, labels: DataFrame, reps: DataFrame, tested: DataF
     component need no comparison with each other; the others, in blocks of BLOCK, are compared with all, who are dealt to parts of
     PART (fewer where sets are large). By sketch, and by the triangle inequality where distances of both to a hub were measured.
     """
-    sized = narrowed(reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch"), "id", inside.select("id"))
+    sized = narrowed(reps.select(F.col("node").alias("id"), F.col("n_shingles").alias("n"), "sketch"), "id", inside.select("id"))
     named = inside.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")).join(sized.select("id", "n"), "id")
     counts = named.groupBy("bucket", "component").agg(F.count("*").alias("rows"), F.sum("n").alias("n"))
     main = counts.groupBy("bucket").agg(
@@ -322,19 +339,20 @@ def _verified(waiting: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     out.append((min(ids[i], j), max(ids[i], j)))
         return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
-    found = waiting.join(sets.withColumnRenamed("doc_id", "id"), "id")
+    found = waiting.join(sets.withColumnRenamed("node", "id"), "id")
     return found.groupBy("bucket", "block", "share").applyInArrow(run, "a long, b long")
 
 
-def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(documents with n_shingles and class representative, components of the representatives that have links)."""
+def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents with n_shingles and digest, classes with their node, digest and smallest doc_id, components of the nodes that have links)."""
     threshold = percent / 100
     thin = written(sketched(docs, size), "near-sketches")
-    # A digest of 128 bits and the size stand for the set: equal sets are one class.
-    classes = thin.where("doc_id is not null and n_shingles > 0").groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"))
-    reps = written(classes.select(F.col("rep").alias("doc_id"), "n_shingles", "sketch", "digest"), "near-classes")
+    # A digest of 128 bits and the size stand for the set: equal sets are one class, and have equal sketches.
+    classes = thin.where("doc_id is not null and n_shingles > 0").groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("doc_id"), F.min("sketch").alias("sketch"))
+    # Written at once, so a class keeps its number.
+    reps = written(classes.withColumn("node", F.monotonically_increasing_id()), "near-classes")
     band = lambda i: F.xxhash64(F.lit(i), F.substring("sketch", 2 * ROWS * i + 1, 2 * ROWS)).bitwiseAND(F.lit(-1 << BAND_BITS)).bitwiseOR(F.lit(i))
-    bands = reps.select(F.col("doc_id").alias("id"), F.explode(F.array(*map(band, range(BANDS)))).alias("bucket"))
+    bands = reps.select(F.col("node").alias("id"), F.explode(F.array(*map(band, range(BANDS)))).alias("bucket"))
     # Most buckets hold one document: these go by a count, before anything wider is made of them.
     several = bands.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
     shared = written(bands.join(several, "bucket"), "near-shared")
@@ -342,44 +360,67 @@ def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFram
     hubs = shared.groupBy("bucket").agg(*[F.min_by("id", F.struct(F.xxhash64(F.lit(30 + k), "id"), "id")).alias(f"h{k}") for k in range(HUBS)])
     inside = written(shared.join(hubs, "bucket"), "near-buckets")
     pairs = inside.select("id", F.explode(F.array(*[f"h{k}" for k in range(HUBS)])).alias("hub")).where("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
-    few = narrowed(reps.select("doc_id", "n_shingles", "sketch"), "doc_id", inside.select("id"))
+    few = narrowed(reps.select("node", "n_shingles", "sketch"), "node", inside.select("id"))
     waiting = written(estimated(pairs, few, threshold).select("a", "b"), "near-close")
     # Written, not only shuffled: the joins then read plain rows on both sides, and Spark splits the partitions of hot hubs.
-    sets = written(exact_sets(docs, waiting.select("a").union(waiting.select("b")), size), "near-sets")
+    sets = written(exact_sets(docs, waiting.select("a").union(waiting.select("b")), reps, size), "near-sets")
     tested = written(compared(waiting, sets, percent), "near-compared")
     edges = tested.where("linked").select("a", "b")
     labels = components(edges)
     waiting = written(_across(inside.where("members > 2"), labels, reps, tested, threshold), "near-waiting")
     if not waiting.isEmpty():
-        found = written(_verified(waiting, exact_sets(docs, waiting.select("id"), size), percent), "near-across")
+        found = written(_verified(waiting, exact_sets(docs, waiting.select("id"), reps, size), percent), "near-across")
         # The former components stand for their links.
         labels = components(found.union(labels.select(F.col("id").alias("a"), F.col("component").alias("b"))))
-    rep = reps.select("digest", "n_shingles", F.col("doc_id").alias("rep"))
-    members = thin.select("doc_id", "n_shingles", "digest").join(rep, ["digest", "n_shingles"], "left").select("doc_id", "n_shingles", "rep")
-    return members, labels
+    return thin.drop("sketch"), reps.drop("sketch"), labels
+
+
+def grouped(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """One row per document: doc_id, text_key, n_chars, n_shingles, group (of near-duplicates; null: in none), component_id, kept."""
+    thin, reps, labels = links(docs, size, percent)
+    nodes = reps.join(labels.withColumnRenamed("id", "node"), "node", "left").select("digest", "n_shingles", F.col("doc_id").alias("rep"), F.coalesce("component", "node").alias("group"))
+    # Components are named by their smallest doc_id; of most, that is the only one of a single class.
+    named = nodes.groupBy("group").agg(F.min("rep").alias("least"))
+    found = thin.join(nodes.join(named, "group"), ["digest", "n_shingles"], "left")
+    own = F.col("doc_id").isNotNull()
+    component = F.when(own, F.coalesce("least", "doc_id"))
+    return found.select("doc_id", "text_key", "n_chars", "n_shingles", F.when(own, F.col("group")).alias("group"), component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
-    members, labels = links(docs, size, percent)
-    found = members.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
-    return found.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
+    return grouped(docs, size, percent).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group, with its own columns; documents without doc_id or shingles all stay."""
-    found = written(near_duplicates(docs, size, percent), "near-found")
-    gone = found.where("not kept").select("doc_id").distinct()
-    # Most rows surely stay: they, and their texts, are not shuffled for the few that are looked up.
-    # A left join, as an anti-join would be pushed below the look-up and shuffle all rows.
-    flag = fresh(docs, "_gone")
-    unsure = narrowed(docs, "doc_id", gone).join(gone.withColumn(flag, F.lit(True)), "doc_id", "left").where(F.col(flag).isNull()).select(*[F.col(f"`{c}`") for c in docs.columns])
-    left = narrowed(docs, "doc_id", gone, rest=True).unionByName(unsure)
-    again = found.where("kept and n_shingles > 0 and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    found = written(grouped(docs, size, percent), "near-found")
+    # Of the rows that carry a group's smallest doc_id one text stays, and of that one row.
+    texts = found.where(F.col("kept") & F.col("group").isNotNull()).groupBy("group", "doc_id", "text_key").agg(F.max("n_chars").alias("n_chars"), F.count("*").alias("rows"))
+    best = texts.groupBy("group").agg(F.max(F.struct("n_chars", "text_key")).alias("best"))
+    texts = texts.join(best, "group").select("doc_id", "text_key", "rows", (F.col("best.text_key") == F.col("text_key")).alias("stays"))
+    several = written(texts.where("rows > 1 or not stays"), "near-several")
+    gone = found.where("not kept").select("doc_id", "text_key").union(several.where("not stays").select("doc_id", "text_key")).distinct()
+    left = _looked_up(docs, gone, stay=False)
+    again = several.where("stays").select("doc_id", "text_key")
     if again.isEmpty():
         return left
-    # Rows of one doc_id that both stayed: one of them goes.
-    at = fresh(docs, "_at")
-    twice = left.join(again, "doc_id", "left_semi").withColumn(at, F.row_number().over(Window.partitionBy("doc_id").orderBy(F.length("text").desc(), "text"))).where(F.col(at) == 1).drop(at)
-    return left.join(again, "doc_id", "left_anti").unionByName(twice)
+    key = fresh(docs, "_text_key")
+    once = _looked_up(left, again, stay=True).withColumn(key, text_key(left)).dropDuplicates(["doc_id", key]).drop(key)
+    return _looked_up(left, again, stay=False).unionByName(once)
+
+
+def _looked_up(docs: DataFrame, keys: DataFrame, stay: bool) -> DataFrame:
+    """The rows of docs that are (``stay``) or are not among the keys (doc_id, text_key).
+
+    Most rows are surely not: they, and their texts, are not shuffled for the few that are looked up. By a left join, as an anti-join
+    would be pushed below the look-up and shuffle all rows.
+    """
+    flag, key = fresh(docs, "_found"), fresh(docs, "_text_key")
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    maybe = narrowed(docs, "doc_id", keys.select("doc_id")).withColumn(key, text_key(docs))
+    there = keys.select(F.col("doc_id").alias(f"{flag}id"), F.col("text_key").alias(f"{flag}key"), F.lit(True).alias(flag))
+    joined = maybe.join(there, (maybe["doc_id"] == there[f"{flag}id"]) & (maybe[key] == there[f"{flag}key"]), "left")
+    if stay:
+        return joined.where(F.col(flag)).select(*own)
+    return narrowed(docs, "doc_id", keys.select("doc_id"), rest=True).unionByName(joined.where(F.col(flag).isNull()).select(*own))
