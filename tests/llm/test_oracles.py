@@ -13,6 +13,8 @@ from tidewater.llm import queries
 TABLES = {"op6_setsketch": "documents", "op8_url_rules": "pages"}
 URLS = [None, "", "no scheme", "http://", "://x.org/a", "HTTP://WWW.Example.ORG/es/1", "http://example.org", "http://example.org?x=/es/", "http://org/", "http://notexample.org/es/", "a://b.com/de/?q#f",
     "http://xcom/fr/", "http://a-b--c.net//9/x%20?k=&=v&k=1234&k=12#", "http://a.net/\n?p\n=1#x\ny", "http://EXAMPLE.com/fr/É?ref=É", "http://a.net/x", "http://a.net/x"]
+MANY = "&".join(f"p{k}=v{k}" for k in range(20))
+URLS += [f"http://{h}/{p}?{MANY}" for h, p in [("a.org", "x"), ("b.com", "de/x")] * 15 + [("c.net", "y")] * 10] + [f"http://e.net/?p{k}=v{k}" for k in range(3)]
 
 
 def texts() -> list[str | None]:

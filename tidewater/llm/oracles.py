@@ -33,7 +33,7 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, coalesce(component, rep) AS comp
 FROM members LEFT JOIN labels ON id = rep
 """
 
-#: Every set of a page's tokens is listed: a page has some 15 tokens at most.
+#: Tokens that the same labelled pages have are one class; of the classes that stand under both labels every set that a page has is listed.
 URL_RULES = r"""
 WITH parts AS (
   SELECT row_number() OVER () AS row, page_id, url, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path,
@@ -59,27 +59,43 @@ WITH parts AS (
   FROM pieces
 ), judged AS (
   SELECT * EXCLUDE tokens, list_sort(list_distinct(tokens)) AS tokens FROM tagged
-), subsets AS (
-  SELECT row, said, list_where(tokens, list_transform(range(1, len(tokens) + 1), lambda i: (mask >> (i - 1)) & 1 = 1)) AS antecedent
-  FROM (SELECT row, said, tokens, unnest(range(1, CAST(2 ** len(tokens) AS BIGINT))) AS mask FROM judged)
 ), labelled AS (
-  SELECT count(*) AS n, CASE WHEN count(*) FILTER (said = 'block') > count(*) FILTER (said = 'allow') THEN 'block' ELSE 'allow' END AS common FROM judged WHERE said IS NOT NULL
+  SELECT count(*) AS n, ceil(CAST(0.002 AS DOUBLE) * count(*)) AS least, CASE WHEN count(*) FILTER (said = 'block') > count(*) FILTER (said = 'allow') THEN 'block' ELSE 'allow' END AS common
+  FROM judged WHERE said IS NOT NULL
+), places AS (
+  SELECT token, list(row ORDER BY row) AS places, count(*) FILTER (said = 'allow') AS allow, count(*) FILTER (said = 'block') AS block
+  FROM (SELECT row, said, unnest(tokens) AS token FROM judged WHERE said IS NOT NULL) GROUP BY token
+), classes AS (
+  SELECT min(token) AS class, list(token) AS members, min(allow) AS allow, min(block) AS block FROM places, labelled WHERE greatest(allow, block) >= least GROUP BY places
+), of AS (
+  SELECT row, said, class, max(token) AS shown, allow > 0 AND block > 0 AS mixed
+  FROM (SELECT row, said, unnest(tokens) AS token FROM judged) JOIN (SELECT class, unnest(members) AS token, allow, block FROM classes) USING (token) GROUP BY row, said, class, mixed
+), baskets AS (
+  SELECT row, said, list(class ORDER BY class) AS items FROM of WHERE mixed AND said IS NOT NULL GROUP BY row, said
+), subsets AS (
+  SELECT said, list_where(items, list_transform(range(1, len(items) + 1), lambda i: (mask >> (i - 1)) & 1 = 1)) AS antecedent
+  FROM (SELECT said, items, unnest(range(1, CAST(2 ** len(items) AS BIGINT))) AS mask FROM baskets)
 ), frequent AS (
-  SELECT antecedent, said, count(*) AS often, sum(count(*)) OVER (PARTITION BY antecedent) AS freq FROM subsets WHERE said IS NOT NULL GROUP BY antecedent, said
+  SELECT antecedent, said, count(*) AS often, sum(count(*)) OVER (PARTITION BY antecedent) AS freq FROM subsets GROUP BY antecedent, said
 ), rules AS (
   SELECT antecedent, said AS says, CAST(often AS DOUBLE) / CAST(freq AS DOUBLE) AS sure, CAST(often AS DOUBLE) / CAST(n AS DOUBLE) AS support
-  FROM frequent, labelled WHERE often >= ceil(CAST(0.002 AS DOUBLE) * n) AND CAST(often AS DOUBLE) / CAST(freq AS DOUBLE) >= CAST(0.8 AS DOUBLE)
+  FROM frequent, labelled WHERE often >= least AND CAST(often AS DOUBLE) / CAST(freq AS DOUBLE) >= CAST(0.8 AS DOUBLE)
 ), shorter AS (
   SELECT antecedent AS longer, says, sure, list_where(antecedent, list_transform(range(1, len(antecedent) + 1), lambda i: i <> gone)) AS antecedent
   FROM (SELECT *, unnest(range(1, len(antecedent) + 1)) AS gone FROM rules)
 ), needless AS (
   SELECT DISTINCT s.longer, s.says FROM shorter s JOIN rules r ON r.antecedent = s.antecedent AND r.says = s.says AND r.sure >= s.sure
 ), index AS (
-  SELECT * FROM rules r WHERE NOT EXISTS (SELECT 1 FROM needless WHERE longer = r.antecedent AND needless.says = r.says)
+  SELECT row_number() OVER () AS id, antecedent, says, sure, support FROM (
+    SELECT * FROM rules r WHERE NOT EXISTS (SELECT 1 FROM needless WHERE longer = r.antecedent AND needless.says = r.says)
+    UNION ALL SELECT [class], CASE WHEN block = 0 THEN 'allow' ELSE 'block' END, CAST(1 AS DOUBLE), CAST(allow + block AS DOUBLE) / CAST(n AS DOUBLE) FROM classes, labelled WHERE allow = 0 OR block = 0)
+), parts_of AS (
+  SELECT id, len(antecedent) AS size, unnest(antecedent) AS class FROM index
+), hits AS (
+  SELECT row, id, array_to_string(list(shown ORDER BY shown), ' ') AS mined_rule FROM of JOIN parts_of USING (class) WHERE said IS NULL GROUP BY row, id, size HAVING count(*) = size
 ), best AS (
-  SELECT row, says, sure, array_to_string(antecedent, ' ') AS mined_rule
-  FROM subsets JOIN index USING (antecedent) WHERE said IS NULL
-  QUALIFY row_number() OVER (PARTITION BY row ORDER BY sure DESC, support DESC, len(antecedent) DESC, array_to_string(antecedent, ' ') DESC, says DESC) = 1
+  SELECT row, says, sure, mined_rule FROM hits JOIN index USING (id)
+  QUALIFY row_number() OVER (PARTITION BY row ORDER BY sure DESC, support DESC, len(antecedent) DESC, mined_rule DESC, says DESC) = 1
 )
 SELECT page_id, host, path, rule, coalesce(said, says, common) AS verdict, mined_rule, sure AS confidence FROM judged LEFT JOIN best USING (row), labelled
 """
