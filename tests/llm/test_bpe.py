@@ -89,6 +89,7 @@ def test_odd_rows(spark, monkeypatch, block):
     rows = list(enumerate(ODD)) + [(7, "it's the same id"), (7, "it's the same id")]
     docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, block string, ids int").repartition(3)
     check(bpe.decoded(bpe.encoded(docs, RANKS), RANKS), rows)
+    check(bpe.encoded(docs, RANKS, decode=True), rows)
 
 
 def test_null_ids_and_empty_tables(spark):

@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +41,8 @@ CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 #: Bytes of a block's texts, about (one longer text is a block of its own); of all texts per bucket and part of the vocabulary.
 BLOCK_BYTES = 16 << 20
 BUCKET_BYTES, PART_BYTES = 64 << 20, 256 << 20
+#: Bytes of text that are cut and hashed at once, unless one text is longer.
+SLICE = 1 << 19
 #: Spark's own limit on buckets.
 MOST_BUCKETS = 100_000
 #: Words of more bytes are hashed by a digest.
@@ -113,7 +116,7 @@ def _powers(n: int, kept: dict = {}) -> tuple[np.ndarray, ...]:  # noqa: B006
     if len(kept.get(0, (b"",))[0]) <= n:
         grown = []
         for base in (b for one in _BASES for b in (one, pow(one, -1, 1 << 64))):
-            steps = np.full(max(n, 1 << 21) + 1, base, np.uint64)
+            steps = np.full(max(n, SLICE) + 1, base, np.uint64)
             steps[0] = 1
             grown.append(np.cumprod(steps))
         kept[0] = tuple(grown)
@@ -158,7 +161,7 @@ class Block:
     def __init__(self, texts: pa.Array, kinds: np.ndarray, parts: int) -> None:
         self.slices, one, two, self.words = [], [], [], []
         at = 0
-        for row, data, offsets in slices(texts):
+        for row, data, offsets in slices(texts, SLICE):
             begins, rows = pieces(data, offsets, kinds)
             ends = np.append(begins[1:], len(data)) if len(begins) else begins
             # Rows follow each other without gaps, so a row's last piece ends where the next row begins.
@@ -227,8 +230,11 @@ def _dealt(docs: DataFrame, key: str, text: str, buckets: int) -> DataFrame:
     return spark.table(name)
 
 
-def encoded(docs: DataFrame, ranks: dict[bytes, int], key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: its id, n_tokens, and ids, as little-endian unsigned 32-bit integers."""
+def encoded(docs: DataFrame, ranks: dict[bytes, int], key: str = "doc_id", text: str = "text", decode: bool = False) -> DataFrame:
+    """One row per document: its id, n_tokens, and ids, as little-endian unsigned 32-bit integers.
+
+    decode: adds decoded as ``decoded`` does, in the same task, so that ids don't pass through a second Python worker.
+    """
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(text).cast("long")).alias("n")).first()["n"] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -236,6 +242,7 @@ def encoded(docs: DataFrame, ranks: dict[bytes, int], key: str = "doc_id", text:
     buckets, parts = min(max(least, -(-size // BUCKET_BYTES)), MOST_BUCKETS), max(least, -(-size // PART_BYTES))
     kinds = zlib.compress(classes().tobytes())
     table = _dealt(docs, key, text, buckets)
+    back = Bytes(ranks) if decode else None
     lines = b"".join(base64.b64encode(token) + b" %d\n" % rank for token, rank in ranks.items())
 
     def ask(t: pa.Table) -> pa.Table:
@@ -278,44 +285,55 @@ def encoded(docs: DataFrame, ranks: dict[bytes, int], key: str = "doc_id", text:
             each = np.concatenate([[0], np.cumsum(tokens)])
             edges = each[np.concatenate([[0], np.cumsum(count)])]
             data = flat[ragged(starts[word], tokens)]
-            blobs = pa.Array.from_buffers(pa.large_binary(), rows, [None, pa.py_buffer(4 * edges), pa.py_buffer(data)]).cast(pa.binary())
-            out.append(pa.RecordBatch.from_arrays([ids.slice(row, rows), pa.array(np.diff(edges)), blobs], ["id", "n_tokens", "ids"]))
+            columns = {"id": ids.slice(row, rows), "n_tokens": pa.array(np.diff(edges)), "ids": blobs(4 * edges, data)}
+            out.append(pa.RecordBatch.from_pydict(columns | ({"decoded": back.of(data, edges)} if back else {})))
         return pa.Table.from_batches(out)
 
     asked = table.groupBy("block").applyInArrow(ask, "part long, block long, words binary")
     answers = asked.repartition(parts, "part").mapInArrow(encode, "block long, part long, ids binary")
-    found = table.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(reassemble, "id long, n_tokens long, ids binary")
+    found = table.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(reassemble, "id long, n_tokens long, ids binary" + ", decoded binary" * decode)
     return found.withColumnRenamed("id", key)
 
 
+def blobs(edges: np.ndarray, data: np.ndarray) -> pa.Array:
+    """Binary values between the edges (in bytes) of the data."""
+    return pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
+
+
+class Bytes:
+    """The token-byte table: each id's bytes. As large as the vocabulary."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        by_id = {rank: token for token, rank in ranks.items()}
+        tokens = [by_id.get(i, b"") for i in range(max(by_id, default=-1) + 1)]
+        self.data, self.lengths = np.frombuffer(b"".join(tokens), np.uint8), np.array([len(t) for t in tokens], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def of(self, ids: np.ndarray, edges: np.ndarray) -> pa.Array:
+        """Bytes of the ids between each two edges."""
+        sizes = self.lengths[ids]
+        return blobs(np.concatenate([[0], np.cumsum(sizes)])[edges], self.data[ragged(self.starts[ids], sizes)])
+
+
 def decoded(tokens: DataFrame, ranks: dict[bytes, int], column: str = "ids") -> DataFrame:
     """Adds decoded, the bytes of the ids: a join of each id with the token-byte table."""
-    size = max(ranks.values(), default=-1) + 1
-    by_id = {rank: token for token, rank in ranks.items()}
-    data = b"".join(by_id.get(i, b"") for i in range(size))
-    lengths = np.array([len(by_id.get(i, b"")) for i in range(size)], np.int64)
-    kinds = tokens.withColumn("decoded", F.lit(b"")).schema
+    table, kinds = Bytes(ranks), tokens.withColumn("decoded", F.lit(b"")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, starts = np.frombuffer(data, np.uint8), np.cumsum(lengths) - lengths
         for batch in batches:
             for at, n in runs_of(batch.column(column)):
                 part = batch.slice(at, n)
-                blobs = part.column(column).cast(pa.large_binary()).fill_null(b"")
-                edges = np.frombuffer(blobs.buffers()[1], np.int64, n + 1, 8 * blobs.offset)
-                ids = np.frombuffer(blobs.buffers()[2], np.uint8)[edges[0] : edges[-1]].tobytes() if edges[-1] > edges[0] else b""
-                ids = np.frombuffer(ids, np.uint32).astype(np.int64)
-                ends = np.concatenate([[0], np.cumsum(lengths[ids])])
-                found = flat[ragged(starts[ids], lengths[ids])]
-                out = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends[(edges - edges[0]) // 4]), pa.py_buffer(found)]).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns, out], [*part.schema.names, "decoded"])
+                raw = part.column(column).cast(pa.large_binary()).fill_null(b"")
+                edges = np.frombuffer(raw.buffers()[1], np.int64, n + 1, 8 * raw.offset)
+                data = np.frombuffer(raw.buffers()[2] or b"", np.uint8)[edges[0] : edges[-1]]
+                yield pa.RecordBatch.from_arrays([*part.columns, table.of(np.frombuffer(data.tobytes(), np.uint32), (edges - edges[0]) // 4)], [*part.schema.names, "decoded"])
 
     return tokens.mapInArrow(run, kinds)
 
 
 def runs_of(column: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """(first row, rows) of runs of about ``most`` bytes."""
-    sizes = np.cumsum([len(x) if x is not None else 0 for x in (v.as_buffer() if v.is_valid else None for v in column)], dtype=np.int64)
+    sizes = np.cumsum(pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < len(column):
         done = sizes[at - 1] if at else 0

@@ -54,7 +54,7 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = bpe.vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    found = bpe.decoded(bpe.encoded(table(spark, sf_dir, "documents"), ranks), ranks)
+    found = bpe.encoded(table(spark, sf_dir, "documents"), ranks, decode=True)
     return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -31,8 +31,8 @@ def _powers(n: int, base: int, kept: dict = {}) -> np.ndarray:  # noqa: B006
     return kept[base]
 
 
-def slices(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bytes, offsets) of runs of rows of about SLICE_BYTES; null texts are empty. Copies nothing."""
+def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes, offsets) of runs of rows of about ``most`` bytes; null texts are empty. Copies nothing."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     if not pa.types.is_large_string(texts.type):
@@ -46,7 +46,7 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None and buffers[2].size else np.zeros(0, np.uint8)
     row = 0
     while row < len(texts):
-        end = int(np.searchsorted(offsets, offsets[row] + SLICE_BYTES, "right")) - 1
+        end = int(np.searchsorted(offsets, offsets[row] + most, "right")) - 1
         end = min(max(end, row + 1), len(texts), row + 65536)
         yield row, data[offsets[row] : offsets[end]], (offsets[row : end + 1] - offsets[row])
         row = end
