@@ -438,6 +438,58 @@ def test_toxic_odd_rows(spark):
     assert crf.tagged(empty(spark), labels).count() == 0
 
 
+def held(docs, labels):
+    """(doc_id -> score) of all documents."""
+    return {r.doc_id: r.score for r in crf.tagged(docs, labels).collect()}
+
+
+@pytest.mark.parametrize("texts", [("good here", "bad there"), ("", None), ("12 34", "--"), ("a", "b"), (" ", "bad")])
+def test_toxic_small_training_sets(spark, texts):
+    """Too little to learn from: every score is the share of toxic labels."""
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 4 != 2][:4]
+    docs = spark.createDataFrame([(i, texts[k % 2]) for k, i in enumerate(ids)] + [(1000, "any text"), (None, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(ids[0], 0), (ids[1], 1), (ids[2], 0)], "doc_id long, toxic int")
+    two = spark.createDataFrame([(ids[0], "good words here"), (ids[1], "bad words there")], "doc_id long, text string")
+    assert all(0 <= s <= 1 for s in held(two, labels).values())
+    assert all(abs(s - 1 / 3) < 1e-9 for s in held(docs, labels).values())
+
+
+def test_a_text_too_long_for_the_sample_is_passed_over(spark):
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2][:60]
+    texts = {i: f"vile filth number {i}" if k % 2 else f"calm clean number {i}" for k, i in enumerate(ids)}
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, toxic int")
+    for long in range(0, 60, 7):
+        texts[ids[long]] = "x " * 50_000
+    rows, there = crf._sampled(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), labels, (50, 50), 20_000)
+    assert there == [30, 30] and {r.doc_id for r in rows.collect()} == {i for k, i in enumerate(ids) if k % 7}
+
+
+def test_document_scores_equal_brute_force(spark):
+    """Scores from the model's own weights, by enumeration of each short text's labellings and the logistic regression."""
+    r = random.Random(8)
+    vile, calm = [f"vile{c}" for c in "abcdef"], [f"calm{c}{d}" for c in "ghijk" for d in "lmnop"]
+    ids = list(range(300))
+    texts = {i: " ".join(r.choices(calm, k=r.randint(1, 6)) + (r.choices(vile, k=2) if i % 3 == 0 else [])) for i in ids}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in ids], "doc_id long, toxic int")
+    model, got = crf.learned(docs, labels), held(docs, labels)
+    for i in ids[:40]:
+        data = np.frombuffer(texts[i].encode(), np.uint8)
+        f, rows, _, _ = crf.tokens(data, np.array([0, len(data)]))
+        e = [sum(dict(zip(model["weights"].keys.tolist(), model["weights"].values.tolist(), strict=True)).get(int(x), 0.0) for x in row) + model["bias"] for row in crf.around(f, rows)]
+        total, hot = 0.0, [0.0] * len(e)
+        for y in itertools.product((0, 1), repeat=len(e)):
+            w = math.exp(sum(max(-30, min(30, v)) * s for v, s in zip(e, y, strict=True)) + sum(model["move"][a, b] for a, b in itertools.pairwise(y)))
+            total += w
+            for k, s in enumerate(y):
+                hot[k] += w * s
+        m = [h / total for h in hot]
+        top = max([v for v in m if v > 1e-3], default=0.0)
+        x = [1.0, math.log1p(sum(m)), top, math.log1p(1000 * sum(m) / max(len(m), 100))]
+        assert abs(got[i] - 1 / (1 + math.exp(-float(np.dot(x, model["score"]))))) < 1e-6
+    assert all((s >= 0.3) == (i % 3 == 0) for i, s in got.items())
+
+
 # 6
 
 

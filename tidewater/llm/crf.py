@@ -11,9 +11,10 @@ features come to the driver. Scoring maps over all documents and whole texts. Ch
 cut into windows of WINDOW tokens with OVERLAP more tokens on each side, whose marginals are not used: the field forgets its start
 geometrically, so this changes marginals by less than a float's rounding.
 
-Defined cases: null and empty texts have no token and get the score of zero marginals; without labels of both kinds the score is the
-share of toxic ones (0 without any); labels of unknown documents are not used; of a document that stands or is labelled several times
-the sample has one row for each label; a longer text than SAMPLE_BYTES ends its label's sample; repeated rows are scored one by one; columns besides doc_id and text are never read.
+Defined cases: null and empty texts have no token and get the score of zero marginals; without labels of both kinds, without tokens in the
+sample or without a feature that it repeats, no field can be learned and every score is the share of toxic labels (0 without any);
+labels of unknown documents are not used; of a document that stands or is labelled several times the sample has one row for each label; a
+text that would take its label's sample over SAMPLE_BYTES is passed over; repeated rows are scored one by one; columns besides doc_id and text are never read.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import written
@@ -183,9 +184,11 @@ def _summary(m: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
 
 def train(texts: list[str] | pa.ChunkedArray, toxic: np.ndarray, clean_weight: float) -> dict:
     """Weights, moves and the logistic regression of the document score; clean_weight: clean documents that one of the sample stands for, against toxic ones."""
-    prior = float(toxic.mean()) if len(toxic) else 0.0
-    if prior in (0.0, 1.0):
-        return {"weights": Weights(np.zeros(0, np.uint64), np.zeros(0)), "move": np.zeros((2, 2)), "bias": -30.0, "score": None, "prior": prior}
+    clean = clean_weight * float((toxic == 0).sum())
+    prior = float((toxic == 1).sum()) / max(float((toxic == 1).sum()) + clean, 1e-9)
+    nothing = {"weights": Weights(np.zeros(0, np.uint64), np.zeros(0)), "move": np.zeros((2, 2)), "bias": -30.0, "score": None, "prior": prior}
+    if len(np.unique(toxic)) < 2:
+        return nothing
     y_doc = toxic.astype(bool)
     parts = list(slices(texts if isinstance(texts, pa.ChunkedArray) else pa.array(texts, pa.large_string())))
     # First pass: features by the documents they occur in. The low bits of a feature's hash make room for the row.
@@ -197,7 +200,7 @@ def train(texts: list[str] | pa.ChunkedArray, toxic: np.ndarray, clean_weight: f
             once = np.unique(f[own] // room * room + (r[own] - at).astype(np.uint64)[:, None])
             ids.append(once // room * np.uint64(2) + y_doc[row + at + (once % room).astype(np.int64)].astype(np.uint64))
     # Sorted in place, with the label as lowest bit: no index arrays as large as this one.
-    once = np.concatenate(ids)
+    once = np.concatenate([np.zeros(0, np.uint64), *ids])
     ids.clear()
     once.sort()
     starts = np.flatnonzero(np.concatenate([[True], once[1:] >> np.uint64(1) != once[:-1] >> np.uint64(1)])) if len(once) else np.zeros(0, np.int64)
@@ -222,10 +225,14 @@ def train(texts: list[str] | pa.ChunkedArray, toxic: np.ndarray, clean_weight: f
         chosen = np.concatenate([rng.permutation(np.flatnonzero(h))[: int(share) + 1] for h in (has, ~has)])
         for k, x in enumerate((around(f, r)[index[chosen]], real[chosen], y[index[chosen]] & real[chosen])):
             kept[k].append(x)
+    if not kept[0]:
+        return nothing
     f, real, target = (np.concatenate(k) for k in kept[:3])
     target = target.astype(float)
     used, count = np.unique(f[real], return_counts=True)
     names = used[(count >= 3) & (used != 0)]
+    if not len(names):
+        return nothing
     where = np.minimum(np.searchsorted(names, f), len(names) - 1)
     where = np.where((names[where] == f) & real[:, :, None], where, len(names))
     w, move, bias = np.zeros(len(names) + 1), np.zeros((2, 2)), -3.0
@@ -271,8 +278,8 @@ def _modulo(key: Column, n: int) -> Column:
 def _sampled(docs: DataFrame, labels: DataFrame, sample: tuple[int, int], sample_bytes: int) -> tuple[DataFrame, list[int]]:
     """(text, toxic) of the training documents, and how many labels there are of 0 and 1.
 
-    By the hash of their ids: of each label the first ``sample`` documents, as far as their texts have ``sample_bytes`` in all.
-    Repeated rows of one id and label are one document.
+    By the hash of their ids: of each label the first ``sample`` documents; one whose text would take the label over ``sample_bytes``
+    is passed over. Repeated rows of one id and label are one document.
     """
     rows = labels.where((_modulo(F.col("doc_id"), 4) != 2) & F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     there = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
@@ -281,10 +288,19 @@ def _sampled(docs: DataFrame, labels: DataFrame, sample: tuple[int, int], sample
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     found = thin.join(F.broadcast(some[0].union(some[1])), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     found = written(found, "crf-sample")
+
+    def fitting(t: pa.Table) -> pa.Table:
+        t, total, keep = t.sort_by([("place", "ascending"), ("doc_id", "ascending")]), 0, []
+        for k, size in enumerate(t.column("size").to_pylist()):
+            if total + size <= sample_bytes:
+                total += size
+                keep.append(k)
+        return t.take(pa.array(keep, pa.int64())).select(["doc_id", "toxic"])
+
     # At most so many rows as the samples hold.
-    upto = F.sum(F.octet_length("text")).over(Window.partitionBy("toxic").orderBy(F.xxhash64(F.lit(9), "doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0))
-    lengths = found.select("doc_id", "toxic", upto.alias("upto")).where(F.col("upto") <= sample_bytes)
-    return found.join(lengths, ["doc_id", "toxic"]).select("doc_id", "text", "toxic"), [there.get(y, 0) for y in (0, 1)]
+    lengths = found.select("doc_id", "toxic", F.xxhash64(F.lit(9), "doc_id").alias("place"), F.octet_length("text").cast("long").alias("size"))
+    chosen = lengths.groupBy("toxic").applyInArrow(fitting, "doc_id long, toxic int")
+    return found.join(chosen, ["doc_id", "toxic"]).select("doc_id", "text", "toxic"), [there.get(y, 0) for y in (0, 1)]
 
 
 def learned(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> dict:
