@@ -904,6 +904,46 @@ def test_generated_pages_held_out(trees):
     assert wrong / total < 0.03
 
 
+def known_text(source):
+    """The text of a generated page by its marks."""
+    page = domtrees.Page(source)
+    truth = list(page.truth)
+    for i in range(1, len(truth)):
+        truth[i] = truth[i] if truth[i] is not None else truth[page.parent[i]]
+    return domtrees.text_of(page, np.array([t == "1" for t in truth]), domtrees.Described(page).block)
+
+
+def test_generated_layouts_held_out(trees):
+    """Whole pages, of all layouts: blocks with and without an element around them, bare text, tags left out."""
+    sources = list(domtrees.generated(300, seed=4321))
+    wrong = sum(got != known_text(s) for got, s in zip(domtrees._texts(sources, trees), sources, strict=True))
+    assert wrong <= 0.02 * len(sources)
+
+
+PARAGRAPHS = ["The first paragraph, of some twenty words, tells what has happened in the town, and who has seen it, and when.", "A second one follows, shorter, with a reason.", "The third says what comes next. Nobody knows, of course."]
+MENU = '<nav><ul><li><a href="/">Home</a></li><li><a href="/a">About us</a></li><li><a href="/c">Contact</a></li></ul></nav>'
+FOOTER = "<footer><p>&copy; 2024 The Company. All rights reserved.</p></footer>"
+BODY = "".join(f"<p>{x}</p>" for x in PARAGRAPHS)
+OPEN = "".join(f"<p>{x}" for x in PARAGRAPHS)
+
+
+@pytest.mark.parametrize("source", [
+    f"<body><h1>A title</h1>{BODY}</body>", f"<body>{MENU}<h1>A title</h1>{BODY}{FOOTER}</body>", f"<html><head><title>T</title></head><body>{MENU}<h1>A title</h1>{BODY}</body></html>",
+    f"<html><head><title>T</title><body><article><h1>A title</h1>{BODY}</article>", f"<!doctype html><title>T</title>{MENU}<h1>A title</h1>{OPEN}{FOOTER}", f"<head><meta charset=utf-8><title>T</title><h1>A title</h1>{OPEN}",
+    f"<h1>A title</h1><script src=x /> var a=1; </script>{BODY}", f"<div><div>{MENU}</div><div><h1>A title</h1>{BODY}</div><div class=sidebar><p>Popular posts this week</div></div>{FOOTER}",
+    f"<body><main><h1>A title</h1>{BODY}</main><section class='comments'><h3>Comments</h3><div class=comment><p>Nice post, thanks a lot!</p></div></section></body>",
+])
+def test_common_layouts(trees, source):
+    assert next(domtrees._texts([source], trees)) == "\n".join(["A title", *PARAGRAPHS])
+
+
+def test_text_of_media_in_an_article_stays(trees):
+    inner = "".join(f"<figure><{t}>Shown by {t}.</{t}></figure>" for t in ("video", "object", "audio", "canvas")) + "<svg><path d='x'/><text>Drawn.</text></svg>"
+    source = f"<body>{MENU}<article><h1>A title</h1>{BODY}{inner}{BODY}</article></body>"
+    want = ["A title", *PARAGRAPHS, *(f"Shown by {t}." for t in ("video", "object", "audio", "canvas")), "Drawn.", *PARAGRAPHS]
+    assert next(domtrees._texts([source], trees)) == "\n".join(want)
+
+
 def test_scores_do_not_depend_on_slices(trees, monkeypatch):
     sources = list(domtrees.generated(12, seed=5))
     whole = list(domtrees._texts(sources, trees))
@@ -919,12 +959,23 @@ def test_tokens_of_broken_pages():
     assert of('x<a href="p>q">y</A >') == [("text", "x"), ("tag", False, "a", ' href="p>q"'), ("text", "y"), ("tag", True, "a", " ")]
     assert of("<b title='x>y") == [("tag", False, "b", " title='x"), ("text", "y")]
     assert of("<!-- <p> -->t<!doctype html><![CDATA[<p>]]>&lt;<p") == [("text", "t"), ("text", "<<p")]
+    assert of("<b title='x>y' >z") == [("tag", False, "b", " title='x>y' "), ("text", "z")]
+    assert of("<a '>x<i \"k>y") == [("tag", False, "a", " '"), ("text", "x"), ("tag", False, "i", ' "k'), ("text", "y")]
+    assert of("<a b=c\"d>e\">f") == [("tag", False, "a", ' b=c"d'), ("text", 'e">f')]
+    assert of("<a b = 'c>d' e>f<a x=\"'>\">g") == [("tag", False, "a", " b = 'c>d' e"), ("text", "f"), ("tag", False, "a", " x=\"'>\""), ("text", "g")]
+    assert of("<a b='> c <i d='>e") == [("tag", False, "a", " b='> c <i d='"), ("text", "e")]
+    assert of("<!-->a<!--->b<!-- c --!>d") == [("text", "a"), ("text", "b"), ("text", "d")]
+    assert of("<script src=x /> a</script >b") == [("tag", False, "script", " src=x /"), ("tag", True, "script", " "), ("text", "b")]
     assert of("<script>a<b></script>c") == [("tag", False, "script", ""), ("tag", True, "script", ""), ("text", "c")]
+    for source in ("<html><head><title>T</title><body>x", "<head><title>T</title></head>x", "<title>T</title>x", "<head><meta a=b>x", "<head><link><p>x", "<head></head><head>x", "<p>x<head>"):
+        assert [t for _, t in domtrees.Page(source).runs] == ["x"]
+    page = domtrees.Page("<svg><a/>b</svg><div/>c<math><mi/>d</math>e")
+    assert [(page.tag[i], t) for i, t in page.runs] == [("svg", "b"), ("div", "c"), ("math", "d"), ("div", "e")]
     page = domtrees.Page("<ul><li>a<ul><li>b</ul><li>c</ul><p>d<div>e</p>f</div><table><tr><td>g<tr><td>h")
     assert [(page.tag[i], t) for i, t in page.runs] == [("li", "a"), ("li", "b"), ("li", "c"), ("p", "d"), ("div", "e"), ("div", "f"), ("td", "g"), ("td", "h")]
 
 
-@pytest.mark.parametrize("source", ["<a " * 350_000, "<div>" * 100_000 + "</p>" * 100_000, "<x>" * 100_000 + "</y>" * 100_000, "<ul>" + "<x>" * 50_000 + "<li>" * 50_000, '<a "' * 100_001 + ">", "<" * 1_000_000])
+@pytest.mark.parametrize("source", ["<a " * 350_000, "<div>" * 100_000 + "</p>" * 100_000, "<x>" * 100_000 + "</y>" * 100_000, "<ul>" + "<x>" * 50_000 + "<li>" * 50_000, '<a "' * 100_001 + ">", "<" * 1_000_000, "<a '>' " * 150_000, "<a b='>' " * 150_000, "<a b='> " * 150_001, "<a b= " * 150_000 + ">", "<a b=\"'>" * 100_001, "<!--" * 200_000, "<title>" * 100_000])
 def test_pages_are_read_in_linear_time(source):
     import time
 
