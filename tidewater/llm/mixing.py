@@ -3,10 +3,10 @@
 Targets: sources in code-point order (null last) weigh 5, 2, 1, 5, 2, 1, ... and share the words of all documents; no target goes
 over ``max_epochs`` times its source, what is cut off goes to the others by weight. The schedule: slot i of the mixture belongs
 to the source in whose share of [0, 1) the i-th golden-ratio point falls; a slot's rank among its source's slots names the block it
-takes, and all blocks have equally many words. A source whose blocks are used up passes its later slots; blocks that the golden
-points left over (a few of each source, by their discrepancy) come after them. Blocks: each source's documents stand in a shuffled
-(hashed) order, end to end and round again. What the mixture takes of a document is its overlap with the blocks that its source's
-slots name, and its place is the slot of the block where it begins.
+takes, and all blocks have equally many words. So the points decide how much of a source is taken: its target, give or take the few
+slots by which the points' counts differ from their shares. A source that has been taken ``max_epochs`` times passes its later
+slots. Blocks: each source's documents stand in a shuffled (hashed) order, end to end and round again. What the mixture takes of a
+document is its overlap with the blocks that its source's slots name, and its place is the slot of the block where it begins.
 
 Everything is DataFrame code. Running sums are made in two steps (within a bucket of a source, then over the buckets' totals),
 and buckets hold about equally many rows, so that a source with a third of all rows is spread over all tasks.
@@ -28,7 +28,7 @@ from tidewater.llm.common import fresh, words, written
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3
 #: Words of a block, at most; blocks, at least (fewer only of so few words that each block is one word).
-SLOT_WORDS, LEAST_SLOTS = 2048, 1 << 16
+SLOT_WORDS, LEAST_SLOTS = 2048, 1 << 18
 #: Rows of a bucket in running sums, about, and buckets of a source, at least; slots of a chunk in ranks.
 BUCKET_ROWS, LEAST_BUCKETS, CHUNK = 1 << 16, 64, 1 << 14
 SEED = 20
@@ -76,7 +76,7 @@ def golden(i: Column) -> Column:
 
 
 def schedule(sources: DataFrame, n_slots: int) -> DataFrame:
-    """One row per slot: slot, sid, rank (0, 1, ... within the source). sources: sid, low, high, blocks (how many the source needs)."""
+    """One row per slot that is used: slot, sid, rank (0, 1, ... within the source). sources: sid, low, high, blocks (how many the source has, round and round)."""
     cells = max(1, min(4096, n_slots // 64))
     cell = lambda x: F.least(F.floor(x * cells), F.lit(cells - 1)).cast("long")
     spans = sources.where("blocks > 0").select("sid", "low", "high", "blocks", F.explode(F.sequence(cell(F.col("low")), cell(F.col("high")))).alias("cell"))
@@ -88,13 +88,7 @@ def schedule(sources: DataFrame, n_slots: int) -> DataFrame:
     counts = found.groupBy("sid", "chunk").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("sid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select("sid", "chunk", F.coalesce(before, F.lit(0)).alias("o"))
-    drawn = local.join(offsets, ["sid", "chunk"]).withColumn("rank", F.col("o") + F.col("r")).where("rank < blocks").select("slot", "sid", "rank")
-    # What the points left over: so few of each source that they are listed from its counts.
-    have = sources.join(counts.groupBy("sid").agg(F.sum("n").alias("have")), "sid", "left").select("sid", "blocks", F.coalesce("have", F.lit(0)).alias("have"))
-    missing = have.withColumn("n", F.greatest(F.col("blocks") - F.col("have"), F.lit(0)))
-    missing = missing.withColumn("first", F.lit(n_slots) + F.coalesce(F.sum("n").over(Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    rest = missing.where("n > 0").select("sid", "have", "first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("k"))
-    return drawn.unionByName(rest.select((F.col("first") + F.col("k")).alias("slot"), "sid", (F.col("have") + F.col("k")).alias("rank")))
+    return local.join(offsets, ["sid", "chunk"]).withColumn("rank", F.col("o") + F.col("r")).where("rank < blocks").select("slot", "sid", "rank")
 
 
 def _plan(docs: DataFrame, text: str, source: str, key: str, carry: list[Column], weights: tuple[float, ...], max_epochs: int) -> tuple[DataFrame, dict[str, str], DataFrame]:
@@ -113,13 +107,13 @@ def _plan(docs: DataFrame, text: str, source: str, key: str, carry: list[Column]
     sources = written(targets(sizes, weights, max_epochs), "mix-sources")
     all_words = int(sources.agg(F.sum("to_take")).first()[0] or 0)
     block_words = max(1, min(SLOT_WORDS, all_words // LEAST_SLOTS))
-    sources = sources.withColumn("blocks", F.ceil(F.col("to_take") / block_words).cast("long"))
+    sources = sources.withColumn("blocks", F.ceil(max_epochs * F.col("source_size") / block_words).cast("long"))
     slots = written(schedule(sources, max(1, -(-all_words // block_words))), "mix-slots")
     # The blocks that a source's slots name follow each other from the first one on.
     given = slots.groupBy("sid").agg(F.count("*").alias("slots"))
     figures = sources.join(given, "sid", "left").select(
         F.col("no_source").alias(names["none"]), F.col("source").alias(names["source"]), F.col("source_size").alias(names["source_size"]), F.col("target").alias(names["target"]),
-        F.struct("sid", F.least("to_take", F.coalesce("slots", F.lit(0)) * block_words).alias("words"), F.lit(block_words).cast("long").alias("each")).alias(names["block"]))
+        F.struct("sid", F.least(max_epochs * F.col("source_size"), F.coalesce("slots", F.lit(0)) * block_words).alias("words"), F.lit(block_words).cast("long").alias("each")).alias(names["block"]))
     before = F.sum("n").over(Window.partitionBy(names["none"], names["source"]).orderBy(names["bucket"]).rowsBetween(Window.unboundedPreceding, -1))
     offsets = buckets.withColumn(names["offset"], F.coalesce(before, F.lit(0)).cast("long")).join(figures, group[:2]).drop("n")
     df = docs.select(*carry, *[c.alias(k) for k, c in own.items()]).withColumn(names["bucket"], bucket)
