@@ -210,7 +210,7 @@ def exact_sets(docs: DataFrame, nodes: DataFrame, reps: DataFrame, size: int) ->
     return sets.join(wanted, key).select("node", "items")
 
 
-def unpack(b: bytes) -> np.ndarray:
+def unpack(b: bytes | pa.Buffer) -> np.ndarray:
     return np.frombuffer(b, np.uint64)
 
 
@@ -223,11 +223,12 @@ def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b, far, linked) of the pairs: 1 - similarity of the full sets, and whether 100 * intersection >= percent * union."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            # Sets are read where the batch holds them: a batch may be large.
             far, linked, last, x = [], [], None, None
-            for s, t in zip(batch.column("ia").to_pylist(), batch.column("ib").to_pylist(), strict=True):
-                if s != last:
-                    last, x = s, unpack(s)
-                y = unpack(t)
+            for a, s, t in zip(batch.column("a").to_pylist(), batch.column("ia"), batch.column("ib"), strict=True):
+                if a != last:
+                    last, x = a, unpack(s.as_buffer())
+                y = unpack(t.as_buffer())
                 common = shared_items(x, y)
                 union = len(x) + len(y) - common
                 far.append(1 - common / union)
@@ -313,7 +314,7 @@ def _across(inside: DataFrame, labels: DataFrame, reps: DataFrame, tested: DataF
 def _verified(waiting: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between the components of each block of ``_across``, by full sets; of two components that are joined already, none more."""
     def run(t: pa.Table) -> pa.Table:
-        ids, comp, items = (t.column(c).to_pylist() for c in ("id", "component", "items"))
+        ids, comp, items = t.column("id").to_pylist(), t.column("component").to_pylist(), t.column("items")
         at, parent, opened, out = {i: k for k, i in enumerate(ids)}, {}, {}, []
 
         def root(c: int) -> int:
@@ -323,7 +324,7 @@ def _verified(waiting: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
         def items_of(k: int) -> np.ndarray:
             if k not in opened:
-                opened[k] = unpack(items[k])
+                opened[k] = unpack(items[k].as_buffer())
             return opened[k]
 
         for i, partners in enumerate(t.column("partners").to_pylist()):
