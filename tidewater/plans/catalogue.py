@@ -463,6 +463,109 @@ def stream_first_copies(spark, d):
     return drained(on_time_once(twice), _scratch(spark, "stream-first")).select("event_id", "user_id", "event_type", "watch_seconds")
 
 
+# Streams in phases: the first phase holds the events before a time, without some that come late; each phase is read up to its end, with a batch
+# without data after it, before the next one begins. So the watermark between phases is known.
+_SPLIT = "TIMESTAMP '2024-01-16 00:03:00'"
+
+
+def _phased(spark: SparkSession, df: DataFrame, ts: str, name: str, run, flush: DataFrame | None = None) -> DataFrame:
+    """Lands df (with a column first_phase) in phases and runs the stream ``run(stream, path)`` after each; what the last run gave."""
+    path = _scratch(spark, name)
+    found = None
+    for part in [df.where("first_phase"), df.where("not first_phase"), *([flush] if flush is not None else [])]:
+        part.drop("first_phase").withColumn(ts, F.col(ts).cast("timestamp")).write.mode("append").parquet(f"{path}/in")
+        kinds = spark.read.parquet(f"{path}/in").schema
+        found = run(spark.readStream.schema(kinds).parquet(f"{path}/in"), path)
+    return found
+
+
+def _window_rows(source: str, window: str) -> str:
+    """Rows of windows that the first phase's watermark has closed do not count."""
+    return f"""WITH {PLAYBACK}, phased AS (SELECT *, {source} AS source, time_bucket(INTERVAL 5 MINUTE, event_timestamp) AS window_start FROM playback), parted AS (SELECT *, {window} AS first_phase FROM phased),
+marks AS (SELECT date_trunc('milliseconds', max(source) FILTER (first_phase)) - INTERVAL 30 SECOND AS one, date_trunc('milliseconds', max(source)) - INTERVAL 30 SECOND AS two FROM parted),
+kept AS (SELECT parted.* FROM parted, marks WHERE first_phase OR window_start + INTERVAL 5 MINUTE > one)"""
+
+
+def _window_totals(key: str) -> str:
+    counts = ", ".join(f"count(DISTINCT {c}) AS {n}" for n, c in _USER[1].items())
+    return f"""SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, {key}, count(*) AS event_count, {counts},
+CAST(count_if(event_type = 'playback_started') AS BIGINT) AS playback_started_count, CAST(count_if(event_type = 'playback_completed') AS BIGINT) AS playback_completed_count,
+CAST(sum(CASE WHEN event_type = 'playback_completed' THEN watch_seconds ELSE 0 END) AS BIGINT) AS completed_watch_seconds FROM kept, marks"""
+
+
+_APPENDED = f"event_timestamp < {_SPLIT} AND NOT (event_id % 10 = 0)"
+
+
+@query(_window_rows("event_timestamp", _APPENDED) + _window_totals("user_id") + " WHERE window_start + INTERVAL 5 MINUTE <= two GROUP BY 1, 2, 3")
+def stream_closed_windows(spark, d):
+    # Append mode: a window is emitted once, when the watermark passes its end, and its state goes; later rows of it are rejected, those of open windows count.
+    from tidewater.streaming.sinks import drained
+    from tidewater.streaming.windows import totals
+
+    df = playback(spark, d).withColumn("first_phase", F.expr(_APPENDED))
+    run = lambda s, path: drained(totals(s.withWatermark("event_timestamp", "30 seconds"), *_USER, streaming=True), path, empty_batches=True)
+    out = _phased(spark, df, "event_timestamp", "stream-closed", run)
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+#: Events reach production up to twenty minutes after they happen.
+_LAG = "event_timestamp + INTERVAL 1 MINUTE * (event_id % 21)"
+_PRODUCED = f"event_timestamp + INTERVAL 1 MINUTE * (event_id % 21) < {_SPLIT}"
+
+
+def _lagging(spark: SparkSession, d: str) -> DataFrame:
+    df = playback(spark, d).withColumn("source_timestamp", (F.col("event_timestamp") + F.make_dt_interval(mins=(F.col("event_id") % 21).cast("int"))).cast("timestamp"))
+    return df.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp")).withColumn("first_phase", F.col("source_timestamp") < F.expr(_SPLIT))
+
+
+def _flush(df: DataFrame) -> DataFrame:
+    """One row that only moves the watermark far ahead."""
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema if f.name not in ("source_timestamp", "user_id")]
+    return df.sparkSession.range(1).select(F.lit(-1).cast(df.schema["user_id"].dataType).alias("user_id"), F.expr("TIMESTAMP '2030-01-01'").cast("timestamp").alias("source_timestamp"), *none).select(*df.columns)
+
+
+@query(_window_rows(_LAG, _PRODUCED) + _window_totals("user_id") + " GROUP BY 1, 2, 3")
+def stream_event_windows(spark, d):
+    # Windows of event time, closed by the watermark of production time; the last row closes them all.
+    from tidewater.session import SETTINGS
+    from tidewater.streaming.sinks import drained
+    from tidewater.streaming.stateful import event_windows
+
+    name = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(name, SETTINGS[name])
+    df = _lagging(spark, d)
+    out = _phased(spark, df, "source_timestamp", "stream-event-windows", lambda s, path: drained(event_windows(s, *_USER), path, empty_batches=True), _flush(df))
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+_JUDGED = f"""WITH {PLAYBACK}, sent AS (
+  SELECT *, {_CODE} AS code, event_timestamp < {_SPLIT} AND NOT (event_id % 10 = 0) AS first_phase, date_trunc('milliseconds', event_timestamp) AS ms FROM playback
+), mark AS (SELECT date_trunc('milliseconds', max(event_timestamp) FILTER (first_phase)) - INTERVAL 30 SECOND AS one FROM sent), judged AS (
+  SELECT CASE WHEN event_id % 7 = 0 THEN 2 ELSE 1 END AS copies, CASE WHEN code IS NOT NULL THEN 'invalid' WHEN NOT first_phase AND ms <= one THEN 'late' ELSE 'accepted' END AS verdict FROM sent, mark
+)
+SELECT CAST(sum(CASE verdict WHEN 'invalid' THEN copies ELSE 0 END) AS BIGINT) AS invalid_events_routed, CAST(sum(CASE verdict WHEN 'late' THEN copies ELSE 0 END) AS BIGINT) AS late_events_dropped,
+  CAST(sum(CASE verdict WHEN 'accepted' THEN copies - 1 ELSE 0 END) AS BIGINT) AS duplicate_events_dropped, CAST(count_if(verdict = 'accepted') AS BIGINT) AS events_accepted FROM judged"""
+
+
+@query(_JUDGED)
+def stream_counters(spark, d):
+    # Observed metrics of a stream of records with late, repeated and invalid ones.
+    from tidewater.session import SETTINGS
+    from tidewater.streaming.contract import decoded
+    from tidewater.streaming.sinks import drained
+    from tidewater.streaming.stateful import COUNTED, judged
+
+    name = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(name, SETTINGS[name])
+    df = records(spark, d)
+    twice = df.withColumn("copy", F.explode(F.when(F.col("offset") % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    sent = twice.withColumn("first_phase", (F.col("timestamp") < F.expr(_SPLIT).cast("timestamp")) & (F.col("offset") % 10 != 0))
+    sent = sent.withColumn("offset", F.col("offset") + F.col("copy") * F.lit(1 << 40)).drop("copy")
+    found: dict[str, int] = {}
+    _phased(spark, sent, "timestamp", "stream-counters", lambda s, path: drained(judged(decoded(s, 7)), path, observed=found))
+    return spark.createDataFrame([tuple(found.get(n, 0) for n in COUNTED)], ", ".join(f"{n} bigint" for n in COUNTED))
+
+
 # Tables
 
 

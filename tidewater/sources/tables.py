@@ -8,6 +8,7 @@ never see half a write, and of two writers of the same number one fails.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import time
 import uuid
@@ -163,6 +164,19 @@ class Store:
             schema = StructType([*schema, *[f for f in df.schema if f.name not in schema.names]])
         return self._commit(table, [*rest, *fresh], "upsert", schema.json(), by)
 
+    def marked(self, table: str, stream: str, batch: int) -> bool:
+        """Whether ``mark`` has marked a stream's batch."""
+        path = f"{self.root}/{table}/{hashlib.sha256(stream.encode()).hexdigest()}"
+        return self._fs(path).exists(self._path(path)) and int(self._read_text(path)) >= batch
+
+    def mark(self, table: str, stream: str, batch: int) -> None:
+        """Marks a stream's batches up to this one as done: one small file per stream, put in its place whole."""
+        path = f"{self.root}/{table}/{hashlib.sha256(stream.encode()).hexdigest()}"
+        fresh = f"{path}.{uuid.uuid4().hex}"
+        self._write_text(fresh, str(batch))
+        self._fs(path).delete(self._path(path), False)
+        self._fs(path).rename(self._path(fresh), self._path(path))
+
     def write_smoke(self, table: str = "smoke.write_check") -> int:
         """Whether tables can be written here: drops, creates, reads and drops one; the rows read."""
         self.drop(table)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewater.sources.tables import Store
-from tidewater.streaming import contract, policy, windows
+from tidewater.streaming import contract, policy, stateful, windows
 
 #: Columns of a file stream that plays the message source.
 SOURCE = "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp"
@@ -28,25 +31,34 @@ def write_dead_letters(records: DataFrame, schema_id: int, store: Store, table:
     return bad.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def write_windows(events: DataFrame, store: Store, prefix: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    """Both window tables from accepted events. The events are kept; the windows a batch touches are made anew from all of theirs and upserted, so late batches and replays give the same rows."""
-    kept = f"{prefix}_events"
+def put_windows(batch: DataFrame, store: Store, prefix: str) -> None:
+    """Upserts both window tables from a batch of accepted events, which is read several times: persist it.
+
+    The events are kept; the windows a batch touches are made anew from all of theirs, so late batches and replays give the same rows.
+    """
+    if batch.isEmpty():
+        return
+    # Tables by day: a batch reads and writes the days it touches only.
+    kept, day = f"{prefix}_events", ["window_day"]
+    store.upsert(kept, batch, ["event_id", *day], partition_by=day)
+    touched = batch.select(F.window("event_timestamp", windows.WINDOW)["start"].alias("_w")).distinct()
+    first, last = batch.agg(F.min("window_day"), F.max("window_day")).first()
+    rows = store.read(kept).where(F.col("window_day").between(first, last)).withColumn("_w", F.window("event_timestamp", windows.WINDOW)["start"]).join(touched, "_w", "left_semi")
+    for name, (key, distinct) in (("playback_metrics_5m", windows.BY_USER), ("content_popularity_5m", windows.BY_CONTENT)):
+        out = windows.totals(rows, key, distinct).withColumn("created_timestamp", F.current_timestamp()).withColumn("window_day", F.to_date("window_start"))
+        store.upsert(f"{prefix}_{name}", out, ["window_start", key, *day], partition_by=day)
+
+
+def by_day(events: DataFrame) -> DataFrame:
+    return events.dropDuplicates(["event_id"]).withColumn("window_day", F.to_date("event_timestamp"))
 
+
+def write_windows(events: DataFrame, store: Store, prefix: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Both window tables from a stream of accepted events."""
     def put(batch: DataFrame, number: int) -> None:
-        batch = batch.dropDuplicates(["event_id"]).withColumn("window_day", F.to_date("event_timestamp"))
-        batch.persist()
+        batch = by_day(batch).persist()
         try:
-            if batch.isEmpty():
-                return
-            # Tables by day: a batch reads and writes the days it touches only.
-            day = ["window_day"]
-            store.upsert(kept, batch, ["event_id", *day], partition_by=day)
-            touched = batch.select(F.window("event_timestamp", windows.WINDOW)["start"].alias("_w")).distinct()
-            first, last = batch.agg(F.min("window_day"), F.max("window_day")).first()
-            rows = store.read(kept).where(F.col("window_day").between(first, last)).withColumn("_w", F.window("event_timestamp", windows.WINDOW)["start"]).join(touched, "_w", "left_semi")
-            for name, (key, distinct) in (("playback_metrics_5m", windows.BY_USER), ("content_popularity_5m", windows.BY_CONTENT)):
-                out = windows.totals(rows, key, distinct).withColumn("created_timestamp", F.current_timestamp()).withColumn("window_day", F.to_date("window_start"))
-                store.upsert(f"{prefix}_{name}", out, ["window_start", key, *day], partition_by=day)
+            put_windows(batch, store, prefix)
         finally:
             batch.unpersist()
 
@@ -54,10 +66,49 @@ def write_windows(events: DataFrame, store: Store, prefix: str, checkpoint: str,
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def drained(df: DataFrame, path: str, mode: str = "append") -> DataFrame:
+def write_all(records: DataFrame, schema_id: int, store: Store, prefix: str, checkpoint: str, available_now: bool = False, after: Callable[[str, int], None] | None = None, **policy_options) -> StreamingQuery:
+    """Dead letters and both window tables from one stream of records that is decoded and judged once.
+
+    Each batch is persisted on disk and goes to its sinks in turn; each sink marks the batch when it is done. A batch that is run again, as
+    after a failure between two sinks, skips the sinks that have marked it, and a sink that failed half-way repeats its upserts, which
+    change nothing that is there. So every record counts exactly once in every table.
+
+    after: is called with each sink's name and the batch's number when the sink is done; policy_options: those of ``stateful.judged``.
+    """
+    def put(batch: DataFrame, number: int) -> None:
+        batch = batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            # Even if all sinks have marked the batch: the state of ids seen is committed by computing it.
+            batch.count()
+            for name, sink in (("dead_letters", letters), ("windows", tables)):
+                if not store.marked(f"{prefix}_{name}_marks", checkpoint, number):
+                    sink(batch)
+                    store.mark(f"{prefix}_{name}_marks", checkpoint, number)
+                if after:
+                    after(name, number)
+        finally:
+            batch.unpersist()
+
+    def letters(batch: DataFrame) -> None:
+        bad = contract.dead_letters(batch.where(F.col("verdict") == stateful.INVALID).withColumn("timestamp", F.col("source_timestamp"))).withColumn("source_day", F.to_date("source_timestamp"))
+        # By day of the record: a batch reads and writes its own days.
+        store.upsert(f"{prefix}_dead_letters", bad.dropDuplicates(["dlq_id"]), ["dlq_id", "source_day"], partition_by=["source_day"])
+
+    def tables(batch: DataFrame) -> None:
+        good = batch.where(F.col("verdict") == stateful.ACCEPTED).select(*[n for n, _ in contract.FIELDS], "source_timestamp")
+        put_windows(by_day(good), store, prefix)
+
+    judged = stateful.judged(contract.decoded(records, schema_id), **policy_options)
+    writer = judged.writeStream.queryName(prefix).foreachBatch(put).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def drained(df: DataFrame, path: str, mode: str = "append", empty_batches: bool = False, observed: dict[str, int] | None = None) -> DataFrame:
     """Runs a stream over all that is there now into Parquet files, one folder per batch, and reads them; of complete outputs the last.
 
-    Without batches that have no data: state with a processing-time limit asks for ever more of these, and the run would not end.
+    A second run with the same path goes on where the first one ended. empty_batches: a batch without data follows when the watermark has
+    moved, to close windows; not for state with a processing-time limit, which asks for ever more of these, so the run would not end.
+    observed: gets the sums of the observed metrics.
     """
     last: list[int] = []
     empty, conf = "spark.sql.streaming.noDataMicroBatches.enabled", df.sparkSession.conf
@@ -67,9 +118,14 @@ def drained(df: DataFrame, path: str, mode: str = "append") -> DataFrame:
         batch.write.mode("overwrite").parquet(f"{path}/out/batch={number}")
         last[:] = [number]
 
-    conf.set(empty, "false")
+    conf.set(empty, str(empty_batches).lower())
     try:
-        df.writeStream.outputMode(mode).foreachBatch(put).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+        run = df.writeStream.outputMode(mode).foreachBatch(put).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+        run.awaitTermination()
+        for progress in run.recentProgress if observed is not None else ():
+            for row in progress.observedMetrics.values():
+                for name, value in row.asDict().items():
+                    observed[name] = observed.get(name, 0) + (value or 0)
     finally:
         conf.set(empty, was)
     reader = df.sparkSession.read.schema(df.schema)
