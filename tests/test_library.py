@@ -157,6 +157,34 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert set(again["metrics"]["ingest"].values()) == {"skipped"}
 
 
+def test_settings_files_drive_the_jobs(spark, tmp_path):
+    from tidewater import config
+
+    (tmp_path / "ingest.yaml").write_text(f"job_name: i\nlanding_root: {tmp_path}/landing\nscenario: smoke\nschema_strategy: merge\nplayback_write_batches: 3\n")
+    (tmp_path / "stage.yaml").write_text("job_name: s\ncutover: '2026-01-01T00:00:00Z'\nskew_strategy: salted\nskew_salt_buckets: 4\ncompletion_threshold: 0.5\nspark: {shuffle_partitions: 3}\n")
+    options = jobs.Options.of(config.load(config.Ingest, tmp_path / "ingest.yaml"), config.load(config.Stage, tmp_path / "stage.yaml"))
+    assert (options.scenario, options.merge_content, options.playback_batches, options.salt_buckets, options.completion_threshold) == ("smoke", True, 3, 4, 0.5)
+    generate.land(spark, f"{tmp_path}/landing")
+    was = {k: spark.conf.get(k) for k in options.settings}
+    try:
+        run = jobs.Run(spark, Store(spark, f"file://{tmp_path}/store"), f"{tmp_path}/landing", "run-1", options)
+        for graph in ("raw_to_bronze", "bronze_to_gold", "offline_features", "maintenance"):
+            summary = jobs.run_graph(run, graph)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert [s["operation"] for s in run.store.snapshots("bronze.raw_playback_events")][-2:] == ["append", "compact"] or run.store.read("bronze.raw_playback_events").count() > 3000
+    assert sum(summary["metrics"]["event_types"].values()) == 3000 and set(jobs.GRAPHS) == {"raw_to_bronze", "bronze_to_gold", "offline_features", "maintenance"}
+    sessions = run.store.read("silver.int_playback_sessions")
+    assert sessions.where("completion_rate >= 0.5 and not is_completed").isEmpty() and not sessions.where("completion_rate < 0.9 and is_completed").isEmpty()
+
+
+def test_rows_without_a_whole_key_are_no_keys(spark):
+    df = spark.createDataFrame([(1, "a"), (1, None), (None, "a"), (1, "a")], "a int, b string")
+    assert df.agg(F.countDistinct("a", "b").alias("n")).first()["n"] == 1
+
+
 def event(i: int, at: int, **more) -> dict:
     return {"event_id": f"e{i}", "user_id": "u", "content_id": "c", "session_id": "s", "event_type": "playback_completed", "position_seconds": 1, "watch_seconds": 10, "event_timestamp": at, "produced_timestamp": at, "payload_schema_version": 1} | more
 

@@ -50,8 +50,8 @@ def category_rates(df: DataFrame, category: str, configured: dict[str, float], t
 
 
 def schema_evolution(df: DataFrame, version: str, column: str) -> DataFrame:
-    """Rows and nulls of a column by schema version."""
-    return df.groupBy(version).agg(F.count("*").alias("row_count"), F.count_if(F.col(column).isNull()).alias("null_count"))
+    """Rows and nulls of a column by schema version, in the versions' order: one row per version."""
+    return df.groupBy(version).agg(F.count("*").alias("row_count"), F.count_if(F.col(column).isNull()).alias("null_count")).orderBy(version)
 
 
 def null_profile(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -68,6 +68,16 @@ def distinct_estimate(df: DataFrame, column: str, lg_registers: int = 14) -> Dat
     return df.agg(F.hll_sketch_estimate(F.hll_sketch_agg(column, F.lit(lg_registers))).alias("distinct_estimate"))
 
 
+def sketches(df: DataFrame, by: list[str], columns: list[str], lg_registers: int = 14) -> DataFrame:
+    """Rows and HyperLogLog sketches of the columns by group, to be stored: of any union of groups ``merged`` estimates without reading rows."""
+    return df.groupBy(*by).agg(F.count("*").alias("row_count"), *[F.hll_sketch_agg(c, F.lit(lg_registers)).alias(f"{c}_sketch") for c in columns])
+
+
+def merged(stored: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
+    """Rows and distinct estimates over the stored groups that are there, by coarser groups."""
+    return stored.groupBy(*by).agg(F.sum("row_count").alias("row_count"), *[F.hll_sketch_estimate(F.hll_union_agg(f"{c}_sketch")).alias(f"{c}_estimate") for c in columns])
+
+
 def duplicate_rate(df: DataFrame, group: str, key: str) -> DataFrame:
     """Rows beyond the first of each key, by group (a file, a day)."""
     out = df.groupBy(group).agg(F.count("*").alias("row_count"), F.countDistinct(key).alias("keys"))

@@ -821,6 +821,71 @@ def hll_profile(spark, d):
     return both.select("distinct_users", (F.abs(F.col("distinct_estimate") - F.col("distinct_users")) <= 4 * 1.04 / 128 * F.col("distinct_users") + 1).alias("within_bound"))
 
 
+_RANGES = {"first_week": ("2024-01-01", "2024-01-07"), "mid_month": ("2024-01-10", "2024-01-20"), "one_day": ("2024-01-25", "2024-01-25"), "month": ("2024-01-01", "2024-01-31")}
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS span, count(*) AS row_count, count(DISTINCT user_id) AS distinct_users, true AS within_bound FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '{a}' AND DATE '{b}'" for n, (a, b) in _RANGES.items()))
+def stored_sketches(spark, d):
+    # One sketch per day is stored; any range of days is estimated from the sketches, the rows are read for comparison only.
+    from tidewater.sources.tables import Store
+
+    e = read(spark, d, "events").withColumn("day", F.to_date("ts"))
+    store = Store(spark, _scratch(spark, "sketches"))
+    store.replace("daily_sketches", profile.sketches(e, ["day"], ["user_id"]))
+    out = None
+    for name, (a, b) in _RANGES.items():
+        inside = F.col("day").between(F.lit(a).cast("date"), F.lit(b).cast("date"))
+        both = profile.merged(store.read("daily_sketches").where(inside), ["user_id"]).crossJoin(e.where(inside).agg(F.countDistinct("user_id").alias("distinct_users")))
+        one = both.select(F.lit(name).alias("span"), "row_count", "distinct_users", (F.abs(F.col("user_id_estimate") - F.col("distinct_users")) <= 4 * 1.04 / 128 * F.col("distinct_users") + 1).alias("within_bound"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query(f"{FACT}, best AS (SELECT window_start, content_id, round(popularity_score, 6) AS popularity_score FROM scored ORDER BY scored.popularity_score DESC, window_start DESC, content_id LIMIT 100) SELECT *, true AS from_few_files FROM best")
+def served_top100(spark, d):
+    # From a table sorted by score with an index of its files: as many files are read as hold a hundred rows.
+    from tidewater.sources import serving
+
+    path, order = _scratch(spark, "served"), [F.desc("popularity_score"), F.desc("window_start"), F.col("content_id")]
+    serving.serve(marts.hourly(fact_rows(spark, d)).select("window_start", "content_id", "popularity_score"), path, order, ["content_id"], file_rows=500)
+    out = serving.best(spark, path, order, 100)
+    return rounded(out, "popularity_score").withColumn("from_few_files", F.lit(len(out.inputFiles()) <= 2))
+
+
+@query("SELECT p_partkey, p_name, p_size, true AS from_one_file FROM part WHERE p_partkey = 77")
+def served_key(spark, d):
+    from tidewater.sources import serving
+
+    path = _scratch(spark, "served-key")
+    serving.serve_by_key(read(spark, d, "part").select("p_partkey", "p_name", "p_size"), path, "p_partkey", file_rows=100)
+    out = serving.lookup(spark, path, "p_partkey", 77)
+    return out.withColumn("from_one_file", F.lit(len(out.inputFiles()) == 1))
+
+
+@query("SELECT n_name, count(*) AS customers, round(sum(c_acctbal), 2) AS balance FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey = 2 GROUP BY 1")
+def federated_join(spark, d):
+    # Nations live in another database; its filter runs there.
+    from tidewater.sources import serving
+
+    schema = serving.attach_embedded(spark, "other")
+    read(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey").writeTo(f"{schema}.nation").create()
+    n = spark.table(f"{schema}.nation").where("n_regionkey = 2")
+    return read(spark, d, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_name").agg(F.count("*").alias("customers"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
+
+
+@query("SELECT count(*) AS scanned_rows, count(DISTINCT month(o_orderdate)) AS files_read, count(*) AS aggregated_rows FROM orders WHERE year(o_orderdate) = 1995 AND month(o_orderdate) BETWEEN 3 AND 5")
+def analyzed_scan(spark, d):
+    # What a pruned scan has read by its own figures.
+    from tidewater.plans.analyze import analyzed, total
+
+    path = _scratch(spark, "analyzed")
+    o = read(spark, d, "orders").withColumn("year", F.year("o_orderdate")).withColumn("month", F.month("o_orderdate"))
+    o.repartition("year", "month").write.partitionBy("year", "month").parquet(path)
+    found = analyzed(spark.read.parquet(path).where("year = 1995 and month between 3 and 5").groupBy("o_orderstatus").agg(F.sum("o_totalprice")))
+    rows = total(found, "Scan parquet", "number of output rows")
+    return spark.createDataFrame([(rows, total(found, "Scan parquet", "number of files read"), rows)], "scanned_rows bigint, files_read bigint, aggregated_rows bigint")
+
+
 @query("SELECT 1 AS file_count, count(*) AS least_rows, count(*) AS most_rows, true AS have_bytes FROM lineitem")
 def file_stats(spark, d):
     return profile.file_statistics(read(spark, d, "lineitem")).select(F.col("file_count").cast("int").alias("file_count"), "least_rows", "most_rows", (F.col("total_bytes") > 0).alias("have_bytes"))

@@ -11,6 +11,7 @@ from graphlib import TopologicalSorter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater import config
 from tidewater.operators import checks, history, marts, profile, silver
 from tidewater.sources import landing
 from tidewater.sources.tables import Store
@@ -34,6 +35,21 @@ class Options:
     session_partitions: int | None = None
     completion_threshold: float = silver.COMPLETION_THRESHOLD
     compat: str = "double"
+    #: Appends of the playback events of one run, and how their skew is profiled: counts per city, direct or in salted steps.
+    playback_batches: int = 1
+    salt_buckets: int | None = None
+    settings: dict[str, str] = field(default_factory=dict)
+
+    @classmethod
+    def of(cls, ingest: config.Ingest | None = None, stage: config.Stage | None = None, **more) -> Options:
+        """From the settings files of the jobs; what a file does not say keeps its default."""
+        found: dict = {}
+        if ingest:
+            found |= {"scenario": ingest.scenario, "merge_content": ingest.schema_strategy == "merge", "playback_batches": ingest.playback_write_batches, "settings": ingest.spark.settings()}
+        if stage:
+            found |= {"cutover": stage.cutover, "session_partitions": stage.session_shuffle_partitions, "completion_threshold": stage.completion_threshold}
+            found |= {"salt_buckets": stage.skew_salt_buckets if stage.skew_strategy == "salted" else None, "settings": found.get("settings", {}) | stage.spark.settings()}
+        return cls(**(found | more))
 
 
 @dataclass
@@ -54,6 +70,8 @@ class Run:
         self.store.append(LINEAGE, self.spark.createDataFrame(rows, "run_id string, started timestamp_ntz, source string, input string, output string"))
 
     def group(self, name: str) -> None:
+        for key, value in self.options.settings.items():
+            self.spark.conf.set(key, value)
         self.spark.sparkContext.setJobGroup(self.run_id, name)
 
     def summary(self) -> dict:
@@ -85,7 +103,7 @@ def staged(run: Run) -> dict[str, dict]:
     out = {}
     for name, (keys, natural) in SILVER_KEYS.items():
         df = run.store.read(f"silver.{name}")
-        r = df.agg(F.count("*").alias("rows"), F.countDistinct(F.struct(*keys)).alias("keys")).first()
+        r = df.agg(F.count("*").alias("rows"), F.countDistinct(*keys).alias("keys")).first()  # rows without a whole key have none
         out[name] = {"rows": r["rows"], "unique_business_keys": r["keys"], "duplicates": r["rows"] - r["keys"]}
         if natural:
             v = profile.retained_versions(df, natural).first()
@@ -121,7 +139,7 @@ def ingest(run: Run) -> None:
             raise Invalid(f"{name} is empty")
     _none(frames["playback_events"].where(F.col("event_timestamp") >= F.lit(run.options.cutover).cast("timestamp")), "playback events at or after the cutover")
     rows = {f"bronze.raw_{k}": landing.with_metadata(df, k, run.run_id, run.started) for k, df in frames.items()}
-    run.metrics["ingest"] = run.store.append_once(rows, run.run_id)
+    run.metrics["ingest"] = run.store.append_once(rows, run.run_id, buckets={"bronze.raw_playback_events": ("event_id", run.options.playback_batches)})
     run.metrics["bronze_rows"] = committed(run, {k: df.count() for k, df in frames.items()})
     run.record(run.landing_root, list(frames), list(rows))
 
@@ -139,6 +157,10 @@ def stage(run: Run) -> None:
     sessions = silver.sessions(run.store.read("silver.stg_playback_events"), runtimes, F.lit(run.started), run.run_id, run.options.session_partitions, run.options.completion_threshold)
     run.store.replace("silver.int_playback_sessions", sessions)
     run.metrics["silver"] = staged(run)
+    events = run.store.read("silver.stg_playback_events")
+    salt = run.options.salt_buckets
+    counts = profile.salted_distribution(events, "event_type", "event_id", salt) if salt else profile.distribution(events, "event_type")
+    run.metrics["event_types"] = {r["event_type"]: r["count"] for r in counts.collect()}  # a row per type, of which the contract knows three
     run.record("bronze", [f"bronze.raw_{k}" for k in raw], ["silver.int_playback_sessions"])
 
 
@@ -196,6 +218,24 @@ def maintain(run: Run, table: str = "bronze.raw_playback_events", older_than: fl
 GRAPH: dict[str, tuple[Callable[[Run], None], set[str]]] = {"ingest": (ingest, set()), "stage": (stage, {"ingest"}), "model": (model, {"stage"}), "features": (features, {"model"}), "publish": (publish, {"model"})}
 
 
+#: The graphs that are scheduled one by one: landing to Bronze, Bronze to Gold, features and serving, and the upkeep of tables.
+GRAPHS: dict[str, dict[str, tuple[Callable[[Run], None], set[str]]]] = {
+    "raw_to_bronze": {"ingest": (ingest, set()), "validate_bronze": (lambda run: run.metrics.update(bronze_rows=committed(run, dict(run.metrics["bronze_rows"]))), {"ingest"})},
+    "bronze_to_gold": {"stage": (stage, set()), "model": (model, {"stage"})},
+    "offline_features": {"features": (features, set()), "publish": (publish, set())},
+    "maintenance": {"maintain": (maintain, set())},
+}
+
+
+def run_graph(run: Run, graph: str) -> dict:
+    """Runs one of the scheduled graphs in its order."""
+    jobs = GRAPHS[graph]
+    for name in TopologicalSorter({k: v[1] for k, v in jobs.items()}).static_order():
+        LOG.info("job %s of graph %s of run %s", name, graph, run.run_id)
+        jobs[name][0](run)
+    return run.summary()
+
+
 def run_all(run: Run, only: set[str] | None = None) -> dict:
     """Runs the jobs in the order of their graph."""
     for name in TopologicalSorter({k: v[1] for k, v in GRAPH.items()}).static_order():

@@ -121,8 +121,11 @@ class Store:
         bucket = F.pmod(F.xxhash64(key), F.lit(n))
         return [self.append(table, df.where(bucket == i), partition_by) for i in range(n)]
 
-    def append_once(self, frames: dict[str, DataFrame], run_id: str, run_column: str = "_pipeline_run_id") -> dict[str, str]:
-        """Appends each table's rows of a run, unless the run is there already in full. Part of a run is an error to look into by hand."""
+    def append_once(self, frames: dict[str, DataFrame], run_id: str, run_column: str = "_pipeline_run_id", buckets: dict[str, tuple[str, int]] = {}) -> dict[str, str]:  # noqa: B006
+        """Appends each table's rows of a run, unless the run is there already in full. Part of a run is an error to look into by hand.
+
+        buckets: tables that are appended in so many steps, their rows dealt by the hash of a key.
+        """
         state = {}
         for name, df in frames.items():
             want = df.count()
@@ -133,7 +136,11 @@ class Store:
         if set(state.values()) != {"new"}:
             raise RuntimeError(f"run {run_id} is there in part: {state}")
         for name, df in frames.items():
-            self.append(name, df)
+            key, n = buckets.get(name, (None, 1))
+            if n > 1:
+                self.append_buckets(name, df, key, n)
+            else:
+                self.append(name, df)
         return dict.fromkeys(frames, "appended")
 
     def upsert(self, table: str, df: DataFrame, keys: list[str], mirror: bool = False, partition_by: list[str] = ()) -> dict:
