@@ -35,8 +35,6 @@ MAX_WORD_DISTANCE = 0.4
 MAX_ODD_SHARE = 0.1
 #: Below this number of words the common-word histogram is too thin to judge by.
 MIN_WORDS_FOR_COMMON = 100
-#: Windows of texts up to this many words are sorted as packed numbers: 49 bits of hash, 15 of position.
-PACKED = 1 << 15
 
 
 def _vocabulary() -> list[str]:
@@ -103,15 +101,6 @@ def _distance(p: Column, total: Column, q: list[float]) -> Column:
     return F.sqrt(F.greatest(divergence, F.lit(0.0)))
 
 
-def _repeated_positions(packed: Column) -> Column:
-    """Sorted positions of the windows whose hash a neighbour in the sorted packed array has too."""
-    def same(x: Column, y: Column) -> Column:
-        return F.coalesce(x.bitwiseAND(F.lit(-PACKED).cast("long")) == y.bitwiseAND(F.lit(-PACKED).cast("long")), F.lit(False))
-
-    found = F.filter(packed, lambda x, i: same(x, F.get(packed, i - 1)) | same(x, F.get(packed, i + 1)))
-    return F.sort_array(F.transform(found, lambda x: x.bitwiseAND(F.lit(PACKED - 1).cast("long"))))
-
-
 def _covered(at: Column) -> Column:
     """Size of the union of [p, p + 3) over the sorted positions."""
     return F.aggregate(F.transform(at, lambda p, i: F.coalesce(F.least(F.get(at, i + 1) - p, F.lit(3)), F.lit(3)).cast("long")), F.lit(0).cast("long"), lambda acc, x: acc + x)
@@ -121,7 +110,7 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", max_char: flo
     """docs with a struct column of all counts, distances and verdicts; the name of that column."""
     refs = references(docs, text, lang)
     own = docs.columns
-    names = {k: fresh(docs, f"_dd_{k}") for k in ("w", "solid", "rest", "said", "chars", "classes", "slots", "hash", "packed", "at", "lines", "v", "m", "count")}
+    names = {k: fresh(docs, f"_dd_{k}") for k in ("w", "solid", "rest", "said", "chars", "classes", "slots", "hash", "at", "lines", "v", "m", "count")}
     n = {k: F.col(v) for k, v in names.items()}
     keep = [F.col(f"`{c}`") for c in own]
     df = _stages(docs, text, keep, names)
@@ -130,15 +119,13 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", max_char: flo
     hashes = F.slice(F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2))), 1, F.greatest(F.size(w) - 2, F.lit(0)))
     df = df.select(*keep, n["chars"], n["classes"], n["slots"], F.size(w).cast("long").alias(names["count"]), hashes.alias(names["hash"]), lines.alias(names["lines"]))
     again = F.size(n["hash"]) > F.size(F.array_distinct(n["hash"]))
-    none = F.array().cast("array<bigint>")
-    packed = F.when(again & (n["count"] <= PACKED), F.sort_array(F.transform(n["hash"], lambda x, i: x.bitwiseAND(F.lit(-PACKED).cast("long")).bitwiseOR(i.cast("long"))))).otherwise(none)
-    # Beyond the packed length: the same over (hash, position) pairs.
+    # Windows in the order of their hashes; those that a neighbour has too, in the order of their places.
     pairs = F.sort_array(F.transform(n["hash"], lambda x, i: F.struct(x.alias("h"), i.cast("long").alias("p"))))
-    df = df.withColumn(names["packed"], packed)
-    df = df.withColumn(names["m"], F.when(again & (n["count"] > PACKED), pairs))
-    p, m = n["packed"], n["m"]
-    long_at = F.sort_array(F.transform(F.filter(m, lambda x, i: F.coalesce(x["h"] == F.get(m, i - 1)["h"], F.lit(False)) | F.coalesce(x["h"] == F.get(m, i + 1)["h"], F.lit(False))), lambda x: x["p"]))
-    df = df.withColumn(names["at"], F.coalesce(long_at, _repeated_positions(p)))
+    df = df.withColumn(names["m"], F.when(again, pairs))
+    m = n["m"]
+    same = lambda x, i: F.coalesce(x["h"] == F.get(m, i)["h"], F.lit(False))
+    at = F.sort_array(F.transform(F.filter(m, lambda x, i: same(x, i - 1) | same(x, i + 1)), lambda x: x["p"]))
+    df = df.withColumn(names["at"], F.coalesce(at, F.array().cast("array<bigint>")))
     char_total = F.greatest(n["chars"].cast("double"), F.lit(1.0))
     word_total = F.greatest(n["count"].cast("double"), F.lit(1.0))
     slots = F.concat(n["slots"], F.array(n["count"].cast("double") - F.aggregate(n["slots"], F.lit(0.0), lambda acc, x: acc + x)))
