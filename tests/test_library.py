@@ -310,26 +310,41 @@ def test_settings_are_strict(tmp_path):
         config.built(config.Compaction, {"job_name": "x", "namespace": "Bad-Name", "table": "t"})
 
 
-def test_registry(tmp_path):
-    import io
+def test_schema_file_names_the_records_fields(tmp_path):
     import json
 
-    from tidewater.streaming import registry
-
     schema = {"type": "record", "name": "r", "fields": [{"name": "a", "type": "string"}, {"name": "t", "type": {"type": "long", "logicalType": "timestamp-millis"}}]}
     (tmp_path / "s.avsc").write_text(json.dumps(schema))
-    asked = []
-
-    def opener(request, timeout):
-        asked.append((request.method, request.full_url, json.loads(request.data)))
-        return io.BytesIO(b'{"id": 7}')
-
-    assert registry.Registry("http://r/", opener).register("a b-value", registry.read_schema(tmp_path / "s.avsc")) == 7
-    assert [(m, u) for m, u, _ in asked] == [("POST", "http://r/subjects/a%20b-value/versions"), ("PUT", "http://r/config/a%20b-value")]
-    assert json.loads(asked[0][2]["schema"]) == schema and asked[1][2] == {"compatibility": "BACKWARD"}
-    assert registry.fields_of(schema) == (("a", "string"), ("t", "long"))
-    with pytest.raises(RuntimeError, match="no id"):
-        registry.Registry("http://r", lambda r, timeout: io.BytesIO(b"{}")).register("s", schema)
+    assert contract.fields_of(tmp_path / "s.avsc") == (("a", "string"), ("t", "long"))
+    for bad in ({"type": "string"}, schema | {"fields": [{"name": "x", "type": "double"}]}):
+        (tmp_path / "s.avsc").write_text(json.dumps(bad))
+        with pytest.raises(ValueError):
+            contract.fields_of(tmp_path / "s.avsc")
+
+
+def test_batches_are_decoded_as_single_records_are():
+    """Whole batches against one record at a time: right, cut off, too long, out of range, with bad text."""
+    import random
+
+    r, n_fields = random.Random(9), len(contract.FIELDS)
+    rows = []
+    for k in range(600):
+        values = {n: r.choice(["", "x", "é" * r.randrange(90), "user-%d" % r.randrange(10**9)]) if kind == "string" else r.choice([0, -1, 1, 63, 64, -64, -65, 2**31 - 1, -(2**31), r.randrange(2**31)] if kind == "int" else [0, -1, 2**63 - 1, -(2**63), r.randrange(2**45)]) for n, kind in contract.FIELDS}
+        raw = contract.encode(values, 7)[5:]
+        cut = r.randrange(len(raw) + 1)
+        rows.append(r.choice([raw, raw, raw, raw[:cut], raw + b"\0", raw[:cut] + bytes([r.randrange(256)]) + raw[cut + 1 :], b"", b"\xff" * 12, b"\x80" * 30 + raw, None]))
+    got = contract.bodies(rows)
+    assert len(got) == n_fields + 2
+    for k, raw in enumerate(rows):
+        mine = {n: column[k] for n, column in got.items()}
+        if raw is None:
+            assert all(v is None for v in mine.values())
+            continue
+        try:
+            want = contract.body(raw) | {"code": None, "message": None}
+        except contract.Bad as e:
+            want = dict.fromkeys([n for n, _ in contract.FIELDS]) | {"code": e.code, "message": str(e)}
+        assert mine == want, k
 
 
 def test_messages(spark):

@@ -72,7 +72,7 @@ class Stream:
     bootstrap_servers: str
     topic: str
     dlq_topic: str
-    registry_url: str = ""
+    schema_id: int = bounded(0, default=1)
     watermark_seconds: int = bounded(0, default=30)
     window_minutes: Literal[5] = 5
     dedup_ttl_minutes: int = bounded(1, default=90)

@@ -6,9 +6,12 @@ bytes, a code of the error and an id that depends on topic, partition and offset
 
 from __future__ import annotations
 
+import json
 import struct
 from collections.abc import Iterator
+from pathlib import Path
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -96,30 +99,101 @@ def framed(value: Column, schema_id: int) -> Column:
     return F.when(bare, F.lit(FRAME)).when(F.conv(F.hex(F.substring(value, 2, 4)), 16, 10).cast("long") != schema_id, F.lit(SCHEMA_ID))
 
 
+def _numbers(data: np.ndarray, at: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Zigzag variable-length integers at the places of one record each: value, place after it, and whether it is there whole."""
+    value, more, place, whole = np.zeros(len(at), np.uint64), np.ones(len(at), bool), at.copy(), np.ones(len(at), bool)
+    for shift in range(0, 70, 7):
+        if not more.any():
+            break
+        there = more & (place < end)
+        whole &= ~more | there
+        byte = np.where(there, data[np.where(there, place, 0)], 0)
+        if shift == 63:
+            # The tenth byte holds the last bit: more of it would be no long.
+            whole &= ~there | (byte < 2)
+        value |= np.where(there, (byte & 0x7F).astype(np.uint64) << np.uint64(shift), np.uint64(0))
+        place += there
+        more = there & (byte >= 0x80)
+    whole &= ~more
+    return (value >> np.uint64(1)).astype(np.int64) ^ -((value & np.uint64(1)).astype(np.int64)), place, whole
+
+
+def bodies(payloads: list[bytes | None]) -> dict[str, list]:
+    """Values, code and message of each record; null bytes have neither.
+
+    Field by field over the whole batch; a record that is not right throughout is read once more by ``body``, which says why.
+    """
+    n = len(payloads)
+    parts = [p or b"" for p in payloads]
+    data = np.frombuffer(b"".join(parts) or b"\0", np.uint8)
+    end = np.cumsum([len(p) for p in parts], dtype=np.int64) if n else np.zeros(0, np.int64)
+    at = end - np.array([len(p) for p in parts], np.int64)
+    good, found = np.array([p is not None for p in payloads], bool), {}
+    for name, kind in FIELDS:
+        value, at, whole = _numbers(data, at, end)
+        good &= whole
+        if kind == "string":
+            good &= (value >= 0) & (value <= end - at)
+            size = np.where(good, value, 0)
+            found[name] = (at, at + size)
+            at = at + size
+        else:
+            good &= (value >= LIMITS[kind][0]) & (value <= LIMITS[kind][1])
+            found[name] = value
+    good &= at == end
+    raw, out = data.tobytes(), {}
+    for name, kind in FIELDS:
+        if kind == "string":
+            starts, ends = (x.tolist() for x in found[name])
+            column: list = []
+            for k, (a, b, ok) in enumerate(zip(starts, ends, good.tolist(), strict=True)):
+                try:
+                    column.append(raw[a:b].decode() if ok else None)
+                except UnicodeDecodeError:
+                    column.append(None)
+                    good[k] = False
+            out[name] = column
+        else:
+            out[name] = found[name].tolist()
+    out |= {"code": [None] * n, "message": [None] * n}
+    for k in np.flatnonzero(~good).tolist():
+        values, code, message = {}, None, None
+        if payloads[k] is not None:
+            try:
+                values = body(bytes(payloads[k]))
+            except Bad as e:
+                code, message = e.code, str(e)
+            except Exception as e:  # noqa: BLE001 - one record must never end the stream
+                values, code, message = {}, UNEXPECTED, repr(e)[:MESSAGE_LENGTH]
+        for name, _ in FIELDS:
+            out[name][k] = values.get(name)
+        out["code"][k], out["message"][k] = code, message
+    return out
+
+
 def _bodies(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """Values or error of each record's bytes; null bytes have neither."""
-    names = [n for n, _ in FIELDS]
     for part in parts:
-        out: dict[str, list] = {n: [] for n in [*names, "code", "message"]}
-        for payload in part:
-            values, code, message = {}, None, None
-            if payload is not None:
-                try:
-                    values = body(bytes(payload))
-                except Bad as e:
-                    code, message = e.code, str(e)
-                except Exception as e:  # noqa: BLE001 - one record must never end the stream
-                    values, code, message = {}, UNEXPECTED, repr(e)[:MESSAGE_LENGTH]
-            for n in names:
-                out[n].append(values.get(n))
-            out["code"].append(code)
-            out["message"].append(message)
+        out: dict = bodies(part.tolist())
         for n, kind in FIELDS:
             if kind != "string":
                 out[n] = pd.array(out[n], dtype="Int32" if kind == "int" else "Int64")
         yield pd.DataFrame(out)
 
 
+def fields_of(path: str | Path) -> tuple[tuple[str, str], ...]:
+    """(name, kind) of the fields of a schema file's flat record, in order; logical types count as what carries them."""
+    schema = json.loads(Path(path).read_text(encoding="utf-8"))
+    if schema.get("type") != "record":
+        raise ValueError("the schema is no record")
+    out = []
+    for f in schema["fields"]:
+        kind = f["type"]["type"] if isinstance(f["type"], dict) else f["type"]
+        if kind not in ("string", "int", "long"):
+            raise ValueError(f"field {f['name']}: {kind} is not supported")
+        out.append((f["name"], kind))
+    return tuple(out)
+
+
 def decoded(records: DataFrame, schema_id: int) -> DataFrame:
     """records (key, value, topic, partition, offset, timestamp) with the fields, error_type and error_message.
 

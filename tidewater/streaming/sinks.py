@@ -104,11 +104,11 @@ def write_all(records: DataFrame, schema_id: int, store: Store, prefix: str, che
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def of_settings(records: DataFrame, schema_id: int, settings: config.Stream, store: Store, prefix: str, checkpoint: str, **more) -> StreamingQuery:
-    """``write_all`` as a settings file says: delay of the watermark, late events, duplicates and how long ids are remembered."""
+def of_settings(records: DataFrame, settings: config.Stream, store: Store, prefix: str, checkpoint: str, **more) -> StreamingQuery:
+    """``write_all`` as a settings file says: the id of the records' schema, delay of the watermark, late events, duplicates and how long ids are remembered."""
     for key, value in settings.settings().items():
         records.sparkSession.conf.set(key, value)
-    return write_all(records, schema_id, store, prefix, checkpoint, **more, delay=f"{settings.watermark_seconds} seconds", drop_late=settings.late_handling, dedup=settings.dedup, ttl_minutes=settings.dedup_ttl_minutes)
+    return write_all(records, settings.schema_id, store, prefix, checkpoint, **more, delay=f"{settings.watermark_seconds} seconds", drop_late=settings.late_handling, dedup=settings.dedup, ttl_minutes=settings.dedup_ttl_minutes)
 
 
 def drained(df: DataFrame, path: str, mode: str = "append", empty_batches: bool = False, observed: dict[str, int] | None = None) -> DataFrame:
