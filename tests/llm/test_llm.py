@@ -1056,6 +1056,27 @@ def test_contamination(spark):
     assert qgrams.contaminated(empty(spark), b).count() == 0 and qgrams.contaminated(frame, b.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(("hits", "cells"), [(1, 1), (37, 3000), (1 << 20, 1 << 20)])
+def test_matches_do_not_depend_on_pieces(monkeypatch, hits, cells):
+    """Common q-grams, long items and repeated ones, a few hits and cells at a time."""
+    r = random.Random(12)
+    line = lambda n: "".join(r.choices("abcdefgh", k=n))
+    common, long = line(60), line(4000)
+    items = [common + line(40) for _ in range(12)] + [common, common, long, line(30)]
+    edited_long = "".join(c if r.random() > 0.02 else r.choice("xyz") for c in long)
+    texts = [common * 6 + items[3], line(300), edited_long + line(20), line(9) + items[0][:50] + "z" + items[0][50:], items[15], ""]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    index = qgrams.Items(list(range(len(items))), items)
+    whole = index.matches(data, offsets)
+    monkeypatch.setattr(qgrams, "HITS", hits)
+    monkeypatch.setattr(qgrams, "CELLS", cells)
+    assert index.matches(data, offsets) == whole
+    found = {(m[0], m[1]): m[2] for m in whole}
+    assert {(0, 3), (0, 12), (0, 13), (2, 14), (3, 0), (4, 15)} <= set(found) and found[0, 12] == 0 and found[3, 0] <= 1
+    assert not {m[0] for m in whole} & {1, 5}
+
+
 # Pipeline and queries
 
 

@@ -6,8 +6,9 @@ WIDTH diagonals and goes on for e more, so each such alignment lies in one band
 banded alignment of the whole item against the text around the band. Characters are the UTF-8 bytes of letters and digits, A-Z as
 a-z: spacing, line breaks and punctuation don't count.
 
-The items are the query set: the driver indexes them in blocks of at most BLOCK_BYTES of text, and the plan carries the indexes of all blocks
-to the tasks; so memory grows with the benchmark, never with the documents. Every document is read whole.
+The items are the query set: the plan carries their texts to the tasks in blocks of about BLOCK_BYTES, and each task indexes a block at
+a time; so the plan grows with the benchmark's text, a task's memory with a block (or one longer item), and nothing with the documents.
+Every document is read whole.
 
 Defined cases: null and empty texts and items match nothing; items of fewer than q characters match nothing; repeated items and rows
 match each for itself; without items nothing is contaminated; extra columns pass through ``drop_contaminated``; a document is
@@ -29,7 +30,9 @@ Q = 12
 #: Edits allowed, as a share of an item's characters; fewer where the lemma would give no bound.
 EDIT_SHARE = 0.05
 WIDTH = 16
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
+#: Shared q-grams that are listed at once; cells of alignments that are filled at once, unless one item has more.
+HITS, CELLS = 1 << 20, 1 << 20
 TABLE_BITS = 22
 
 
@@ -88,37 +91,60 @@ class Items:
         row = np.searchsorted(ends, at, "right") - 1
         inside = at + Q <= ends[row + 1]
         at, low, many, row = at[inside], low[inside], many[inside], row[inside]
-        each = np.repeat(np.arange(len(at)), many)
-        nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        item, place = self.where[low[each] + nth].T if len(each) else (np.zeros(0, np.int64),) * 2
-        row, diagonal = row[each], at[each] - place
+        # Shared q-grams are listed so many at a time, and only counted: a common one may stand in every item.
+        n_items, ends_of = len(self.ids), np.cumsum(many)
+
+        def shared() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            a = 0
+            while a < len(at):
+                done = ends_of[a - 1] if a else 0
+                b = max(int(np.searchsorted(ends_of, done + HITS, "right")), a + 1)
+                each = np.repeat(np.arange(a, b), many[a:b])
+                nth = np.arange(len(each)) - np.repeat(ends_of[a:b] - many[a:b] - done, many[a:b])
+                item, place = self.where[low[each] + nth].T
+                yield row[each] * n_items + item, at[each] - place
+                a = b
+
         # Rows and items with too few shared q-grams in all go first.
-        n_items = len(self.ids)
-        pair, which, total = np.unique(row * n_items + item, return_inverse=True, return_counts=True)
-        ok = (total >= self.bound[pair % n_items])[which]
-        pair, diagonal = (row * n_items + item)[ok], diagonal[ok]
-        if not len(pair):
+        pair, total = counted(np.unique(p, return_counts=True) for p, _ in shared())
+        good = pair[total >= self.bound[pair % n_items]] if len(pair) else pair
+        if not len(good):
             return []
-        e = self.budget[pair % n_items]
-        span = len(chars) // WIDTH + 4096
-        band = diagonal // WIDTH + 2048
-        keys = [pair * span + band]
-        for back in range(1, int(self.budget.max()) // WIDTH + 2):  # earlier bands that go on to here
-            there = diagonal - (band - 2048 - back) * WIDTH < WIDTH + e
-            keys.append((pair * span + band - back)[there])
-        key, count = np.unique(np.concatenate(keys), return_counts=True)
+        span, back_to = len(chars) // WIDTH + 4096, int(self.budget.max()) // WIDTH + 2
+
+        def bands() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for pair, diagonal in shared():
+                ok = good[np.minimum(np.searchsorted(good, pair), len(good) - 1)] == pair
+                pair, diagonal = pair[ok], diagonal[ok]
+                e, band = self.budget[pair % n_items], diagonal // WIDTH + 2048
+                keys = [pair * span + band]
+                for back in range(1, back_to):  # earlier bands that go on to here
+                    there = diagonal - (band - 2048 - back) * WIDTH < WIDTH + e
+                    keys.append((pair * span + band - back)[there])
+                yield np.unique(np.concatenate(keys), return_counts=True)
+
+        key, count = counted(bands())
         pair, band = key // span, key % span - 2048
         ok = count >= self.bound[pair % n_items]
         pair, band = pair[ok], band[ok]
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for a in range(0, len(pair), 512):
-            p, lows = pair[a : a + 512], band[a : a + 512] * WIDTH
-            rows, items = p // n_items, p % n_items
+        # Items of like length together, so many at once as have a bounded number of cells.
+        sizes = np.array([len(c) for c in self.chars])
+        order = np.argsort(sizes[pair % n_items], kind="stable")
+        pair, band = pair[order], band[order]
+        cells = WIDTH + 3 * self.budget[pair % n_items] + 1 + sizes[pair % n_items]  # of the band and of the item
+        a = 0
+        while a < len(pair):
+            b = a + 1
+            while b < len(pair) and (b + 1 - a) * cells[b] <= CELLS:
+                b += 1
+            rows, items, lows = pair[a:b] // n_items, pair[a:b] % n_items, band[a:b] * WIDTH
             edits, last = self.aligned(chars, ends[rows], ends[rows + 1], items, lows)
             for r, i, d, j in zip(rows.tolist(), items.tolist(), edits.tolist(), last.tolist(), strict=True):
                 if d <= self.budget[i] and d < best.get((r, i), (1 << 30,))[0]:
                     start = max(j - len(self.chars[i]), int(ends[r]))
                     best[r, i] = d, int(where[start]), int(where[j - 1]) + 1
+            a = b
         return [(r, i, *found) for (r, i), found in sorted(best.items())]
 
     def aligned(self, chars: np.ndarray, begin: np.ndarray, end: np.ndarray, items: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -149,23 +175,33 @@ class Items:
         return edits, last
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[Items]:
-    """Indexes of the items, in blocks of bounded size."""
+def counted(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers and their counts over parts of (distinct numbers, counts)."""
+    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for k, n in parts:
+        keys, which = np.unique(np.concatenate([keys, k]), return_inverse=True)
+        counts = np.bincount(which, np.concatenate([counts, n]), len(keys)).astype(np.int64)
+    return keys, counts
+
+
+def _blocks(benchmark: DataFrame) -> Iterator[tuple[list[int], list[str]]]:
+    """Ids and texts of the items, in blocks of bounded size. Their indexes, many times as large, are made in the tasks."""
     ids, texts, size = [], [], 0
     for r in benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").orderBy("item_id", "text").toLocalIterator():
         ids.append(r["item_id"])
         texts.append(r["text"])
         size += len(r["text"])
         if size > BLOCK_BYTES:
-            yield Items(ids, texts)
+            yield ids, texts
             ids, texts, size = [], [], 0
-    yield Items(ids, texts)
+    yield ids, texts
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and item it contains: doc_id, item_id, edits, first_char, last_char (code points of the text, last exclusive)."""
-    def search(items: Items):
+    def search(block: tuple[list[int], list[str]]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            items = Items(*block)
             for batch in batches:
                 ids = batch.column("doc_id").to_pylist()
                 for row, data, offsets in slices(batch.column("text")):
@@ -182,16 +218,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = None
-    for items in _blocks(benchmark):
-        part = slim.mapInArrow(search(items), "doc_id long, item_id long, edits long, first_char long, last_char long")
+    for block in _blocks(benchmark):
+        part = slim.mapInArrow(search(block), "doc_id long, item_id long, edits long, first_char long, last_char long")
         found = part if found is None else found.unionByName(part)
     return found
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that contain no item, with their own columns."""
-    def sift(items: Items):
+    def sift(block: tuple[list[int], list[str]]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            items = Items(*block)
             for batch in batches:
                 keep = np.ones(len(batch), bool)
                 for row, data, offsets in slices(batch.column("text")):
@@ -200,6 +237,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         return run
 
-    for items in _blocks(benchmark):
-        docs = docs.mapInArrow(sift(items), docs.schema)
+    for block in _blocks(benchmark):
+        docs = docs.mapInArrow(sift(block), docs.schema)
     return docs
