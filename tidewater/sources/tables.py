@@ -51,24 +51,29 @@ class Store:
 
     # Snapshots
 
+    def _manifests(self, table: str) -> list[str]:
+        """Names of a table's manifests, oldest first; they are numbered in fixed width."""
+        return sorted(f.getPath().getName() for f in self._list(f"{self.root}/{table}/_snapshots") if f.getPath().getName().endswith(".json"))
+
+    def _manifest(self, table: str, name: str) -> dict:
+        return json.loads(self._read_text(f"{self.root}/{table}/_snapshots/{name}"))
+
     def snapshots(self, table: str) -> list[dict]:
         """Manifests of a table, oldest first."""
-        folder = f"{self.root}/{table}/_snapshots"
-        names = sorted(f.getPath().getName() for f in self._list(folder) if f.getPath().getName().endswith(".json"))
-        return [json.loads(self._read_text(f"{folder}/{n}")) for n in names]
+        return [self._manifest(table, n) for n in self._manifests(table)]
 
     def exists(self, table: str) -> bool:
         return bool(self._list(f"{self.root}/{table}/_snapshots"))
 
     def latest(self, table: str) -> dict:
-        found = self.snapshots(table)
-        if not found:
+        """The newest manifest; the others are listed, not read."""
+        names = self._manifests(table)
+        if not names:
             raise LookupError(f"no table {table}")
-        return found[-1]
+        return self._manifest(table, names[-1])
 
     def _commit(self, table: str, parts: list[str], operation: str, schema: str, partition_by: list[str]) -> dict:
-        found = self.snapshots(table)
-        number = found[-1]["number"] + 1 if found else 1
+        number = self.latest(table)["number"] + 1 if self.exists(table) else 1
         snapshot = {"number": number, "committed_at": time.time(), "operation": operation, "parts": parts, "schema": schema, "partition_by": partition_by}
         self._write_text(f"{self.root}/{table}/_snapshots/{number:012d}.json", json.dumps(snapshot))
         return snapshot
@@ -94,10 +99,9 @@ class Store:
 
     def read(self, table: str, number: int | None = None) -> DataFrame:
         """A snapshot, the newest by default. Columns of older parts that lack them are null."""
-        found = [s for s in self.snapshots(table) if number in (None, s["number"])]
-        if not found:
-            raise LookupError(f"no table {table}" if number is None else f"no snapshot {number} of {table}")
-        s = found[-1]
+        if number is not None and f"{number:012d}.json" not in self._manifests(table):
+            raise LookupError(f"no snapshot {number} of {table}")
+        s = self.latest(table) if number is None else self._manifest(table, f"{number:012d}.json")
         return self._frame(table, s["parts"], StructType.fromJson(json.loads(s["schema"])))
 
     # Writes

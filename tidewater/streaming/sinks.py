@@ -23,10 +23,16 @@ def source(spark, path: str, max_files: int | None = None) -> DataFrame:
     return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(path)
 
 
+def put_dead_letters(letters: DataFrame, store: Store, table: str) -> None:
+    """Upserts dead letters by id, in folders by the record's day: a batch reads and writes its own days only, and a replay changes nothing."""
+    day = ["source_day"]
+    store.upsert(table, letters.dropDuplicates(["dlq_id"]).withColumn("source_day", F.to_date("source_timestamp")), ["dlq_id", *day], partition_by=day)
+
+
 def write_dead_letters(records: DataFrame, schema_id: int, store: Store, table: str, checkpoint: str) -> StreamingQuery:
-    """Dead letters by id: a replayed batch changes nothing."""
+    """Dead letters of a stream of records."""
     def put(batch: DataFrame, _: int) -> None:
-        store.upsert(table, batch.dropDuplicates(["dlq_id"]), ["dlq_id"])
+        put_dead_letters(batch, store, table)
 
     bad = contract.dead_letters(contract.decoded(records, schema_id))
     return bad.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -91,9 +97,8 @@ def write_all(records: DataFrame, schema_id: int, store: Store, prefix: str, che
             batch.unpersist()
 
     def letters(batch: DataFrame) -> None:
-        bad = contract.dead_letters(batch.where(F.col("verdict") == stateful.INVALID).withColumn("timestamp", F.col("source_timestamp"))).withColumn("source_day", F.to_date("source_timestamp"))
-        # By day of the record: a batch reads and writes its own days.
-        store.upsert(f"{prefix}_dead_letters", bad.dropDuplicates(["dlq_id"]), ["dlq_id", "source_day"], partition_by=["source_day"])
+        bad = batch.where(F.col("verdict") == stateful.INVALID).withColumn("timestamp", F.col("source_timestamp"))
+        put_dead_letters(contract.dead_letters(bad), store, f"{prefix}_dead_letters")
 
     def tables(batch: DataFrame) -> None:
         good = batch.where(F.col("verdict") == stateful.ACCEPTED).select(*[n for n, _ in contract.FIELDS], "source_timestamp")
