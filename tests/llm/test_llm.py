@@ -1099,6 +1099,45 @@ def test_pipeline_stages_against_brute_force(spark, docs, texts):
     assert out.count() == n
 
 
+def pipeline_tables(spark, path, rows, items):
+    docs = spark.createDataFrame(rows, DOCS)
+    docs.repartition(3).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return docs.columns
+
+
+def test_pipeline_end_to_end_on_odd_rows(spark, tmp_path):
+    """Null, empty and long texts, shared ids, copies, benchmark passages and clashing columns, through all stages."""
+    r = random.Random(31)
+    prose = lambda n: " ".join(r.choice(["the", "of", "and", "to", "in", "is", "that", *[f"w{c}{d}" for c in "abcdefgh" for d in "ijklmnop"]]) for _ in range(n))
+    item, texts = prose(40), [prose(120) for _ in range(14)]
+    rows = [(100 + i, t, "en", ["a", "b", None][i % 3], len(t), "x", i) for i, t in enumerate(texts)]
+    rows += [(50, texts[0], "en", "a", 1, "y", 0), (50, prose(150), "en", "b", 1, "y", 0), (50, texts[1] + " more", "en", "b", 1, None, None), (None, texts[2], "en", "a", 1, "z", 1), (200, prose(60) + " " + item + " " + prose(60), "en", "a", 1, "z", 1)]
+    columns = pipeline_tables(spark, tmp_path, rows + ODD, [(1, item), (2, None), (3, "")])
+    stages, docs = dict(corpus_pipeline.STAGES), common.table(spark, str(tmp_path), "documents")
+    d = common.written(stages["quality"](spark, docs, str(tmp_path)), "t")
+    good = [(x.doc_id, x.text) for x in d.collect()]
+    assert {t for _, t in good} >= set(texts) and d.columns == columns
+    d = common.written(stages["near_duplicates"](spark, d, str(tmp_path)), "t")
+    assert sorted(((x.doc_id, x.text) for x in d.collect()), key=repr) == sorted(brute_rows(good, 5)[1], key=repr)
+    d = common.written(stages["decontamination"](spark, d, str(tmp_path)), "t")
+    clean = [(x.doc_id, x.source, len(words(x.text))) for x in d.collect()]
+    assert 200 not in {i for i, _, _ in clean} and (50 in {i for i, _, _ in clean})
+    taken = {(x.doc_id, x["size"]): x.taken for x in mixing.mixed(d).collect()}
+    d = common.written(stages["mixture"](spark, d, str(tmp_path)), "t")
+    assert Counter((x.doc_id, len(words(x.text))) for x in d.collect()) == +Counter({k: int(v / max(k[1], 1) + 0.5) for k, v in taken.items()})
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert len(out) == d.count() and {x.shard for x in out} <= set(range(16))
+    sizes = Counter(x.shard for x in out)
+    assert all(sorted(x.slot for x in out if x.shard == k) == list(range(n)) for k, n in sizes.items())
+    assert max(sizes[k] for k in range(16)) - min(sizes[k] for k in range(16)) <= 1
+
+
+def test_pipeline_on_empty_tables(spark, tmp_path):
+    pipeline_tables(spark, tmp_path, [], [])
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_every_operator_is_registered(spark):
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
