@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import random
+import subprocess
+import sys
+from pathlib import Path
 
+import pyspark
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,6 +73,34 @@ def test_two_catalogs_join_and_push_down(spark):
     assert spark.table(f"{one}.rows").count() == 105
 
 
+FEDERATED = """
+import sys
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from tidewater.plans import catalogue
+
+spark = SparkSession.builder.master("local-cluster[2,1,1024]").config("spark.driver.host", "127.0.0.1").config("spark.ui.enabled", "false").getOrCreate()
+for n in (30, 60):
+    d = f"{sys.argv[1]}/{n}"
+    spark.range(n).select((F.col("id") % 5).alias("c_nationkey"), F.lit(1.5).alias("c_acctbal")).write.parquet(f"{d}/customer.parquet")
+    spark.range(6).select(F.col("id").alias("n_nationkey"), F.concat(F.lit(f"it's {n}, "), "id").alias("n_name"), F.when(F.col("id") != 4, 1 + F.col("id") % 2).alias("n_regionkey")).write.parquet(f"{d}/nation.parquet")
+    print("ROWS", sorted(tuple(r) for r in catalogue.federated_join(spark, d).collect()))
+spark.stop()
+"""
+
+
+def test_another_database_joins_on_a_cluster(tmp_path):
+    """Executors are processes of their own; a second call in the session sees its own tables."""
+    home, root = tmp_path / "home", str(Path(__file__).resolve().parent.parent)
+    (home / "work").mkdir(parents=True)
+    for p in Path(pyspark.__file__).parent.iterdir():
+        if p.name != "work":
+            (home / p.name).symlink_to(p)
+    env = {k: v for k, v in os.environ.items() if not k.startswith(("PYSPARK", "SPARK"))} | {"SPARK_HOME": str(home), "SPARK_SCALA_VERSION": "2.13", "SPARK_LOCAL_IP": "127.0.0.1", "PYTHONPATH": root, "PYSPARK_PYTHON": sys.executable}
+    run = subprocess.run([sys.executable, "-c", FEDERATED, f"file://{tmp_path}"], capture_output=True, text=True, env=env, cwd=tmp_path, timeout=300)
+    assert [x for x in run.stdout.splitlines() if x.startswith("ROWS")] == [f'ROWS [("it\'s {n}, 1", {n // 5}, {n // 5 * 1.5}), ("it\'s {n}, 3", {n // 5}, {n // 5 * 1.5})]' for n in (30, 60)], run.stderr[-3000:]
+
+
 def test_figures_of_a_plan(spark, tmp_path):
     spark.range(1000).withColumn("k", F.col("id") % 10).repartition(4).write.parquet(f"{tmp_path}/t")
     metrics = analyze.analyzed(spark.read.parquet(f"{tmp_path}/t").groupBy("k").agg(F.sum("id")))
