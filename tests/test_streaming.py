@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewater.plans import catalogue
 from tidewater.sources.tables import Store
-from tidewater.streaming import contract, sinks, stateful, windows
+from tidewater.streaming import contract, policy, sinks, stateful, windows
 from tidewater.streaming.messages import encoded
 
 BASE = datetime.datetime(2026, 1, 1)
@@ -244,3 +244,22 @@ def test_marks(spark, tmp_path):
 
 def test_stream_queries_are_registered():
     assert {"stream_closed_windows", "stream_event_windows", "stream_counters"} <= set(catalogue.ORACLE_SQL)
+
+
+def test_seen_ids_share_entries_of_state(spark, tmp_path, monkeypatch):
+    """A group has the ids of many hashes, an entry those of a slot; copies go within a batch and between batches, nulls are one id."""
+    monkeypatch.setattr(policy, "GROUPS", 4)
+    monkeypatch.setattr(policy, "SLOTS", 4)
+    schema = "event_id long, event_timestamp timestamp, source_timestamp timestamp"
+    found, entries = [], []
+    for ids in ([*range(400), None], [*range(200, 500), None]):
+        land(spark, tmp_path, [(i, BASE, BASE) for i in ids for _ in range(2)], schema)
+        conf = spark.conf
+        conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        run = policy.on_time_once(stream).writeStream.foreachBatch(lambda b, _: found.extend(r.event_id for r in b.collect())).option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+        assert run.awaitTermination(240)
+        conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "true")
+        entries.append(run.lastProgress["stateOperators"][0]["customMetrics"].get("rocksdbTotalKeys", run.lastProgress["stateOperators"][0]["numRowsTotal"]))
+    assert sorted(found, key=lambda i: -1 if i is None else i) == [None, *range(500)]
+    assert all(n < 200 for n in entries)
