@@ -274,3 +274,13 @@ def test_verdicts_of_a_group_of_many_ids(spark, tmp_path, monkeypatch):
         land_records(spark, tmp_path, rows)
         sinks.drained(stateful.judged(contract.decoded(sinks.source(spark, f"{tmp_path}/in"), 7)), str(tmp_path), observed=found)
     assert {k: found[k] for k in WANT} == WANT
+
+
+def test_windows_of_a_group_share_an_entry_of_state(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stateful, "WINDOW_GROUPS", 1)
+    land(spark, tmp_path, [event(u, m) for u in range(100) for m in (1, 7)], EVENTS)
+    stream = spark.readStream.schema(EVENTS).parquet(f"{tmp_path}/in")
+    query = stateful.event_windows(stream, *windows.BY_USER).writeStream.foreachBatch(lambda b, _: b.collect()).option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+    assert query.awaitTermination(240)
+    entries = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
+    assert 0 < max(entries) < 20

@@ -6,6 +6,7 @@ that cannot be decoded takes part in the watermark and is passed on under a verd
 
 from __future__ import annotations
 
+import json
 import threading
 from collections.abc import Iterator
 from typing import Any
@@ -114,16 +115,124 @@ SUMS = ("event_count", "playback_started_count", "playback_completed_count", "co
 
 
 class EventWindows(StatefulProcessor):
-    """Tumbling windows of event time for one key, closed by the watermark of production time.
+    """Tumbling windows of event time for a group of keys, closed by the watermark of production time.
 
-    Open windows' sums and distinct values are map state; a timer at its end closes a window: its row is emitted and its state goes. Rows of
-    closed windows are late; their number is emitted as a row of its own. Rows without event time only move the watermark.
+    An entry of map state has all keys of an hour or so of open windows, with their sums and distinct values: a batch reads and writes it
+    once, and one timer a group, at the first window's end or before, closes all windows that the watermark has passed. A call for each key, window and value would take
+    most of a stream's time. Rows of closed windows are late; their number is emitted as a row of its own. Rows without event time only
+    move the watermark.
+    """
+
+    #: Rows that are summed before they go to the state, about.
+    ROWS = 1 << 17
+    #: Windows of an entry.
+    SPAN = 12
+
+    def __init__(self, distinct: dict[str, str], minutes: int = 5):
+        self.distinct, self.width = distinct, minutes * 60_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.spans = handle.getMapState("spans", StructType([StructField("span", LongType())]), StructType([StructField("windows", StringType())]))
 
-    idle_seconds: windows are closed as well when the key has had no row for so long (processing time). Spark's operators have timers of one
-    kind, so then the watermark closes windows when the key's next rows come.
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timer: Any) -> Iterator[pd.DataFrame]:
+        watermark, late, n = timer.getCurrentWatermarkInMs(), 0, 0
+        found: dict[int, dict[tuple[int, str | None], list]] = {}
+        for batch in rows:
+            batch = batch[batch["event_timestamp"].notna()]
+            if not len(batch):
+                continue
+            times = batch["event_timestamp"].dt.tz_localize(None).to_numpy().astype("datetime64[ms]").astype(np.int64)
+            start = times // self.width * self.width
+            closed = start + self.width <= watermark
+            late += int(closed.sum())
+            self._add(found, batch[~closed], start[~closed])
+            n += len(batch)
+            if n >= self.ROWS:
+                self._save(found)
+                found, n = {}, 0
+        self._save(found)
+        if late:
+            yield _closed(self, [], late)
+
+    def _add(self, found: dict[int, dict[tuple[int, str | None], list]], batch: pd.DataFrame, start: np.ndarray) -> None:
+        done = batch["event_type"] == "playback_completed"
+        watched = batch["watch_seconds"].where(done).fillna(0).astype("int64")
+        columns = [start, batch["group_key"], batch["event_type"] == "playback_started", done, watched, *[batch[f"distinct_{n}"] for n in self.distinct]]
+        for at, key, started, completed, seconds, *values in zip(*[c.tolist() for c in columns], strict=True):
+            row = found.setdefault(at // (self.width * self.SPAN), {}).setdefault((at, key), [0, 0, 0, 0, *[set() for _ in self.distinct]])
+            row[0], row[1], row[2], row[3] = row[0] + 1, row[1] + started, row[2] + completed, row[3] + seconds
+            for members, value in zip(row[len(SUMS) :], values, strict=True):
+                if value is not None:
+                    members.add(value)
+
+    def _save(self, found: dict[int, dict[tuple[int, str | None], list]]) -> None:
+        if not found:
+            return
+        there = {s for (s,) in self.spans.keys()} if self.spans.exists() else set()
+        for span, windows in found.items():
+            if span in there:
+                for start, key, *old in json.loads(self.spans.getValue((span,))[0]):
+                    row = windows.setdefault((start, key), [0, 0, 0, 0, *[set() for _ in self.distinct]])
+                    for k, value in enumerate(old):
+                        row[k] = row[k] | set(value) if k >= len(SUMS) else row[k] + value
+            self.spans.updateValue((span,), (json.dumps([[*window, *[list(x) if isinstance(x, set) else x for x in row]] for window, row in windows.items()]),))
+        self._wait(min(start for windows in found.values() for start, _ in windows) + self.width)
+
+    def _wait(self, end: int) -> None:
+        """One timer, at the first end of a window."""
+        timers = list(self.handle.listTimers())
+        if not timers or end < min(timers):
+            for t in timers:
+                self.handle.deleteTimer(t)
+            self.handle.registerTimer(end)
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        passed = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        out, following = [], []
+        for span in sorted(s for (s,) in self.spans.keys()):
+            if (end := span * self.width * self.SPAN + self.width) > passed:
+                following.append(end)
+                break
+            rows = json.loads(self.spans.getValue((span,))[0])
+            out += [(one, start, *[len(x) if isinstance(x, list) else x for x in row]) for start, one, *row in rows if start + self.width <= passed]
+            if rest := [r for r in rows if r[0] + self.width > passed]:
+                following.append(min(r[0] for r in rest) + self.width)
+                if len(rest) < len(rows):
+                    self.spans.updateValue((span,), (json.dumps(rest),))
+            else:
+                self.spans.removeKey((span,))
+            if len(out) >= 10_000:
+                yield _closed(self, out)
+                out = []
+        if out:
+            yield _closed(self, out)
+        if following:
+            self.handle.registerTimer(min(following))
+
+    def close(self) -> None:
+        pass
+
+
+def _closed(windows: EventWindows | IdleWindows, rows: list[tuple], late: int = 0) -> pd.DataFrame:
+    """Rows of key, start, sums and distinct counts as they are emitted; the number of late rows in a row of its own."""
+    names = ["group_key", "window_start", *SUMS, *windows.distinct]
+    out = pd.DataFrame(rows or [(None,) * len(names)], columns=names)
+    out["group_key"], out["window_start"] = out["group_key"].astype(object), pd.to_datetime(out["window_start"], unit="ms")
+    out.insert(2, "window_end", out["window_start"] + pd.Timedelta(windows.width, "ms"))
+    for n in (*SUMS, *windows.distinct):
+        out[n] = out[n].astype("Int64")
+    return out.assign(late_rows=late)
+
+
+class IdleWindows(StatefulProcessor):
+    """Tumbling windows of event time for one key, closed when the key has had no row for so many seconds (processing time).
+
+    Spark's operators have timers of one kind, so the watermark of production time closes windows when the key's next rows come. Open
+    windows' sums and distinct values are map state. Late rows are as in ``EventWindows``.
     """
 
-    def __init__(self, distinct: dict[str, str], minutes: int = 5, idle_seconds: int | None = None):
+    def __init__(self, distinct: dict[str, str], minutes: int, idle_seconds: int):
         self.distinct, self.width, self.idle = distinct, minutes * 60_000, idle_seconds
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -145,14 +254,13 @@ class EventWindows(StatefulProcessor):
             for at, part in batch[~closed].groupby(start[~closed]):
                 self._add(int(at), part)
         if late:
-            yield self._rows(key, [], late)
-        if self.idle is not None:
-            if done := [s for s in self._open() if s + self.width <= watermark]:
-                yield self._rows(key, [self._close(s) for s in done])
-            for t in list(self.handle.listTimers()):
-                self.handle.deleteTimer(t)
-            if self._open():
-                self.handle.registerTimer(timer.getCurrentProcessingTimeInMs() + self.idle * 1000)
+            yield _closed(self, [], late)
+        if done := [s for s in self._open() if s + self.width <= watermark]:
+            yield _closed(self, [(key[0], *self._close(s)) for s in done])
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        if self._open():
+            self.handle.registerTimer(timer.getCurrentProcessingTimeInMs() + self.idle * 1000)
 
     def _open(self) -> list[int]:
         return sorted(s for (s,) in self.windows.keys())
@@ -162,15 +270,13 @@ class EventWindows(StatefulProcessor):
             sums = list(self.windows.getValue((start,)))
         else:
             sums = [0] * (len(SUMS) + len(self.distinct))
-            if self.idle is None:
-                self.handle.registerTimer(start + self.width)
         done = part["event_type"] == "playback_completed"
         sums[0] += len(part)
         sums[1] += int((part["event_type"] == "playback_started").sum())
         sums[2] += int(done.sum())
         sums[3] += int(part.loc[done, "watch_seconds"].sum())
-        for k, (name, column) in enumerate(self.distinct.items(), len(SUMS)):
-            for value in part[column].dropna().astype(str).unique():
+        for k, name in enumerate(self.distinct, len(SUMS)):
+            for value in part[f"distinct_{name}"].dropna().unique():
                 if not self.members.containsKey((start, name, value)):
                     self.members.updateValue((start, name, value), (True,))
                     sums[k] += 1
@@ -183,35 +289,32 @@ class EventWindows(StatefulProcessor):
             self.members.removeKey(k)
         return (start, *sums)
 
-    def _rows(self, key: Any, closed: list[tuple], late: int = 0) -> pd.DataFrame:
-        names = ["window_start", *SUMS, *self.distinct]
-        out = pd.DataFrame(closed or [(None,) * len(names)], columns=names)
-        out["window_start"] = pd.to_datetime(out["window_start"], unit="ms")
-        out.insert(1, "window_end", out["window_start"] + pd.Timedelta(self.width, "ms"))
-        for n in (*SUMS, *self.distinct):
-            out[n] = out[n].astype("Int64")
-        out.insert(0, "group_key", pd.Series([key[0]] * len(out), dtype=object))
-        return out.assign(late_rows=late)
-
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        # A timer of processing time stands for all windows: nothing has come since it was set.
-        done = [s for s in self._open() if self.idle is not None or s + self.width <= expiredTimerInfo.getExpiryTimeInMs()]
-        if done:
-            yield self._rows(key, [self._close(s) for s in done])
+        # Nothing has come since the timer was set: it stands for all windows.
+        if done := self._open():
+            yield _closed(self, [(key[0], *self._close(s)) for s in done])
 
     def close(self) -> None:
         pass
 
 
+#: Groups of keys, by their hash.
+WINDOW_GROUPS = 64
+
+
 def event_windows(events: DataFrame, key: str, distinct: dict[str, str], delay: str = "30 seconds", minutes: int = 5, idle_seconds: int | None = None) -> DataFrame:
     """Closed windows of a stream with event_timestamp, source_timestamp, event_type, watch_seconds and the columns named: window_start, window_end, key, sums, distinct counts.
 
     The rows of closed windows are observed under the name ``windows`` as late_rows.
     """
     columns = ", ".join(f"{n} bigint" for n in (*SUMS, *distinct))
-    # Without the production time itself: Spark would drop rows behind the watermark, whatever window they belong to.
-    watched = events.withWatermark("source_timestamp", delay).withColumn("group_key", F.col(key).cast("string")).drop("source_timestamp").groupBy("group_key")
-    mode = "EventTime" if idle_seconds is None else "ProcessingTime"
-    found = watched.transformWithStateInPandas(EventWindows(distinct, minutes, idle_seconds), f"group_key string, window_start timestamp, window_end timestamp, {columns}, late_rows bigint", "Append", mode)
+    # Without the production time itself: Spark would drop rows behind the watermark, whatever window they belong to. Values as text, that a null makes no floats of numbers.
+    watched = events.withWatermark("source_timestamp", delay).select("event_timestamp", "event_type", "watch_seconds", F.col(key).cast("string").alias("group_key"), *[F.col(c).cast("string").alias(f"distinct_{n}") for n, c in distinct.items()])
+    if idle_seconds is None:
+        windows, mode = EventWindows(distinct, minutes), "EventTime"
+        grouped = watched.withColumn("window_group", F.pmod(F.xxhash64("group_key"), F.lit(WINDOW_GROUPS))).groupBy("window_group")
+    else:
+        windows, mode, grouped = IdleWindows(distinct, minutes, idle_seconds), "ProcessingTime", watched.groupBy("group_key")
+    found = grouped.transformWithStateInPandas(windows, f"group_key string, window_start timestamp, window_end timestamp, {columns}, late_rows bigint", "Append", mode)
     found = found.observe("windows", F.coalesce(F.sum("late_rows"), F.lit(0)).alias("late_rows")).where("window_start is not null")
     return found.select("window_start", "window_end", F.col("group_key").cast(events.schema[key].dataType).alias(key), *SUMS, *distinct)
