@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -284,3 +285,35 @@ def test_windows_of_a_group_share_an_entry_of_state(spark, tmp_path, monkeypatch
     assert query.awaitTermination(240)
     entries = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
     assert 0 < max(entries) < 20
+
+
+def test_batches_of_records_are_encoded_like_single_ones(spark):
+    ends = (0, -1, 63, 64, -64, -65, (1 << 31) - 1, -(1 << 31))
+    longs = (*ends[:-2], (1 << 63) - 1, -(1 << 63))
+    rows = [{n: (text * size if kind == "string" else number if kind == "int" else long) for n, kind in contract.FIELDS} for text, size in (("", 1), ("a", 63), ("é", 64), ("𝄞", 5000)) for number, long in zip(ends, longs, strict=True)]
+    rows.append(dict.fromkeys(rows[0], 1) | {"user_id": None, "content_id": 7})
+    assert contract.encode_bodies(pd.DataFrame(rows)) == [contract.encode(r, 7)[5:] for r in rows]
+    assert contract.encode_bodies(pd.DataFrame(rows).iloc[:0]) == []
+    # A schema's id by row, and of one that fills its four bytes.
+    cut = spark.createDataFrame([(1, "a", 1.0, 5, False)], "offset long, event_id string, minute double, watched int, broken boolean")
+    cut = cut.select("event_id", *[F.lit("u").alias(n) for n in ("user_id", "content_id", "session_id", "event_type")], *[F.lit(1).alias(n) for n in ("position_seconds", "watch_seconds", "payload_schema_version")], *[F.lit(BASE).alias(n) for n in ("event_timestamp", "produced_timestamp")])
+    one, two = cut.select(encoded(F.lit(258)).alias("a"), encoded((1 << 32) - 1).alias("b")).first()
+    assert one[:5] == b"\0\0\0\1\2" and two[:5] == b"\0\xff\xff\xff\xff" and one[5:] == two[5:]
+
+
+def pythons(df):
+    """Operators of the plan that call Python: each has a worker of its own in every task."""
+    return df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython")
+
+
+def events_file(spark, tmp_path):
+    spark.sql("SELECT id AS event_id, TIMESTAMP_NTZ '2024-01-01 00:00:00' AS ts, id % 9 AS user_id, 'view' AS event_type, 1.5D AS value, '{\"k\": 3}' AS props FROM range(400)").write.parquet(f"{tmp_path}/events.parquet")
+    return str(tmp_path)
+
+
+def test_dead_letters_are_decoded_once(spark, tmp_path):
+    """One encoder of the made records and one decoder, though the dead letters are filtered by what the decoder says."""
+    found = catalogue.QUERIES["dlq_split"](spark, events_file(spark, tmp_path))
+    assert pythons(found) <= 2
+    wrong = {r.source_offset: r.error_type for r in found.collect()}
+    assert wrong.keys() == {n for n in range(400) if any(n % k == 0 for k in (11, 13, 17, 19, 23))} and {wrong[11], wrong[13], wrong[17], wrong[19], wrong[23]} == {contract.FRAME, contract.SCHEMA_ID, contract.CONTRACT, contract.DECODE, contract.TRAILING}

@@ -373,7 +373,7 @@ def records(spark: SparkSession, d: str) -> DataFrame:
         F.col("event_id").alias("offset"), F.concat(F.lit("e"), "event_id").alias("event_id"), F.col("user_id").cast("string").alias("user_id"), F.col("content_id").cast("string").alias("content_id"), "session_id", "event_type",
         F.lit(0).alias("position_seconds"), F.col("watch_seconds").cast("int").alias("watch_seconds"), "event_timestamp", F.col("event_timestamp").alias("produced_timestamp"), (1 + (F.col("event_id") % 17 == 0).cast("int")).alias("payload_schema_version"))
     n = F.col("offset")
-    good = e.select("offset", F.when(n % 13 == 0, encoded(8)).otherwise(encoded(7)).alias("v"), F.col("produced_timestamp").cast("timestamp").alias("timestamp"))
+    good = e.select("offset", encoded(F.when(n % 13 == 0, 8).otherwise(7)).alias("v"), F.col("produced_timestamp").cast("timestamp").alias("timestamp"))
     cut = F.expr("substring(v, 1, octet_length(v) - 1)")
     value = F.when(n % 11 == 0, F.concat(F.unhex(F.lit("01")), "v")).when((n % 13 != 0) & (n % 19 == 0), cut).when((n % 13 != 0) & (n % 23 == 0), F.concat("v", F.unhex(F.lit("00")))).otherwise(F.col("v"))
     return good.select(F.lit(None).cast("binary").alias("key"), value.alias("value"), F.lit("playback").alias("topic"), (n % 6).cast("int").alias("partition"), n.cast("long").alias("offset"), "timestamp")

@@ -33,16 +33,18 @@ def sink_options(servers: str, topic: str, idempotent: bool = True) -> dict[str,
     return {"kafka.bootstrap.servers": servers, "topic": topic, "kafka.acks": "all", "kafka.enable.idempotence": str(idempotent).lower()}
 
 
-def encoded(schema_id: int) -> Column:
-    """Framed Avro bytes of the record's columns; timestamps as epoch milliseconds."""
+def encoded(schema_id: int | Column) -> Column:
+    """Framed Avro bytes of the record's columns; timestamps as epoch milliseconds. The schema's id may differ by row."""
     names = [n for n, _ in contract.FIELDS]
 
     @F.pandas_udf("binary")
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         for part in parts:
-            yield pd.Series([contract.encode(dict(zip(names, row, strict=True)), schema_id) for row in part[names].itertuples(index=False, name=None)], dtype=object)
+            yield pd.Series(contract.encode_bodies(part), dtype=object)
 
-    return run(F.struct(*[(F.unix_millis(F.col(n).cast("timestamp")) if n.endswith("timestamp") else F.col(n)).alias(n) for n in names]))
+    body = run(F.struct(*[(F.unix_millis(F.col(n).cast("timestamp")) if n.endswith("timestamp") else F.col(n)).alias(n) for n in names]))
+    number = F.lit(schema_id) if isinstance(schema_id, int) else schema_id
+    return F.concat(F.unhex(F.concat(F.lit("00"), F.lpad(F.hex(number), 8, "0"))), body)
 
 
 def published(flagged: DataFrame, topic: str, execution_id: str, schema_id: int) -> DataFrame:
