@@ -342,3 +342,9 @@ def test_dead_letter_messages_are_decoded_once(spark, tmp_path):
     found = catalogue.QUERIES["dlq_messages"](spark, events_file(spark, tmp_path))
     assert pythons(found) <= 2
     assert found.count() == sum(any(n % k == 0 for k in (11, 13, 17, 19, 23)) for n in range(400))
+
+
+def test_valid_events_are_decoded_once(spark, tmp_path):
+    found = catalogue.QUERIES["valid_events"](spark, events_file(spark, tmp_path))
+    assert pythons(found) <= 2
+    assert {r.event_id for r in found.collect()} == {f"e{n}" for n in range(400) if all(n % k for k in (11, 13, 17, 19, 23))}
